@@ -50,19 +50,16 @@ def period_delta(df: DataFrame, keys, value_cols, date_col: str = "Date",
                  days: int = 7, suffix: str = "_delta") -> DataFrame:
     """For every (key, date): ``value - value at date - days`` (NULL if absent).
 
-    A self-join on (key, date - days).  The join is hash-partitioned on key
-    *and* date, so a key that owns a third of all rows is still spread over
-    many tasks; no per-key window buffers a whole key.
+    One per-key window whose frame is the single day ``days`` back (a RANGE
+    frame on the day number), so the input is read and shuffled once.  Meant
+    for panels (one row per key and date): a key's window partition holds at
+    most one row per day, however many raw rows the key owned before the
+    panel was aggregated.
     """
-    keys = list(keys)
-    prev = df.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
-                     F.date_add(F.col(date_col), days).alias("__r_date"),
-                     *[F.col(v).alias(f"__prev_{v}") for v in value_cols])
-    cond = _key_match(df, prev, keys) & (df[date_col] == prev["__r_date"])
-    j = df.join(prev, cond, "left")
-    return j.select(*df.columns,
-                    *[(F.col(v) - F.col(f"__prev_{v}")).alias(v + suffix)
-                      for v in value_cols])
+    day = F.unix_date(F.col(date_col))
+    w = (Window.partitionBy(*keys).orderBy(day)
+         .rangeBetween(-days, -days))
+    return df.withColumns({v + suffix: F.col(v) - F.first(v).over(w) for v in value_cols})
 
 
 def row_delta(df: DataFrame, keys, order_col: str, value_cols,

@@ -68,19 +68,23 @@ def cumulative_panel(daily: DataFrame, keys, date_col: str, measures,
 
     With ``densify`` every key gets a row for each day from its first day to
     the latest day of the whole input (cumulative values carry forward), as a
-    snapshot feed reports every jurisdiction every day.  The day list is made
-    per key with ``sequence`` + ``explode`` (no cross join); the running sum is
-    a per-key window whose size is bounded by the number of days, not rows.
+    snapshot feed reports every jurisdiction every day.  One per-key window
+    gives the running sums and the key's next active day; each active row is
+    then exploded over the days until that next day (``sequence`` +
+    ``explode``: no cross join, no second pass over the input).  A key's window
+    holds one row per active day, however skewed the raw rows were.  Rows
+    without a date are dropped.
     """
     keys = list(keys)
-    if densify:
-        last = daily.select(F.max(date_col)).scalar()
-        spans = daily.groupBy(*keys).agg(F.min(date_col).alias("__first"))
-        grid = spans.select(*keys, F.explode(F.sequence(F.col("__first"), last))
-                            .alias(date_col))
-        daily = grid.join(daily, on=[*keys, date_col], how="left")
-    w = (Window.partitionBy(*keys).orderBy(date_col)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return daily.select(*keys, date_col,
-                        *[F.sum(F.coalesce(F.col(m), F.lit(0))).over(w).alias(m)
-                          for m in measures])
+    w = Window.partitionBy(*keys).orderBy(date_col)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = daily.select(*keys, date_col,
+                       *[F.sum(F.coalesce(F.col(m), F.lit(0))).over(run).alias(m)
+                         for m in measures],
+                       F.lead(date_col).over(w).alias("__next"))
+    if not densify:
+        return cum.drop("__next")
+    last = daily.select(F.max(date_col)).scalar()
+    end = F.coalesce(F.date_sub(F.col("__next"), 1), last)
+    return cum.select(*keys, F.explode(F.sequence(F.col(date_col), end)).alias(date_col),
+                      *measures)

@@ -803,7 +803,11 @@ SELECT Date, Location,
        Administered_Dose1_Pop_Pct, Distributed_Moderna, Distributed_Pfizer, Distributed_Janssen
 FROM snap""")
 def report_history(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_snapshots(spark, d)
+    return history_roundtrip(spark, S.nation_snapshots(spark, d))
+
+
+def history_roundtrip(spark: SparkSession, hist: DataFrame) -> DataFrame:
+    """Land the latest snapshot as JSON envelopes, read it back, append once."""
     mx = latest_date(hist)
     records = (hist.filter(F.col("Date") == mx)
                    .withColumn("Date", F.date_format("Date", "yyyy-MM-dd")))
@@ -913,3 +917,58 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
     panel = S.events_panel(spark, d)
     out = snapshot_delta(panel, ["Location"], ["events", "value_cents"])
     return sort_by(out, ("events_delta", "desc"), "Location")
+
+
+# ============================ lineitem-scale operator runs ====================
+LI_DAILY_SQL = """
+li_supp AS (
+  SELECT l_suppkey, CAST(l_shipdate AS DATE) AS Date,
+         CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty, count(*) AS lines
+  FROM lineitem GROUP BY 1, 2),
+li_part AS (
+  SELECT l_partkey, CAST(l_shipdate AS DATE) AS Date,
+         CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty
+  FROM lineitem GROUP BY 1, 2)
+"""
+
+
+def lineitem_daily(spark: SparkSession, d: str, key: str) -> DataFrame:
+    li = S.table(spark, d, "lineitem")
+    return li.groupBy(key, F.to_date("l_shipdate").alias("Date")).agg(
+        F.sum(F.col("l_quantity").cast("bigint")).alias("qty"), F.count("*").alias("lines"))
+
+
+@query("lineitem_weekly_delta", W(LI_DAILY_SQL) + """
+SELECT s.l_suppkey, s.Date, s.qty - o.qty AS qty_delta, s.lines - o.lines AS lines_delta
+FROM li_supp s LEFT JOIN li_supp o ON s.l_suppkey = o.l_suppkey AND s.Date = o.Date + 7""")
+def lineitem_weekly_delta(spark: SparkSession, d: str) -> DataFrame:
+    daily = lineitem_daily(spark, d, "l_suppkey")
+    return period_delta(daily, ["l_suppkey"], ["qty", "lines"]).select(
+        "l_suppkey", "Date", "qty_delta", "lines_delta")
+
+
+@query("lineitem_trailing_mean", W(LI_DAILY_SQL) + """
+SELECT l_partkey, Date, qty,
+       CASE WHEN count(qty) OVER w = 7 THEN CAST(sum(qty) OVER w AS DOUBLE) / 7 END AS qty_avg
+FROM li_part WINDOW w AS (PARTITION BY l_partkey ORDER BY Date
+                          ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
+def lineitem_trailing_mean(spark: SparkSession, d: str) -> DataFrame:
+    daily = lineitem_daily(spark, d, "l_partkey").drop("lines")
+    return trailing_mean(daily, ["l_partkey"], "Date", ["qty"], 7)
+
+
+FLAGS = ("A", "N", "R")
+
+
+@query("lineitem_flag_shares", """
+SELECT Date, """ + ", ".join(
+    f"(CAST(s{f} AS DOUBLE) / NULLIF({' + '.join(f'coalesce(s{g}, 0)' for g in FLAGS)}, 0)) * 100 AS {f}"
+    for f in FLAGS) + """
+FROM (SELECT CAST(l_shipdate AS DATE) AS Date, """ + ", ".join(
+    f"sum(CASE WHEN l_returnflag = '{f}' THEN CAST(l_quantity AS BIGINT) END) AS s{f}" for f in FLAGS)
+    + """ FROM lineitem GROUP BY 1)""")
+def lineitem_flag_shares(spark: SparkSession, d: str) -> DataFrame:
+    li = S.table(spark, d, "lineitem").select(
+        F.to_date("l_shipdate").alias("Date"), "l_returnflag",
+        F.col("l_quantity").cast("bigint").alias("qty"))
+    return share_pivot(li, "Date", "l_returnflag", "qty", FLAGS)

@@ -63,7 +63,8 @@ def band_names(edges=VALUE_BAND_EDGES, prefix=BAND_PREFIX, suffix=BAND_SUFFIX):
 
 
 def nation_daily(spark: SparkSession, d: str) -> DataFrame:
-    """Per nation and order date: the day's increments of every measure.
+    """Per nation and order date: the day's increments of every measure, plus
+    the parent row (all nations) per date from the same pass (``rollup``).
 
     lineitem is reduced to one row per order before it meets ``orders`` (the
     aggregation's shuffle on the order key also serves the join).
@@ -77,11 +78,12 @@ def nation_daily(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                          "o_orderpriority",
                                          F.to_date("o_orderdate").alias("Date"))
-    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    c = table(spark, d, "customer").select("c_custkey", _code("c_nationkey").alias("Location"))
     j = (o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
           .join(c, o.o_custkey == c.c_custkey))
     done = F.col("o_orderstatus") == "F"
-    return j.groupBy(_code("c_nationkey").alias("Location"), "Date").agg(
+    agg = j.rollup("Date", "Location").agg(
+        F.grouping("Date").alias("__gd"), F.grouping("Location").alias("__gl"),
         F.sum("qty").alias("Doses_Distributed"),
         F.sum("items").alias("Doses_Administered"),
         F.count("*").alias("Administered_Dose1_Recip"),
@@ -91,31 +93,44 @@ def nation_daily(spark: SparkSession, d: str) -> DataFrame:
         F.sum("items_A").alias("Distributed_Moderna"),
         F.sum("items_R").alias("Distributed_Pfizer"),
         F.sum("items_N").alias("Distributed_Janssen"))
+    return (agg.filter(F.col("__gd") == 0)
+               .withColumn("Location", F.when(F.col("__gl") == 1, F.lit(PARENT_CODE))
+                                        .otherwise(F.col("Location")))
+               .drop("__gd", "__gl"))
 
 
 def nation_population(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer")
-    return c.groupBy(_code("c_nationkey").alias("Location")).agg(
+    """Population per nation plus the parent total (``rollup``)."""
+    c = table(spark, d, "customer").select(_code("c_nationkey").alias("Location"), "c_acctbal")
+    agg = c.rollup("Location").agg(
+        F.grouping("Location").alias("__gl"),
         (F.count("*") * PEOPLE_PER_CUSTOMER).alias("Census2019"),
         (F.sum(F.when(F.col("c_acctbal") > 0, 1).otherwise(0)) * PEOPLE_PER_CUSTOMER)
         .alias("Census2019_12PlusPop"))
+    return (agg.withColumn("Location", F.when(F.col("__gl") == 1, F.lit(PARENT_CODE))
+                                        .otherwise(F.col("Location")))
+               .drop("__gl"))
 
 
 def nation_snapshots(spark: SparkSession, d: str) -> DataFrame:
-    """The jurisdiction history (``schemas.SNAPSHOT`` columns)."""
+    """The jurisdiction history (``schemas.SNAPSHOT`` columns).
+
+    One pass over the raw tables; the panel is keys × days, independent of
+    the number of orders.  The two lookups are per-nation tables (25 rows
+    by the TPC-H definition of ``nation``, plus the parent row), so they are
+    broadcast.
+    """
     cum = cumulative_panel(nation_daily(spark, d), ["Location"], "Date", MEASURES)
-    names = table(spark, d, "nation").select(_code("n_nationkey").alias("Location"),
-                                             F.col("n_name").alias("LongName"))
-    rows = (cum.join(F.broadcast(names), "Location")   # 25-row TPC-H dimension
-               .join(nation_population(spark, d), "Location"))
-    parent = rows.groupBy("Date").agg(
-        F.lit(PARENT_CODE).alias("Location"), F.lit(PARENT_NAME).alias("LongName"),
-        *[F.sum(c).alias(c) for c in ["Census2019", "Census2019_12PlusPop", *MEASURES]])
-    both = rows.unionByName(parent)
-    both = both.withColumn("Administered_Dose1_Pop_Pct",
+    names = (table(spark, d, "nation")
+             .select(_code("n_nationkey").alias("Location"), F.col("n_name").alias("LongName"))
+             .unionByName(spark.range(1).select(F.lit(PARENT_CODE).alias("Location"),
+                                                F.lit(PARENT_NAME).alias("LongName"))))
+    rows = (cum.join(F.broadcast(names), "Location")
+               .join(F.broadcast(nation_population(spark, d)), "Location"))
+    rows = rows.withColumn("Administered_Dose1_Pop_Pct",
                            F.bround(safe_div(F.col("Administered_Dose1_Recip") * 1000,
                                              "Census2019")) / 10)
-    return both.select(*SNAPSHOT_COLS)
+    return rows.select(*SNAPSHOT_COLS)
 
 
 def latest_snapshot(history: DataFrame) -> DataFrame:
@@ -229,7 +244,11 @@ npop AS (
          CAST(count(*) * {PEOPLE_PER_CUSTOMER} AS BIGINT) AS Census2019,
          CAST(sum(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END) * {PEOPLE_PER_CUSTOMER} AS BIGINT)
            AS Census2019_12PlusPop
-  FROM customer GROUP BY 1),
+  FROM customer GROUP BY 1
+  UNION ALL
+  SELECT '{PARENT_CODE}', CAST(count(*) * {PEOPLE_PER_CUSTOMER} AS BIGINT),
+         CAST(sum(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END) * {PEOPLE_PER_CUSTOMER} AS BIGINT)
+  FROM customer),
 nrows AS (
   SELECT c.Date, c.Location, n.n_name AS LongName, p.Census2019, p.Census2019_12PlusPop,
          {", ".join("c." + m for m in MEASURES)}
@@ -238,9 +257,11 @@ nrows AS (
 nboth AS (
   SELECT * FROM nrows
   UNION ALL
-  SELECT Date, '{PARENT_CODE}' AS Location, '{PARENT_NAME}' AS LongName,
-         {", ".join(_sum_bigint(c) + " AS " + c for c in ["Census2019", "Census2019_12PlusPop", *MEASURES])}
-  FROM nrows GROUP BY Date),
+  SELECT t.Date, '{PARENT_CODE}' AS Location, '{PARENT_NAME}' AS LongName,
+         p.Census2019, p.Census2019_12PlusPop, {", ".join("t." + m for m in MEASURES)}
+  FROM (SELECT Date, {", ".join(_sum_bigint(m) + " AS " + m for m in MEASURES)}
+        FROM nrows GROUP BY Date) t
+  JOIN npop p ON p.Location = '{PARENT_CODE}'),
 snap AS (
   SELECT Date, Location, LongName, Census2019, Census2019_12PlusPop, Doses_Distributed,
          Doses_Administered, Administered_Dose1_Recip, Administered_Dose2_Recip,
