@@ -9,9 +9,10 @@ from pyspark.sql import Column, functions as F
 from .. import constants as K
 from ._util import as_col
 
-# Offsets beyond this many days from the run date are not calendar-meaningful
-# projections; they come out NULL instead of raising an overflow.
-MAX_OFFSET_DAYS = 100_000
+# Offsets beyond this many days (~1,900 years) from the run date would leave
+# the calendar range both engines print (years 1..9999); they come out NULL
+# instead of raising an overflow.
+MAX_OFFSET_DAYS = 700_000
 
 
 def to_day(c) -> Column:

@@ -16,6 +16,7 @@ from ..functions import (add_days, display_string, first_match, is_in, lateness_
                          ne_and_not_null, nonzero, not_in_keep_null, parse_thousands,
                          per_capita, round_half_even, safe_div, str_trim, thousands,
                          weighted_sum, month_label)
+from ..functions.dates import MAX_OFFSET_DAYS
 from ..functions.text import TRIM_PATTERN
 from ..operators.deltas import pct_change, period_delta, row_delta, snapshot_delta
 from ..operators.joins import join_dim, scalar_value
@@ -52,7 +53,7 @@ def query(name: str, sql: str | None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            ORACLE[name] = sql.strip().replace("{MAXOFF}", str(MAX_OFFSET_DAYS))
         return fn
     return deco
 
@@ -151,7 +152,7 @@ tot AS (
            AS "% Population Fully Immunized",
          format('{{:,}}', CAST((SELECT sum(doses_last_week) FROM det) AS BIGINT))
            AS "Doses administered in the last week",
-         strftime(CASE WHEN abs(t.days) <= 100000
+         strftime(CASE WHEN abs(t.days) <= {MAX_OFFSET_DAYS}
                        THEN (SELECT d FROM mx) + CAST(t.days AS INTEGER) END, '%B %Y')
            AS "Estimated to 70% Pop 2 Doses"
   FROM (SELECT round_even((((SELECT Census2019 FROM nat) * CAST(0.7 AS DOUBLE)
@@ -162,7 +163,7 @@ shown AS (
          lpad(format('{{:,}}', doses_last_week),
               CAST(max(length(format('{{:,}}', doses_last_week))) OVER () AS INTEGER), ' ')
            AS "Doses administered in the last week",
-         strftime(CASE WHEN abs(sort_days) <= 100000
+         strftime(CASE WHEN abs(sort_days) <= {MAX_OFFSET_DAYS}
                        THEN (SELECT d FROM mx) + CAST(sort_days AS INTEGER) END, '%B %Y')
            AS "Estimated to 70% Pop 2 Doses"
   FROM det)
@@ -644,7 +645,7 @@ def weighted_units(spark: SparkSession, d: str) -> DataFrame:
 
 @query("goal_projection", W(NATION_SQL, TARGET_SQL_BODY) + """
 SELECT LongName, sort_days,
-       CASE WHEN abs(sort_days) <= 100000 THEN (SELECT d FROM mx) + CAST(sort_days AS INTEGER) END
+       CASE WHEN abs(sort_days) <= {MAXOFF} THEN (SELECT d FROM mx) + CAST(sort_days AS INTEGER) END
          AS target_date
 FROM det""")
 def goal_projection(spark: SparkSession, d: str) -> DataFrame:
@@ -854,7 +855,7 @@ j AS (
 k AS (
   SELECT *, round_even(((Census2019_18PlusPop_2 - courses) / NULLIF(cd, 0)) * 7, 0) AS days FROM j),
 p AS (
-  SELECT *, CASE WHEN abs(days) <= 100000 THEN (SELECT d FROM mx) + CAST(days AS INTEGER) END AS ad
+  SELECT *, CASE WHEN abs(days) <= {MAX_OFFSET_DAYS} THEN (SELECT d FROM mx) + CAST(days AS INTEGER) END AS ad
   FROM k)
 SELECT LongName AS "State",
        CAST(round_even((CAST({D2} + {J} AS DOUBLE) / NULLIF(Census2019, 0)) * 100000, 0) AS BIGINT)

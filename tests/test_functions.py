@@ -1,0 +1,79 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from cumulus import constants as K
+from cumulus.functions import (add_days, first_match, lateness_label, month_label,
+                               not_in_keep_null, parse_thousands, per_capita,
+                               round_half_even, str_trim, thousands)
+from cumulus.functions.dates import lateness_edges
+
+
+def one(spark, col):
+    return spark.range(1).select(col.alias("v")).first()["v"]
+
+
+def test_round_half_even_whole(spark):
+    vals = [one(spark, round_half_even(F.lit(v))) for v in (0.5, 1.5, 2.5, -2.5, 2.6)]
+    assert vals == [0.0, 2.0, 2.0, -2.0, 3.0]
+
+
+def test_round_half_even_digits_uses_decimal(spark):
+    assert one(spark, round_half_even(F.lit("0.25").cast("decimal(10,2)"), 1)) == 0.2
+    assert one(spark, round_half_even(F.lit("0.35").cast("decimal(10,2)"), 1)) == 0.4
+    assert one(spark, round_half_even(F.lit(54.45), 1)) == 54.4
+
+
+def test_per_capita_zero_population_is_null(spark):
+    assert one(spark, per_capita(F.lit(5), F.lit(0))) is None
+    assert one(spark, per_capita(F.lit(1), F.lit(4), 100)) == 25.0
+
+
+def test_thousands_and_parse_roundtrip(spark):
+    assert one(spark, thousands(F.lit(3605561))) == "3,605,561"
+    assert one(spark, thousands(F.lit(-5219))) == "-5,219"
+    assert one(spark, parse_thousands(F.lit("  5,219"))) == 5219
+    assert one(spark, parse_thousands(F.lit("n/a"))) is None
+
+
+def test_str_trim_unicode_whitespace(spark):
+    assert one(spark, str_trim(F.lit("  \tMA 　\n"))) == "MA"
+    assert one(spark, str_trim(F.lit("a b"))) == "a b"
+
+
+def test_first_match_null_on_miss(spark):
+    p = K.BAND_LABEL_PATTERN
+    assert one(spark, first_match(F.lit("Ages_12-15_yrs"), p)) == "12-15"
+    assert one(spark, first_match(F.lit("Ages_75+_yrs"), p)) == "75+"
+    assert one(spark, first_match(F.lit("Ages_18_24_yrs"), p)) is None
+
+
+def test_lateness_edges_are_the_published_dates(spark):
+    edges = [one(spark, e) for e in lateness_edges(K.GOAL_DATE)]
+    assert [e.isoformat() for e in edges] == [
+        "2021-05-31", "2021-06-30", "2021-07-31", "2021-08-31", "2021-09-30",
+        "2021-10-31", "2021-11-30", "2022-05-31"]
+
+
+@pytest.mark.parametrize("d,label", [
+    ("2021-05-31", "Ahead of schedule"), ("2021-06-01", "Less than 1 month behind"),
+    ("2021-06-30", "1-2 months behind"), ("2021-07-31", "2-3 months behind"),
+    ("2021-11-30", "6 months - 1 year behind"), ("2022-05-30", "6 months - 1 year behind"),
+    ("2022-05-31", None), ("2022-06-01", "1 year+")])
+def test_lateness_arms(spark, d, label):
+    assert one(spark, lateness_label(F.lit(d).cast("date"))) == label
+
+
+def test_add_days_and_month_label(spark):
+    as_of = F.lit(dt.date(2021, 7, 21))
+    assert one(spark, month_label(add_days(as_of, F.lit(10.5)))) == "July 2021"
+    assert one(spark, add_days(as_of, F.lit(11.5))) == dt.date(2021, 8, 2)
+    assert one(spark, add_days(as_of, F.lit(None).cast("double"))) is None
+    assert one(spark, add_days(as_of, F.lit(1e12))) is None
+
+
+def test_not_in_keeps_null(spark):
+    df = spark.createDataFrame([("US",), (None,), ("MA",)], "c string")
+    kept = df.filter(not_in_keep_null("c", K.EXCLUDED_CODES)).collect()
+    assert sorted((r.c or "") for r in kept) == ["", "MA"]
