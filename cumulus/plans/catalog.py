@@ -172,7 +172,7 @@ TARGET_SQL = W(NATION_SQL, TARGET_SQL_BODY) + "SELECT * FROM tot UNION ALL SELEC
 
 
 def _nation(spark, d):
-    hist = S.nation_snapshots(spark, d)
+    hist = S.nation_history(spark, d)
     return hist, S.latest_snapshot(hist), S.nation_dim(spark, d)
 
 
@@ -273,7 +273,7 @@ SELECT Date, Location,
        CASE WHEN LongName = 'NATION_1' THEN 'NATION ONE' ELSE LongName END AS LongName
 FROM snap""")
 def canonical_name(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_snapshots(spark, d)
+    hist = S.nation_history(spark, d)
     return hist.select("Date", "Location",
                        canonical_value("LongName", S.CANONICAL_NAMES).alias("LongName"))
 
@@ -334,7 +334,7 @@ def total_row_q(spark: SparkSession, d: str) -> DataFrame:
 @query("filter_not_in", W(NATION_SQL) + f"""
 SELECT Date, Location, {D1} FROM snap WHERE {NOT_EXCL_CODES}""")
 def filter_not_in(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_snapshots(spark, d)
+    hist = S.nation_history(spark, d)
     return hist.filter(not_in_keep_null("Location", S.EXCLUDED_CODES)).select("Date", "Location", D1)
 
 
@@ -347,7 +347,7 @@ def filter_in(spark: SparkSession, d: str) -> DataFrame:
 
 @query("filter_eq", W(NATION_SQL) + f"SELECT Date, {D1}, {D2} FROM snap WHERE Location = 'US'")
 def filter_eq(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_snapshots(spark, d)
+    hist = S.nation_history(spark, d)
     return hist.filter(F.col("Location") == S.PARENT_CODE).select("Date", D1, D2)
 
 
@@ -382,7 +382,7 @@ def filter_notnull(spark: SparkSession, d: str) -> DataFrame:
 SELECT Date, Location, {D1} FROM snap
 WHERE Date IN ((SELECT max(Date) FROM snap), (SELECT max(Date) FROM snap) - 7)""")
 def two_snapshots_q(spark: SparkSession, d: str) -> DataFrame:
-    return two_snapshots(S.nation_snapshots(spark, d), "Date", 7).select("Date", "Location", D1)
+    return two_snapshots(S.nation_history(spark, d), "Date", 7).select("Date", "Location", D1)
 
 
 @query("newer_than_max", W(FEED_SQL) + """
@@ -407,7 +407,7 @@ def join_dim_q(spark: SparkSession, d: str) -> DataFrame:
 @query("join_as_filter", W(NATION_SQL) + f"""
 SELECT s.Date, s.Location, s.{D2} FROM snap s JOIN dim ON s.Location = dim.postal_code""")
 def join_as_filter(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_snapshots(spark, d)
+    hist = S.nation_history(spark, d)
     dim = S.nation_dim(spark, d)
     return join_dim(hist, dim, "Location", "postal_code").select("Date", "Location", D2)
 
@@ -427,14 +427,14 @@ def left_join_dim(spark: SparkSession, d: str) -> DataFrame:
 @query("delta_total", W(NATION_SQL, TARGET_SQL_BODY) + """
 SELECT CAST(sum(d1d) AS BIGINT) AS first_doses_last_week FROM dl""")
 def delta_total(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_snapshots(spark, d)
+    hist = S.nation_history(spark, d)
     dl = snapshot_delta(hist, ["Location"], [D1], where=not_in_keep_null("LongName", S.EXCLUDED_NAMES))
     return dl.agg(F.sum(D1 + "_delta").alias("first_doses_last_week"))
 
 
 @query("distinct_dates", W(NATION_SQL) + "SELECT DISTINCT Date FROM snap")
 def distinct_dates_q(spark: SparkSession, d: str) -> DataFrame:
-    return distinct_dates(S.nation_snapshots(spark, d), "Date")
+    return distinct_dates(S.nation_history(spark, d), "Date")
 
 
 BAND_DIFF_SQL = f"""
@@ -496,7 +496,7 @@ SELECT s.Date, s.Location, s.{D1} - o.{D1} AS {D1}_delta,
        s.Doses_Administered - o.Doses_Administered AS Doses_Administered_delta
 FROM snap s LEFT JOIN snap o ON s.Location = o.Location AND s.Date = o.Date + 7""")
 def period_delta_q(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_snapshots(spark, d).select("Date", "Location", D1, "Doses_Administered")
+    hist = S.nation_history(spark, d).select("Date", "Location", D1, "Doses_Administered")
     return period_delta(hist, ["Location"], [D1, "Doses_Administered"]).select(
         "Date", "Location", D1 + "_delta", "Doses_Administered_delta")
 
@@ -506,7 +506,7 @@ SELECT Date, Location, {D1} - lag({D1}) OVER (PARTITION BY Location ORDER BY Dat
        {D2} - lag({D2}) OVER (PARTITION BY Location ORDER BY Date) AS {D2}_diff
 FROM snap""")
 def day_delta(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_snapshots(spark, d).select("Date", "Location", D1, D2)
+    hist = S.nation_history(spark, d).select("Date", "Location", D1, D2)
     return row_delta(hist, ["Location"], "Date", [D1, D2]).select(
         "Date", "Location", D1 + "_diff", D2 + "_diff")
 
@@ -524,7 +524,7 @@ SELECT Date, Location, d1,
        CASE WHEN count(d1) OVER w = 7 THEN CAST(sum(d1) OVER w AS DOUBLE) / 7 END AS d1_avg
 FROM dd WINDOW w AS (PARTITION BY Location ORDER BY Date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
 def trailing_mean_q(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_snapshots(spark, d).select("Date", "Location", F.col(D1).alias("v"))
+    hist = S.nation_history(spark, d).select("Date", "Location", F.col(D1).alias("v"))
     dd = row_delta(hist, ["Location"], "Date", ["v"]).withColumnRenamed("v_diff", "d1")
     return trailing_mean(dd, ["Location"], "Date", ["d1"], 7).select("Date", "Location", "d1", "d1_avg")
 
@@ -563,7 +563,7 @@ def sort_helper(spark: SparkSession, d: str) -> DataFrame:
 SELECT Date, LongName, {D1} FROM snap
 WHERE Date IN ((SELECT max(Date) FROM snap), (SELECT max(Date) FROM snap) - 7)""")
 def sort_mixed(spark: SparkSession, d: str) -> DataFrame:
-    two = two_snapshots(S.nation_snapshots(spark, d)).select("Date", "LongName", D1)
+    two = two_snapshots(S.nation_history(spark, d)).select("Date", "LongName", D1)
     return sort_by(two, ("Date", "desc"), "LongName")
 
 
@@ -637,7 +637,7 @@ SELECT Date, Location, CAST(Distributed_Moderna AS DOUBLE) / 2 + CAST(Distribute
        + Distributed_Janssen AS courses
 FROM snap""")
 def weighted_units(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_snapshots(spark, d)
+    hist = S.nation_history(spark, d)
     return hist.select("Date", "Location", weighted_sum([("Distributed_Moderna", 2),
                                                          ("Distributed_Pfizer", 2),
                                                          ("Distributed_Janssen", 1)]).alias("courses"))
@@ -727,7 +727,7 @@ SELECT n.LongName,
 FROM n LEFT JOIN o ON n.Location = o.Location
 WHERE n.Doses_Administered - o.Doses_Administered <> 0""")
 def pct_change_q(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_snapshots(spark, d).filter(not_in_keep_null("LongName", S.EXCLUDED_NAMES))
+    hist = S.nation_history(spark, d).filter(not_in_keep_null("LongName", S.EXCLUDED_NAMES))
     hist = hist.select("Date", "Location", "LongName", "Doses_Administered", D1)
     pc = pct_change(hist, ["Location"], ["Doses_Administered", D1])
     pc = pc.filter(nonzero(F.col("Doses_Administered_pct_chg")))
@@ -804,7 +804,7 @@ SELECT Date, Location,
        Administered_Dose1_Pop_Pct, Distributed_Moderna, Distributed_Pfizer, Distributed_Janssen
 FROM snap""")
 def report_history(spark: SparkSession, d: str) -> DataFrame:
-    return history_roundtrip(spark, S.nation_snapshots(spark, d))
+    return history_roundtrip(spark, S.nation_history(spark, d))
 
 
 def history_roundtrip(spark: SparkSession, hist: DataFrame) -> DataFrame:
@@ -813,7 +813,7 @@ def history_roundtrip(spark: SparkSession, hist: DataFrame) -> DataFrame:
     records = (hist.filter(F.col("Date") == mx)
                    .withColumn("Date", F.date_format("Date", "yyyy-MM-dd")))
     path = scratch_path(spark, "report_history")
-    write_json_envelopes(records, path, "vaccination_data", F.xxhash64("Location") % 16)
+    write_json_envelopes(records, path, "vaccination_data")
     landed = read_json_envelope(spark, path, SNAPSHOT_RECORD, "vaccination_data")
     return R.report_history(hist.filter(F.col("Date") < mx), landed, S.CANONICAL_NAMES)
 
@@ -879,7 +879,7 @@ r AS (SELECT Date,
       FROM dd WINDOW w AS (ORDER BY Date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
 SELECT Date, fa AS "First Dose Daily Avg", sa AS "Second Dose Daily Avg" FROM r WHERE fa IS NOT NULL""")
 def report_rolling(spark: SparkSession, d: str) -> DataFrame:
-    return R.report_rolling(S.nation_snapshots(spark, d), national_code=S.PARENT_CODE)
+    return R.report_rolling(S.nation_history(spark, d), national_code=S.PARENT_CODE)
 
 
 @query("report_county", W(COUNTY_SQL) + f"""

@@ -78,18 +78,26 @@ def nation_daily(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                          "o_orderpriority",
                                          F.to_date("o_orderdate").alias("Date"))
-    c = table(spark, d, "customer").select("c_custkey", _code("c_nationkey").alias("Location"))
-    j = (o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
-          .join(c, o.o_custkey == c.c_custkey))
     done = F.col("o_orderstatus") == "F"
+    # Orders are summed per (customer, day) before they meet ``customer``: a
+    # customer with a third of all orders is one row per day at the join.
+    per_cust_day = (o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
+                     .groupBy("o_custkey", "Date").agg(
+                         F.sum("qty").alias("qty"), F.sum("items").alias("items"),
+                         F.count("*").alias("n_orders"),
+                         F.sum(F.when(done, 1).otherwise(0)).alias("n_done"),
+                         F.sum(F.when((F.col("o_orderpriority") == "1-URGENT") & ~done, 1)
+                               .otherwise(0)).alias("n_urgent"),
+                         *[F.sum(f"items_{f}").alias(f"items_{f}") for f in ("A", "R", "N")]))
+    c = table(spark, d, "customer").select("c_custkey", _code("c_nationkey").alias("Location"))
+    j = per_cust_day.join(c, per_cust_day.o_custkey == c.c_custkey)
     agg = j.rollup("Date", "Location").agg(
         F.grouping("Date").alias("__gd"), F.grouping("Location").alias("__gl"),
         F.sum("qty").alias("Doses_Distributed"),
         F.sum("items").alias("Doses_Administered"),
-        F.count("*").alias("Administered_Dose1_Recip"),
-        F.sum(F.when(done, 1).otherwise(0)).alias("Administered_Dose2_Recip"),
-        F.sum(F.when((F.col("o_orderpriority") == "1-URGENT") & ~done, 1).otherwise(0))
-        .alias("Administered_Janssen"),
+        F.sum("n_orders").alias("Administered_Dose1_Recip"),
+        F.sum("n_done").alias("Administered_Dose2_Recip"),
+        F.sum("n_urgent").alias("Administered_Janssen"),
         F.sum("items_A").alias("Distributed_Moderna"),
         F.sum("items_R").alias("Distributed_Pfizer"),
         F.sum("items_N").alias("Distributed_Janssen"))
@@ -133,6 +141,19 @@ def nation_snapshots(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(*SNAPSHOT_COLS)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut lineage: reliable checkpoint into the session's shared checkpoint
+    folder (``spark.checkpoint.dir``), as a stored table would be."""
+    from ..session import shared_dir
+    shared_dir(df.sparkSession)          # registers a folder only when none is set
+    return df.checkpoint(eager=True)
+
+
+def nation_history(spark: SparkSession, d: str) -> DataFrame:
+    """The jurisdiction history, derived once and stored (lineage cut)."""
+    return stored(nation_snapshots(spark, d))
+
+
 def latest_snapshot(history: DataFrame) -> DataFrame:
     return history.filter(F.col("Date") == history.select(F.max("Date")).scalar())
 

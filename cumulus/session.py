@@ -52,11 +52,13 @@ def shared_dir(spark: SparkSession) -> str:
     tests) is a private folder created and registered as the checkpoint dir.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
+        base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="cumulus-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 

@@ -62,11 +62,16 @@ def extract_json(col, schema: T.StructType) -> Column:
     return F.from_json(col if isinstance(col, Column) else F.col(col), schema)
 
 
-def write_json_envelopes(df: DataFrame, path: str, field: str, batch_col: Column,
-                         head_field: str = "meta", record_cols=None) -> None:
+def write_json_envelopes(df: DataFrame, path: str, field: str, batch_col: Column | None = None,
+                         head_field: str = "meta", record_cols=None,
+                         batch_rows: int = 1000) -> None:
     """Write ``df`` as JSON-lines documents {meta, field: [records]}, one
-    document per value of ``batch_col`` (which must bound the batch size).
-    NULL fields are left out of a record, as sparse feeds do."""
+    document per value of ``batch_col``, which must bound the batch size
+    (e.g. ``floor(unique_id / 1000)``).  By default a document holds at most
+    ``batch_rows`` consecutive rows of one partition, so no group grows with
+    the data.  NULL fields are left out of a record, as sparse feeds do."""
+    if batch_col is None:
+        batch_col = F.floor(F.monotonically_increasing_id() / F.lit(batch_rows))
     cols = list(record_cols) if record_cols is not None else df.columns
     recs = F.struct(*[F.col(c) for c in cols])
     (df.groupBy(batch_col.alias("__batch"))
