@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from cumulus.session import build_session, shared_dir  # noqa: E402
 from cumulus.operators.joins import scalar_value  # noqa: E402
-from cumulus.operators.snapshots import latest_date  # noqa: E402
+from cumulus.operators.snapshots import resolve_latest  # noqa: E402
 from cumulus.plans import catalog as C, reports as R, standins as S  # noqa: E402
 
 
@@ -53,8 +53,9 @@ def main() -> None:
 
     hist = timed("history_build", lambda: S.nation_snapshots(spark, sf_dir).checkpoint())
     dim = timed("dimension_build", lambda: S.nation_dim(spark, sf_dir).checkpoint())
-    snap = hist.filter(F.col("Date") == latest_date(hist))
-    as_of = latest_date(hist)
+    latest = timed("latest_date", lambda: resolve_latest(hist))
+    snap = hist.filter(F.col("Date") == F.lit(latest))
+    as_of = F.lit(latest)
     nat_pop = scalar_value(snap, "Location", S.PARENT_CODE, "Census2019")
 
     timed("report_state_table", lambda: run(R.report_state_table(
@@ -62,9 +63,9 @@ def main() -> None:
     timed("report_map", lambda: run(R.report_map(snap, dim)))
     timed("report_target", lambda: run(R.report_target(
         hist, snap, dim, as_of, excluded_names=S.EXCLUDED_NAMES,
-        national_code=S.PARENT_CODE, national_population=nat_pop)))
+        national_code=S.PARENT_CODE, national_population=nat_pop, latest=latest)))
     timed("report_supply", lambda: run(R.report_supply(
-        hist, dim, as_of, goal=as_of, excluded_names=S.EXCLUDED_NAMES_SUPPLY)))
+        hist, dim, as_of, goal=as_of, excluded_names=S.EXCLUDED_NAMES_SUPPLY, latest=latest)))
     timed("report_rolling", lambda: run(R.report_rolling(hist, S.PARENT_CODE)))
     timed("report_history", lambda: run(C.history_roundtrip(spark, hist)))
     for name in ("report_county", "report_age_share",

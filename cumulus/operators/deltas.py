@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .snapshots import latest_date
+from .snapshots import latest_or
 
 
 def _key_match(left: DataFrame, right: DataFrame, keys) -> "F.Column":
@@ -22,16 +22,17 @@ def _key_match(left: DataFrame, right: DataFrame, keys) -> "F.Column":
 
 def snapshot_delta(df: DataFrame, keys, value_cols, date_col: str = "Date",
                    days: int = 7, suffix: str = "_delta",
-                   keep_cols=None, where=None) -> DataFrame:
+                   keep_cols=None, where=None, latest=None) -> DataFrame:
     """Rows of the latest snapshot with ``value - value(days earlier)``.
 
     Two pruned scans (latest and latest - days) joined on the keys.  A key
     missing on the older date gets a NULL delta; if the older snapshot is
     absent altogether every delta is NULL.  The dates are chosen on the whole
-    input; ``where`` (a row predicate) is applied after that choice.
+    input (or given as ``latest``); ``where`` (a row predicate) is applied
+    after that choice.
     """
     keys = list(keys)
-    mx = latest_date(df, date_col)
+    mx = latest_or(df, date_col, latest)
     newer = df.filter(F.col(date_col) == mx)
     older = df.filter(F.col(date_col) == F.date_sub(mx, days))
     if where is not None:
@@ -75,9 +76,9 @@ def row_delta(df: DataFrame, keys, order_col: str, value_cols,
 
 
 def pct_change(df: DataFrame, keys, value_cols, date_col: str = "Date",
-               days: int = 7, suffix: str = "_pct_chg") -> DataFrame:
+               days: int = 7, suffix: str = "_pct_chg", latest=None) -> DataFrame:
     """(value - old) / old over ``days`` on the latest snapshot; NULL on 0 old."""
-    d = snapshot_delta(df, keys, value_cols, date_col, days, suffix="__d")
+    d = snapshot_delta(df, keys, value_cols, date_col, days, suffix="__d", latest=latest)
     return d.select(*df.columns,
                     *[F.try_divide(F.col(v + "__d").cast("double"),
                                    F.col(v) - F.col(v + "__d")).alias(v + suffix)

@@ -10,13 +10,32 @@ def latest_date(df: DataFrame, date_col: str = "Date") -> Column:
     return df.select(F.max(date_col)).scalar()
 
 
-def two_snapshots(df: DataFrame, date_col: str = "Date", days: int = 7) -> DataFrame:
+def resolve_latest(df: DataFrame, date_col: str = "Date"):
+    """max(date) as a Python value: one aggregate job returning one value.
+
+    Used once per report so that every later snapshot filter is a literal
+    partition filter (static pruning) instead of a nested subquery.
+    """
+    return df.agg(F.max(date_col)).first()[0]
+
+
+def latest_or(df: DataFrame, date_col: str, latest) -> Column:
+    """``latest`` as a Column (literal date or given Column); the lazy scalar
+    subquery over ``df`` when None."""
+    if latest is None:
+        return latest_date(df, date_col)
+    return latest if isinstance(latest, Column) else F.lit(latest)
+
+
+def two_snapshots(df: DataFrame, date_col: str = "Date", days: int = 7,
+                  latest=None) -> DataFrame:
     """Rows dated max(date) or max(date) - days.
 
-    One scalar subquery; on a history partitioned by date the predicate is a
-    partition filter, so only the two snapshot folders are read.
+    One scalar subquery (or the given latest date); on a history partitioned
+    by date the predicate is a partition filter, so only the two snapshot
+    folders are read.
     """
-    mx = latest_date(df, date_col)
+    mx = latest_or(df, date_col, latest)
     return df.filter(F.datediff(mx, F.col(date_col)).isin(0, days))
 
 

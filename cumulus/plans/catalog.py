@@ -24,7 +24,8 @@ from ..operators.reshape import (canonical_value, cast_by_pattern, regex_rename,
                                  rename_columns, snake_names, stamp_date)
 from ..operators.rolling import trailing_mean
 from ..operators.shares import group_share, group_total, share_pivot
-from ..operators.snapshots import distinct_dates, latest_date, newer_than, two_snapshots
+from ..operators.snapshots import (distinct_dates, latest_date, newer_than, resolve_latest,
+                                   two_snapshots)
 from ..operators.sorting import sort_by
 from ..operators.totals import total_row, union_by_name, with_total_row
 from ..schemas import COUNTY_RECORD, SNAPSHOT, SNAPSHOT_RECORD
@@ -67,7 +68,8 @@ def q_list(vals) -> str:
 
 
 def _as_of(history: DataFrame):
-    return latest_date(history)
+    """Run date of the stand-in reports: the data's latest date, resolved once."""
+    return F.lit(resolve_latest(history))
 
 
 # ============================ sources and sinks ===============================

@@ -17,7 +17,7 @@ from ..operators.joins import join_dim, scalar_value
 from ..operators.reshape import canonical_value, rename_columns
 from ..operators.rolling import trailing_mean
 from ..operators.shares import share_pivot
-from ..operators.snapshots import latest_date, newer_than
+from ..operators.snapshots import latest_date, newer_than, resolve_latest
 from ..operators.totals import total_row, union_by_name, with_total_row
 from ..sources.history import append_by_date
 
@@ -28,6 +28,12 @@ def _lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
+def _latest(history: DataFrame, latest):
+    """The history's latest date, resolved once per report (one tiny job) so
+    every snapshot filter below is a literal partition filter."""
+    return resolve_latest(history) if latest is None else latest
+
+
 def normalise_snapshot(records: DataFrame, names=K.CANONICAL_NAMES) -> DataFrame:
     """Feed records → snapshot rows: text date → date, canonical names."""
     return (records.withColumn("Date", F.to_date("Date"))
@@ -94,10 +100,11 @@ def target_detail(history: DataFrame, dim: DataFrame, as_of,
                   excluded_names=K.EXCLUDED_NAMES, share: float = K.TARGET_SHARE,
                   period_days: int = K.PERIOD_DAYS,
                   lag_days: int = K.SECOND_DOSE_LAG_DAYS,
-                  dim_key: str = "postal_code") -> DataFrame:
+                  dim_key: str = "postal_code", latest=None) -> DataFrame:
     """Numeric rows of the target projection, one per state with activity."""
     d = snapshot_delta(history, ["Location"], ["Doses_Administered", D1],
-                       days=period_days, where=not_in_keep_null("LongName", excluded_names))
+                       days=period_days, where=not_in_keep_null("LongName", excluded_names),
+                       latest=_latest(history, latest))
     d = d.filter(nonzero("Doses_Administered_delta"))
     j = join_dim(d, dim, "Location", dim_key)
     days = F.bround(safe_div(F.lit(share) * F.col("Census2019") - F.col(D1),
@@ -116,18 +123,23 @@ def report_target(history: DataFrame, snapshot: DataFrame, dim: DataFrame, as_of
                   lag_days: int = K.SECOND_DOSE_LAG_DAYS,
                   national_code: str = K.NATIONAL_CODE,
                   national_population=K.NATIONAL_POPULATION,
-                  total_label: str = K.TOTAL_LABEL, dim_key: str = "postal_code") -> DataFrame:
+                  total_label: str = K.TOTAL_LABEL, dim_key: str = "postal_code",
+                  latest=None) -> DataFrame:
     """Projected month for reaching ``share`` fully vaccinated, with a total row.
 
     Total row: its first-dose pace sums the weekly deltas of every
     non-excluded entity (no dimension join), its doses figure sums the detail
-    rows, its rates use the national row.
+    rows, its rates use the national row.  ``snapshot`` may be None (the
+    history's latest date is used).
     """
+    latest = _latest(history, latest)
+    if snapshot is None:
+        snapshot = history.filter(F.col("Date") == _lit(latest))
     detail = target_detail(history, dim, as_of, excluded_names, share, period_days,
-                           lag_days, dim_key)
+                           lag_days, dim_key, latest)
     width = detail.select(F.max(F.length(thousands("doses_last_week")))).scalar()
     pace = (snapshot_delta(history, ["Location"], [D1], days=period_days,
-                           where=not_in_keep_null("LongName", excluded_names))
+                           where=not_in_keep_null("LongName", excluded_names), latest=latest)
             .agg(F.sum(D1 + "_delta")).scalar())
     nat = lambda c: scalar_value(snapshot, "Location", national_code, c)
     pop = _lit(national_population)
@@ -149,13 +161,14 @@ def report_target(history: DataFrame, snapshot: DataFrame, dim: DataFrame, as_of
 # R5 -------------------------------------------------------------------------
 def report_supply(history: DataFrame, dim: DataFrame, as_of, goal=K.GOAL_DATE,
                   excluded_names=K.EXCLUDED_NAMES_SUPPLY, period_days: int = K.PERIOD_DAYS,
-                  dim_key: str = "postal_code") -> DataFrame:
+                  dim_key: str = "postal_code", latest=None) -> DataFrame:
     """Projected date of full vaccine availability and how late that is."""
+    latest = _latest(history, latest)
     h = history.withColumn("courses", weighted_sum([("Distributed_Moderna", 2),
                                                     ("Distributed_Pfizer", 2),
                                                     ("Distributed_Janssen", 1)]))
     d = snapshot_delta(h, ["Location"], ["courses"], days=period_days,
-                       where=not_in_keep_null("LongName", excluded_names))
+                       where=not_in_keep_null("LongName", excluded_names), latest=latest)
     d = d.filter(nonzero("courses_delta"))
     j = join_dim(d, dim, "Location", dim_key)
     days = safe_div(F.col("Census2019_18PlusPop_2") - F.col("courses"),

@@ -155,7 +155,8 @@ def nation_history(spark: SparkSession, d: str) -> DataFrame:
 
 
 def latest_snapshot(history: DataFrame) -> DataFrame:
-    return history.filter(F.col("Date") == history.select(F.max("Date")).scalar())
+    from ..operators.snapshots import resolve_latest
+    return history.filter(F.col("Date") == F.lit(resolve_latest(history)))
 
 
 def nation_dim(spark: SparkSession, d: str) -> DataFrame:
