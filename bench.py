@@ -68,7 +68,9 @@ def main() -> None:
         hist, dim, as_of, goal=as_of, excluded_names=S.EXCLUDED_NAMES_SUPPLY, latest=latest)))
     timed("report_rolling", lambda: run(R.report_rolling(hist, S.PARENT_CODE)))
     timed("report_history", lambda: run(C.history_roundtrip(spark, hist)))
-    for name in ("report_county", "report_age_share",
+    feed = timed("feed_build", lambda: C._feed(spark, sf_dir))
+    timed("report_age_share", lambda: run(C.age_share_from_feed(feed)))
+    for name in ("report_county",
                  "lineitem_weekly_delta", "lineitem_trailing_mean", "lineitem_flag_shares"):
         timed(name, lambda n=name: run(C.QUERIES[n](spark, sf_dir)))
 

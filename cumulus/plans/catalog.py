@@ -449,8 +449,13 @@ fd AS (
 """
 
 
-def _band_diff(spark, d):
-    feed = S.band_feed(spark, d).filter(is_in("demographic_category", BANDS))
+def _feed(spark, d):
+    """The category feed, derived once and stored (lineage cut)."""
+    return S.stored(S.band_feed(spark, d))
+
+
+def _band_diff(spark, d, feed=None):
+    feed = (feed if feed is not None else _feed(spark, d)).filter(is_in("demographic_category", BANDS))
     return row_delta(feed, ["demographic_category"], "date", ["series_complete_yes"],
                      suffix="_diff").filter(F.col("series_complete_yes_diff").isNotNull()) \
         .select("date", "demographic_category", F.col("series_complete_yes_diff").alias("diff"))
@@ -581,8 +586,9 @@ HIST_CATS = [c for c in BANDS if c != BANDS[1]]
 SELECT *, CAST(NULL AS DOUBLE) AS "{_label(BANDS[1])}" FROM hist
 UNION ALL BY NAME SELECT * FROM fresh""")
 def union_by_name_q(spark: SparkSession, d: str) -> DataFrame:
-    diff = _band_diff(spark, d)
-    cut = F.date_sub(latest_date(S.band_feed(spark, d), "date"), 7)
+    feed = _feed(spark, d)
+    diff = _band_diff(spark, d, feed)
+    cut = F.date_sub(F.lit(resolve_latest(feed, "date")), 7)
     hist = share_pivot(diff.filter(F.col("date") <= cut), "date", "demographic_category",
                        "diff", HIST_CATS, 100.0, K.BAND_LABEL_PATTERN, id_alias="Date")
     fresh = share_pivot(diff.filter(F.col("date") > cut), "date", "demographic_category",
@@ -907,9 +913,14 @@ def report_county(spark: SparkSession, d: str) -> DataFrame:
 SELECT *, CAST(NULL AS DOUBLE) AS "{_label(BANDS[1])}" FROM hist
 UNION ALL BY NAME SELECT * FROM fresh""")
 def report_age_share(spark: SparkSession, d: str) -> DataFrame:
-    feed = S.band_feed(spark, d)
-    diff = _band_diff(spark, d)
-    cut = F.date_sub(latest_date(feed, "date"), 7)
+    return age_share_from_feed(_feed(spark, d))
+
+
+def age_share_from_feed(feed: DataFrame) -> DataFrame:
+    """Share history up to a week before the feed's end (six bands, as the
+    published history lacks one), then the new days appended by the report."""
+    diff = _band_diff(None, None, feed)
+    cut = F.lit(resolve_latest(feed, "date")) - F.expr("INTERVAL 7 DAYS")
     hist = share_pivot(diff.filter(F.col("date") <= cut), "date", "demographic_category",
                        "diff", HIST_CATS, 100.0, K.BAND_LABEL_PATTERN, id_alias="Date")
     return R.report_age_share(feed, hist, categories=BANDS)
