@@ -240,7 +240,8 @@ def rename_display(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _band_sums_sql(src: str, value: str, cats, label=lambda c: c) -> str:
-    return ", ".join(f"sum(CASE WHEN demographic_category = '{c}' THEN {value} END) AS \"{label(c)}\""
+    return ", ".join(f"CAST(sum(CASE WHEN demographic_category = '{c}' THEN {value} END) AS BIGINT)"
+                     f" AS \"{label(c)}\""
                      for c in cats)
 
 

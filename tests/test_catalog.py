@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as E
 
+from .test_plans import check_plan_shape
+
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -39,8 +41,9 @@ def test_entry_smoke(spark):
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
-def test_query_matches_oracle(spark, con, name):
+def test_query_plan_and_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
+    check_plan_shape(name, df)
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
