@@ -37,6 +37,9 @@ def main() -> None:
     spark = build_session("cumulus-bench", master=f"local[{cpus}]",
                           shuffle_partitions=max(8, 2 * cpus),
                           extra={"spark.driver.memory": "8g",
+                                 **({"spark.eventLog.enabled": "true",
+                                     "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+                                    if os.environ.get("BENCH_EVENT_LOG") else {}),
                                  "spark.sql.files.maxPartitionBytes": "64m"})
     shared_dir(spark)
     times: dict[str, float] = {}

@@ -178,8 +178,8 @@ def _nation(spark, d):
     return hist, S.latest_snapshot(hist), S.nation_dim(spark, d)
 
 
-def _target(spark, d):
-    hist, snap, dim = _nation(spark, d)
+def _target(spark, d, parts=None):
+    hist, snap, dim = parts or _nation(spark, d)
     return R.report_target(hist, snap, dim, _as_of(hist), excluded_names=S.EXCLUDED_NAMES,
                            national_code=S.PARENT_CODE,
                            national_population=scalar_value(snap, "Location", S.PARENT_CODE,
@@ -188,9 +188,11 @@ def _target(spark, d):
 
 @query("csv_sink_roundtrip", TARGET_SQL)
 def csv_sink_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    rep = _target(spark, d)
-    path = scratch_path(spark, "csv_sink_roundtrip")
-    write_csv(rep, path, single_file=True)
+    parts = _nation(spark, d)
+    rep = _target(spark, d, parts)
+    run_date = resolve_latest(parts[0])
+    path = write_csv(rep, scratch_path(spark, "csv_sink_roundtrip"), single_file=True,
+                     run_date=run_date)
     schema = T.StructType([T.StructField(c, T.StringType() if t == "string" else T.DoubleType())
                            for c, t in rep.dtypes])
     return read_csv_typed(spark, path, schema)

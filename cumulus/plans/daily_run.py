@@ -37,12 +37,14 @@ class DailyInputs:
     multi_line: bool = True                  # one document per file
     as_of: dt.date | None = None             # run date; default: today
     age_categories: tuple = K.AGE_CATEGORIES
+    dated_outputs: bool = False              # out_dir/<table>/run_date=YYYY-MM-DD/
 
 
 def run_daily(spark: SparkSession, inp: DailyInputs) -> dict:
     """Returns {table: "ok" | "rows appended: n" | error text}."""
     status: dict = {}
-    as_of = F.lit(inp.as_of or dt.date.today())
+    run_date = inp.as_of or dt.date.today()
+    as_of = F.lit(run_date)
 
     landed = read_json_envelope(spark, inp.snapshot_json, schemas.SNAPSHOT_RECORD,
                                 inp.snapshot_field, inp.head_field, inp.multi_line)
@@ -58,7 +60,8 @@ def run_daily(spark: SparkSession, inp: DailyInputs) -> dict:
 
     def publish(name, build):
         try:
-            write_csv(build(), f"{inp.out_dir}/{name}", single_file=True)
+            write_csv(build(), f"{inp.out_dir}/{name}", single_file=True,
+                      run_date=run_date if inp.dated_outputs else None)
             status[name] = "ok"
         except Exception as e:  # noqa: BLE001 — report and continue with the next table
             status[name] = f"{type(e).__name__}: {e}"

@@ -81,11 +81,20 @@ def write_json_envelopes(df: DataFrame, path: str, field: str, batch_col: Column
        .option("timestampFormat", TS_FORMAT).json(path))
 
 
+def dated_path(path: str, run_date) -> str:
+    """``path/run_date=YYYY-MM-DD``: one folder per run, older runs kept."""
+    return f"{path.rstrip('/')}/run_date={run_date.isoformat()}"
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False,
-              null_value: str = "NA") -> None:
-    """Header CSV, overwriting ``path``.  Leading/trailing blanks are kept
-    (padded display columns).  ``single_file`` is for bounded display
-    tables only; large outputs keep one file per task."""
+              null_value: str = "NA", run_date=None) -> str:
+    """Header CSV, overwriting ``path`` (or ``path/run_date=…`` when a run date
+    is given); returns the folder written.  Leading/trailing blanks are kept
+    (padded display columns).  ``single_file`` is for bounded display tables
+    only (the final, already-sorted stage runs as one task); large outputs keep
+    one file per task."""
+    if run_date is not None:
+        path = dated_path(path, run_date)
     out = df.coalesce(1) if single_file else df
     (out.write.mode("overwrite").option("header", True)
         .option("nullValue", null_value)
@@ -94,3 +103,4 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False,
         .option("timestampNTZFormat", TS_FORMAT)
         .option("timestampFormat", TS_FORMAT)
         .csv(path))
+    return path

@@ -35,8 +35,13 @@ def append_if_newer(history: DataFrame, feed: DataFrame, date_col: str = "Date",
     return union_by_name(history, fresh)
 
 
-def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read the partitioned history with its declared schema."""
+def read_history(spark: SparkSession, path: str, schema: T.StructType,
+                 fmt: str = "parquet") -> DataFrame:
+    """Read the history with its declared schema: the date-partitioned Parquet
+    table (default), or a history kept as one header CSV (``fmt="csv"``)."""
+    if fmt == "csv":
+        from .files import read_csv_typed
+        return read_csv_typed(spark, path, schema)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -60,3 +60,15 @@ def test_population_dimension_scan(spark):
     df = read_csv_typed(spark, REF, POPULATION)
     assert df.count() == 52
     assert df.filter(F.col("postal_code").isNull()).count() == 0
+
+
+def test_dated_sink_and_csv_history(spark, scratch):
+    import datetime as dt
+    from cumulus.sources.history import read_history
+    df = spark.createDataFrame([(dt.date(2021, 7, 21), "MA", 3)], "Date date, Location string, x long")
+    base = scratch("dated")
+    p1 = write_csv(df, base, single_file=True, run_date=dt.date(2021, 7, 21))
+    p2 = write_csv(df, base, single_file=True, run_date=dt.date(2021, 7, 22))
+    assert p1.endswith("run_date=2021-07-21") and p2 != p1
+    back = read_history(spark, p1, df.schema, fmt="csv")
+    assert back.collect() == df.collect()
