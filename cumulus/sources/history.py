@@ -10,22 +10,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import rows_at_most
 from ..operators.snapshots import newer_than
 from ..operators.totals import check_same_types, union_by_name
 from .files import require_rows
 
 
-def append_by_date(history: DataFrame, snapshot: DataFrame,
-                   date_col: str = "Date") -> DataFrame:
-    """history ∪ (snapshot rows whose date the history lacks).
+# A history holds one row per day in its date list; beyond this many days the
+# anti-join falls back to a shuffle join.
+MAX_BROADCAST_DAYS = 1_000_000
+
 
-    The anti-join side is the history's distinct dates (one row per day, after
-    partial aggregation), so the join never moves history rows.
+def _without_known_dates(snapshot: DataFrame, history: DataFrame, date_col: str) -> DataFrame:
+    """Snapshot rows whose date the history lacks.
+
+    The anti-join side is the history's distinct dates (one row per day,
+    partial aggregation first).  It is broadcast after a bounded size check,
+    so the snapshot — all of one date, the hottest key there is — is never
+    shuffled onto a single date partition.
     """
-    check_same_types(history, snapshot)
     dates = history.select(date_col).distinct()
-    fresh = snapshot.join(dates, on=date_col, how="left_anti")
-    return union_by_name(history, fresh)
+    if rows_at_most(dates, MAX_BROADCAST_DAYS):
+        dates = F.broadcast(dates)
+    return snapshot.join(dates, on=date_col, how="left_anti")
+
+
+def append_by_date(history: DataFrame, snapshot: DataFrame,
+                   date_col: str = "Date") -> DataFrame:
+    """history ∪ (snapshot rows whose date the history lacks)."""
+    check_same_types(history, snapshot)
+    return union_by_name(history, _without_known_dates(snapshot, history, date_col))
 
 
 def append_if_newer(history: DataFrame, feed: DataFrame, date_col: str = "Date",
@@ -53,11 +67,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def store_snapshot(spark: SparkSession, snapshot: DataFrame, path: str,
-                   schema: T.StructType, date_col: str = "Date") -> int:
+                   schema: T.StructType, date_col: str = "Date",
+                   max_records_per_file: int = 5_000_000) -> int:
     """Append ``snapshot`` to the history at ``path``; returns rows written.
 
     Fails fast on an empty snapshot or a schema clash; leaves the history
-    unchanged in both cases.
+    unchanged in both cases.  Every task writes its own rows into the date
+    folder (no repartition by date, which would put a whole snapshot — one
+    date — into one task); files are capped at ``max_records_per_file`` rows.
     """
     require_rows(snapshot, "snapshot")
     snapshot = snapshot.select(*[F.col(f.name).cast(f.dataType) if f.name not in snapshot.columns
@@ -65,13 +82,13 @@ def store_snapshot(spark: SparkSession, snapshot: DataFrame, path: str,
     if _exists(spark, path):
         hist = read_history(spark, path, schema)
         check_same_types(hist, snapshot)
-        fresh = snapshot.join(hist.select(date_col).distinct(), on=date_col, how="left_anti")
+        fresh = _without_known_dates(snapshot, hist, date_col)
     else:
         fresh = snapshot
     fresh = fresh.persist()
     n = fresh.count()
     if n:
-        (fresh.repartition(date_col).write.mode("overwrite")
+        (fresh.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
               .partitionBy(date_col).parquet(path))
     fresh.unpersist()
     return n
