@@ -1,0 +1,99 @@
+"""Hot keys and random panels, checked against brute force in pandas."""
+
+import datetime as dt
+
+import pandas as pd
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from cumulus.operators.deltas import period_delta, row_delta
+from cumulus.operators.reshape import cumulative_panel
+from cumulus.operators.rolling import trailing_mean
+from cumulus.operators.shares import group_share, share_pivot
+
+D0 = dt.date(2021, 1, 1)
+
+
+def hot_raw(spark, n=30000):
+    """Raw rows where key 'HOT' owns a third of all rows (and most days)."""
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+         .otherwise(F.concat(F.lit("k"), (F.col("id") % 97).cast("string"))).alias("key"),
+        F.date_add(F.lit(D0), (F.col("id") * 7919 % 60).cast("int")).alias("Date"),
+        (F.col("id") % 5).alias("v"))
+
+
+def test_hot_key_panel_matches_brute_force(spark):
+    raw = hot_raw(spark)
+    daily = raw.groupBy("key", "Date").agg(F.sum("v").alias("v"))
+    panel = cumulative_panel(daily, ["key"], "Date", ["v"])
+    out = period_delta(panel, ["key"], ["v"]).toPandas()
+
+    pdf = raw.toPandas()
+    d = pdf.groupby(["key", "Date"], as_index=False)["v"].sum()
+    last = d.Date.max()
+    rows = []
+    for k, g in d.groupby("key"):
+        days = pd.date_range(g.Date.min(), last).date
+        s = g.set_index("Date")["v"].reindex(days, fill_value=0).cumsum()
+        for day, val in s.items():
+            prev = s.get(day - dt.timedelta(days=7))
+            rows.append((k, day, int(val), None if prev is None else int(val - prev)))
+    exp = pd.DataFrame(rows, columns=["key", "Date", "v", "v_delta"])
+    got = out.sort_values(["key", "Date"]).reset_index(drop=True)
+    exp = exp.sort_values(["key", "Date"]).reset_index(drop=True)
+    assert len(got) == len(exp)
+    assert (got.v.values == exp.v.values).all()
+    assert got.v_delta.isna().sum() == exp.v_delta.isna().sum()
+    assert (got.v_delta.fillna(-1).values == exp.v_delta.fillna(-1).values).all()
+
+
+def test_hot_group_share_with_skew_join_split(spark):
+    """Force AQE's skew-join path (tiny thresholds) and check the shares."""
+    keys = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        raw = hot_raw(spark).withColumn("g", F.when(F.col("key") == "HOT", "H").otherwise("other"))
+        out = group_share(raw, ["g"], "v").groupBy("g").agg(F.sum("share").alias("s")).collect()
+        assert {r.g: round(r.s, 6) for r in out} == {"H": 100.0, "other": 100.0}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+panels = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 20),
+                            st.integers(0, 50)), min_size=1, max_size=40)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(panels)
+def test_random_panels(spark, rows):
+    uniq = {(k, d): v for k, d, v in rows}
+    data = [(k, D0 + dt.timedelta(days=d), v) for (k, d), v in uniq.items()]
+    df = spark.createDataFrame(data, "key string, Date date, v long")
+    # delta of a running sum (without densify) is the original increment
+    cum = cumulative_panel(df, ["key"], "Date", ["v"], densify=False)
+    back = row_delta(cum, ["key"], "Date", ["v"]).collect()
+    orig = {(k, d): v for k, d, v in data}
+    firsts = {k: min(d for kk, d, _ in data if kk == k) for k, _, _ in data}
+    for r in back:
+        if r.Date != firsts[r.key]:
+            assert r.v_diff == orig[(r.key, r.Date)]
+    # trailing mean equals brute force over the previous 7 rows of the key
+    tm = {(r.key, r.Date): r.v_avg for r in trailing_mean(df, ["key"], "Date", ["v"], 7).collect()}
+    for k in set(k for k, _, _ in data):
+        seq = sorted((d, v) for kk, d, v in data if kk == k)
+        for i, (d, _) in enumerate(seq):
+            exp = sum(v for _, v in seq[i - 6:i + 1]) / 7 if i >= 6 else None
+            assert tm[(k, d)] == exp
+    # shares of every date sum to 100 (or are all NULL for a zero total)
+    sp = share_pivot(df, "Date", "key", "v", ["a", "b", "c"]).collect()
+    for r in sp:
+        vals = [x for x in (r.a, r.b, r.c) if x is not None]
+        assert not vals or sum(vals) == pytest.approx(100.0)
