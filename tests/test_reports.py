@@ -119,3 +119,25 @@ def test_age_share_no_new_dates_is_noop(spark):
     hist = spark.createDataFrame([(dt.date(2021, 7, 30),) + (1.0,) * 7], share_history())
     out = R.report_age_share(feed, hist)
     assert out.count() == 1 and "18-24" in out.columns
+
+
+def test_zero_first_dose_pace_gives_null_date_sorted_last(spark):
+    from cumulus.schemas import SNAPSHOT
+    rows = []
+    for d, k in ((DATES[0], 0), (DATES[-1], 7)):
+        # MA: first doses flat, second doses still moving (doses change, pace 0)
+        rows.append((d, "MA", "Massachusetts", 70000, 60000, 0, 50000 + 100 * k, 30000,
+                     20000 + 100 * k, 0, 42.9, 0, 0, 0))
+        rows.append((d, "NY", "New York", 200000, 180000, 0, 100000 + 700 * k, 100000 + 700 * k,
+                     0, 0, 50.0, 0, 0, 0))
+    h = spark.createDataFrame(rows, SNAPSHOT)
+    det = R.target_detail(h, dim(spark), F.lit(AS_OF)).orderBy(
+        F.col("sort_days").asc_nulls_last(), "LongName").collect()
+    assert [r.LongName for r in det] == ["New York", "Massachusetts"]
+    assert det[1].target_month is None and det[1].sort_days is None
+
+
+def test_nonzero_drops_zero_and_null(spark):
+    from cumulus.functions import nonzero
+    df = spark.createDataFrame([(0,), (None,), (5,), (-2,)], "d long")
+    assert sorted(r.d for r in df.filter(nonzero("d")).collect()) == [-2, 5]
