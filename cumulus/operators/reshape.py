@@ -6,7 +6,6 @@ import re
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.text import first_match  # noqa: F401  (re-exported helper)
 
 
 def rename_columns(df: DataFrame, mapping: dict) -> DataFrame:

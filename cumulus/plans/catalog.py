@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..functions import (add_days, display_string, first_match, is_in, lateness_label,
                          ne_and_not_null, nonzero, not_in_keep_null, parse_thousands,
-                         per_capita, round_half_even, safe_div, str_trim, thousands,
+                         per_capita, round_half_even, str_trim, thousands,
                          weighted_sum, month_label)
 from ..functions.dates import MAX_OFFSET_DAYS
 from ..functions.text import TRIM_PATTERN
@@ -28,7 +28,7 @@ from ..operators.snapshots import (distinct_dates, latest_date, newer_than, reso
                                    two_snapshots)
 from ..operators.sorting import sort_by
 from ..operators.totals import total_row, union_by_name, with_total_row
-from ..schemas import COUNTY_RECORD, SNAPSHOT, SNAPSHOT_RECORD
+from ..schemas import COUNTY_RECORD, SNAPSHOT_RECORD
 from ..session import scratch_path
 from ..sources.files import (extract_json, read_csv_typed, read_feed_to_date,
                              read_json_envelope, write_csv, write_json_envelopes)

@@ -82,3 +82,37 @@ def run_daily(spark: SparkSession, inp: DailyInputs) -> dict:
             return R.report_age_share(feed, old, categories=inp.age_categories)
         publish("age_share", age)
     return status
+
+
+def main(argv=None) -> int:
+    """``python -m cumulus.plans.daily_run --snapshot … --population … --history … --out …``"""
+    import argparse
+    import json
+
+    from ..session import build_session
+
+    ap = argparse.ArgumentParser(description="Land today's snapshot and publish every table.")
+    ap.add_argument("--snapshot", required=True, help="landed snapshot JSON document(s)")
+    ap.add_argument("--population", required=True, help="state dimension CSV")
+    ap.add_argument("--history", required=True, help="Parquet history (partitioned by Date)")
+    ap.add_argument("--out", required=True, help="output folder, one sub-folder per table")
+    ap.add_argument("--county", help="county JSON document(s)")
+    ap.add_argument("--age-feed", help="age feed CSV")
+    ap.add_argument("--age-history", help="published age-share history CSV")
+    ap.add_argument("--as-of", help="run date YYYY-MM-DD (default: today)")
+    ap.add_argument("--json-lines", action="store_true", help="documents are one per line")
+    ap.add_argument("--dated", action="store_true", help="write under run_date=YYYY-MM-DD")
+    a = ap.parse_args(argv)
+    spark = build_session("cumulus-daily")
+    status = run_daily(spark, DailyInputs(
+        snapshot_json=a.snapshot, population_csv=a.population, history_path=a.history,
+        out_dir=a.out, county_json=a.county, age_feed_csv=a.age_feed,
+        age_history_csv=a.age_history, multi_line=not a.json_lines,
+        as_of=dt.date.fromisoformat(a.as_of) if a.as_of else None, dated_outputs=a.dated))
+    print(json.dumps(status, indent=1))
+    failed = [k for k, v in status.items() if k != "history" and v != "ok"]
+    return 1 if failed else 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -17,7 +17,7 @@ from ..operators.joins import join_dim, scalar_value
 from ..operators.reshape import canonical_value, rename_columns
 from ..operators.rolling import trailing_mean
 from ..operators.shares import share_pivot
-from ..operators.snapshots import latest_date, newer_than, resolve_latest
+from ..operators.snapshots import newer_than, resolve_latest
 from ..operators.totals import total_row, union_by_name, with_total_row
 from ..sources.history import append_by_date
 
@@ -238,4 +238,4 @@ def report_age_share(feed: DataFrame, history: DataFrame, **kw) -> DataFrame:
 
 __all__ = ["normalise_snapshot", "report_history", "report_state_table", "report_map",
            "target_detail", "report_target", "report_supply", "report_rolling",
-           "report_county", "age_share_updates", "report_age_share", "latest_date"]
+           "report_county", "age_share_updates", "report_age_share"]
