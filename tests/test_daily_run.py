@@ -57,3 +57,20 @@ def test_daily_run_end_to_end(spark, scratch):
     again = run_daily(spark, DailyInputs(**{**inp.__dict__, "out_dir": scratch("daily_out2")}))
     assert again["history"] == "rows appended: 0"                      # rerun is a no-op
     assert read_history(spark, hist_path, schemas.SNAPSHOT).count() == h.count()
+
+
+def test_daily_run_command_line(spark, scratch):
+    from cumulus.plans.daily_run import main
+    h = history(spark)
+    hist_path = scratch("cli_hist")
+    landing = scratch("cli_landing")
+    recs = h.filter(F.col("Date") == AS_OF).withColumn("Date", F.date_format("Date", "yyyy-MM-dd"))
+    write_json_envelopes(recs, landing, "vaccination_data", head_field="runid")
+    store_snapshot(spark, h.filter(F.col("Date") < AS_OF), hist_path, schemas.SNAPSHOT)
+    pop = scratch("cli_pop")
+    write_csv(dim(spark), pop, single_file=True)
+    out = scratch("cli_out")
+    rc = main(["--snapshot", landing, "--population", pop, "--history", hist_path,
+               "--out", out, "--as-of", AS_OF.isoformat(), "--json-lines", "--dated"])
+    assert rc == 0
+    assert os.listdir(f"{out}/target") == [f"run_date={AS_OF.isoformat()}"]
