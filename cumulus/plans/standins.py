@@ -64,7 +64,7 @@ def band_names(edges=VALUE_BAND_EDGES, prefix=BAND_PREFIX, suffix=BAND_SUFFIX):
 
 def nation_daily(spark: SparkSession, d: str) -> DataFrame:
     """Per nation and order date: the day's increments of every measure, plus
-    the parent row (all nations) per date from the same pass (``rollup``).
+    the parent row (all nations) per date from the same pass (grouping sets).
 
     lineitem is reduced to one row per order before it meets ``orders`` (the
     aggregation's shuffle on the order key also serves the join).
@@ -91,8 +91,9 @@ def nation_daily(spark: SparkSession, d: str) -> DataFrame:
                          *[F.sum(f"items_{f}").alias(f"items_{f}") for f in ("A", "R", "N")]))
     c = table(spark, d, "customer").select("c_custkey", _code("c_nationkey").alias("Location"))
     j = per_cust_day.join(c, per_cust_day.o_custkey == c.c_custkey)
-    agg = j.rollup("Date", "Location").agg(
-        F.grouping("Date").alias("__gd"), F.grouping("Location").alias("__gl"),
+    # one pass, two grouping sets: (day, nation) and (day) = the parent row
+    agg = j.groupingSets([["Date", "Location"], ["Date"]], "Date", "Location").agg(
+        F.grouping("Location").alias("__gl"),
         F.sum("qty").alias("Doses_Distributed"),
         F.sum("items").alias("Doses_Administered"),
         F.sum("n_orders").alias("Administered_Dose1_Recip"),
@@ -101,10 +102,9 @@ def nation_daily(spark: SparkSession, d: str) -> DataFrame:
         F.sum("items_A").alias("Distributed_Moderna"),
         F.sum("items_R").alias("Distributed_Pfizer"),
         F.sum("items_N").alias("Distributed_Janssen"))
-    return (agg.filter(F.col("__gd") == 0)
-               .withColumn("Location", F.when(F.col("__gl") == 1, F.lit(PARENT_CODE))
+    return (agg.withColumn("Location", F.when(F.col("__gl") == 1, F.lit(PARENT_CODE))
                                         .otherwise(F.col("Location")))
-               .drop("__gd", "__gl"))
+               .drop("__gl"))
 
 
 def nation_population(spark: SparkSession, d: str) -> DataFrame:
@@ -123,12 +123,15 @@ def nation_population(spark: SparkSession, d: str) -> DataFrame:
 def nation_snapshots(spark: SparkSession, d: str) -> DataFrame:
     """The jurisdiction history (``schemas.SNAPSHOT`` columns).
 
-    One pass over the raw tables; the panel is keys × days, independent of
-    the number of orders.  The two lookups are per-nation tables (25 rows
+    One pass over the raw tables (the daily increments are stored, then
+    densified); the panel is keys × days, independent of the number of orders.  The two lookups are per-nation tables (25 rows
     by the TPC-H definition of ``nation``, plus the parent row), so they are
     broadcast.
     """
-    cum = cumulative_panel(nation_daily(spark, d), ["Location"], "Date", MEASURES)
+    # The daily increments are read twice (latest day, running sums); they are
+    # small (nations × active days), so they are stored once rather than
+    # recomputed from the raw joins.
+    cum = cumulative_panel(stored(nation_daily(spark, d)), ["Location"], "Date", MEASURES)
     names = (table(spark, d, "nation")
              .select(_code("n_nationkey").alias("Location"), F.col("n_name").alias("LongName"))
              .unionByName(spark.range(1).select(F.lit(PARENT_CODE).alias("Location"),
