@@ -201,6 +201,33 @@ def csv_sink_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 EVENTS_PANEL_SQL = W(EVENTS_SQL) + "SELECT Location, Date, events, value_cents FROM epanel"
 
 
+@query("streaming_ingest", EVENTS_PANEL_SQL)
+def streaming_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Snapshots land as JSON documents; a Structured Streaming query
+    (availableNow, foreachBatch) appends each date once to a partitioned
+    history, which is then read back."""
+    from ..streaming.ingest import start_snapshot_ingest
+    panel = S.events_panel(spark, d)
+    record = T.StructType([T.StructField("Date", T.StringType()),
+                           T.StructField("Location", T.StringType()),
+                           T.StructField("events", T.LongType()),
+                           T.StructField("value_cents", T.LongType())])
+    hist_schema = T.StructType([T.StructField("Location", T.StringType()),
+                                T.StructField("events", T.LongType()),
+                                T.StructField("value_cents", T.LongType()),
+                                T.StructField("Date", T.DateType())])
+    landing = scratch_path(spark, "streaming_landing")
+    write_json_envelopes(panel.withColumn("Date", F.date_format("Date", "yyyy-MM-dd")),
+                         landing, "records")
+    hist_path = scratch_path(spark, "streaming_history")
+    q = start_snapshot_ingest(spark, landing, record, "records", hist_path, hist_schema,
+                              scratch_path(spark, "streaming_checkpoint"),
+                              normalise=lambda df: df.withColumn("Date", F.to_date("Date")))
+    q.awaitTermination()
+    return read_history(spark, hist_path, hist_schema).select("Location", "Date", "events",
+                                                              "value_cents")
+
+
 @query("append_snapshot", EVENTS_PANEL_SQL)
 def append_snapshot(spark: SparkSession, d: str) -> DataFrame:
     panel = S.events_panel(spark, d)

@@ -27,12 +27,19 @@ def normalise_snapshot(records: DataFrame, date_col: str = "Date") -> DataFrame:
 
 def start_snapshot_ingest(spark: SparkSession, landing_dir: str, record: T.StructType,
                           field: str, history_path: str, history_schema: T.StructType,
-                          checkpoint: str, head_field: str = "meta") -> StreamingQuery:
+                          checkpoint: str, head_field: str = "meta",
+                          normalise=normalise_snapshot,
+                          max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the ingest; with ``availableNow`` it stops once the landed files
+    are processed (``awaitTermination()``).  ``normalise`` maps feed records
+    to history rows (default: the jurisdiction snapshot normalisation)."""
     env = T.StructType([T.StructField(head_field, T.StringType(), True),
                         T.StructField(field, T.ArrayType(record), True)])
-    stream = (spark.readStream.schema(env).option("mode", "FAILFAST").json(landing_dir)
-              .select(F.inline(F.col(field))))
-    rows = normalise_snapshot(stream)
+    reader = spark.readStream.schema(env).option("mode", "FAILFAST")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.json(landing_dir).select(F.inline(F.col(field)))
+    rows = normalise(stream)
 
     def _append(batch: DataFrame, _epoch: int) -> None:
         if not batch.isEmpty():
