@@ -481,7 +481,7 @@ fd AS (
 
 def _feed(spark, d):
     """The category feed, derived once and stored (lineage cut)."""
-    return S.stored(S.band_feed(spark, d))
+    return S.stored(S.band_feed(spark, d), "band_feed", "date")
 
 
 def _band_diff(spark, d, feed=None):

@@ -131,7 +131,8 @@ def nation_snapshots(spark: SparkSession, d: str) -> DataFrame:
     # The daily increments are read twice (latest day, running sums); they are
     # small (nations × active days), so they are stored once rather than
     # recomputed from the raw joins.
-    cum = cumulative_panel(stored(nation_daily(spark, d)), ["Location"], "Date", MEASURES)
+    cum = cumulative_panel(stored(nation_daily(spark, d), "nation_daily"), ["Location"],
+                           "Date", MEASURES)
     names = (table(spark, d, "nation")
              .select(_code("n_nationkey").alias("Location"), F.col("n_name").alias("LongName"))
              .unionByName(spark.range(1).select(F.lit(PARENT_CODE).alias("Location"),
@@ -144,17 +145,29 @@ def nation_snapshots(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(*SNAPSHOT_COLS)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Cut lineage: reliable checkpoint into the session's shared checkpoint
-    folder (``spark.checkpoint.dir``), as a stored table would be."""
-    from ..session import shared_dir
-    shared_dir(df.sparkSession)          # registers a folder only when none is set
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, name: str = "derived", sort_by: str | None = "Date") -> DataFrame:
+    """Cut lineage: write ``df`` once as a Parquet table in a fresh folder
+    under the session's shared checkpoint dir (``spark.checkpoint.dir``) and
+    read it back.
+
+    Unlike an eager RDD ``checkpoint()`` (one job to count, a second that
+    recomputes the plan to write it), this is a single pass, and readers get
+    column pruning and filter pushdown.  Each task's rows are sorted by
+    ``sort_by`` (no shuffle), so a filter on that column skips row groups.
+    Task retries are handled by the file commit protocol; a rerun writes a new
+    folder.
+    """
+    from ..session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    out = df.sortWithinPartitions(sort_by) if sort_by and sort_by in df.columns else df
+    out.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def nation_history(spark: SparkSession, d: str) -> DataFrame:
     """The jurisdiction history, derived once and stored (lineage cut)."""
-    return stored(nation_snapshots(spark, d))
+    return stored(nation_snapshots(spark, d), "nation_history")
 
 
 def latest_snapshot(history: DataFrame) -> DataFrame:
