@@ -58,9 +58,12 @@ def run_daily(spark: SparkSession, inp: DailyInputs) -> dict:
     snap = hist.filter(F.col("Date") == F.lit(latest))
     dim = read_csv_typed(spark, inp.population_csv, schemas.POPULATION)
 
-    def publish(name, build):
+    def publish(name, build, bounded=True):
+        """``bounded`` tables (one row per jurisdiction, day or category) are
+        written as one file; the county table grows with its feed, so it
+        keeps one file per task rather than passing through a single task."""
         try:
-            write_csv(build(), f"{inp.out_dir}/{name}", single_file=True,
+            write_csv(build(), f"{inp.out_dir}/{name}", single_file=bounded,
                       run_date=run_date if inp.dated_outputs else None)
             status[name] = "ok"
         except Exception as e:  # noqa: BLE001 — report and continue with the next table
@@ -74,7 +77,7 @@ def run_daily(spark: SparkSession, inp: DailyInputs) -> dict:
     if inp.county_json:
         publish("county", lambda: R.report_county(read_json_envelope(
             spark, inp.county_json, schemas.COUNTY_RECORD, inp.county_field,
-            inp.head_field, inp.multi_line)))
+            inp.head_field, inp.multi_line)), bounded=False)
     if inp.age_feed_csv and inp.age_history_csv:
         def age():
             feed = read_feed_to_date(spark, inp.age_feed_csv, schemas.AGE_FEED, "date")

@@ -53,6 +53,9 @@ def test_daily_run_end_to_end(spark, scratch):
                          schemas.share_history(("12-15", "16-17", "25-39", "40-49", "50-64",
                                                 "65-74", "75+", "18-24")))
     assert age.count() == 1 + 4          # old row + 2021-07-09 … 07-12
+    # the county table keeps one file per task; its rows are whole
+    county_out = spark.read.option("header", True).csv(f"{out}/county")
+    assert county_out.count() == 1       # the UNK row is filtered out
 
     again = run_daily(spark, DailyInputs(**{**inp.__dict__, "out_dir": scratch("daily_out2")}))
     assert again["history"] == "rows appended: 0"                      # rerun is a no-op
