@@ -48,14 +48,19 @@ def build_session(app: str = "cumulus", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and derived tables.
 
-    Read from ``spark.checkpoint.dir``.  Only when the session has none (local
-    tests) is a private folder created and registered as the checkpoint dir.
+    Read from ``spark.checkpoint.dir``.  Only when the session has none and
+    runs in local mode (tests) is a private folder created and registered as
+    the checkpoint dir; on a cluster a machine-local folder would be lost with
+    its executor, so a missing setting is an error there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not base:
         base = sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder "
+                               "every executor shares (HDFS, S3, ABFS, GCS, NFS)")
         base = tempfile.mkdtemp(prefix="cumulus-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)

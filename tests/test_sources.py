@@ -72,3 +72,36 @@ def test_dated_sink_and_csv_history(spark, scratch):
     assert p1.endswith("run_date=2021-07-21") and p2 != p1
     back = read_history(spark, p1, df.schema, fmt="csv")
     assert back.collect() == df.collect()
+
+
+class _Conf(dict):
+    def get(self, k, default=None):
+        return dict.get(self, k, default)
+
+
+class _Ctx:
+    def __init__(self, master, ckpt=None):
+        self.master, self._ckpt = master, ckpt
+
+    def getCheckpointDir(self):
+        return self._ckpt
+
+    def setCheckpointDir(self, d):
+        self._ckpt = d
+
+
+class _Session:
+    def __init__(self, master, conf=None):
+        self.conf, self.sparkContext = _Conf(conf or {}), _Ctx(master)
+
+
+def test_shared_dir_reads_session_setting_and_refuses_local_folder_on_cluster():
+    import pytest
+    from cumulus.session import shared_dir
+    s = _Session("yarn", {"spark.checkpoint.dir": "hdfs://nn/shared/ckpt/"})
+    assert shared_dir(s) == "hdfs://nn/shared/ckpt"
+    assert s.sparkContext.getCheckpointDir() == "hdfs://nn/shared/ckpt/"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("spark://master:7077"))
+    local = _Session("local[2]")
+    assert shared_dir(local) == local.sparkContext.getCheckpointDir().rstrip("/")
