@@ -79,6 +79,7 @@ def main() -> None:
     timed("report_history", lambda: run(C.history_roundtrip(spark, hist)), 2)
     feed = timed("feed_build", lambda: C._feed(spark, sf_dir))
     timed("report_age_share", lambda: run(C.age_share_from_feed(feed)), 2)
+    timed("flagship_weekly_change", lambda: run(C.flagship(spark, sf_dir)), 2)
     for name in ("report_county",
                  "lineitem_weekly_delta", "lineitem_trailing_mean", "lineitem_flag_shares"):
         timed(name, lambda n=name: run(C.QUERIES[n](spark, sf_dir)), 2)

@@ -231,7 +231,7 @@ def streaming_ingest(spark: SparkSession, d: str) -> DataFrame:
 @query("append_snapshot", EVENTS_PANEL_SQL)
 def append_snapshot(spark: SparkSession, d: str) -> DataFrame:
     panel = S.events_panel(spark, d)
-    mx = latest_date(panel)
+    mx = S.events_last_day(spark, d)
     return append_by_date(panel.filter(F.col("Date") < mx), panel.filter(F.col("Date") == mx))
 
 
@@ -240,7 +240,7 @@ SELECT Location, Date, events, value_cents FROM epanel
 WHERE Date < (SELECT max(Date) FROM epanel)""")
 def append_snapshot_noop(spark: SparkSession, d: str) -> DataFrame:
     panel = S.events_panel(spark, d)
-    mx = latest_date(panel)
+    mx = S.events_last_day(spark, d)
     hist = panel.filter(F.col("Date") < mx)
     again = hist.filter(F.col("Date") == F.date_sub(mx, 1)).withColumn("events", F.col("events") + 1)
     return append_by_date(hist, again)
@@ -249,7 +249,7 @@ def append_snapshot_noop(spark: SparkSession, d: str) -> DataFrame:
 @query("append_if_newer", EVENTS_PANEL_SQL)
 def append_if_newer_q(spark: SparkSession, d: str) -> DataFrame:
     panel = S.events_panel(spark, d)
-    hist = panel.filter(F.col("Date") <= F.date_sub(latest_date(panel), 7))
+    hist = panel.filter(F.col("Date") <= F.date_sub(S.events_last_day(spark, d), 7))
     return append_if_newer(hist, panel)
 
 
@@ -959,7 +959,8 @@ def age_share_from_feed(feed: DataFrame) -> DataFrame:
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Smoke query: what changed in the last week, by key, on the events panel."""
     panel = S.events_panel(spark, d)
-    out = snapshot_delta(panel, ["Location"], ["events", "value_cents"])
+    out = snapshot_delta(panel, ["Location"], ["events", "value_cents"],
+                         latest=S.events_last_day(spark, d))
     return sort_by(out, ("events_delta", "desc"), "Location")
 
 

@@ -210,6 +210,16 @@ def events_panel(spark: SparkSession, d: str) -> DataFrame:
     return cumulative_panel(daily, ["Location"], "Date", ["events", "value_cents"])
 
 
+def events_last_day(spark: SparkSession, d: str) -> "F.Column":
+    """The events panel's last day as a scalar subquery over the raw table.
+
+    Equal to max(Date) of ``events_panel`` (the panel runs to the last event
+    day), but one pruned column scan with a partial max per task, instead of
+    rebuilding the panel (aggregate, window, explode) inside the subquery.
+    """
+    return table(spark, d, "events").select(F.max(F.to_date("ts"))).scalar()
+
+
 def band_feed(spark: SparkSession, d: str) -> DataFrame:
     """Category feed stand-in: cumulative events per value band and day."""
     ev = table(spark, d, "events")
