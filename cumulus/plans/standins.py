@@ -17,7 +17,7 @@ Everything grows with the tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import band_label, safe_div
 from ..operators.reshape import cumulative_panel
@@ -46,7 +46,12 @@ SNAPSHOT_COLS = ["Date", "Location", "LongName", "Census2019", "Census2019_12Plu
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """A driver table, read with its declared schema (no inference job)."""
+    from ..schemas import DRIVER_TABLES
+    reader = spark.read
+    if name in DRIVER_TABLES:
+        reader = reader.schema(DRIVER_TABLES[name])
+    return reader.parquet(f"{d}/{name}.parquet")
 
 
 def _code(c) -> "F.Column":
@@ -162,7 +167,9 @@ def stored(df: DataFrame, name: str = "derived", sort_by: str | None = "Date") -
     path = scratch_path(spark, name)
     out = df.sortWithinPartitions(sort_by) if sort_by and sort_by in df.columns else df
     out.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # read back with the schema just written (no footer-inference job)
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
+    return spark.read.schema(schema).parquet(path)
 
 
 def nation_history(spark: SparkSession, d: str) -> DataFrame:

@@ -72,3 +72,24 @@ def envelope(record: T.StructType, field: str, head_field: str = "meta") -> T.St
     """A JSON document: a leading field, then the list of records."""
     return T.StructType([T.StructField(head_field, S, True),
                          T.StructField(field, T.ArrayType(record), True)])
+
+
+# The driver's Parquet tables (file column order), declared so a scan plans
+# without a schema-inference job (Spark otherwise reads a footer in its own
+# job for every table it opens).  Timestamps carry no zone: timestamp_ntz.
+I, TS = T.IntegerType(), T.TimestampNTZType()
+DRIVER_TABLES = {
+    "region": _st(("r_regionkey", I), ("r_name", S)),
+    "nation": _st(("n_nationkey", I), ("n_name", S), ("n_regionkey", I)),
+    "customer": _st(("c_custkey", L), ("c_name", S), ("c_nationkey", I), ("c_acctbal", D),
+                    ("c_mktsegment", S)),
+    "orders": _st(("o_orderkey", L), ("o_custkey", L), ("o_orderstatus", S),
+                  ("o_totalprice", D), ("o_orderdate", TS), ("o_orderpriority", S)),
+    "lineitem": _st(("l_orderkey", L), ("l_partkey", L), ("l_suppkey", L),
+                    ("l_linenumber", I), ("l_quantity", D), ("l_extendedprice", D),
+                    ("l_discount", D), ("l_tax", D), ("l_returnflag", S),
+                    ("l_linestatus", S), ("l_shipdate", TS)),
+    "events": _st(("event_id", L), ("ts", TS), ("user_id", L), ("event_type", S),
+                  ("value", D), ("props", S)),
+    "documents": _st(("doc_id", L), ("text", S), ("lang", S), ("source", S), ("n_chars", L)),
+}
