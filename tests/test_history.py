@@ -72,3 +72,19 @@ def test_streaming_ingest_available_now(spark, scratch):
     assert back.count() == 6
     assert back.filter(F.col("LongName") == "New York").count() == 1
     assert back.first().Date == dt.date(2021, 7, 21)
+
+
+def test_stored_table_roundtrip_under_checkpoint_dir_with_pushdown(spark):
+    from cumulus.plans.standins import stored
+    from cumulus.session import shared_dir
+    df = spark.createDataFrame(
+        [(dt.date(2021, 7, 1) + dt.timedelta(days=i % 9), f"k{i % 4}", i) for i in range(60)],
+        "Date date, key string, v long").repartition(3)
+    s = stored(df, "stored_test")
+    assert sorted(map(tuple, s.collect())) == sorted(map(tuple, df.collect()))
+    assert s.schema.names == df.schema.names
+    text = s.filter(F.col("Date") == dt.date(2021, 7, 5))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "EqualTo(Date,2021-07-05)" in text
+    assert shared_dir(spark).replace("file:", "") in text.replace("file:", "")
+    assert "Scan ExistingRDD" not in text          # a table scan, not a checkpointed RDD
