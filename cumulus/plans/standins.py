@@ -129,9 +129,9 @@ def nation_snapshots(spark: SparkSession, d: str) -> DataFrame:
     """The jurisdiction history (``schemas.SNAPSHOT`` columns).
 
     One pass over the raw tables (the daily increments are stored, then
-    densified); the panel is keys × days, independent of the number of orders.  The two lookups are per-nation tables (25 rows
-    by the TPC-H definition of ``nation``, plus the parent row), so they are
-    broadcast.
+    densified); the panel is keys × days, independent of the number of
+    orders.  The two lookups are per-nation tables (25 rows by the TPC-H
+    definition of ``nation``, plus the parent row).
     """
     # The daily increments are read twice (latest day, running sums); they are
     # small (nations × active days), so they are stored once rather than
@@ -142,8 +142,11 @@ def nation_snapshots(spark: SparkSession, d: str) -> DataFrame:
              .select(_code("n_nationkey").alias("Location"), F.col("n_name").alias("LongName"))
              .unionByName(spark.range(1).select(F.lit(PARENT_CODE).alias("Location"),
                                                 F.lit(PARENT_NAME).alias("LongName"))))
-    rows = (cum.join(F.broadcast(names), "Location")
-               .join(F.broadcast(nation_population(spark, d)), "Location"))
+    # No broadcast hints: both lookups are per-nation tables, so the planner
+    # broadcasts them from their estimated (or, under AQE, measured) size,
+    # and would keep a shuffle join if they ever outgrew the threshold.
+    rows = (cum.join(names, "Location")
+               .join(nation_population(spark, d), "Location"))
     rows = rows.withColumn("Administered_Dose1_Pop_Pct",
                            F.bround(safe_div(F.col("Administered_Dose1_Recip") * 1000,
                                              "Census2019")) / 10)
@@ -189,7 +192,7 @@ def nation_dim(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").groupBy("c_nationkey").agg(
         F.count("*").alias("n_cust"),
         F.sum(F.when(F.col("c_mktsegment") != "HOUSEHOLD", 1).otherwise(0)).alias("n_adult"))
-    nr = (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    nr = (n.join(r, n.n_regionkey == r.r_regionkey)
            .filter(F.col("r_name") != TERRITORY_REGION))
     j = nr.join(c, nr.n_nationkey == c.c_nationkey, "left")
     return j.select(
@@ -244,7 +247,7 @@ def county_records(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "nation")
     last = table(spark, d, "orders").groupBy("o_custkey").agg(
         F.max(F.to_date("o_orderdate")).alias("last_d"))
-    j = (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    j = (c.join(n, c.c_nationkey == n.n_nationkey)
           .join(last, c.c_custkey == last.o_custkey, "left"))
     return j.select(
         F.date_format("last_d", "yyyy-MM-dd").alias("Date"),
