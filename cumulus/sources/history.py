@@ -88,7 +88,10 @@ def store_snapshot(spark: SparkSession, snapshot: DataFrame, path: str,
     fresh = fresh.persist()
     n = fresh.count()
     if n:
-        (fresh.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+        # Dynamic overwrite is set on the write itself: under the session
+        # default (static) an overwrite would drop every other date folder.
+        (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .option("maxRecordsPerFile", max_records_per_file)
               .partitionBy(date_col).parquet(path))
     fresh.unpersist()
     return n

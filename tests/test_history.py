@@ -88,3 +88,19 @@ def test_stored_table_roundtrip_under_checkpoint_dir_with_pushdown(spark):
     assert "EqualTo(Date,2021-07-05)" in text
     assert shared_dir(spark).replace("file:", "") in text.replace("file:", "")
     assert "Scan ExistingRDD" not in text          # a table scan, not a checkpointed RDD
+
+
+def test_store_snapshot_keeps_other_dates_under_static_session_default(spark, scratch):
+    """The append must not depend on the session's overwrite mode."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        path = scratch("hist_static")
+        h = history(spark)
+        assert store_snapshot(spark, h.filter(F.col("Date") == DATES[0]), path, SNAPSHOT) == 6
+        assert store_snapshot(spark, h.filter(F.col("Date") == DATES[1]), path, SNAPSHOT) == 6
+        back = read_history(spark, path, SNAPSHOT)
+        assert back.count() == 12 and back.select("Date").distinct().count() == 2
+    finally:
+        spark.conf.set(key, old)
