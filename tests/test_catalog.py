@@ -52,3 +52,14 @@ def test_query_plan_and_oracle(spark, con, name):
     cols = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(cols)
     assert canon(df.columns, rows) == canon(cols, cur.fetchall())
+
+
+def test_events_last_day_equals_panel_max(spark):
+    from pyspark.sql import functions as F
+    from cumulus.plans import standins as S
+    for sf in (SF, SF.replace("sf0.001", "sf0.01")):
+        if not os.path.isdir(sf):
+            continue
+        panel_max = S.events_panel(spark, sf).agg(F.max("Date")).first()[0]
+        raw = spark.range(1).select(S.events_last_day(spark, sf).alias("d")).first()[0]
+        assert raw == panel_max
