@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cumulus.operators.deltas import pct_change, period_delta, row_delta, snapshot_delta
-from cumulus.operators.joins import join_dim, rows_at_most, scalar_value
+from cumulus.operators.joins import fits_broadcast, join_dim, rows_at_most, scalar_value
 from cumulus.operators.reshape import (cast_by_pattern, cumulative_panel, regex_rename,
                                        snake_name, snake_names)
 from cumulus.operators.rolling import trailing_mean
@@ -144,6 +144,21 @@ def test_join_dim_inner_filters_and_broadcast_check(spark):
     assert left.count() == 2
 
 
+def test_broadcast_check_bounds_bytes_as_well_as_rows(spark):
+    wide = spark.createDataFrame([(f"K{i}", "x" * 100_000, [i] * 10) for i in range(3)],
+                                 "postal_code string, blob string, xs array<int>")
+    assert fits_broadcast(wide, max_rows=10, max_bytes=1_000_000)
+    assert not fits_broadcast(wide, max_rows=10, max_bytes=200_000)     # 3 × 100 kB text
+    assert not fits_broadcast(wide, max_rows=2, max_bytes=10_000_000)   # 3 rows
+    facts = spark.createDataFrame([("K1", 1), ("Z", 2)], "Location string, v long")
+    out = join_dim(facts, wide, "Location", "postal_code", max_broadcast_bytes=200_000)
+    hinted = out._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" not in hinted
+    assert [r.v for r in out.collect()] == [1]
+    small = join_dim(facts, wide.select("postal_code"), "Location", "postal_code")
+    assert "strategy=broadcast" in small._jdf.queryExecution().analyzed().toString()
+
+
 def test_scalar_value_in_row_expression(spark):
     df = spark.createDataFrame([("US", 10), ("MA", 4)], "Location string, v long")
     out = df.select("Location", (F.col("v") / scalar_value(df, "Location", "US", "v")).alias("s"))
