@@ -32,7 +32,12 @@ def start_snapshot_ingest(spark: SparkSession, landing_dir: str, record: T.Struc
                           max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the ingest; with ``availableNow`` it stops once the landed files
     are processed (``awaitTermination()``).  ``normalise`` maps feed records
-    to history rows (default: the jurisdiction snapshot normalisation)."""
+    to history rows (default: the jurisdiction snapshot normalisation).
+
+    Each date is appended once, by the first micro-batch that carries it.
+    Without ``max_files_per_trigger`` all landed files form one batch; with
+    it, a date's snapshot must land in one file (one document per date, as
+    the feed publishes it), or its rows in later batches are not appended."""
     env = T.StructType([T.StructField(head_field, T.StringType(), True),
                         T.StructField(field, T.ArrayType(record), True)])
     reader = spark.readStream.schema(env).option("mode", "FAILFAST")
