@@ -4,10 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality
+from . import langid, quality, simhash
 from .common import table
 
 
+def _remainder(key: str, divisor: int):
+    """crc32 of the key as text, by its remainder; a null key counts as ''."""
+    return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(divisor))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                       F.col("component").alias("component_id"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from those not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn(
+        "held_out", _remainder("doc_id", 3) == 1)
+    prototypes = langid.learn(docs.filter("NOT held_out"))
+    return (docs.select("doc_id", "held_out", langid.predict("text", prototypes).alias("p"))
+            .select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"),
+                    F.col("p.score").alias("score")))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger of every document, with the verdict of the full policy."""
     rows = quality.ledger(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -17,6 +39,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_simhash": op4_simhash,
+    "op5_language_id": op5_language_id,
     "op8_quality_rules": op8_quality_rules,
 }
 
