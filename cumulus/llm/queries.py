@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, quality, simhash
+from . import langid, packing, quality, secrets, simhash
 from .common import table
 
 
@@ -38,9 +39,30 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        quality.passes(quality.FULL).alias("kept"), "fail_bits")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, those in nested encodings included."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = docs.select("doc_id", secrets.scanned("text").alias("f")).select("doc_id", "f.*")
+
+    def count(kind: str):
+        return F.regexp_count("base", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in secrets.KINDS],
+                        F.sha2("base", 256).alias("base_sha256"), "spans", "oversized")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of every document's tokens lies in the packed sequences."""
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_BPE)
+
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
 }
 
