@@ -7,11 +7,18 @@ to the next.  Every stage works on all rows its predecessor kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cumulus.llm import quality
+from cumulus.llm import langid, packing, quality, secrets, simhash
 from cumulus.llm.common import stored
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+# Cosines below these are no learned language.  Unrelated vectors have a cosine
+# of 0.03 by the spread; texts of a learned language 0.4 and more, but those of
+# a few words, from LANGUAGE_CHARS down, sometimes little over 0.05.
+LEAST_LANGUAGE, LEAST_SHORT, LANGUAGE_CHARS = 0.15, 0.05, 100
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule of the full policy rejects."""
@@ -20,8 +27,48 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
         rows[f"`{c}`"] for c in docs.columns])
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language; those without a letter or like none go.
+
+    Learns from the documents at hand whose crc32(doc_id) mod 3 is not 1.  With
+    nothing to learn from, only texts without a letter go.
+    """
+    key = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    prototypes = langid.learn(docs.filter(F.pmod(key, F.lit(3)) != 1))
+    if not prototypes:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = docs.withColumn("__language", langid.predict("text", prototypes))
+    least = F.when(F.length("text") <= LANGUAGE_CHARS, LEAST_SHORT).otherwise(LEAST_LANGUAGE)
+    good = (F.col("__language.lang") != "und") & (F.col("__language.score") >= least)
+    return found.filter(good).select(*[f"`{c}`" for c in docs.columns])
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component: that of the smallest doc_id."""
+    return simhash.keep_one(docs)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its secrets replaced by their kind in brackets."""
+    text = secrets.redacted("text")
+    out = docs.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = stored(out, "redacted").withColumn("n_chars", F.length("text").cast(kind))
+    return out
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' tokens and their places in the sequences."""
+    return packing.pack(docs, TOKENIZER)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("language ID", language_id),
+    ("SimHash near-dedup", simhash_near_dedup),
+    ("secret scans", secret_scans),
+    ("packing", pack),
 ]
 
 # Hashing, learned prototypes and tokenizer ids are beyond SQL; tests/llm holds
