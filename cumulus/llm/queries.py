@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, packing, quality, secrets, simhash
+from . import langid, licenses, packing, quality, secrets, simhash
 from .common import table
 
 
@@ -56,6 +56,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_BPE)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places and labels of the licenses named or quoted in every document."""
+    return licenses.summary(licenses.licenses(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES = {
@@ -64,6 +69,7 @@ QUERIES = {
     "op6_secret_scan": op6_secret_scan,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op10_license_scan": op10_license_scan,
 }
 
 _BLANK = r"[\x20\x09-\x0D]+"
