@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, licenses, packing, quality, secrets, simhash
+from . import embeddings, langid, licenses, packing, quality, secrets, simhash
 from .common import table
 
 
@@ -14,6 +14,12 @@ def _remainder(key: str, divisor: int):
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(divisor))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of equal label."""
+    return embeddings.near_duplicates(
+        table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -64,6 +70,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES = {
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
     "op6_secret_scan": op6_secret_scan,
