@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embeddings, langid, licenses, packing, quality, secrets, simhash
+from . import embeddings, html, langid, licenses, packing, quality, secrets, simhash
 from .common import table
 
 
@@ -14,6 +14,13 @@ def _remainder(key: str, divisor: int):
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(divisor))
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return (pages.select("page_id", "url", html.extracted("html").alias("e"))
+            .select("page_id", "url", "e.text", "e.n_chars"))
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors of equal label."""
     return embeddings.near_duplicates(
@@ -70,6 +77,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
