@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import embeddings, html, langid, licenses, packing, quality, secrets, simhash
+from . import (embeddings, html, langid, licenses, packing, quality, secrets, sentencepiece,
+               simhash)
 from .common import table
 
 
@@ -27,6 +28,12 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    return sentencepiece.encode(table(spark, sf_dir, "documents", "doc_id", "text"), PIECES,
+                                check=True)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -74,11 +81,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.licenses(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
     "op6_secret_scan": op6_secret_scan,
