@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (embeddings, html, langid, licenses, packing, quality, secrets, sentencepiece,
+from . import (embeddings, html, katz, langid, licenses, packing, quality, secrets, sentencepiece,
                simhash)
 from .common import table
 
@@ -76,6 +76,15 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), BYTE_BPE)
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document by a model of those not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = katz.train(docs.filter(_remainder("doc_id", 7) != 2))
+    return katz.score(docs, model).select(
+        "doc_id", (_remainder("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places and labels of the licenses named or quoted in every document."""
     return licenses.summary(licenses.licenses(table(spark, sf_dir, "documents", "doc_id", "text")))
@@ -93,6 +102,7 @@ QUERIES = {
     "op6_secret_scan": op6_secret_scan,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_license_scan": op10_license_scan,
 }
 
