@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.joins import fits_broadcast
+from .common import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -140,8 +141,10 @@ def spans(df: DataFrame, key: str, text: str, templates: tuple[Template, ...]) -
                     (F.col("p") < F.col("n")).alias("short"), "n", "k")
             .filter(F.col("short") == (F.col("k") == SHORT))
             .filter(F.col("pos") <= F.col("n") - F.col("k")))
-    diagonals = (hits.groupBy("key", "hash", "t", (F.col("pos") - F.col("at")).alias("d"))
-                 .agg(F.sort_array(F.collect_set(F.struct("pos", "at"))).alias("hits")))
+    # Kept, as it is read several times and small beside the texts.
+    diagonals = stored(hits.groupBy("key", "hash", "t", (F.col("pos") - F.col("at")).alias("d"))
+                       .agg(F.sort_array(F.collect_set(F.struct("pos", "at"))).alias("hits")),
+                       "diagonals")
     phrases = [i for i, x in enumerate(templates) if len(x.words) <= PHRASE]
     is_phrase = F.col("t").isin(phrases)
     first, last = F.col("hits")[0]["pos"], F.element_at("hits", -1)["pos"]
@@ -166,7 +169,7 @@ def licenses(df: DataFrame, key: str = "doc_id", text: str = "text",
              templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
     """key, n_words and ``found``: array of struct(t, first, last, cover), the
     verified spans of templates found; first and last are word numbers."""
-    got = spans(df, key, text, templates)
+    got = stored(spans(df, key, text, templates), "license_spans")
     got = got.select(F.col("key").alias("__k"), F.col("hash").alias("__h"), "spans")
     src = df.select(F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("hash"),
                     F.col(f"`{text}`").alias("text"))
