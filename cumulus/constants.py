@@ -30,12 +30,9 @@ CANONICAL_NAMES = {"New York State": "New York"}
 # Label of the total row placed above detail rows.
 TOTAL_LABEL = "U.S. Total"
 
-# Age categories as listed by the tracked program.  The third entry is spelled
-# with an underscore there, so it never matches the feed and the 18-24 band is
-# absent from the published shares; AGE_CATEGORIES fixes the spelling.
-AGE_CATEGORIES_AS_PUBLISHED = ("Ages_12-15_yrs", "Ages_16-17_yrs", "Ages_18_24_yrs",
-                               "Ages_25-39_yrs", "Ages_40-49_yrs", "Ages_50-64_yrs",
-                               "Ages_65-74_yrs", "Ages_75+_yrs")
+# Age categories of the feed.  The tracked program spells the third with an
+# underscore, so it never matches there and the 18-24 band is absent from the
+# published shares.
 AGE_CATEGORIES = ("Ages_12-15_yrs", "Ages_16-17_yrs", "Ages_18-24_yrs",
                   "Ages_25-39_yrs", "Ages_40-49_yrs", "Ages_50-64_yrs",
                   "Ages_65-74_yrs", "Ages_75+_yrs")
@@ -47,7 +44,6 @@ BAND_LABEL_PATTERN = r"\d{2}[-\+]\d*"
 TARGET_SHARE = 0.7
 PERIOD_DAYS = 7
 SECOND_DOSE_LAG_DAYS = 28
-PER_100K = 100000
 
 # Supply-lateness labels.  Each arm is (months after the goal date where the
 # arm starts, label); the goal date itself is 2021-05-31 in the tracked

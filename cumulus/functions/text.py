@@ -28,8 +28,10 @@ def parse_thousands(c) -> Column:
 
 
 def display_string(c) -> Column:
-    """Whole-valued number → its plain text ('28650', not '28650.0')."""
-    return F.bround(as_col(c)).cast("bigint").cast("string")
+    """Number → its plain text, not rounded ('28650', '42857.4'); nine decimals
+    at most, which drops the noise of a product of doubles."""
+    text = as_col(c).cast("decimal(38,9)").cast("string")
+    return F.regexp_replace(text, r"\.?0+$", "")
 
 
 def first_match(c, pattern: str) -> Column:

@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .snapshots import latest_or
+from .snapshots import latest_or, two_snapshots
 
 
 def _key_match(left: DataFrame, right: DataFrame, keys) -> "F.Column":
@@ -47,6 +47,29 @@ def snapshot_delta(df: DataFrame, keys, value_cols, date_col: str = "Date",
                       for v in value_cols])
 
 
+def snapshot_pairs(df: DataFrame, keys, carry, value_cols, date_col: str = "Date",
+                   days: int = 7, suffix: str = "_delta", latest=None) -> DataFrame:
+    """``snapshot_delta`` in one scan: keys, ``carry`` columns, values and deltas.
+
+    Both snapshots are read together and brought side by side by one grouping
+    on the keys (partial sums before the shuffle, NULL keys a group of their
+    own).  Needs keys that name one row of a snapshot; where one does not, its
+    greatest row counts.
+    """
+    keys = list(keys)
+    mx = latest_or(df, date_col, latest)
+    cols = list(dict.fromkeys([*carry, *value_cols]))
+    two = two_snapshots(df.select(*keys, date_col, *[c for c in cols if c not in keys]),
+                        date_col, days, latest)
+    is_new = F.col(date_col) == mx
+    sides = two.groupBy(*keys).agg(
+        F.max(F.when(is_new, F.struct(*cols))).alias("__new"),
+        F.max(F.when(~is_new, F.struct(*value_cols))).alias("__old"))
+    return sides.filter(F.col("__new").isNotNull()).select(
+        *keys, *[F.col(f"__new.{c}").alias(c) for c in cols if c not in keys],
+        *[(F.col(f"__new.{v}") - F.col(f"__old.{v}")).alias(v + suffix) for v in value_cols])
+
+
 def period_delta(df: DataFrame, keys, value_cols, date_col: str = "Date",
                  days: int = 7, suffix: str = "_delta") -> DataFrame:
     """For every (key, date): ``value - value at date - days`` (NULL if absent).

@@ -63,6 +63,11 @@ def join_dim(df: DataFrame, dim: DataFrame, left_on, right_on, how: str = "inner
 
 def scalar_value(df: DataFrame, key_col: str, key_value, value) -> Column:
     """Value of ``value`` on the row where key_col == key_value, as a scalar
-    subquery usable inside row expressions (errors if several rows match)."""
+    subquery usable inside row expressions.  Evaluating it raises unless
+    exactly one row matches, as a missing row must not turn into a NULL."""
     v = F.col(value) if isinstance(value, str) else value
-    return df.filter(F.col(key_col) == F.lit(key_value)).select(v).scalar()
+    one = df.filter(F.col(key_col) == F.lit(key_value)).agg(
+        F.count(F.lit(1)).alias("n"), F.max(v).alias("v"))
+    wrong = F.raise_error(F.format_string(f"{key_col} = {key_value}: %d rows, not one", F.col("n")))
+    return one.select(F.when(F.col("n") == 1, F.col("v")).otherwise(
+        wrong.cast(one.schema["v"].dataType))).scalar()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,13 +13,16 @@ def group_total(df: DataFrame, group_cols, value_col: str,
     """Attach Σ value over each group to every row of the group.
 
     Totals are aggregated first (map-side partial sums, one row per group) and
-    joined back; AQE broadcasts the totals when they are measured small and
-    splits a hot group's partition otherwise.  No window has to buffer a
-    whole group in one task.
+    joined back, a NULL group with its own total; AQE broadcasts the totals
+    when they are measured small and splits a hot group's partition otherwise.
+    No window has to buffer a whole group in one task.
     """
     group_cols = list(group_cols)
-    totals = df.groupBy(*group_cols).agg(F.sum(value_col).alias(out_col))
-    return df.join(totals, on=group_cols, how="left")
+    totals = df.groupBy(*[F.col(g).alias(f"__g_{g}") for g in group_cols]).agg(
+        F.sum(value_col).alias(out_col))
+    same = reduce(lambda a, b: a & b,
+                  [df[g].eqNullSafe(totals[f"__g_{g}"]) for g in group_cols])
+    return df.join(totals, same, "left").drop(*[f"__g_{g}" for g in group_cols])
 
 
 def group_share(df: DataFrame, group_cols, value_col: str, scale: float = 100.0,

@@ -31,12 +31,13 @@ def two_snapshots(df: DataFrame, date_col: str = "Date", days: int = 7,
                   latest=None) -> DataFrame:
     """Rows dated max(date) or max(date) - days.
 
-    One scalar subquery (or the given latest date); on a history partitioned
-    by date the predicate is a partition filter, so only the two snapshot
-    folders are read.
+    The date column is compared with two values, so with a given latest date
+    the filter is pushed to the scan, and on a history partitioned by date
+    only the two snapshot folders are read; without one they come from a scalar
+    subquery.
     """
     mx = latest_or(df, date_col, latest)
-    return df.filter(F.datediff(mx, F.col(date_col)).isin(0, days))
+    return df.filter(F.col(date_col).isin(mx, F.date_sub(mx, days)))
 
 
 def newer_than(df: DataFrame, ref: DataFrame, date_col: str = "Date",

@@ -1,9 +1,11 @@
 """Named queries over the driver tables, each with its DuckDB oracle SQL.
 
-``QUERIES[name](spark, sf_dir)`` returns a lazy DataFrame; ``ORACLE[name]`` is
+``QUERIES[name](spark, sf_dir)`` returns a DataFrame; ``ORACLE[name]`` is
 the same result written as SQL over the driver's tables.  Column names match
-on both sides.  Queries that exercise file sources write Spark-derived data to
-a fresh folder under the session's shared checkpoint dir and read it back.
+on both sides.  Building a query may run jobs: those over the jurisdiction
+history store it and resolve its latest date first, and those that exercise
+file sources write Spark-derived data to a fresh folder under the session's
+shared checkpoint dir and read it back.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from ..functions import (add_days, display_string, first_match, is_in, lateness_
                          ne_and_not_null, nonzero, not_in_keep_null, parse_thousands,
                          per_capita, round_half_even, str_trim, thousands,
                          weighted_sum, month_label)
-from ..functions.dates import MAX_OFFSET_DAYS
+from ..functions import date_text
 from ..functions.text import TRIM_PATTERN
 from ..operators.deltas import pct_change, period_delta, row_delta, snapshot_delta
 from ..operators.joins import join_dim, scalar_value
@@ -54,7 +56,7 @@ def query(name: str, sql: str | None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql.strip().replace("{MAXOFF}", str(MAX_OFFSET_DAYS))
+            ORACLE[name] = sql.strip()
         return fn
     return deco
 
@@ -128,6 +130,15 @@ def feed_scan_to_date(spark: SparkSession, d: str) -> DataFrame:
     return read_feed_to_date(spark, path, ev.schema, "ts")
 
 
+def _month_sql(date: str) -> str:
+    return f"(strftime({date}, '%B ') || CAST(year({date}) AS VARCHAR))"
+
+
+def _date_text_sql(date: str) -> str:
+    return (f"(CAST(year({date}) AS VARCHAR) || '-' || lpad(CAST(month({date}) AS VARCHAR), 2, '0')"
+            f" || '-' || lpad(CAST(day({date}) AS VARCHAR), 2, '0'))")
+
+
 TARGET_SQL_BODY = f"""
 mx AS (SELECT max(Date) AS d FROM snap),
 newer AS (SELECT * FROM snap WHERE Date = (SELECT d FROM mx) AND {NOT_EXCL_NAMES}),
@@ -154,8 +165,7 @@ tot AS (
            AS "% Population Fully Immunized",
          format('{{:,}}', CAST((SELECT sum(doses_last_week) FROM det) AS BIGINT))
            AS "Doses administered in the last week",
-         strftime(CASE WHEN abs(t.days) <= {MAX_OFFSET_DAYS}
-                       THEN (SELECT d FROM mx) + CAST(t.days AS INTEGER) END, '%B %Y')
+         {_month_sql("(SELECT d FROM mx) + CAST(t.days AS INTEGER)")}
            AS "Estimated to 70% Pop 2 Doses"
   FROM (SELECT round_even((((SELECT Census2019 FROM nat) * CAST(0.7 AS DOUBLE)
                  - (SELECT {D1} FROM nat)) / NULLIF((SELECT p FROM pace), 0)) * 7 + 28, 0)
@@ -165,8 +175,7 @@ shown AS (
          lpad(format('{{:,}}', doses_last_week),
               CAST(max(length(format('{{:,}}', doses_last_week))) OVER () AS INTEGER), ' ')
            AS "Doses administered in the last week",
-         strftime(CASE WHEN abs(sort_days) <= {MAX_OFFSET_DAYS}
-                       THEN (SELECT d FROM mx) + CAST(sort_days AS INTEGER) END, '%B %Y')
+         {_month_sql("(SELECT d FROM mx) + CAST(sort_days AS INTEGER)")}
            AS "Estimated to 70% Pop 2 Doses"
   FROM det)
 """
@@ -204,7 +213,7 @@ EVENTS_PANEL_SQL = W(EVENTS_SQL) + "SELECT Location, Date, events, value_cents F
 @query("streaming_ingest", EVENTS_PANEL_SQL)
 def streaming_ingest(spark: SparkSession, d: str) -> DataFrame:
     """Snapshots land as JSON documents; a Structured Streaming query
-    (availableNow, foreachBatch) appends each date once to a partitioned
+    (availableNow, foreachBatch) appends each row once to a partitioned
     history, which is then read back."""
     from ..streaming.ingest import start_snapshot_ingest
     panel = S.events_panel(spark, d)
@@ -216,14 +225,19 @@ def streaming_ingest(spark: SparkSession, d: str) -> DataFrame:
                                 T.StructField("events", T.LongType()),
                                 T.StructField("value_cents", T.LongType()),
                                 T.StructField("Date", T.DateType())])
+    text = panel.withColumn("Date", F.date_format("Date", "yyyy-MM-dd"))
     landing = scratch_path(spark, "streaming_landing")
-    write_json_envelopes(panel.withColumn("Date", F.date_format("Date", "yyyy-MM-dd")),
-                         landing, "records")
     hist_path = scratch_path(spark, "streaming_history")
-    q = start_snapshot_ingest(spark, landing, record, "records", hist_path, hist_schema,
-                              scratch_path(spark, "streaming_checkpoint"),
-                              normalise=lambda df: df.withColumn("Date", F.to_date("Date")))
-    q.awaitTermination()
+    checkpoint = scratch_path(spark, "streaming_checkpoint")
+    # Every date lands split over the files of two deliveries, the second of
+    # them late, and each run takes the files in several micro-batches.
+    late = F.pmod(F.xxhash64("Location"), F.lit(2)) == 0
+    for part in (text.filter(~late), text.filter(late)):
+        write_json_envelopes(part.repartition(4, "Location"), landing, "records", mode="append")
+        q = start_snapshot_ingest(spark, landing, record, "records", hist_path, hist_schema,
+                                  checkpoint, max_files_per_trigger=2,
+                                  normalise=lambda df: df.withColumn("Date", F.to_date("Date")))
+        q.awaitTermination()
     return read_history(spark, hist_path, hist_schema).select("Location", "Date", "events",
                                                               "value_cents")
 
@@ -235,6 +249,25 @@ def append_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return append_by_date(panel.filter(F.col("Date") < mx), panel.filter(F.col("Date") == mx))
 
 
+@query("store_snapshot", EVENTS_PANEL_SQL)
+def store_snapshot_q(spark: SparkSession, d: str) -> DataFrame:
+    """The stored path: a backfill of all days but the last, the last day as one
+    snapshot without its value column's order, and both once more."""
+    from ..sources.history import store_snapshot
+    panel = S.stored(S.events_panel(spark, d), "events_panel")
+    schema = T.StructType([T.StructField("Location", T.StringType()),
+                           T.StructField("events", T.LongType()),
+                           T.StructField("value_cents", T.LongType()),
+                           T.StructField("Date", T.DateType())])
+    mx = F.lit(resolve_latest(panel))
+    path = scratch_path(spark, "stored_history")
+    for _ in range(2):
+        store_snapshot(spark, panel.filter(F.col("Date") < mx), path, schema, backfill=True)
+        store_snapshot(spark, panel.filter(F.col("Date") == mx).select(
+            "value_cents", "Date", "Location", "events"), path, schema)
+    return read_history(spark, path, schema).select("Location", "Date", "events", "value_cents")
+
+
 @query("append_snapshot_noop", W(EVENTS_SQL) + """
 SELECT Location, Date, events, value_cents FROM epanel
 WHERE Date < (SELECT max(Date) FROM epanel)""")
@@ -288,10 +321,15 @@ def regex_rename_q(spark: SparkSession, d: str) -> DataFrame:
     return regex_rename(wide, K.BAND_LABEL_PATTERN)
 
 
-@query("display_cast", W(NATION_SQL) + """
+def _plain_sql(expr: str) -> str:
+    """A number's plain text without trailing zeros."""
+    return f"regexp_replace(CAST(CAST({expr} AS DECIMAL(38, 9)) AS VARCHAR), '\\.?0+$', '')"
+
+
+@query("display_cast", W(NATION_SQL) + f"""
 SELECT LongName,
-       CAST(CAST(round_even(CAST(Doses_Distributed AS DOUBLE), 0) AS BIGINT) AS VARCHAR) AS delivered,
-       CAST(CAST(round_even(Administered_Dose1_Pop_Pct * 1000, 0) AS BIGINT) AS VARCHAR) AS dose1_per_100k
+       {_plain_sql("Doses_Distributed")} AS delivered,
+       {_plain_sql("Administered_Dose1_Pop_Pct * 1000")} AS dose1_per_100k
 FROM latest""")
 def display_cast(spark: SparkSession, d: str) -> DataFrame:
     _, snap, _ = _nation(spark, d)
@@ -491,19 +529,28 @@ def _band_diff(spark, d, feed=None):
         .select("date", "demographic_category", F.col("series_complete_yes_diff").alias("diff"))
 
 
-@query("group_sum_back", W(FEED_SQL, BAND_DIFF_SQL) + """
-SELECT date, demographic_category, diff,
-       CAST(sum(diff) OVER (PARTITION BY date) AS BIGINT) AS day_total FROM fd""")
+# Sundays have no group: their rows form the NULL group.
+WORKDAY_SQL = "CASE WHEN dayofweek(date) <> 0 THEN date END"
+
+
+def _with_workday(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("workday", F.when(F.dayofweek("date") != 1, F.col("date")))
+
+
+@query("group_sum_back", W(FEED_SQL, BAND_DIFF_SQL) + f"""
+SELECT date, demographic_category, diff, workday,
+       CAST(sum(diff) OVER (PARTITION BY workday) AS BIGINT) AS day_total
+FROM (SELECT *, {WORKDAY_SQL} AS workday FROM fd)""")
 def group_sum_back(spark: SparkSession, d: str) -> DataFrame:
-    return group_total(_band_diff(spark, d), ["date"], "diff", "day_total")
+    return group_total(_with_workday(_band_diff(spark, d)), ["workday"], "diff", "day_total")
 
 
-@query("group_share", W(FEED_SQL, BAND_DIFF_SQL) + """
+@query("group_share", W(FEED_SQL, BAND_DIFF_SQL) + f"""
 SELECT date, demographic_category,
-       (CAST(diff AS DOUBLE) / NULLIF(sum(diff) OVER (PARTITION BY date), 0)) * 100 AS share
-FROM fd""")
+       (CAST(diff AS DOUBLE) / NULLIF(sum(diff) OVER (PARTITION BY workday), 0)) * 100 AS share
+FROM (SELECT *, {WORKDAY_SQL} AS workday FROM fd)""")
 def group_share_q(spark: SparkSession, d: str) -> DataFrame:
-    return group_share(_band_diff(spark, d), ["date"], "diff").select(
+    return group_share(_with_workday(_band_diff(spark, d)), ["workday"], "diff").select(
         "date", "demographic_category", "share")
 
 
@@ -529,9 +576,11 @@ def share_pivot_q(spark: SparkSession, d: str) -> DataFrame:
 
 # ============================ windows =========================================
 @query("period_delta", W(NATION_SQL) + f"""
-SELECT s.Date, s.Location, s.{D1} - o.{D1} AS {D1}_delta,
-       s.Doses_Administered - o.Doses_Administered AS Doses_Administered_delta
-FROM snap s LEFT JOIN snap o ON s.Location = o.Location AND s.Date = o.Date + 7""")
+SELECT Date, Location, {D1} - max({D1}) OVER week_ago AS {D1}_delta,
+       Doses_Administered - max(Doses_Administered) OVER week_ago AS Doses_Administered_delta
+FROM snap WINDOW week_ago AS (
+  PARTITION BY Location ORDER BY Date
+  RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 7 DAY PRECEDING)""")
 def period_delta_q(spark: SparkSession, d: str) -> DataFrame:
     hist = S.nation_history(spark, d).select("Date", "Location", D1, "Doses_Administered")
     return period_delta(hist, ["Location"], [D1, "Doses_Administered"]).select(
@@ -681,16 +730,15 @@ def weighted_units(spark: SparkSession, d: str) -> DataFrame:
                                                          ("Distributed_Janssen", 1)]).alias("courses"))
 
 
-@query("goal_projection", W(NATION_SQL, TARGET_SQL_BODY) + """
+@query("goal_projection", W(NATION_SQL, TARGET_SQL_BODY) + f"""
 SELECT LongName, sort_days,
-       CASE WHEN abs(sort_days) <= {MAXOFF} THEN (SELECT d FROM mx) + CAST(sort_days AS INTEGER) END
-         AS target_date
+       {_date_text_sql("(SELECT d FROM mx) + CAST(sort_days AS INTEGER)")} AS target_date
 FROM det""")
 def goal_projection(spark: SparkSession, d: str) -> DataFrame:
     hist, snap, dim = _nation(spark, d)
     det = R.target_detail(hist, dim, _as_of(hist), excluded_names=S.EXCLUDED_NAMES)
     return det.select("LongName", "sort_days",
-                      add_days(_as_of(hist), F.col("sort_days")).alias("target_date"))
+                      date_text(add_days(_as_of(hist), F.col("sort_days"))).alias("target_date"))
 
 
 @query("month_label", """
@@ -801,7 +849,7 @@ state AS (
          Complete_Vaccinations_Per_100K AS "People Completely Vaccinated per 100k"
   FROM (SELECT * FROM tot2 UNION ALL
         SELECT LongName, CAST(Doses_Distributed AS VARCHAR), CAST(Doses_Administered AS VARCHAR),
-               CAST(CAST(round_even(Administered_Dose1_Per_100K, 0) AS BIGINT) AS VARCHAR),
+               {_plain_sql("Administered_Dose1_Per_100K")},
                CAST(CAST(Complete_Vaccinations_Per_100K AS BIGINT) AS VARCHAR)
         FROM det2))
 """
@@ -893,19 +941,20 @@ j AS (
 k AS (
   SELECT *, round_even(((Census2019_18PlusPop_2 - courses) / NULLIF(cd, 0)) * 7, 0) AS days FROM j),
 p AS (
-  SELECT *, CASE WHEN abs(days) <= {MAX_OFFSET_DAYS} THEN (SELECT d FROM mx) + CAST(days AS INTEGER) END AS ad
-  FROM k)
+  SELECT *, (SELECT d FROM mx) + CAST(days AS INTEGER) AS ad FROM k)
 SELECT LongName AS "State",
        CAST(round_even((CAST({D2} + {J} AS DOUBLE) / NULLIF(Census2019, 0)) * 100000, 0) AS BIGINT)
          AS "People Vaccinated per 100K",
        Census2019_18PlusPop_2 AS "Population",
        {_lateness_sql('ad', '(SELECT d FROM mx)')} AS "How far behind",
-       ad AS "100% Vaccine Availability Est. Date"
+       {_date_text_sql('ad')} AS "100% Vaccine Availability Est. Date"
 FROM p""")
 def report_supply(spark: SparkSession, d: str) -> DataFrame:
     hist, _, dim = _nation(spark, d)
     as_of = _as_of(hist)
-    return R.report_supply(hist, dim, as_of, goal=as_of, excluded_names=S.EXCLUDED_NAMES_SUPPLY)
+    rep = R.report_supply(hist, dim, as_of, goal=as_of, excluded_names=S.EXCLUDED_NAMES_SUPPLY)
+    day = K.SUPPLY_NAMES["availability_date"]
+    return rep.withColumn(day, date_text(F.col(f"`{day}`")))
 
 
 @query("report_rolling", W(NATION_SQL) + f"""

@@ -5,7 +5,10 @@ snapshot into the date-partitioned history (once per date), then derive the
 state table, map, target projection, supply projection, rolling growth,
 county table and age-share history, each written as a header CSV under
 ``out_dir/<table>/``.  Each table is independent: a failing one is reported
-and does not stop the others.  Outputs never overwrite an input.
+and does not stop the others; without a snapshot, the tables that need none
+are still published.  An output that equals, holds or lies in an input is
+refused before anything is deleted, so the age-share history is carried on by
+reading yesterday's output and writing to today's folder.
 """
 
 from __future__ import annotations
@@ -17,8 +20,12 @@ from pyspark.sql import SparkSession, functions as F
 
 from .. import constants as K
 from .. import schemas
-from ..sources.files import read_csv_typed, read_feed_to_date, read_json_envelope, write_csv
-from ..sources.history import read_history, store_snapshot
+from ..operators.reshape import normalise_snapshot
+from ..operators.shares import label_from_pattern
+from ..operators.snapshots import resolve_latest
+from ..sources.files import (EmptyInput, csv_header, dated_path, read_csv_typed,
+                             read_feed_to_date, read_json_envelope, refuse_overlap, write_csv)
+from ..sources.history import BadSnapshot, read_history, store_snapshot
 from . import reports as R
 
 
@@ -40,40 +47,68 @@ class DailyInputs:
     dated_outputs: bool = False              # out_dir/<table>/run_date=YYYY-MM-DD/
 
 
+def read_share_history(spark: SparkSession, path: str, categories=K.AGE_CATEGORIES):
+    """The share history as its header names it: a date and any of the bands, as
+    histories from before a band was added hold fewer.  Comes with all bands in
+    the categories' order, a missing one NULL."""
+    bands = [label_from_pattern(c, K.BAND_LABEL_PATTERN) for c in categories]
+    header = csv_header(spark, path)
+    unknown = set(header) - {"Date", *bands}
+    if unknown or "Date" not in header:
+        raise ValueError(f"share history has columns {header}; known are Date and {bands}")
+    known = {f.name: f for f in schemas.share_history(bands).fields}
+    old = read_csv_typed(spark, path, schemas.T.StructType([known[c] for c in header]))
+    return old.select("Date", *[F.col(f"`{b}`") if b in header
+                                else F.lit(None).cast("double").alias(b) for b in bands])
+
+
 def run_daily(spark: SparkSession, inp: DailyInputs) -> dict:
     """Returns {table: "ok" | "rows appended: n" | error text}."""
     status: dict = {}
     run_date = inp.as_of or dt.date.today()
     as_of = F.lit(run_date)
+    inputs = [p for p in (inp.snapshot_json, inp.population_csv, inp.history_path,
+                          inp.county_json, inp.age_feed_csv, inp.age_history_csv) if p]
 
     landed = read_json_envelope(spark, inp.snapshot_json, schemas.SNAPSHOT_RECORD,
                                 inp.snapshot_field, inp.head_field, inp.multi_line)
-    snapshot = R.normalise_snapshot(landed).select(*schemas.SNAPSHOT.fieldNames())
-    # fails fast (history untouched) on an empty document or a type clash
-    n = store_snapshot(spark, snapshot, inp.history_path, schemas.SNAPSHOT)
-    status["history"] = f"rows appended: {n}"
-
-    hist = read_history(spark, inp.history_path, schemas.SNAPSHOT)
-    latest = hist.agg(F.max("Date")).first()[0]
-    snap = hist.filter(F.col("Date") == F.lit(latest))
-    dim = read_csv_typed(spark, inp.population_csv, schemas.POPULATION)
+    snapshot = normalise_snapshot(landed).select(*schemas.SNAPSHOT.fieldNames())
+    try:
+        # the history stays as it is on an empty document, a type clash, a
+        # missing date, or more dates than one
+        n = store_snapshot(spark, snapshot, inp.history_path, schemas.SNAPSHOT)
+        status["history"] = f"rows appended: {n}"
+        landed_ok = True
+    except (EmptyInput, BadSnapshot) as e:
+        status["history"] = f"{type(e).__name__}: {e}"
+        landed_ok = False
 
     def publish(name, build, bounded=True):
         """``bounded`` tables (one row per jurisdiction, day or category) are
         written as one file; the county table grows with its feed, so it
         keeps one file per task rather than passing through a single task."""
+        path = f"{inp.out_dir}/{name}"
+        path = dated_path(path, run_date) if inp.dated_outputs else path
         try:
-            write_csv(build(), f"{inp.out_dir}/{name}", single_file=bounded,
-                      run_date=run_date if inp.dated_outputs else None)
+            refuse_overlap(spark, path, inputs)
+            write_csv(build(), path, single_file=bounded)
             status[name] = "ok"
         except Exception as e:  # noqa: BLE001 — report and continue with the next table
             status[name] = f"{type(e).__name__}: {e}"
 
-    publish("state_table", lambda: R.report_state_table(snap))
-    publish("map", lambda: R.report_map(snap, dim))
-    publish("target", lambda: R.report_target(hist, snap, dim, as_of, latest=latest))
-    publish("supply", lambda: R.report_supply(hist, dim, as_of, latest=latest))
-    publish("rolling", lambda: R.report_rolling(hist))
+    if landed_ok:
+        hist = read_history(spark, inp.history_path, schemas.SNAPSHOT)
+        latest = resolve_latest(hist)
+        snap = hist.filter(F.col("Date") == F.lit(latest))
+        dim = read_csv_typed(spark, inp.population_csv, schemas.POPULATION)
+        publish("state_table", lambda: R.report_state_table(snap))
+        publish("map", lambda: R.report_map(snap, dim))
+        publish("target", lambda: R.report_target(hist, snap, dim, as_of, latest=latest))
+        publish("supply", lambda: R.report_supply(hist, dim, as_of, latest=latest))
+        publish("rolling", lambda: R.report_rolling(hist))
+    else:
+        for name in ("state_table", "map", "target", "supply", "rolling"):
+            status[name] = "skipped: no snapshot landed"
     if inp.county_json:
         publish("county", lambda: R.report_county(read_json_envelope(
             spark, inp.county_json, schemas.COUNTY_RECORD, inp.county_field,
@@ -81,7 +116,7 @@ def run_daily(spark: SparkSession, inp: DailyInputs) -> dict:
     if inp.age_feed_csv and inp.age_history_csv:
         def age():
             feed = read_feed_to_date(spark, inp.age_feed_csv, schemas.AGE_FEED, "date")
-            old = read_csv_typed(spark, inp.age_history_csv, schemas.share_history())
+            old = read_share_history(spark, inp.age_history_csv, inp.age_categories)
             return R.report_age_share(feed, old, categories=inp.age_categories)
         publish("age_share", age)
     return status
@@ -113,7 +148,8 @@ def main(argv=None) -> int:
         age_history_csv=a.age_history, multi_line=not a.json_lines,
         as_of=dt.date.fromisoformat(a.as_of) if a.as_of else None, dated_outputs=a.dated))
     print(json.dumps(status, indent=1))
-    failed = [k for k, v in status.items() if k != "history" and v != "ok"]
+    failed = [k for k, v in status.items()
+              if v != "ok" and not (k == "history" and v.startswith("rows appended"))]
     return 1 if failed else 0
 
 

@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as K
-from ..functions import (add_days, display_string, lateness_label, month_label,
+from ..functions import (add_days, display_string, lateness_of_days, month_label,
                          ne_and_not_null, nonzero, not_in_keep_null, per_capita,
                          round_half_even, safe_div, str_trim, thousands, weighted_sum)
-from ..operators.deltas import row_delta, snapshot_delta
-from ..operators.joins import join_dim, scalar_value
-from ..operators.reshape import canonical_value, rename_columns
+from ..operators.deltas import row_delta, snapshot_pairs
+from ..operators.joins import fits_broadcast, join_dim, scalar_value
+from ..operators.reshape import normalise_snapshot, rename_columns
 from ..operators.rolling import trailing_mean
 from ..operators.shares import share_pivot
 from ..operators.snapshots import newer_than, resolve_latest
@@ -34,12 +34,6 @@ def _latest(history: DataFrame, latest):
     return resolve_latest(history) if latest is None else latest
 
 
-def normalise_snapshot(records: DataFrame, names=K.CANONICAL_NAMES) -> DataFrame:
-    """Feed records → snapshot rows: text date → date, canonical names."""
-    return (records.withColumn("Date", F.to_date("Date"))
-                   .withColumn("LongName", canonical_value("LongName", names)))
-
-
 # R1 -------------------------------------------------------------------------
 def report_history(history: DataFrame, records: DataFrame,
                    names=K.CANONICAL_NAMES) -> DataFrame:
@@ -96,16 +90,26 @@ def report_map(snapshot: DataFrame, dim: DataFrame, dim_key: str = "postal_code"
 
 
 # R4 + R4t -------------------------------------------------------------------
+def week_frame(history: DataFrame, period_days: int = K.PERIOD_DAYS, latest=None) -> DataFrame:
+    """What the projections need of the two snapshots, from one scan of them:
+    every row of the latest with its weekly change."""
+    courses = weighted_sum([("Distributed_Moderna", 2), ("Distributed_Pfizer", 2),
+                            ("Distributed_Janssen", 1)])
+    return snapshot_pairs(history.withColumn("courses", courses), ["Location"],
+                          ["LongName", "Census2019", D2, J],
+                          ["Doses_Administered", D1, "courses"], days=period_days,
+                          latest=_latest(history, latest))
+
+
 def target_detail(history: DataFrame, dim: DataFrame, as_of,
                   excluded_names=K.EXCLUDED_NAMES, share: float = K.TARGET_SHARE,
                   period_days: int = K.PERIOD_DAYS,
                   lag_days: int = K.SECOND_DOSE_LAG_DAYS,
-                  dim_key: str = "postal_code", latest=None) -> DataFrame:
+                  dim_key: str = "postal_code", latest=None, frame=None) -> DataFrame:
     """Numeric rows of the target projection, one per state with activity."""
-    d = snapshot_delta(history, ["Location"], ["Doses_Administered", D1],
-                       days=period_days, where=not_in_keep_null("LongName", excluded_names),
-                       latest=_latest(history, latest))
-    d = d.filter(nonzero("Doses_Administered_delta"))
+    frame = week_frame(history, period_days, latest) if frame is None else frame
+    d = frame.filter(not_in_keep_null("LongName", excluded_names)
+                     & nonzero("Doses_Administered_delta"))
     j = join_dim(d, dim, "Location", dim_key)
     days = F.bround(safe_div(F.lit(share) * F.col("Census2019") - F.col(D1),
                              F.col(D1 + "_delta")) * period_days + lag_days)
@@ -129,30 +133,43 @@ def report_target(history: DataFrame, snapshot: DataFrame, dim: DataFrame, as_of
 
     Total row: its first-dose pace sums the weekly deltas of every
     non-excluded entity (no dimension join), its doses figure sums the detail
-    rows, its rates use the national row.  ``snapshot`` may be None (the
-    history's latest date is used).
+    rows, its rates use the national row, which must be there.  ``snapshot`` is
+    not needed any more (the two snapshots of the history hold all).
+
+    The history is scanned twice: for the detail rows, and for one aggregate
+    with everything that the total row and the padding need.
     """
-    latest = _latest(history, latest)
-    if snapshot is None:
-        snapshot = history.filter(F.col("Date") == _lit(latest))
+    frame = week_frame(history, period_days, latest)
     detail = target_detail(history, dim, as_of, excluded_names, share, period_days,
-                           lag_days, dim_key, latest)
-    width = detail.select(F.max(F.length(thousands("doses_last_week")))).scalar()
-    pace = (snapshot_delta(history, ["Location"], [D1], days=period_days,
-                           where=not_in_keep_null("LongName", excluded_names), latest=latest)
-            .agg(F.sum(D1 + "_delta")).scalar())
-    nat = lambda c: scalar_value(snapshot, "Location", national_code, c)
+                           lag_days, dim_key, frame=frame)
+    codes = dim.select(F.col(dim_key).alias("__code")).distinct()
+    codes = F.broadcast(codes) if fits_broadcast(codes) else codes
+    counted = not_in_keep_null("LongName", excluded_names)
+    national = F.col("Location") == F.lit(national_code)
+    shown_row = counted & nonzero("Doses_Administered_delta") & F.col("__code").isNotNull()
+    doses = F.when(shown_row, F.col("Doses_Administered_delta"))
+    sums = frame.join(codes, F.col("Location") == F.col("__code"), "left").agg(
+        F.count(F.when(national, 1)).alias("n"),
+        F.sum(F.when(counted, F.col(D1 + "_delta"))).alias("pace"),
+        F.sum(doses).alias("doses"), F.max(F.length(thousands(doses))).alias("width"),
+        F.max(F.when(national, F.col(D1))).alias("first"),
+        F.max(F.when(national, F.col(D2) + F.col(J))).alias("fully"))
+    wrong = F.raise_error(F.format_string(f"Location = {national_code}: %d rows, not one",
+                                          F.col("n"))).cast("long")
+    # One value, used for the total row and for the padding of the others.
+    one = sums.select(F.struct("pace", "doses", "width", "fully", F.when(
+        F.col("n") == 1, F.col("first")).otherwise(wrong).alias("first"))).scalar()
     pop = _lit(national_population)
-    total_days = F.bround(safe_div(pop * F.lit(share) - nat(D1), pace)
+    total_days = F.bround(safe_div(pop * F.lit(share) - one["first"], one["pace"])
                           * period_days + lag_days)
-    total = total_row(detail, "LongName", total_label, sums=("doses_last_week",), extra={
-        "pct_fully": round_half_even(safe_div(nat(F.col(D2) + F.col(J)), pop) * 100, 1),
-        "target_month": month_label(add_days(_lit(as_of), total_days))})
-    total = total.select("LongName", "pct_fully",
-                         thousands("doses_last_week").alias("doses_last_week"),
-                         "target_month", F.lit(None).cast("double").alias("sort_days"))
+    total = history.sparkSession.range(1).select(
+        F.lit(total_label).alias("LongName"),
+        round_half_even(safe_div(one["fully"], pop) * 100, 1).alias("pct_fully"),
+        thousands(one["doses"]).alias("doses_last_week"),
+        month_label(add_days(_lit(as_of), total_days)).alias("target_month"),
+        F.lit(None).cast("double").alias("sort_days"))
     shown = detail.withColumn("doses_last_week",
-                              F.lpad(thousands("doses_last_week"), width, " "))
+                              F.lpad(thousands("doses_last_week"), one["width"], " "))
     out = with_total_row(total, shown, group_col="__grp")
     out = out.orderBy("__grp", F.col("sort_days").asc_nulls_last(), "LongName")
     return rename_columns(out.drop("__grp", "sort_days"), K.TARGET_NAMES)
@@ -163,25 +180,20 @@ def report_supply(history: DataFrame, dim: DataFrame, as_of, goal=K.GOAL_DATE,
                   excluded_names=K.EXCLUDED_NAMES_SUPPLY, period_days: int = K.PERIOD_DAYS,
                   dim_key: str = "postal_code", latest=None) -> DataFrame:
     """Projected date of full vaccine availability and how late that is."""
-    latest = _latest(history, latest)
-    h = history.withColumn("courses", weighted_sum([("Distributed_Moderna", 2),
-                                                    ("Distributed_Pfizer", 2),
-                                                    ("Distributed_Janssen", 1)]))
-    d = snapshot_delta(h, ["Location"], ["courses"], days=period_days,
-                       where=not_in_keep_null("LongName", excluded_names), latest=latest)
-    d = d.filter(nonzero("courses_delta"))
+    d = week_frame(history, period_days, latest).filter(
+        not_in_keep_null("LongName", excluded_names) & nonzero("courses_delta"))
     j = join_dim(d, dim, "Location", dim_key)
     days = safe_div(F.col("Census2019_18PlusPop_2") - F.col("courses"),
                     F.col("courses_delta")) * period_days
-    j = j.withColumn("availability_date", add_days(_lit(as_of), days))
+    j = j.withColumn("days", days).withColumn("availability_date", add_days(_lit(as_of), days))
     out = j.select(
         "LongName",
         F.bround(per_capita(F.col(D2) + F.col(J), "Census2019")).cast("bigint")
         .alias("Complete_Vaccinations_Per_100K"),
         "Census2019_18PlusPop_2",
-        lateness_label("availability_date", goal).alias("lateness"),
-        "availability_date")
-    out = out.orderBy(F.col("availability_date").asc_nulls_last(), "LongName")
+        lateness_of_days("days", _lit(as_of), goal).alias("lateness"),
+        "availability_date", "days")
+    out = out.orderBy(F.col("days").asc_nulls_last(), "LongName").drop("days")
     return rename_columns(out, K.SUPPLY_NAMES)
 
 

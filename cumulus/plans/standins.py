@@ -148,8 +148,8 @@ def nation_snapshots(spark: SparkSession, d: str) -> DataFrame:
     rows = (cum.join(names, "Location")
                .join(nation_population(spark, d), "Location"))
     rows = rows.withColumn("Administered_Dose1_Pop_Pct",
-                           F.bround(safe_div(F.col("Administered_Dose1_Recip") * 1000,
-                                             "Census2019")) / 10)
+                           F.bround(safe_div(F.col("Administered_Dose1_Recip") * 1000000,
+                                             "Census2019")) / 10000)
     return rows.select(*SNAPSHOT_COLS)
 
 
@@ -274,7 +274,7 @@ li_o AS (
          sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS items_r,
          sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) AS items_n
   FROM lineitem GROUP BY l_orderkey),
-nd AS (
+nd AS MATERIALIZED (
   SELECT lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') AS Location,
          CAST(o.o_orderdate AS DATE) AS Date,
          sum(p.qty) AS Doses_Distributed, sum(p.items) AS Doses_Administered,
@@ -291,7 +291,7 @@ ngrid AS (
   SELECT Location, CAST(unnest(generate_series(CAST(d0 AS TIMESTAMP),
          CAST((SELECT max(Date) FROM nd) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS Date
   FROM (SELECT Location, min(Date) AS d0 FROM nd GROUP BY 1)),
-ncum AS (
+ncum AS MATERIALIZED (
   SELECT g.Location, g.Date,
   {", ".join(f"CAST(sum(coalesce(nd.{m}, 0)) OVER w AS BIGINT) AS {m}" for m in MEASURES)}
   FROM ngrid g LEFT JOIN nd ON g.Location = nd.Location AND g.Date = nd.Date
@@ -320,12 +320,12 @@ nboth AS (
   FROM (SELECT Date, {", ".join(_sum_bigint(m) + " AS " + m for m in MEASURES)}
         FROM nrows GROUP BY Date) t
   JOIN npop p ON p.Location = '{PARENT_CODE}'),
-snap AS (
+snap AS MATERIALIZED (
   SELECT Date, Location, LongName, Census2019, Census2019_12PlusPop, Doses_Distributed,
          Doses_Administered, Administered_Dose1_Recip, Administered_Dose2_Recip,
          Administered_Janssen,
-         round_even(CAST(Administered_Dose1_Recip * 1000 AS DOUBLE) / NULLIF(Census2019, 0), 0)
-           / 10 AS Administered_Dose1_Pop_Pct,
+         round_even(CAST(Administered_Dose1_Recip * 1000000 AS DOUBLE) / NULLIF(Census2019, 0), 0)
+           / 10000 AS Administered_Dose1_Pop_Pct,
          Distributed_Moderna, Distributed_Pfizer, Distributed_Janssen
   FROM nboth),
 latest AS (SELECT * FROM snap WHERE Date = (SELECT max(Date) FROM snap)),

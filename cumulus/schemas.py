@@ -20,7 +20,6 @@ SNAPSHOT = _st(
     ("Administered_Janssen", L), ("Administered_Dose1_Pop_Pct", D),
     ("Distributed_Moderna", L), ("Distributed_Pfizer", L), ("Distributed_Janssen", L),
 )
-SNAPSHOT_MEASURES = [f.name for f in SNAPSHOT.fields[3:]]
 
 # Same record as it arrives in the JSON feed: the date is text.
 SNAPSHOT_RECORD = T.StructType(
@@ -68,12 +67,6 @@ def share_history(bands=AGE_BANDS_AS_PUBLISHED, date_col: str = "Date") -> T.Str
                         + [T.StructField(b, D, True) for b in bands])
 
 
-def envelope(record: T.StructType, field: str, head_field: str = "meta") -> T.StructType:
-    """A JSON document: a leading field, then the list of records."""
-    return T.StructType([T.StructField(head_field, S, True),
-                         T.StructField(field, T.ArrayType(record), True)])
-
-
 # The driver's Parquet tables (file column order), declared so a scan plans
 # without a schema-inference job (Spark otherwise reads a footer in its own
 # job for every table it opens).  Timestamps carry no zone: timestamp_ntz.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,13 +67,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused folder under the shared dir for one derived table."""
-    return f"{shared_dir(spark)}/cumulus/{name}/{uuid.uuid4().hex}"
+    """A fresh, never-reused folder under the shared dir for one derived table.
 
-
-def ensure_local_dir(path: str) -> str:
-    """Create a local parent folder when ``path`` is a plain local path."""
-    if "://" not in path or path.startswith("file:"):
-        local = path[5:] if path.startswith("file:") else path
-        os.makedirs(os.path.dirname(local.rstrip("/")) or ".", exist_ok=True)
-    return path
+    All of an application's lie in one folder, which its file system removes
+    when the driver's JVM ends."""
+    sc = spark.sparkContext
+    top = f"{shared_dir(spark)}/cumulus/{sc.applicationId}"
+    p = sc._jvm.org.apache.hadoop.fs.Path(top)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+    return f"{top}/{name}/{uuid.uuid4().hex}"

@@ -23,15 +23,25 @@ def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
-                   null_value: str = "NA", mode: str = "PERMISSIVE") -> DataFrame:
-    """Header CSV with declared types; empty fields and ``null_value`` → NULL."""
+                   null_value: str = "NA", mode: str = "FAILFAST") -> DataFrame:
+    """Header CSV with declared types; empty fields and ``null_value`` → NULL.
+
+    The header must name the schema's columns in their order, and every row must
+    hold that many values of their types; anything else fails the read.
+    """
     return (spark.read.schema(schema).option("header", True)
             .option("nullValue", null_value).option("mode", mode)
+            .option("enforceSchema", False)
             .option("timestampNTZFormat", TS_FORMAT)
             .option("timestampFormat", TS_FORMAT)
             .csv(path))
 
 
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a header CSV (reads its first line)."""
+    return spark.read.option("header", True).csv(path).columns
+
+
 def read_feed_to_date(spark: SparkSession, path: str, schema: T.StructType,
                       ts_col: str, null_value: str = "NA") -> DataFrame:
     """Typed CSV feed whose timestamp column is truncated to a date."""
@@ -64,7 +74,7 @@ def extract_json(col, schema: T.StructType) -> Column:
 
 def write_json_envelopes(df: DataFrame, path: str, field: str, batch_col: Column | None = None,
                          head_field: str = "meta", record_cols=None,
-                         batch_rows: int = 1000) -> None:
+                         batch_rows: int = 1000, mode: str = "overwrite") -> None:
     """Write ``df`` as JSON-lines documents {meta, field: [records]}, one
     document per value of ``batch_col``, which must bound the batch size
     (e.g. ``floor(unique_id / 1000)``).  By default a document holds at most
@@ -77,7 +87,7 @@ def write_json_envelopes(df: DataFrame, path: str, field: str, batch_col: Column
     (df.groupBy(batch_col.alias("__batch"))
        .agg(F.collect_list(recs).alias(field))
        .select(F.col("__batch").cast("string").alias(head_field), F.col(field))
-       .write.mode("overwrite").option("timestampNTZFormat", TS_FORMAT)
+       .write.mode(mode).option("timestampNTZFormat", TS_FORMAT)
        .option("timestampFormat", TS_FORMAT).json(path))
 
 
@@ -86,15 +96,41 @@ def dated_path(path: str, run_date) -> str:
     return f"{path.rstrip('/')}/run_date={run_date.isoformat()}"
 
 
+class OutputIsInput(ValueError):
+    """A sink would overwrite files that its own table reads."""
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    from urllib.parse import unquote
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    uri = fs.makeQualified(p).toUri()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{unquote(uri.getPath())}".rstrip("/")
+
+
+def refuse_overlap(spark: SparkSession, output: str, inputs) -> None:
+    """Raise when ``output`` is, holds, or lies in one of the input paths."""
+    out = _qualified(spark, output)
+    for path in {p if p.count("/") < 2 else p.rsplit("/", 1)[0] if p.endswith((".csv", ".parquet",
+                                                                              ".json")) else p
+                 for p in inputs if p}:
+        other = _qualified(spark, path)
+        if out == other or out.startswith(other + "/") or other.startswith(out + "/"):
+            raise OutputIsInput(f"{output} is read by the table to be written there ({path})")
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False,
               null_value: str = "NA", run_date=None) -> str:
     """Header CSV, overwriting ``path`` (or ``path/run_date=…`` when a run date
     is given); returns the folder written.  Leading/trailing blanks are kept
     (padded display columns).  ``single_file`` is for bounded display tables
     only (the final, already-sorted stage runs as one task); large outputs keep
-    one file per task."""
+    one file per task.  A table that reads from the folder is refused before
+    anything is deleted."""
     if run_date is not None:
         path = dated_path(path, run_date)
+    refuse_overlap(df.sparkSession, path, df.inputFiles())
     out = df.coalesce(1) if single_file else df
     (out.write.mode("overwrite").option("header", True)
         .option("nullValue", null_value)

@@ -1,19 +1,22 @@
-"""The snapshot history: append each snapshot date once.
+"""The snapshot history, stored as Parquet partitioned by date.
 
-Stored as Parquet partitioned by date.  An append writes only partitions for
-dates the history does not have yet (dynamic partition overwrite), so a rerun
-of the same snapshot is a no-op and nothing is rewritten or read-while-written.
+A daily snapshot is appended whole, once per date (``store_snapshot``); rows
+that land in several files are appended once per date and key
+(``append_rows``).  Either looks only at the snapshot's own dates in the
+history, so an append costs the same however long the history is.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import rows_at_most
+from ..operators.joins import fits_broadcast, rows_at_most
 from ..operators.snapshots import newer_than
 from ..operators.totals import check_same_types, union_by_name
-from .files import require_rows
+from .files import EmptyInput
 
 
 # A history holds one row per day in its date list; beyond this many days the
@@ -66,32 +69,105 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+class BadSnapshot(ValueError):
+    """A snapshot with a NULL date, or with several dates where one is due."""
+
+
+def _as_schema(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns in its order; a column the rows lack is NULL."""
+    declared = rows.sparkSession.createDataFrame([], schema)
+    check_same_types(declared, rows)
+    return rows.select(*[F.col(f"`{f.name}`") if f.name in rows.columns
+                         else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _dates_of(rows: DataFrame, date_col: str, what: str):
+    """(first, last) date; raises on no rows and on a NULL date.  One aggregate."""
+    r = rows.agg(F.count(F.lit(1)).alias("n"), F.count(date_col).alias("dated"),
+                 F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
+    if not r["n"]:
+        raise EmptyInput(f"no data to parse in {what}")
+    if r["dated"] < r["n"]:
+        raise BadSnapshot(f"{r['n'] - r['dated']} rows without a date in {what}")
+    return r["lo"], r["hi"]
+
+
+def _between(history: DataFrame, date_col: str, lo, hi) -> DataFrame:
+    """The history's rows of these dates: other date folders are not opened."""
+    return history.filter(F.col(date_col).between(F.lit(lo), F.lit(hi)))
+
+
+def _write(rows: DataFrame, path: str, date_col: str, max_records_per_file: int,
+           spread: bool, overwrite: bool) -> None:
+    """Into the date folders.  ``spread``: many dates, so rows are first brought
+    together by date (AQE splits a large date and merges small ones); the rows
+    of a single date are written where they are."""
+    if spread:
+        rows = rows.hint("rebalance", date_col)
+    # Dynamic overwrite is set on the write itself: under the session default
+    # (static) an overwrite would drop every other date folder.
+    (rows.write.mode("overwrite" if overwrite else "append")
+         .option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", max_records_per_file)
+         .partitionBy(date_col).parquet(path))
+
+
 def store_snapshot(spark: SparkSession, snapshot: DataFrame, path: str,
                    schema: T.StructType, date_col: str = "Date",
-                   max_records_per_file: int = 5_000_000) -> int:
+                   max_records_per_file: int = 5_000_000, backfill: bool = False) -> int:
     """Append ``snapshot`` to the history at ``path``; returns rows written.
 
-    Fails fast on an empty snapshot or a schema clash; leaves the history
-    unchanged in both cases.  Every task writes its own rows into the date
-    folder (no repartition by date, which would put a whole snapshot — one
-    date — into one task); files are capped at ``max_records_per_file`` rows.
+    A date that the history has is not appended again, so a rerun is a no-op.
+    Columns the snapshot lacks become NULL.  Raises, the history unchanged, on
+    an empty snapshot, a type clash, a NULL date, and on several dates unless
+    ``backfill`` says that many are meant.
     """
-    require_rows(snapshot, "snapshot")
-    snapshot = snapshot.select(*[F.col(f.name).cast(f.dataType) if f.name not in snapshot.columns
-                                 else F.col(f.name) for f in schema.fields])
-    if _exists(spark, path):
-        hist = read_history(spark, path, schema)
-        check_same_types(hist, snapshot)
-        fresh = _without_known_dates(snapshot, hist, date_col)
-    else:
+    snapshot = _as_schema(snapshot, schema).persist()
+    try:
+        lo, hi = _dates_of(snapshot, date_col, "snapshot")
+        if lo != hi and not backfill:
+            raise BadSnapshot(f"snapshot holds more than one date: {lo} to {hi}")
         fresh = snapshot
-    fresh = fresh.persist()
-    n = fresh.count()
-    if n:
-        # Dynamic overwrite is set on the write itself: under the session
-        # default (static) an overwrite would drop every other date folder.
-        (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .option("maxRecordsPerFile", max_records_per_file)
-              .partitionBy(date_col).parquet(path))
-    fresh.unpersist()
-    return n
+        if _exists(spark, path):
+            hist = _between(read_history(spark, path, schema), date_col, lo, hi)
+            if lo == hi:
+                if not hist.isEmpty():
+                    return 0
+            else:
+                fresh = _without_known_dates(snapshot, hist, date_col)
+        n = fresh.count()
+        if n:
+            _write(fresh, path, date_col, max_records_per_file, lo != hi, overwrite=True)
+        return n
+    finally:
+        snapshot.unpersist()
+
+
+def append_rows(spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType,
+                keys, date_col: str = "Date", max_records_per_file: int = 5_000_000) -> int:
+    """Append the rows whose (date, keys) the history lacks; returns rows written.
+
+    For snapshots that land in several files, at several times: a later file of
+    a known date adds its rows, and the same rows again add none.  Raises on a
+    NULL date or a type clash.
+    """
+    rows = _as_schema(rows, schema).persist()
+    try:
+        lo, hi = _dates_of(rows, date_col, "rows to append")
+        fresh = rows
+        if _exists(spark, path):
+            on = [date_col, *keys]
+            known = _between(read_history(spark, path, schema), date_col, lo, hi).select(
+                *[F.col(c).alias(f"__k_{c}") for c in on]).distinct()
+            known = F.broadcast(known) if fits_broadcast(known) else known
+            same = reduce(lambda a, b: a & b,
+                          [rows[c].eqNullSafe(known[f"__k_{c}"]) for c in on])
+            fresh = rows.join(known, same, "left_anti")
+        fresh = fresh.dropDuplicates([date_col, *keys]).persist()
+        n = fresh.count()
+        if n:
+            _write(fresh, path, date_col, max_records_per_file, lo != hi, overwrite=False)
+        fresh.unpersist()
+        return n
+    finally:
+        rows.unpersist()

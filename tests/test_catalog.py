@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from cumulus.plans import catalog
 
 from .test_plans import check_plan_shape
 
@@ -15,6 +16,10 @@ TABLES = "region nation customer supplier part orders lineitem events documents"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
+# Their SQL binds rows by name, which puts the columns of one side last.
+UNORDERED_COLUMNS = {"union_by_name", "report_age_share"}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -40,7 +45,7 @@ def test_entry_smoke(spark):
     assert df.count() >= 0 and "events_delta" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_plan_and_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     check_plan_shape(name, df)
@@ -51,7 +56,10 @@ def test_query_plan_and_oracle(spark, con, name):
     cur = con.execute(sql)
     cols = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(cols)
-    assert canon(df.columns, rows) == canon(cols, cur.fetchall())
+    want = cur.fetchall()
+    if name not in UNORDERED_COLUMNS:
+        assert df.columns == cols
+    assert canon(df.columns, rows) == canon(cols, want)
 
 
 def test_events_last_day_equals_panel_max(spark):

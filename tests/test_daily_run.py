@@ -11,10 +11,55 @@ from cumulus.sources.history import read_history, store_snapshot
 from .snapshots_fixture import AS_OF, DATES, dim, history
 
 
+BANDS = ("12-15", "16-17", "18-24", "25-39", "40-49", "50-64", "65-74", "75+")
+
+
+def age_feed(spark, scratch, days):
+    rows = [(dt.datetime(2021, 7, 1) + dt.timedelta(days=i), c, None, None, None,
+             (j + 1) * i * i, None, None, None, None)
+            for i in range(days) for j, c in enumerate(K.AGE_CATEGORIES)]
+    path = scratch("age_feed")
+    write_csv(spark.createDataFrame(rows, schemas.AGE_FEED), path)
+    return path
+
+
+def test_age_history_is_carried_from_day_to_day(spark, scratch):
+    empty = scratch("no_snapshot")
+    write_json_envelopes(history(spark).limit(0).withColumn("Date", F.lit("")), empty,
+                         "vaccination_data", head_field="runid")
+    old = scratch("first_history")
+    write_csv(spark.createDataFrame([(dt.date(2021, 7, 8),) + (10.0,) * 7], schemas.share_history()),
+              old, single_file=True)
+    out, hist, pop = scratch("days_out"), scratch("days_hist"), scratch("days_pop")
+    write_csv(dim(spark), pop, single_file=True)
+
+    def run(day, days, previous, dated=True):
+        return run_daily(spark, DailyInputs(
+            snapshot_json=empty, population_csv=pop, history_path=hist, out_dir=out, multi_line=False,
+            age_feed_csv=age_feed(spark, scratch, days), age_history_csv=previous,
+            as_of=day, dated_outputs=dated))
+
+    first = run(dt.date(2021, 7, 12), 12, old)
+    assert first["age_share"] == "ok" and first["history"].startswith("EmptyInput")
+    assert first["target"] == "skipped: no snapshot landed"
+    one = f"{out}/age_share/run_date=2021-07-12"
+    assert run(dt.date(2021, 7, 13), 13, one)["age_share"] == "ok"
+    two = f"{out}/age_share/run_date=2021-07-13"
+    rows = read_csv_typed(spark, two, schemas.share_history(BANDS)).orderBy("Date").collect()
+    assert [r.Date.day for r in rows] == [8, 9, 10, 11, 12, 13]
+    for r in rows[1:]:
+        assert abs(sum(r[b] for b in BANDS) - 100) < 1e-9
+    # an output that is an input is refused, and the history is still there
+    again = run(dt.date(2021, 7, 13), 13, two)
+    assert again["age_share"].startswith("OutputIsInput")
+    assert read_csv_typed(spark, two, schemas.share_history(BANDS)).count() == 6
+
+
 def test_daily_run_end_to_end(spark, scratch):
     h = history(spark)
     hist_path = scratch("daily_hist")
-    store_snapshot(spark, h.filter(F.col("Date") < AS_OF), hist_path, schemas.SNAPSHOT)
+    store_snapshot(spark, h.filter(F.col("Date") < AS_OF), hist_path, schemas.SNAPSHOT,
+                   backfill=True)
 
     landing = scratch("daily_landing")
     recs = h.filter(F.col("Date") == AS_OF).withColumn("Date", F.date_format("Date", "yyyy-MM-dd"))
@@ -50,8 +95,7 @@ def test_daily_run_end_to_end(spark, scratch):
     assert hist.count() == h.count()
     assert hist.filter(F.col("LongName") == "New York").count() == 1   # canonical on landing
     age = read_csv_typed(spark, f"{out}/age_share",
-                         schemas.share_history(("12-15", "16-17", "25-39", "40-49", "50-64",
-                                                "65-74", "75+", "18-24")))
+                         schemas.share_history(BANDS))
     assert age.count() == 1 + 4          # old row + 2021-07-09 … 07-12
     # the county table keeps one file per task; its rows are whole
     county_out = spark.read.option("header", True).csv(f"{out}/county")
@@ -69,7 +113,8 @@ def test_daily_run_command_line(spark, scratch):
     landing = scratch("cli_landing")
     recs = h.filter(F.col("Date") == AS_OF).withColumn("Date", F.date_format("Date", "yyyy-MM-dd"))
     write_json_envelopes(recs, landing, "vaccination_data", head_field="runid")
-    store_snapshot(spark, h.filter(F.col("Date") < AS_OF), hist_path, schemas.SNAPSHOT)
+    store_snapshot(spark, h.filter(F.col("Date") < AS_OF), hist_path, schemas.SNAPSHOT,
+                   backfill=True)
     pop = scratch("cli_pop")
     write_csv(dim(spark), pop, single_file=True)
     out = scratch("cli_out")

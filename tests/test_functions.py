@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cumulus import constants as K
-from cumulus.functions import (add_days, first_match, lateness_label, month_label,
+from cumulus.functions import (add_days, date_text, display_string, first_match,
+                               lateness_label, lateness_of_days, month_label,
                                not_in_keep_null, parse_thousands, per_capita,
                                round_half_even, str_trim, thousands)
 from cumulus.functions.dates import lateness_edges
@@ -70,7 +71,25 @@ def test_add_days_and_month_label(spark):
     assert one(spark, month_label(add_days(as_of, F.lit(10.5)))) == "July 2021"
     assert one(spark, add_days(as_of, F.lit(11.5))) == dt.date(2021, 8, 2)
     assert one(spark, add_days(as_of, F.lit(None).cast("double"))) is None
-    assert one(spark, add_days(as_of, F.lit(1e12))) is None
+    assert one(spark, add_days(as_of, F.lit(1e12))) is None      # outside the date type
+    # 146,097 days are 400 years of the calendar
+    near, far = dt.date(2021, 7, 21) + dt.timedelta(days=76_489), F.lit(263 * 146_097 + 76_489)
+    assert one(spark, month_label(add_days(as_of, far))) == near.strftime("%B ") + str(near.year + 105_200)
+    assert one(spark, date_text(add_days(as_of, far))) == f"{near.year + 105_200}-{near:%m-%d}"
+
+
+@pytest.mark.parametrize("days", [-10**9, -60, -51, -50, -22, 9, 10, 313, 314, 315, 10**12])
+def test_lateness_of_days_is_the_label_of_the_date(spark, days):
+    as_of = F.lit(dt.date(2021, 7, 21))
+    got = one(spark, lateness_of_days(F.lit(days), as_of))
+    far = {-10**9: "Ahead of schedule", 10**12: "1 year+"}
+    assert got == (far[days] if days in far else
+                   one(spark, lateness_label(add_days(as_of, F.lit(days)))))
+
+
+def test_display_string_is_not_rounded(spark):
+    vals = [one(spark, display_string(F.lit(v))) for v in (28650.0, 42.8574 * 1000, 100, 0.5, -3.25, 0)]
+    assert vals == ["28650", "42857.4", "100", "0.5", "-3.25", "0"]
 
 
 def test_not_in_keeps_null(spark):

@@ -4,8 +4,9 @@ import os
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from cumulus.schemas import COUNTY_RECORD, POPULATION
-from cumulus.sources.files import (read_csv_typed, read_json_envelope, write_csv)
+from cumulus.schemas import COUNTY_RECORD, ELIGIBILITY, FIPS, POPULATION
+from cumulus.sources.files import (OutputIsInput, read_csv_typed, read_json_envelope,
+                                   write_csv)
 
 
 def test_json_envelope_second_field_missing_fields_are_null(spark, tmp_path):
@@ -52,14 +53,49 @@ def test_csv_sink_keeps_padding_and_nulls(spark, scratch):
     assert sorted(r.d for r in back.collect()) == ["  5,219", "61,657"]
 
 
-def test_population_dimension_scan(spark):
-    from .published import find_table
-    ref = find_table(",".join(POPULATION.fieldNames()))
-    if ref is None:
-        pytest.skip("population table not present")
-    df = read_csv_typed(spark, ref, POPULATION)
-    assert df.count() == 52
-    assert df.filter(F.col("postal_code").isNull()).count() == 0
+@pytest.mark.parametrize("text,error", [
+    ("Geographic_Area_Name,Census2019_18PlusPop_2,Census2019_2,postal_code,fips_code\nA,1,2,AL,1\n",
+     "header"),                                                        # two columns swapped
+    ("Geographic_Area_Name,Census2019_2,Census2019_18PlusPop_2,postal_code,fips_code,x\nA,1,2,AL,1,9\n",
+     "header"),                                                        # a surplus column
+    ("Geographic_Area_Name,Census2019_2,Census2019_18PlusPop_2,postal_code,fips_code\nA,1,2,AL,1,9\n",
+     "MALFORMED"),                                                     # a surplus value
+    ("Geographic_Area_Name,Census2019_2,Census2019_18PlusPop_2,postal_code,fips_code\n"
+     "A,\"1,234\",2,AL,1\n", "MALFORMED")])                           # not a number
+def test_typed_csv_is_strict(spark, tmp_path, text, error):
+    p = tmp_path / "pop.csv"
+    p.write_text(text)
+    with pytest.raises(Exception, match=f"(?i){error}"):
+        read_csv_typed(spark, str(p), POPULATION).collect()
+
+
+def test_population_eligibility_and_fips_scans(spark, tmp_path):
+    p = tmp_path / "pop.csv"
+    p.write_text(",".join(POPULATION.fieldNames()) + "\nAlabama,4903185,3814879,AL,1\n"
+                 "Alaska,731545,551562,AK,2\n")
+    assert [tuple(r) for r in read_csv_typed(spark, str(p), POPULATION).orderBy("fips_code").collect()] \
+        == [("Alabama", 4903185, 3814879, "AL", 1), ("Alaska", 731545, 551562, "AK", 2)]
+    e = tmp_path / "eligibility.csv"
+    e.write_text(",".join(ELIGIBILITY.fieldNames()) + "\nAlabama," + ",".join(map(str, range(14)))
+                 + ",AL,1\n")
+    r = read_csv_typed(spark, str(e), ELIGIBILITY).first()
+    assert r["State"] == "Alabama" and r["Total_people_to_vaccinate"] == 13 and r["fips_code"] == 1
+    f = tmp_path / "fips.csv"
+    f.write_text("name,postal_code,fips_code\nAlabama,AL,1\nGuam,GU,NA\n")
+    assert [tuple(r) for r in read_csv_typed(spark, str(f), FIPS).orderBy("name").collect()] == [
+        ("Alabama", "AL", 1), ("Guam", "GU", None)]
+
+
+def test_sink_refuses_to_overwrite_its_own_input(spark, scratch):
+    df = spark.createDataFrame([(1,), (2,)], "x long")
+    base = scratch("own")
+    write_csv(df, f"{base}/a", single_file=True)
+    back = read_csv_typed(spark, f"{base}/a", df.schema)
+    for path in (f"{base}/a", base, f"{base}/a/deeper"):
+        with pytest.raises(OutputIsInput):
+            write_csv(back, path)
+    assert back.count() == 2
+    write_csv(back, f"{base}/ab")
 
 
 def test_dated_sink_and_csv_history(spark, scratch):
