@@ -3,7 +3,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cumulus.operators.deltas import pct_change, period_delta, row_delta, snapshot_delta
+from cumulus.operators.deltas import (pct_change, period_delta, row_delta, snapshot_delta,
+                                     snapshot_pairs)
 from cumulus.operators.joins import fits_broadcast, join_dim, rows_at_most, scalar_value
 from cumulus.operators.reshape import (cast_by_pattern, cumulative_panel, regex_rename,
                                        snake_name, snake_names)
@@ -188,3 +189,41 @@ def test_cast_by_pattern(spark):
     df = spark.createDataFrame([("1", "x", 2)], "Doses_A string, Name string, Doses_B long")
     out = cast_by_pattern(df, "Doses")
     assert dict(out.dtypes) == {"Doses_A": "double", "Name": "string", "Doses_B": "double"}
+
+
+def test_sort_by_order_with_ties_nulls_and_mixed_directions(spark):
+    df = spark.createDataFrame([("b", 1, 2.0), ("a", 1, 2.0), (None, 1, 2.0), ("c", None, 5.0),
+                                ("d", 3, None), ("e", 3, 1.0), ("f", None, None)],
+                               "k string, x long, y double").repartition(4)
+    order = [r.k for r in sort_by(df, ("x", "desc"), "y", "k").collect()]
+    assert order == ["e", "d", "a", "b", None, "c", "f"]
+    assert [r.k for r in sort_by(df, "x", ("y", "desc"), ("k", "desc")).collect()] == \
+        ["b", "a", None, "e", "d", "c", "f"]
+    assert [r.k for r in sort_by(df, ("k", "desc")).collect()] == ["f", "e", "d", "c", "b", "a", None]
+
+
+def test_group_total_of_a_null_group(spark):
+    df = spark.createDataFrame([(None, "x", 1), (None, "y", 3), ("a", "x", 5), ("a", None, 7)],
+                               "g string, h string, v long")
+    got = {(r.g, r.h): r.group_total for r in group_total(df, ["g"], "v").collect()}
+    assert got == {(None, "x"): 4, (None, "y"): 4, ("a", "x"): 12, ("a", None): 12}
+    got = {(r.g, r.h): r.group_total for r in group_total(df, ["g", "h"], "v").collect()}
+    assert got == {(None, "x"): 1, (None, "y"): 3, ("a", "x"): 5, ("a", None): 7}
+    assert group_total(df, ["g"], "v").columns == ["g", "h", "v", "group_total"]
+
+
+def test_snapshot_pairs_equals_the_join(spark):
+    p = three_keys(spark).withColumn("name", F.concat(F.lit("n"), F.col("Location")))
+    pairs = {r.Location: (r.x, r.x_delta, r.name) for r in
+             snapshot_pairs(p, ["Location"], ["name"], ["x"]).collect()}
+    joined = {r.Location: (r.x, r.x_delta, r.name) for r in
+              snapshot_delta(p, ["Location"], ["x"]).collect()}
+    assert pairs == joined and pairs["C"] == (5, None, "nC") and None in pairs
+
+
+def test_scalar_value_needs_exactly_one_row(spark):
+    df = spark.createDataFrame([("US", None), ("MA", 4), ("MA", 5)], "Location string, v long")
+    assert df.select(scalar_value(df, "Location", "US", "v").alias("s")).first().s is None
+    for key in ("XX", "MA"):
+        with pytest.raises(Exception, match="rows, not one"):
+            df.select(scalar_value(df, "Location", key, "v")).collect()
