@@ -6,8 +6,9 @@ piece can end, as many as the longest piece has characters, and ids are given
 out as soon as all surviving paths go through one boundary.  Characters
 without a piece become their UTF-8 bytes' pieces.
 
-Where no piece crosses from a character to a following space, every path goes
-through that boundary, so words can be cut one by one and remembered.
+Between two characters that stand side by side in no piece, as between a
+letter and a following space, every path goes through one boundary, so words
+and their parts can be cut one by one and remembered.
 
 Defined results: a null or empty text has no ids.  Equal sums: the longer last
 piece wins.  U+2581, the model's sign for a space, is read as a space.
@@ -18,6 +19,7 @@ whole.  Rows are independent: repeated rows and ids repeat their results.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -53,12 +55,23 @@ class Model:
 
     def set(self, pieces: dict[str, tuple[int, float]]) -> None:
         self.pieces = pieces
-        self.starts = {p[:n]: (0, -np.inf) for p in pieces for n in range(1, len(p) + 1)} | pieces
+        self.starts = {p[:n] for p in pieces for n in range(1, len(p) + 1)}
         self.longest = max(map(len, pieces), default=1)
         self.unknown = min((s for _, s in pieces.values()), default=0.0) - UNKNOWN
         # Can words be cut apart?  Only if spaces stand at the front of pieces.
         self.by_word = all(SPACE not in p.lstrip(SPACE) for p in pieces)
+        self.trie: dict = {}  # character -> (children, id or -1, score)
+        for piece, (i, score) in pieces.items():
+            at = self.trie
+            for c in piece[:-1]:
+                at = at.setdefault(c, ({}, -1, 0.0))[0]
+            kids = at[piece[-1]][0] if piece[-1] in at else {}
+            at[piece[-1]] = kids, i, score
+        # Between two characters that stand side by side in no piece, all paths
+        # go through one boundary too.
+        self.joined = {p[n:n + 2] for p in pieces for n in range(len(p) - 1)}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def unknown_ids(self, char: str) -> tuple[int, ...]:
         return tuple(self.bytes.get(b, 0) for b in char.encode("utf-8", "surrogatepass"))
@@ -116,31 +129,57 @@ class Model:
         if at > start:
             yield path(at, start)
 
-    def _word(self, word: str) -> bytes:
-        """Ids of one word.  A short one fits in the window as a whole."""
-        n = len(word)
+    def _part(self, part: str) -> bytes:
+        """Ids of a stretch between forced boundaries.  A short one fits in the
+        window as a whole."""
+        n = len(part)
         if n > WORD:
-            ids = [i for part in self.stream((word,)) for i in part]
-            return np.array(ids, dtype="<i4").tobytes()
-        best, back, start = [0.0] + [-np.inf] * n, [0] * (n + 1), self.starts.get
+            return array("i", [i for ids in self.stream((part,)) for i in ids]).tobytes()
+        best, back = [0.0] + [-np.inf] * n, [0] * (n + 1)
         ids: list = [None] * (n + 1)
         for i in range(n):
-            here = best[i]
-            for j in range(i + 1, n + 1):
-                got = start(word[i:j])
+            here, kids, j = best[i], self.trie, i
+            for c in part[i:]:
+                got = kids.get(c)
                 if got is None:
                     break
-                score = here + got[1]
-                if score > best[j]:
-                    best[j], back[j], ids[j] = score, i, got[0]
-            if word[i] not in self.pieces and here + self.unknown > best[i + 1]:
+                kids, piece, score = got
+                j += 1
+                if piece >= 0 and here + score > best[j]:
+                    best[j], back[j], ids[j] = here + score, i, piece
+            if part[i] not in self.pieces and here + self.unknown > best[i + 1]:
                 best[i + 1], back[i + 1], ids[i + 1] = here + self.unknown, i, None
         out = []
         while n:
             i = back[n]
-            out += self.unknown_ids(word[i])[::-1] if ids[n] is None else (ids[n],)
+            if ids[n] is None:
+                out += self.unknown_ids(part[i])[::-1]
+            else:
+                out.append(ids[n])
             n = i
-        return np.array(out[::-1], dtype="<i4").tobytes()
+        out.reverse()
+        return array("i", out).tobytes()
+
+    def _remembered(self, part: str, make) -> bytes:
+        """Ids of a part, from memory if it came up lately."""
+        ids = self.known.get(part)
+        if ids is None:
+            ids = self.older.get(part)
+            if ids is None:
+                ids = make(part)
+            if len(part) <= WORD:
+                if len(self.known) >= REMEMBERED:  # keep what is in use, forget the rest
+                    self.older, self.known = self.known, {}
+                self.known[part] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        joined, cuts = self.joined, [0]
+        cuts += [j for j in range(1, len(word)) if word[j - 1:j + 1] not in joined]
+        if len(cuts) == 1:
+            return self._part(word)
+        cuts.append(len(word))
+        return b"".join([self._remembered(word[i:j], self._part) for i, j in zip(cuts, cuts[1:])])
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
@@ -148,15 +187,12 @@ class Model:
         text = SPACE + text.replace(" ", SPACE)
         if not self.by_word:
             return np.array([i for part in self.stream((text,)) for i in part], dtype="<i4")
-        known, out = self.known, []
+        known, out = self.known.get, []
         for word in _WORDS.findall(text):
-            ids = known.get(word)
+            ids = known(word)
             if ids is None:
-                ids = self._word(word)
-                if len(word) <= WORD:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[word] = ids
+                ids = self._remembered(word, self._word)
+                known = self.known.get
             out.append(ids)
         return np.frombuffer(b"".join(out), dtype="<i4")
 
