@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cumulus.llm import langid, packing, quality, secrets, simhash
-from cumulus.llm.common import stored
+from cumulus.llm.common import small_batches, stored
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 # Cosines below these are no learned language.  Unrelated vectors have a cosine
@@ -22,6 +22,7 @@ LEAST_LANGUAGE, LEAST_SHORT, LANGUAGE_CHARS = 0.15, 0.05, 100
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule of the full policy rejects."""
+    small_batches(spark)
     rows = quality.annotate(docs, "text", "__ledger")
     return rows.filter(quality.passes(quality.FULL, rows["__ledger.fail_bits"])).select(*[
         rows[f"`{c}`"] for c in docs.columns])
@@ -33,6 +34,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Learns from the documents at hand whose crc32(doc_id) mod 3 is not 1.  With
     nothing to learn from, only texts without a letter go.
     """
+    small_batches(spark)
     key = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     prototypes = langid.learn(docs.filter(F.pmod(key, F.lit(3)) != 1))
     if not prototypes:
@@ -45,21 +47,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: that of the smallest doc_id."""
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its secrets replaced by their kind in brackets."""
-    text = secrets.redacted("text")
-    out = docs.withColumn("text", text)
+    small_batches(spark)
+    done = docs.withColumn("__redacted", secrets.redacted("text"))
+    new = {"text": F.col("__redacted.text")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = stored(out, "redacted").withColumn("n_chars", F.length("text").cast(kind))
-    return out
+        new["n_chars"] = F.col("__redacted.n_chars").cast(docs.schema["n_chars"].dataType)
+    return done.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' tokens and their places in the sequences."""
+    small_batches(spark)
     return packing.pack(docs, TOKENIZER)
 
 

@@ -11,8 +11,22 @@ BLANKS = " \t\n\x0b\f\r"
 SPLIT = r"[\x20\x09-\x0D]+"
 
 
+# Rows of an Arrow batch: texts of 3 kB on average make some megabytes, so a
+# Python worker's memory is that of a few texts beside its own tables.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python workers in small batches, unless the session already
+    has a setting of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) == 10_000:  # Spark's default
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """Columns of one given table; the rest is not read."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
 

@@ -246,12 +246,11 @@ def redact(text: str | None) -> str | None:
 
 
 def redacted(text: Column | str) -> Column:
-    @F.pandas_udf("string")
-    def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """struct(text, n_chars): the text without its secrets, and its code points."""
+    @F.pandas_udf("text string, n_chars long")
+    def each(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.Series([redact(t) for t in texts], dtype=object)
+            out = [redact(t) for t in texts]
+            yield pd.DataFrame({"text": pd.Series(out, dtype=object), "n_chars": pd.array(
+                [None if t is None else len(t) for t in out], dtype="Int64")})
     return each(F.col(text) if isinstance(text, str) else text)
-
-
-def digest(spans: str) -> str:
-    return sha256(spans.encode()).hexdigest()
