@@ -287,18 +287,14 @@ def append_if_newer_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ============================ projections =====================================
-@query("rename_display", W(NATION_SQL) + """
-SELECT LongName AS "State", Census2019_12PlusPop AS "Total Currently Eligible",
-       Doses_Distributed AS "Total Doses Delivered",
-       Administered_Dose1_Pop_Pct AS "% Pop. with 1+ Dose"
-FROM latest""")
+@query("rename_display", """
+SELECT c_name AS "State", c_custkey AS "Total Currently Eligible",
+       c_acctbal AS "% Pop. with 1+ Dose"
+FROM customer""")
 def rename_display(spark: SparkSession, d: str) -> DataFrame:
-    _, snap, _ = _nation(spark, d)
-    return rename_columns(snap.select("LongName", "Census2019_12PlusPop", "Doses_Distributed",
-                                      "Administered_Dose1_Pop_Pct"),
-                          {"LongName": "State", "Census2019_12PlusPop": "Total Currently Eligible",
-                           "Doses_Distributed": "Total Doses Delivered",
-                           "Administered_Dose1_Pop_Pct": "% Pop. with 1+ Dose"})
+    cust = S.table(spark, d, "customer").select("c_name", "c_custkey", "c_acctbal")
+    return rename_columns(cust, {"c_name": "State", "c_custkey": "Total Currently Eligible",
+                                 "c_acctbal": "% Pop. with 1+ Dose"})
 
 
 def _band_sums_sql(src: str, value: str, cats, label=lambda c: c) -> str:
@@ -326,26 +322,23 @@ def _plain_sql(expr: str) -> str:
     return f"regexp_replace(CAST(CAST({expr} AS DECIMAL(38, 9)) AS VARCHAR), '\\.?0+$', '')"
 
 
-@query("display_cast", W(NATION_SQL) + f"""
-SELECT LongName,
-       {_plain_sql("Doses_Distributed")} AS delivered,
-       {_plain_sql("Administered_Dose1_Pop_Pct * 1000")} AS dose1_per_100k
-FROM latest""")
+@query("display_cast", f"""
+SELECT c_custkey, {_plain_sql("c_acctbal")} AS balance, {_plain_sql("c_custkey * 100")} AS hundreds
+FROM customer""")
 def display_cast(spark: SparkSession, d: str) -> DataFrame:
-    _, snap, _ = _nation(spark, d)
-    return snap.select("LongName", display_string("Doses_Distributed").alias("delivered"),
-                       display_string(F.col("Administered_Dose1_Pop_Pct") * 1000)
-                       .alias("dose1_per_100k"))
+    return S.table(spark, d, "customer").select(
+        "c_custkey", display_string("c_acctbal").alias("balance"),
+        display_string(F.col("c_custkey") * 100).alias("hundreds"))
 
 
-@query("canonical_name", W(NATION_SQL) + """
-SELECT Date, Location,
-       CASE WHEN LongName = 'NATION_1' THEN 'NATION ONE' ELSE LongName END AS LongName
-FROM snap""")
+@query("canonical_name", """
+SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'URGENT'
+                        WHEN o_orderpriority = '5-LOW' THEN 'LOW' ELSE o_orderpriority END AS priority
+FROM orders""")
 def canonical_name(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_history(spark, d)
-    return hist.select("Date", "Location",
-                       canonical_value("LongName", S.CANONICAL_NAMES).alias("LongName"))
+    names = {"1-URGENT": "URGENT", "5-LOW": "LOW"}
+    return S.table(spark, d, "orders").select(
+        "o_orderkey", canonical_value("o_orderpriority", names).alias("priority"))
 
 
 def _lateness_sql(col: str, goal: str) -> str:
@@ -401,24 +394,31 @@ def total_row_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ============================ filters =========================================
-@query("filter_not_in", W(NATION_SQL) + f"""
-SELECT Date, Location, {D1} FROM snap WHERE {NOT_EXCL_CODES}""")
+# Customers in debt have no segment here, so the filter meets NULLs.
+SEGMENT_SQL = "CASE WHEN c_acctbal >= 0 THEN c_mktsegment END"
+
+
+@query("filter_not_in", f"""
+SELECT c_custkey, {SEGMENT_SQL} AS segment FROM customer
+WHERE coalesce({SEGMENT_SQL} NOT IN ('BUILDING', 'MACHINERY'), true)""")
 def filter_not_in(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_history(spark, d)
-    return hist.filter(not_in_keep_null("Location", S.EXCLUDED_CODES)).select("Date", "Location", D1)
+    cust = S.table(spark, d, "customer").select(
+        "c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("segment"))
+    return cust.filter(not_in_keep_null("segment", ("BUILDING", "MACHINERY")))
 
 
-@query("filter_in", W(FEED_SQL) + f"""
-SELECT date, demographic_category, series_complete_yes FROM feed
-WHERE demographic_category IN ({q_list(BANDS[1:])})""")
+@query("filter_in", """
+SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW')""")
 def filter_in(spark: SparkSession, d: str) -> DataFrame:
-    return S.band_feed(spark, d).filter(is_in("demographic_category", BANDS[1:]))
+    return (S.table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+             .filter(is_in("o_orderpriority", ("1-URGENT", "5-LOW"))))
 
 
-@query("filter_eq", W(NATION_SQL) + f"SELECT Date, {D1}, {D2} FROM snap WHERE Location = 'US'")
+@query("filter_eq", """
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'R'""")
 def filter_eq(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_history(spark, d)
-    return hist.filter(F.col("Location") == S.PARENT_CODE).select("Date", D1, D2)
+    return (S.table(spark, d, "lineitem").filter(F.col("l_returnflag") == "R")
+             .select("l_orderkey", "l_linenumber", "l_quantity"))
 
 
 @query("filter_nonzero", W(EVENTS_SQL) + """
@@ -719,15 +719,14 @@ def per_capita_q(spark: SparkSession, d: str) -> DataFrame:
                        per_capita(F.col(D2) + F.col(J), "Census2019", 100).alias("pct_complete"))
 
 
-@query("weighted_units", W(NATION_SQL) + """
-SELECT Date, Location, CAST(Distributed_Moderna AS DOUBLE) / 2 + CAST(Distributed_Pfizer AS DOUBLE) / 2
-       + Distributed_Janssen AS courses
-FROM snap""")
+@query("weighted_units", """
+SELECT l_orderkey, l_linenumber, CAST(l_partkey AS DOUBLE) / 2 + CAST(l_suppkey AS DOUBLE) / 2
+       + l_linenumber AS courses
+FROM lineitem""")
 def weighted_units(spark: SparkSession, d: str) -> DataFrame:
-    hist = S.nation_history(spark, d)
-    return hist.select("Date", "Location", weighted_sum([("Distributed_Moderna", 2),
-                                                         ("Distributed_Pfizer", 2),
-                                                         ("Distributed_Janssen", 1)]).alias("courses"))
+    return S.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        weighted_sum([("l_partkey", 2), ("l_suppkey", 2), ("l_linenumber", 1)]).alias("courses"))
 
 
 @query("goal_projection", W(NATION_SQL, TARGET_SQL_BODY) + f"""
@@ -821,13 +820,12 @@ def pct_change_q(spark: SparkSession, d: str) -> DataFrame:
                    (D1 + "_pct_chg", "desc"), "LongName")
 
 
-@query("cast_by_pattern", W(NATION_SQL) + """
-SELECT LongName, CAST(Doses_Distributed AS DOUBLE) AS Doses_Distributed,
-       CAST(Doses_Administered AS DOUBLE) AS Doses_Administered, Census2019 FROM latest""")
+@query("cast_by_pattern", """
+SELECT CAST(l_orderkey AS DOUBLE) AS l_orderkey, CAST(l_partkey AS DOUBLE) AS l_partkey,
+       l_linenumber, l_returnflag FROM lineitem""")
 def cast_by_pattern_q(spark: SparkSession, d: str) -> DataFrame:
-    _, snap, _ = _nation(spark, d)
-    return cast_by_pattern(snap.select("LongName", "Doses_Distributed", "Doses_Administered",
-                                       "Census2019"), "Doses", "double")
+    return cast_by_pattern(S.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag"), "key", "double")
 
 
 STATE_TABLE_SQL_BODY = f"""
@@ -873,11 +871,13 @@ def snake_names_q(spark: SparkSession, d: str) -> DataFrame:
     return snake_names(_state(spark, d))
 
 
-@query("stamp_date", W(NATION_SQL) + """
-SELECT LongName, Doses_Administered, (SELECT max(Date) FROM snap) AS run_date FROM latest""")
+@query("stamp_date", """
+SELECT o_orderkey, o_totalprice, (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) AS run_date
+FROM orders""")
 def stamp_date_q(spark: SparkSession, d: str) -> DataFrame:
-    hist, snap, _ = _nation(spark, d)
-    return stamp_date(snap.select("LongName", "Doses_Administered"), _as_of(hist), "run_date")
+    o = S.table(spark, d, "orders")
+    last = o.select(F.max(F.to_date("o_orderdate"))).scalar()
+    return stamp_date(o.select("o_orderkey", "o_totalprice"), last, "run_date")
 
 
 # ============================ composed reports ================================
