@@ -265,7 +265,7 @@ def _count_blobs(table: DataFrame, role: int, buckets: int, below: float) -> Dat
         if sum(map(len, wait)):
             yield from flush()
 
-    return (table.filter(F.col("n") < below).mapInPandas(pack, "bucket int, blob binary")
+    return (table.filter(F.col("n") < below).mapInPandas(pack, "bucket long, blob binary")
             .select("bucket", F.lit(role).alias("role"), F.lit(0).cast("long").alias("batch"), "blob"))
 
 
@@ -279,7 +279,7 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
     slim = Model(**{**model.__dict__, "words": None, "pairs": None})  # for the tasks
     kind = df.schema[key].dataType.simpleString()
     meta = ["key", "idx", "n_tokens", "n_known", "base", "score"]
-    schema = (f"bucket int, role int, batch long, blob binary, key {kind}, idx int, "
+    schema = (f"bucket long, role int, batch long, blob binary, key {kind}, idx int, "
               "n_tokens long, n_known long, base double, score double")
     order = ["bucket", "role", "batch", "blob", *meta]
 
@@ -306,7 +306,7 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
             logs = slim.pair_log(keys[is_hot], hot_n[at[is_hot]]) if is_hot.any() else []
             total_log = np.bincount(doc[is_hot], logs, len(wait))
             rows = [pd.DataFrame({
-                "bucket": batch % buckets, "role": META, "batch": batch, "blob": None,
+                "bucket": -1 - batch, "role": META,  # a group of their own: nothing to look up "batch": batch, "blob": None,
                 "key": pd.Series(keys_, dtype=object), "idx": np.arange(len(wait)), "n_tokens": sizes,
                 "n_known": np.bincount(doc[known], minlength=len(wait)), "base": base,
                 "score": total_log})]
