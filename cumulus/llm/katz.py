@@ -306,7 +306,8 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
             logs = slim.pair_log(keys[is_hot], hot_n[at[is_hot]]) if is_hot.any() else []
             total_log = np.bincount(doc[is_hot], logs, len(wait))
             rows = [pd.DataFrame({
-                "bucket": -1 - batch, "role": META,  # a group of their own: nothing to look up "batch": batch, "blob": None,
+                "bucket": -1 - batch,  # a group of their own: nothing to look up
+                "role": META, "batch": batch, "blob": None,
                 "key": pd.Series(keys_, dtype=object), "idx": np.arange(len(wait)), "n_tokens": sizes,
                 "n_known": np.bincount(doc[known], minlength=len(wait)), "base": base,
                 "score": total_log})]
