@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.joins import fits_broadcast
+from . import grid
 from .common import stored
 from .components import components
 
@@ -160,23 +161,6 @@ def _probes(fps: DataFrame, parts: list[list[int]], limits: list[int]) -> DataFr
     return fps.select("fp", F.explode(F.concat(*out)).alias("p")).select("p.*", "fp")
 
 
-def _forest(close: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links with the same components as all close (row, column) pairs, at most
-    one for each member."""
-    label_r, label_c = np.arange(len(rows)), np.full(len(cols), len(rows))
-    while True:
-        for_c = np.where(close, label_r[:, None], len(rows)).min(axis=0, initial=len(rows))
-        label_c = np.minimum(label_c, for_c)
-        for_r = np.where(close, label_c[None, :], len(rows)).min(axis=1, initial=len(rows))
-        new = np.minimum(label_r, for_r)
-        if (new == label_r).all():
-            break
-        label_r = new
-    linked = label_c < len(rows)
-    return (np.concatenate([rows, cols[linked]]),
-            np.concatenate([rows[label_r], rows[label_c[linked]]]))
-
-
 def _compare(distance: int):
     def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return np.bitwise_count((x ^ y).view(np.uint64)) <= distance
@@ -187,20 +171,20 @@ def _compare(distance: int):
         first = np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1)))
         group = np.cumsum(first) - 1
         size = np.bincount(group)[group]
-        i = np.flatnonzero((size > 1) & (size <= SMALL) & (role != 3))
+        i = np.flatnonzero((size > 1) & (size <= SMALL) & (role != grid.ROW))
         a, b = [], []
         for k in range(1, SMALL):  # pairs k rows apart in the same bucket
             x, y = i[:-k], i[k:]
-            x, y = (z[(group[x] == group[y]) & ((role[x] == 1) | (role[y] == 1))] for z in (x, y))
+            x, y = (z[(group[x] == group[y]) & ((role[x] == grid.HOME) | (role[y] == grid.HOME))] for z in (x, y))
             ok = near(fp[x], fp[y])
             a.append(fp[x[ok]])
             b.append(fp[y[ok]])
-        for g in np.unique(group[(size > SMALL) | (role == 3)]):
+        for g in np.unique(group[(size > SMALL) | (role == grid.ROW)]):
             lo, hi = np.searchsorted(group, [g, g + 1])
             f, r = fp[lo:hi], role[lo:hi]
-            rows, cols = f[(r == 1) | (r == 3)], f[(r == 1) | (r == 2)]
+            rows, cols = f[r != grid.COLUMN], f[r != grid.ROW]
             if len(rows) and len(cols):
-                x, y = _forest(near(rows[:, None], cols[None, :]), rows, cols)
+                x, y = grid.forest(near(rows[:, None], cols[None, :]), rows, cols)
                 a.append(x[x != y])
                 b.append(y[x != y])
         if a and (n := sum(map(len, a))):
@@ -226,33 +210,6 @@ def _compare(distance: int):
     return stream
 
 
-def _in_blocks(probes: DataFrame, block: int) -> DataFrame:
-    """Adds role, rb, cb.  A bucket of up to ``block`` rows is one block, its rows
-    homes (1) or probes (2).  A larger one is a grid: each home goes once to
-    every block of its stripe of rows (3), each member once to every block of
-    its stripe of columns (2)."""
-    big = (probes.groupBy("part", "value")
-           .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("home").cast("long")).alias("m"))
-           .filter((F.col("n") > block) & (F.col("m") > 0)))
-    big = stored(big.select("part", "value", F.ceil(F.col("n") / block).alias("nc"),
-                            F.ceil(F.col("m") / block).alias("nr")), "large_buckets")
-    small = fits_broadcast(big)
-    x = probes.join(F.broadcast(big) if small else big, ["part", "value"], "left")
-    h = F.xxhash64("fp")
-    rb, cb = F.pmod(h, F.col("nr")), F.pmod(h, F.col("nc"))
-    as_row = F.transform(F.sequence(F.lit(0).cast("long"), F.col("nc") - 1), lambda c: F.struct(
-        F.lit(3).alias("role"), rb.alias("rb"), c.alias("cb")))
-    as_col = F.transform(F.sequence(F.lit(0).cast("long"), F.col("nr") - 1), lambda r: F.struct(
-        F.lit(2).alias("role"), r.alias("rb"), cb.alias("cb")))
-    zero = F.lit(0).cast("long")
-    alone = F.array(F.struct(F.when(F.col("home"), 1).otherwise(2).alias("role"),
-                             zero.alias("rb"), zero.alias("cb")))
-    places = F.when(F.col("nc").isNull(), alone).otherwise(
-        F.when(F.col("home"), F.concat(as_row, as_col)).otherwise(as_col))
-    return x.select("part", "value", "fp", F.explode(places).alias("x")).select(
-        "part", "value", "fp", "x.*")
-
-
 def links(fps: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
     """(a, b) links between the distinct fingerprints of ``fps`` (one column, fp)
     with the same components as all pairs at most ``distance`` bits apart."""
@@ -262,7 +219,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> DataF
     parts = partition_bits(sample)
     probes = _probes(fps, parts, thresholds(sample, n, parts, distance))
     keys = ["part", "value", "rb", "cb"]
-    rows = _in_blocks(probes, block).repartition(*keys).sortWithinPartitions(*keys)
+    rows = (grid.in_blocks(probes, ["part", "value"], "fp", "home", block)
+            .repartition(*keys).sortWithinPartitions(*keys))
     found = rows.mapInPandas(_compare(distance), "a long, b long")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
