@@ -33,7 +33,7 @@ THRESHOLD = 0.98
 SAMPLE = 8192     # vectors the centroids are fitted on, at most
 ROUNDS = 10       # rounds of k-means
 CELL = 1024       # vectors of a label aimed at in a cell
-MAX_CELLS = 4096  # centroids go to every task; beyond that the cells grow instead
+MAX_CELLS = 2048  # centroids go to every task; beyond that the cells grow instead
 BLOCK = 1024      # vectors a side of a block
 SLACK = 1e-6      # on the border distance, for rounding
 
@@ -58,12 +58,18 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 7)
     return np.unique(c, axis=0)
 
 
-def cells(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def distances(c: np.ndarray) -> np.ndarray:
+    """Between unit centroids; a little too large, which lists more, not less."""
+    return np.sqrt(np.maximum(0, 2 - 2 * (c @ c.T))) + 1e-7
+
+
+def cells(x: np.ndarray, c: np.ndarray, threshold: float,
+          between: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Home cell of each unit row, and which cells to list it in: those with a
     border no farther off than the threshold's angle."""
     s = x @ c.T
     home = np.argmax(s, axis=1)
-    apart = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2)[home]
+    apart = (distances(c) if between is None else between)[home]
     reach = np.sqrt(max(0.0, 1 - threshold * threshold)) if threshold > 0 else 1.0
     listed = s[np.arange(len(x)), home][:, None] - s <= (reach + SLACK) * apart
     listed[np.arange(len(x)), home] = True
@@ -88,13 +94,14 @@ def _listed(groups: DataFrame, threshold: float, cell: int) -> DataFrame:
             centroids[int(dim)] = spherical_kmeans(units(part["v"]), k)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        between = {dim: distances(c) for dim, c in centroids.items()}
         for pdf in batches:
             for dim, part in pdf.groupby("dim"):
                 c = centroids.get(int(dim))
                 if c is None:  # a length that the sample has not: one cell
                     yield part.assign(cell=0, home=True)[COLUMNS]
                     continue
-                home, listed = cells(units(part["v"]), c, threshold)
+                home, listed = cells(units(part["v"]), c, threshold, between[int(dim)])
                 i, j = np.nonzero(listed)
                 yield part.iloc[i].assign(cell=j, home=home[i] == j)[COLUMNS]
 

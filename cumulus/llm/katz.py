@@ -277,9 +277,9 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
     buckets = buckets or max(1, -(-total // BUCKET))
     vocab, counts, hot, hot_n = model.vocab, model.counts, model.hot, model.hot_n
     slim = Model(**{**model.__dict__, "words": None, "pairs": None})  # for the tasks
-    kind = df.schema[key].dataType.simpleString()
+    kind = df.schema[key].dataType
     meta = ["key", "idx", "n_tokens", "n_known", "base", "score"]
-    schema = (f"bucket long, role int, batch long, blob binary, key {kind}, idx int, "
+    schema = ("bucket long, role int, batch long, blob binary, key string, idx int, "
               "n_tokens long, n_known long, base double, score double")
     order = ["bucket", "role", "batch", "blob", *meta]
 
@@ -325,7 +325,7 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
         for pdf in batches:
             for k, t in zip(pdf["key"], pdf["text"]):
                 wait.append(tokens(t))
-                keys_.append(None if pd.isna(k) else k)
+                keys_.append(k)
                 size += len(wait[-1])
                 if size >= BATCH:
                     yield flush()
@@ -372,7 +372,9 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
                              "n_known": sums[1].round().astype(np.int64), "base": sums[0],
                              "score": sums[2]})
 
-    rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    # The key travels as text: pandas would make numbers with nulls inexact.
+    rows = df.select(F.col(f"`{key}`").cast("string").alias("key"),
+                     F.col(f"`{text}`").alias("text"))
     sent = rows.mapInPandas(send, schema)
     count_rows = [_count_blobs(model.words.withColumnRenamed("hash", "key"), WORD_COUNTS, buckets,
                                max(1, vocabulary * total)),
@@ -383,5 +385,5 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
     tail = schema.partition("blob binary, ")[2]
     found = together.groupBy("bucket").applyInPandas(look_up, f"batch long, blob binary, {tail}")
     return found.groupBy("batch").applyInPandas(
-        add_up, f"key {kind}, n_tokens long, n_known long, base double, score double").select(
-        F.col("key").alias(key), "n_tokens", "n_known", F.col("base").alias("base_score"), "score")
+        add_up, "key string, n_tokens long, n_known long, base double, score double").select(
+        F.col("key").cast(kind).alias(key), "n_tokens", "n_known", F.col("base").alias("base_score"), "score")

@@ -143,15 +143,16 @@ def pieces(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
                     data = ids[s:s + n].tobytes()
                     rows.append((k, s, n, zlib.crc32(data), len(ids),
                                  *([data] if with_ids else [])))
-            out = pd.DataFrame(rows, columns=names)
-            yield out.assign(key=out["key"].where(out["key"].notna(), None))
+            yield pd.DataFrame(rows, columns=names)
 
-    kind = df.schema[key].dataType.simpleString()
+    # The key travels as text: pandas would make numbers with nulls inexact.
+    kind = df.schema[key].dataType
     names = ["key", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
-    schema = f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long" \
+    schema = "key string, start long, length long, ids_crc32 long, doc_tokens long" \
         + ", ids binary" * with_ids
-    rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    return rows.mapInPandas(cut, schema).withColumnRenamed("key", key)
+    rows = df.select(F.col(f"`{key}`").cast("string").alias("key"),
+                     F.col(f"`{text}`").alias("text"))
+    return rows.mapInPandas(cut, schema).select(F.col("key").cast(kind).alias(key), *names[1:])
 
 
 def pack(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", *,

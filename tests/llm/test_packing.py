@@ -82,9 +82,10 @@ def test_ids_come_along_when_asked(spark):
 def test_empty_null_and_repeated_rows(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert K.pack(df, PATH).count() == 0
-    df = spark.createDataFrame([(None, "a b"), (3, "c"), (3, "c")], "doc_id long, text string")
-    rows = K.pack(df, PATH).collect()
-    assert sorted(str(r["doc_id"]) for r in rows) == ["3", "3", "None"]
+    big = 2**60 + 1
+    df = spark.createDataFrame([(None, "a b"), (big, "c"), (big, "c")], "doc_id long, text string")
+    rows = K.pack(df.coalesce(1), PATH).collect()
+    assert sorted(str(r["doc_id"]) for r in rows) == [str(big), str(big), "None"]
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 3
 
 
