@@ -1,0 +1,89 @@
+"""The rule ledger against plain Python, its SQL twin, policies and ablations."""
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from cumulus.llm import quality as Q
+from tests.llm.test_pipeline import _split, plain_kept
+
+SF = "/root/testdata/sf0.001"
+GOOD = "the quick brown fox jumps over a lazy dog while all other dogs sleep in the warm sun near a mill"
+TEXTS = [None, "", " \t\n\x0b\f\r", "one", GOOD, GOOD.upper(), (GOOD + "\n") * 3, "### " * 30, "a " * 25,
+         GOOD.replace(" ", " | "), "x" * 3000, " ".join(["y" * 50] * 25), "same words " * 40,
+         "a b c d " + GOOD, "Ünï " * 7 + GOOD, "\n" * 50 + GOOD, GOOD + " " + GOOD]
+
+
+def plain(text):
+    text = text or ""
+    words = [w for w in _split(text) if w]
+    lines = [x for x in text.split("\n") if any(_split(x))]
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(8)}
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text),
+            len(lines) - len(set(lines)), len(covered))
+
+
+def test_measurements_and_verdicts(spark):
+    rows = list(enumerate(TEXTS)) + [(4, GOOD), (None, GOOD)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_words", F.lit("own"))
+    got = Q.ledger(df).withColumn("kept", Q.passes(Q.FULL)).withColumn("base", Q.passes(Q.BASE)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = GOOD if r["doc_id"] is None else TEXTS[r["doc_id"]]
+        want = plain(text)
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"],
+                r["n_repeat_words"]) == want, text
+        assert r["base"] == (want[0] >= 20 and 100 * want[4] <= 30 * want[0])
+        assert r["kept"] == plain_kept(text)
+
+
+def test_long_text(spark):
+    text = " ".join(str(i % 50_021) for i in range(200_000))
+    r = Q.ledger(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (r["n_words"], r["n_repeat_words"]) == (200_000, 200_000)
+
+
+def test_empty_table_and_extra_columns(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert Q.ledger(df).count() == 0 and Q.ablations(Q.ledger(df)).count() == 0
+    df = spark.createDataFrame([(1, GOOD, 2, "x")], "doc_id long, text string, w int, fail_bits string")
+    out = Q.annotate(df).filter(Q.passes(Q.FULL, F.col("ledger.fail_bits")))
+    assert out.columns == ["doc_id", "text", "w", "fail_bits", "ledger"] and out.count() == 1
+
+
+def test_ablations_equal_counting_by_hand(spark):
+    rows = list(enumerate(TEXTS))
+    ledger = Q.ledger(spark.createDataFrame(rows, "doc_id long, text string"))
+    bits = [r["fail_bits"] for r in ledger.collect()]
+    for r in Q.ablations(ledger).collect():
+        policy = {p.name: p for p in (Q.BASE, Q.FULL)}[r["policy"]]
+        bit = 1 << [x.name for x in Q.RULES].index(r["rule"])
+        mask = policy.mask()
+        assert r["n_kept"] == sum(b & mask == 0 for b in bits)
+        assert r["n_kept_without"] == sum(b & mask & ~bit == 0 for b in bits)
+        assert r["n_only_this"] == sum(b & mask == bit for b in bits)
+
+
+def test_no_python_in_the_plan(spark):
+    from cumulus.llm.queries import op8_quality_rules
+    text = op8_quality_rules(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Pandas" not in text and "Exchange" not in text
+
+
+def test_sql_twins(spark):
+    from cumulus.llm import queries
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    assert queries.ORACLE.keys() <= queries.QUERIES.keys()
+    for name, sql in queries.ORACLE.items():
+        got = queries.QUERIES[name](spark, SF)
+        cur = con.execute(sql)
+        assert got.columns == [c[0] for c in cur.description]
+        assert sorted(map(tuple, got.collect())) == sorted(cur.fetchall())
+
+
+@pytest.mark.parametrize("n", range(1, 11))
+def test_every_operator_has_one_query(n):
+    from cumulus.llm import queries
+    assert sum(name.startswith(f"op{n}_") for name in queries.QUERIES) == 1
