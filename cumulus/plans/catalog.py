@@ -27,7 +27,7 @@ from ..operators.reshape import (canonical_value, cast_by_pattern, regex_rename,
 from ..operators.rolling import trailing_mean
 from ..operators.shares import group_share, group_total, share_pivot
 from ..operators.snapshots import (distinct_dates, latest_date, newer_than, resolve_latest,
-                                   two_snapshots)
+                                   single_date, two_snapshots)
 from ..operators.sorting import sort_by
 from ..operators.totals import total_row, union_by_name, with_total_row
 from ..schemas import COUNTY_RECORD, SNAPSHOT_RECORD
@@ -507,6 +507,13 @@ def distinct_dates_q(spark: SparkSession, d: str) -> DataFrame:
     return distinct_dates(S.nation_history(spark, d), "Date")
 
 
+@query("single_date", W(EVENTS_SQL) + "SELECT max(Date) AS Date FROM epanel")
+def single_date_q(spark: SparkSession, d: str) -> DataFrame:
+    """The one date of the last day's snapshot; several would raise."""
+    panel = S.events_panel(spark, d)
+    return single_date(panel.filter(F.col("Date") == S.events_last_day(spark, d)))
+
+
 BAND_DIFF_SQL = f"""
 fd AS (
   SELECT date, demographic_category,

@@ -67,7 +67,7 @@ def test_streaming_ingest_available_now(spark, scratch):
     recs = (h.filter(F.col("Date") == DATES[-1])
              .withColumn("Date", F.date_format("Date", "yyyy-MM-dd"))
              .withColumn("LongName", F.col("LongName")))
-    write_json_envelopes(recs, landing, "vaccination_data", F.lit(0))
+    write_json_envelopes(recs, landing, "vaccination_data")
     q = start_snapshot_ingest(spark, landing, SNAPSHOT_RECORD, "vaccination_data", hist_path,
                               SNAPSHOT, ckpt)
     q.awaitTermination(120)

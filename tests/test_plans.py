@@ -11,7 +11,6 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from cumulus.schemas import DRIVER_TABLES
 
 SF = "/root/testdata/sf0.001"
