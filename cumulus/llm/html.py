@@ -27,7 +27,7 @@ SHORT = 70          # characters: below this a block is undecided
 LONG = 200          # from here on, stop words alone make a block good
 STOP_LOW, STOP_HIGH = 0.15, 0.30  # stop words among a block's words
 LINKS = 0.33        # share of a block's characters in links
-LINKS_INSIDE = 0.8  # the same, for blocks inside an article element
+LINKS_INSIDE = 0.8  # the same, for blocks inside an article or main element
 
 # Frequent function words of the languages that pages come in.
 STOP_WORDS = frozenset("""
@@ -68,6 +68,7 @@ reply replies disqus share sharing social related recommended recommendations pa
 skip searchform searchbox
 """.split())
 REPLIES = frozenset("comment comments commentlist respond reply replies disqus".split())
+INSIDE = {"article": 2, "main": 1}
 ROOTS = frozenset("html body main".split())
 
 _TAG = re.compile(
@@ -82,7 +83,7 @@ _PARTS = re.compile(r"[^0-9a-z]+|(?<=[a-z])(?=[A-Z])")
 class Block:
     text: str
     linked: int     # characters in links
-    inside: bool    # in an article element
+    inside: int     # 2: in an article element, 1: in a main element, else 0
     never: bool     # where no article stands
     label: str = ""
 
@@ -123,8 +124,8 @@ def blocks(html: str | None) -> list[Block]:
     out: list[Block] = []
     text: list[str] = []
     linked, at = 0, 0
-    open_: list[tuple[str, bool, bool, bool]] = []  # tag, never, inside, link
-    never = inside = link = False
+    open_: list[tuple[str, bool, int, bool]] = []  # tag, never, inside, link
+    never, inside, link = False, 0, False
 
     def add(raw: str) -> None:
         nonlocal linked
@@ -160,13 +161,14 @@ def blocks(html: str | None) -> list[Block]:
             if any(x[0] == tag for x in open_):
                 while open_.pop()[0] != tag:
                     pass
-                _, never, inside, link = open_[-1] if open_ else ("", False, False, False)
+                _, never, inside, link = open_[-1] if open_ else ("", False, 0, False)
         elif tag not in VOID:
             if tag == "p" and open_ and open_[-1][0] == "p":
                 open_.pop()
-                _, never, inside, link = open_[-1] if open_ else ("", False, False, False)
+                _, never, inside, link = open_[-1] if open_ else ("", False, 0, False)
             never = never or _outside(tag, m[3])
-            inside = inside or tag == "article" and not never
+            if not never:
+                inside = max(inside, INSIDE.get(tag, 0))
             link = link or tag == "a"
             open_.append((tag, never, inside, link))
             if tag in RAW:  # up to its end tag there is no markup
@@ -178,22 +180,22 @@ def blocks(html: str | None) -> list[Block]:
 
 def label(page: list[Block]) -> list[Block]:
     """Both passes: every block gets the label good or bad."""
-    articles = any(b.inside and not b.never for b in page)
+    level = max((b.inside for b in page if not b.never), default=0)
     for b in page:
-        if b.never or (articles and not b.inside):
+        if b.never or b.inside < level:
             b.label = "bad"
-        elif b.link_density > (LINKS_INSIDE if b.inside else LINKS):
+        elif b.link_density > (LINKS_INSIDE if level else LINKS):
             b.label = "bad"
         elif len(b.text) < SHORT:
             b.label = ""
-        elif b.inside or b.stop_density >= STOP_HIGH and len(b.text) >= LONG:
+        elif level or b.stop_density >= STOP_HIGH and len(b.text) >= LONG:
             b.label = "good"
         else:
             b.label = "bad" if b.stop_density < STOP_LOW else ""
     # A short block in an article looks at that article's blocks alone: the menu
     # before a headline says nothing about it.
-    _inherit([b for b in page if b.inside and not b.never], "good")
-    _inherit([b for b in page if not b.inside or b.never], "bad")
+    held = [b for b in page if level and b.inside == level and not b.never]
+    _inherit(held or page, "good" if held else "bad")
     return page
 
 

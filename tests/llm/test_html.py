@@ -31,6 +31,12 @@ def test_page_without_article():
                    ("The ho", "good"), ("Imprin", "bad"), ("more", "bad")]
 
 
+def test_main_element_holds_the_text_where_there_is_no_article():
+    page = f"<p>{LOREM}{LOREM}</p><main><h1>A</h1><p>{LOREM}</p><nav>x</nav></main><p>b</p>"
+    assert H.main_text(page) == f"A {LOREM.strip()}"
+    assert H.main_text(f"<main><p>{LOREM}</p><article>B c.</article></main>") == "B c."
+
+
 def test_article_of_short_blocks_stays():
     assert H.main_text("<nav>x</nav><article><h1>A</h1><p>B c.</p></article><p>d</p>") == "A B c."
 
