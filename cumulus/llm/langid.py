@@ -26,16 +26,16 @@ DIM = 1024          # elements of a vector
 GRAM = 3            # letters of an n-gram; a word's ends count as a letter
 SEED = 20
 MAX_LANGUAGES = 1000  # prototypes go to every task: at most this many are learned
-BLOCK = 4096        # n-gram vectors held as floats at once
+BLOCK = 1024        # n-gram vectors held as floats at once
 CACHE = 65_536      # n-gram vectors kept (1 byte an element)
-DOCS = 256          # texts bundled at once
+DOCS = 64           # texts counted or bundled at once
 SHIFT = 21          # bits of a code point
 
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """Lower case of every code point that is a letter, 0 for all others."""
-    out = np.zeros(0x110000, dtype=np.uint64)
+    out = np.zeros(0x110000, dtype=np.uint32)
     for c in range(0x110000):
         s = chr(c)
         if s.isalpha():
@@ -100,7 +100,7 @@ class Space:
 
     def bundle(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Sums of n-gram vectors: counts (texts x codes) times vectors."""
-        out = np.zeros((len(counts), self.dim))
+        out = np.zeros((len(counts), self.dim), counts.dtype)
         for i in range(0, len(codes), BLOCK):
             out += counts[:, i:i + BLOCK] @ self.vectors(codes[i:i + BLOCK]).astype(counts.dtype)
         return out
@@ -116,10 +116,12 @@ def learn(df: DataFrame, text: str = "text", lang: str = "lang", *, dim: int = D
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for name, texts in pdf.groupby("lang")["text"]:
-                seen: list[np.ndarray] = []
-                codes, counts = np.unique(
-                    np.concatenate([grams(t, n) for t in texts] or seen), return_counts=True)
-                yield pd.DataFrame({"lang": name, "gram": codes.astype(np.int64), "n": counts})
+                parts = [np.unique(np.concatenate([grams(t, n) for t in texts.iloc[i:i + DOCS]]),
+                                   return_counts=True) for i in range(0, len(texts), DOCS)]
+                codes, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+                counts = np.bincount(place, np.concatenate([m for _, m in parts]), len(codes))
+                yield pd.DataFrame({"lang": name, "gram": codes.astype(np.int64),
+                                    "n": counts.astype(np.int64)})
 
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         space, sums = Space(dim, n, seed), {}

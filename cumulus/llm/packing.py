@@ -46,10 +46,12 @@ def encoder(path: str):
     from tokenizers import Tokenizer
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    whole = Tokenizer.from_file(path)
+    whole = []  # loaded when a text needs it: it holds tens of megabytes
 
     def plain(text: str) -> np.ndarray:
-        return np.array(whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        if not whole:
+            whole.append(Tokenizer.from_file(path))
+        return np.array(whole[0].encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     kind = (spec.get("pre_tokenizer") or {}).get("type"), spec["model"]["type"]
     if kind != ("ByteLevel", "BPE") or spec["pre_tokenizer"].get("add_prefix_space") \
