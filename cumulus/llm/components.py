@@ -3,8 +3,9 @@
 Every round gives each node, and the node that is its present label, the least
 label among its neighbours, then follows labels one step further; rounds
 needed grow with the logarithm of a component's length in practice.  Each
-round is a written table in the shared folder.  All groupings are sums of the
-min kind, made before the shuffle, so a hub with very many edges is no hot task.
+round is written to the shared folder.  All groupings are sums of the min kind,
+made before the shuffle, and joins are between written tables, which Spark can
+split where a hub or a label has very many rows.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                  .union(near.filter("low < label").select(F.col("label").alias("node"),
                                                           F.col("low").alias("label")))
                  .groupBy("node").agg(F.min("label").alias("label")))
+        lower = stored(lower, "labels")
         then = lower.select(F.col("node").alias("label"), F.col("label").alias("next"))
         new = (lower.join(then, "label").select("node", "next")
                .join(labels, "node")

@@ -237,9 +237,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", *,
                             fingerprints(F.col(f"`{text}`"), k).alias("fp")), "fingerprints")
     fps = stored(rows.groupBy("fp").agg(F.min(key).alias("low")), "distinct_fingerprints")
     found = components(links(fps.select("fp"), distance, block))
-    named = (fps.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-             .select("fp", "low", F.coalesce("label", "fp").alias("group")))
-    lows = named.groupBy("group").agg(F.min("low").alias("component"))
+    # Joins are between written tables: Spark splits a group that is very large.
+    named = stored(fps.join(found.withColumnRenamed("node", "fp"), "fp", "left")
+                   .select("fp", "low", F.coalesce("label", "fp").alias("group")), "groups")
+    lows = stored(named.groupBy("group").agg(F.min("low").alias("component")), "lows")
     names = stored(named.join(lows, "group").select("fp", "group", "component"), "named")
     return rows.join(names, "fp").select(key, "text_hash", "fp", "group", "component")
 
@@ -249,7 +250,7 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **options)
     key, of those the smallest text hash; equal rows count once."""
     rows = stored(near_duplicates(df, key, text, **options), "members")
     order = F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.col("text_hash"))
-    best = rows.groupBy("group").agg(F.min(order).alias("best"))
+    best = stored(rows.groupBy("group").agg(F.min(order).alias("best")), "best")
     ranked = rows.join(best, "group")
     wins = order == F.col("best")
     lost = stored(ranked.filter(~wins).select(key, "text_hash").distinct(), "lost")
