@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -35,8 +36,8 @@ from .common import stored
 LARGEST = 5            # counts up to this are discounted
 VOCABULARY = 1e-5      # frequency from which a word, or a pair, goes to every task
 BUCKET = 1_000_000     # tokens aimed at in a bucket
-BATCH = 1_000_000      # tokens scored together before they are sent
-TYPES = 2_000_000      # different words or pairs a task counts at once
+BATCH = 500_000        # tokens scored together before they are sent
+TYPES = 750_000        # different words or pairs a task counts at once
 
 END = np.uint64(xxhash.xxh64_intdigest(b"\n"))  # no word holds a line feed
 META, WORD_COUNTS, PAIR_COUNTS, WORDS, PAIRS = range(5)
@@ -135,8 +136,12 @@ def _counted(df: DataFrame, text: str, keys) -> DataFrame:
         def add_up() -> tuple[np.ndarray, np.ndarray]:
             k = np.concatenate([k for k, _ in wait])
             n = np.concatenate([n for _, n in wait])
-            u, at = np.unique(k, return_inverse=True)
-            return u, np.bincount(at, weights=n, minlength=len(u)).astype(np.int64)
+            if not len(k):
+                return k, n
+            order = np.argsort(k)
+            k, n = k[order], n[order]
+            first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+            return k[first], np.add.reduceat(n, first)
 
         for pdf in batches:
             got = [keys(tokens(t)) for t in pdf["text"]]
@@ -249,23 +254,27 @@ def _dealt(keys: np.ndarray, buckets: int, *columns: np.ndarray) -> Iterator[tup
 
 def _count_blobs(table: DataFrame, role: int, buckets: int, below: float) -> DataFrame:
     """The counts of what is not frequent, packed by bucket."""
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wait: list[pd.DataFrame] = []
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wait: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def flush() -> Iterator[pd.DataFrame]:
-            pdf = pd.concat(wait)
-            keys, n = pdf["key"].to_numpy(np.int64).view(np.uint64), pdf["n"].to_numpy()
+        def flush() -> pa.RecordBatch:
+            keys = np.concatenate([k for k, _ in wait]).view(np.uint64)
+            n = np.concatenate([n for _, n in wait])
             got = list(_dealt(keys, buckets, n & 0xffffffff, n >> 32))
-            yield pd.DataFrame({"bucket": [b for b, _ in got], "blob": [x for _, x in got]})
-        for pdf in batches:
-            wait.append(pdf)
-            if sum(map(len, wait)) > TYPES:
-                yield from flush()
-                wait = []
-        if sum(map(len, wait)):
-            yield from flush()
-
-    return (table.filter(F.col("n") < below).mapInPandas(pack, "bucket long, blob binary")
+            return pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in got], pa.int64()),
+                                               "blob": pa.array([x for _, x in got], pa.binary())})
+        size = 0
+        for batch in batches:
+            wait.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size > TYPES:
+                yield flush()
+                wait, size = [], 0
+        if size:
+            yield flush()
+
+    return (table.filter(F.col("n") < below).select("key", "n")
+            .mapInArrow(pack, "bucket long, blob binary")
             .select("bucket", F.lit(role).alias("role"), F.lit(0).cast("long").alias("batch"), "blob"))
 
 
