@@ -55,19 +55,26 @@ def discounts(n: list[int]) -> np.ndarray:
     """Good-Turing factors d[r] for counts r = 0..LARGEST, from n[r], the number of
     types seen r times, r up to LARGEST + 1; d[0] is not used.
 
-    Where a factor falls outside (0, 1], as in small corpora, all are those of an
-    absolute discount.
+    Where a factor falls outside (0, 1], as n[r] is too rough, that factor alone is
+    taken from smoothed n[r]: the line through log n[r] over log r, as in Simple
+    Good-Turing.  Its factors always lie in (0, 1).
     """
     d = np.ones(LARGEST + 1)
     if not n[1]:
         return d
+    r = np.arange(1, LARGEST + 1)
+    seen = np.array([i for i in range(1, LARGEST + 2) if n[i]])
+    # Smoothed: n[r] = c * r ** slope, so (r + 1) n[r + 1] / n[r] / r = (1 + 1 / r) ** x
+    # with x = slope + 1.  One point makes no line: 1 / r ** 2, as of Zipf's law, then.
+    slope = np.polyfit(np.log(seen), np.log([n[i] for i in seen]), 1)[0] if len(seen) > 1 else -2.0
+    x = min(slope + 1, -1e-3)
+    smooth_tail = (LARGEST + 1) ** x
+    smooth = ((1 + 1 / r) ** x - smooth_tail) / (1 - smooth_tail)
     tail = (LARGEST + 1) * n[LARGEST + 1] / n[1]
-    for r in range(1, LARGEST + 1):
-        good = n[r] and tail < 1
-        d[r] = ((r + 1) * n[r + 1] / n[r] / r - tail) / (1 - tail) if good else 0
-    if not ((d[1:] > 0) & (d[1:] <= 1)).all():
-        less = min(0.9, max(0.1, n[1] / (n[1] + 2 * n[2])))
-        d[1:] = 1 - less / np.arange(1, LARGEST + 1)
+    for i in r:
+        good = n[i] and tail < 1
+        own = ((i + 1) * n[i + 1] / n[i] / i - tail) / (1 - tail) if good else 0
+        d[i] = own if 0 < own <= 1 else smooth[i - 1]
     return d
 
 

@@ -110,6 +110,23 @@ def test_probabilities_add_up_to_one(texts, vocabulary):
             assert total == pytest.approx(1, abs=1e-9)
 
 
+def test_discounts_stay_good_turing():
+    def turing(n, r):
+        tail = 6 * n[6] / n[1]
+        return ((r + 1) * n[r + 1] / n[r] / r - tail) / (1 - tail)
+    n = [0, 1000, 300, 150, 60, 70, 40]  # the factor of 4 is over 1
+    assert turing(n, 4) > 1
+    d = K.discounts(n)
+    for r in (1, 2, 3, 5):
+        assert d[r] == pytest.approx(turing(n, r))
+    assert 0 < d[4] < 1
+    for n in ([0, 9, 0, 0, 0, 0, 0], [0, 1, 1, 1, 1, 1, 1], [0, 1, 5, 9, 9, 20, 90],
+              [0, 50, 0, 7, 0, 0, 3], [0, 10**9, 10**8, 10**8, 0, 1, 0]):
+        assert ((K.discounts(n)[1:] > 0) & (K.discounts(n)[1:] <= 1)).all()
+    law = [0] + [10**9 / r**2 for r in range(1, 7)]
+    assert K.discounts(law)[1:] == pytest.approx([turing(law, r) for r in range(1, 6)])
+
+
 def test_held_out_texts_are_likelier_than_by_words_alone(spark):
     from cumulus.llm.queries import op9_lm_scoring
     sf = "/root/testdata/sf0.01"
