@@ -1,17 +1,19 @@
 """Katz backoff language model, trained and applied as Spark jobs.
 
 Tokens are the words of a text (A-Z in lower case) and one end.  The model is a
-bigram over words: a seen pair has its Good-Turing discounted count, an unseen
-one the backoff weight of its first word times the next lower order.  Below a
-frequency of VOCABULARY a word shares one class with other rare words in the
-pairs; the lowest order gives every word its own discounted probability and
-the words never seen the mass left over.  Weights are computed so that the
-probabilities after every word add up to exactly one.
-
-Tables: ``words`` (hash, n) and ``pairs`` (key, n) lie in the shared folder.  At
-most 1 / VOCABULARY words, and pairs, can be that frequent, so those go to
-every task; all other tokens travel, packed, to the bucket that holds their
-counts and come back as sums per document.  No word or pair is a hot key then.
+bigram over all words: a seen pair has its Good-Turing discounted count, an unseen
+one the backoff weight of its first word times the next lower order.  The lowest
+order gives every word its own discounted probability and the words never seen
+the mass left over.  Weights are computed so that the probabilities after every
+word add up to exactly one.  Only where a caller gives ``vocabulary``, the words
+below that frequency share one class in the pairs.
+
+Tables: words, pairs (by the hashes of both words) and backoff weights lie in the
+shared folder.  A text's score is the sum of its words' lowest-order logs and
+weights, and for every seen pair its ``gain`` over that.  At most 1 / VOCABULARY
+words, and pairs, can be that frequent, so those go to every task; all other
+tokens travel, packed, to the bucket that holds their counts, weights and gains
+and come back as sums per document.  No word or pair is a hot key then.
 
 Defined results: a null or empty text is an end alone.  Repeated rows and ids
 are scored, and counted in training, as often as they occur.  With nothing to
@@ -29,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stored
 
@@ -40,6 +42,8 @@ BATCH = 500_000        # tokens scored together before they are sent
 TYPES = 750_000        # different words or pairs a task counts at once
 
 END = np.uint64(xxhash.xxh64_intdigest(b"\n"))  # no word holds a line feed
+START = np.uint64(xxhash.xxh64_intdigest(b"\n\n"))  # before the first word
+RARE = np.uint64(xxhash.xxh64_intdigest(b"\n\n\n"))  # the class, where there is one
 META, WORD_COUNTS, PAIR_COUNTS, WORDS, PAIRS = range(5)
 
 
@@ -84,38 +88,27 @@ def _factor(d: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    words: DataFrame        # hash, n
-    pairs: DataFrame        # key, n
+    words: DataFrame        # key, n, weight (log10, of backing off after the word)
+    pairs: DataFrame        # first, second, n, gain (log10, over backing off)
     total: int              # training tokens
     types: int              # different ones
+    classed: bool           # words outside the vocabulary share one class
     vocab: np.ndarray       # hashes of frequent words, sorted
     counts: np.ndarray      # their counts
     word_d: np.ndarray      # discounts of words
     pair_d: np.ndarray      # discounts of pairs
     scale: float            # of word probabilities
     unseen: float           # mass of words never seen
-    low: np.ndarray         # log10 probability of vocabulary words and of the rare class
-    denom: np.ndarray       # per first word (vocabulary, rare, start): divisor of counts
-    weight: np.ndarray      # log10 backoff weight; 0 for a word never followed
+    low: np.ndarray         # log10 probability of vocabulary words; 0 for others
+    weight: np.ndarray      # log10 backoff weight: vocabulary, rare class, start
     hot: np.ndarray         # keys of frequent pairs, sorted
-    hot_n: np.ndarray
-
-    @property
-    def rare(self) -> int:
-        return len(self.vocab)
+    hot_gain: np.ndarray
 
     def word_probability(self, n: np.ndarray) -> np.ndarray:
         """Lowest-order probability of words seen n times; 0: all unseen ones."""
         p = self.scale * _factor(self.word_d, n) * n / max(1, self.total)
         return np.where(n > 0, p, self.unseen)
 
-    def pair_log(self, keys: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """log10 P(second | first), the rare class standing for its words."""
-        first, second = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xffffffff)).astype(np.int64)
-        with np.errstate(divide="ignore"):
-            seen = np.log10(_factor(self.pair_d, n) * n) - np.log10(self.denom[first])
-        return np.where(n > 0, seen, self.weight[first] + self.low[second])
-
 
 def _ids(h: np.ndarray, vocab: np.ndarray) -> np.ndarray:
     """Places in the vocabulary; its size for rare words."""
@@ -125,48 +118,60 @@ def _ids(h: np.ndarray, vocab: np.ndarray) -> np.ndarray:
     return np.where(vocab[at] == h, at, len(vocab)).astype(np.uint64)
 
 
-def _pairs(ids: np.ndarray, vocab: np.ndarray) -> np.ndarray:
-    """Keys (first << 32 | second); the first token follows the start."""
-    first = np.concatenate(([np.uint64(len(vocab) + 1)], ids[:-1]))
-    return first << np.uint64(32) | ids
+def _pairs(h: np.ndarray) -> np.ndarray:
+    """The tokens before; the first token follows the start."""
+    return np.concatenate(([START], h[:-1]))
+
+
+def _pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return first * np.uint64(0xD6E8FEB86659FD93) + second
+
+
+def _named(h: np.ndarray, vocab: np.ndarray, classed: bool) -> np.ndarray:
+    """What the tokens are in the pairs: themselves, or the class they belong to."""
+    return np.where(_ids(h, vocab) < len(vocab), h, RARE) if classed else h
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-def _counted(df: DataFrame, text: str, keys) -> DataFrame:
-    """(key, n) over all texts; a task sums its own before they are shuffled."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wait, size = [], 0
+def _counted(df: DataFrame, text: str, columns: tuple[str, ...], parts) -> DataFrame:
+    """(columns, n) over all texts, ``parts`` being a text's columns; a task sums
+    its own before they are shuffled."""
+    def add_up(wait: list[list[np.ndarray]]) -> list[np.ndarray]:
+        *cols, n = [np.concatenate(c) for c in zip(*wait)]
+        if not len(n):
+            return [*cols, n]
+        key = cols[0] if len(cols) == 1 else _pair_key(*cols)
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        return [*[c[order[first]] for c in cols], np.add.reduceat(n[order], first)]
 
-        def add_up() -> tuple[np.ndarray, np.ndarray]:
-            k = np.concatenate([k for k, _ in wait])
-            n = np.concatenate([n for _, n in wait])
-            if not len(k):
-                return k, n
-            order = np.argsort(k)
-            k, n = k[order], n[order]
-            first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-            return k[first], np.add.reduceat(n, first)
+    def frame(got: list[np.ndarray]) -> pd.DataFrame:
+        return pd.DataFrame({**{c: _signed(x) for c, x in zip(columns, got)}, "n": got[-1]})
 
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wait, size = [], 0
         for pdf in batches:
-            got = [keys(tokens(t)) for t in pdf["text"]]
+            got = [parts(tokens(t)) for t in pdf["text"]]
             if got:
-                wait.append(np.unique(np.concatenate(got), return_counts=True))
+                got = [np.concatenate(c) for c in zip(*got)]
+                wait.append(add_up([[*got, np.ones(len(got[0]), np.int64)]]))
                 size += len(wait[-1][0])
             if size > 2 * TYPES:
-                wait = [add_up()]
+                wait = [add_up(wait)]
                 if len(wait[0][0]) > TYPES:
-                    yield pd.DataFrame({"key": _signed(wait[0][0]), "n": wait[0][1]})
+                    yield frame(wait[0])
                     wait = []
-                size = sum(len(k) for k, _ in wait)
+                size = sum(len(x[0]) for x in wait)
         if wait:
-            k, n = add_up()
-            yield pd.DataFrame({"key": _signed(k), "n": n})
+            yield frame(add_up(wait))
 
+    schema = ", ".join(f"{c} long" for c in (*columns, "n"))
     return (df.select(F.col(f"`{text}`").alias("text"))
-            .mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
+            .mapInPandas(count, schema).groupBy(*columns).agg(F.sum("n").alias("n")))
 
 
 def _count_counts(table: DataFrame) -> list[int]:
@@ -183,47 +188,75 @@ def _frequent(table: DataFrame, least: float, also: int | None = None) -> tuple[
     return key[order], rows["n"].to_numpy(np.int64)[order]
 
 
-def train(df: DataFrame, text: str = "text", *, vocabulary: float = VOCABULARY) -> Model:
-    """Counts, discounts and backoff weights from all texts of ``df``."""
-    words = stored(_counted(df, text, lambda h: h), "words").withColumnRenamed("key", "hash")
+def _per_count(d: np.ndarray) -> Column:
+    """The discount of the count ``n``."""
+    return F.get(F.array(*map(F.lit, [*d.tolist(), 1.0])),
+                 F.least("n", F.lit(LARGEST + 1)).cast("int"))
+
+
+def train(df: DataFrame, text: str = "text", *, vocabulary: float | None = None) -> Model:
+    """Counts, discounts and backoff weights from all texts of ``df``; words below
+    the frequency ``vocabulary``, where given, share one class in the pairs."""
+    spark, classed = df.sparkSession, vocabulary is not None
+    words = stored(_counted(df, text, ("key",), lambda h: [h]), "words")
     size = words.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types")).first()
     total, types = size["total"] or 0, size["types"]
     word_n = _count_counts(words)
     word_d = discounts(word_n)
-    vocab, counts = _frequent(words.withColumnRenamed("hash", "key"), max(1, vocabulary * total),
+    vocab, counts = _frequent(words, max(1, (vocabulary if classed else VOCABULARY) * total),
                               int(_signed(np.array([END]))[0]))
     unseen = sum(word_n[r] * r * (1 - word_d[r]) for r in range(1, LARGEST + 1)) / max(1, total)
     scale = 1.0
     if unseen <= 0:
         scale, unseen = total / (total + 1), 1 / (total + 1)
 
-    pairs = stored(_counted(df, text, lambda h: _pairs(_ids(h, vocab), vocab)), "pairs")
-    pair_d = discounts(_count_counts(pairs))
-    hot, hot_n = _frequent(pairs, max(2, vocabulary * total))
-
     p = scale * _factor(word_d, counts) * counts / max(1, total)
-    low = np.append(p, max(unseen, 1 - p.sum()))
-    # Per first word, at most the vocabulary and two more: what its pairs hold.
-    shares = df.sparkSession.createDataFrame(
-        pd.DataFrame({"second": np.arange(len(low)), "p": low}))
-    factor = F.get(F.array(*map(F.lit, [*pair_d.tolist(), 1.0])),
-                   F.least("n", F.lit(LARGEST + 1)).cast("int"))
-    per = (pairs.withColumn("first", F.shiftrightunsigned("key", 32))
-           .withColumn("second", F.col("key").bitwiseAND(F.lit(0xffffffff)))
-           .join(F.broadcast(shares), "second").groupBy("first")
-           .agg(F.sum("n").alias("n"), F.sum(F.col("n") * factor).alias("held"),
-                F.sum("p").alias("p"), F.count(F.lit(1)).alias("types")).toPandas())
-    at = per["first"].to_numpy(np.int64)
-    n, held = per["n"].to_numpy(float), per["held"].to_numpy(float)
+    rest = max(unseen, 1 - p.sum()) if classed else unseen
+    if classed:
+        seconds = spark.createDataFrame(pd.DataFrame({
+            "second": _signed(np.append(vocab, RARE)), "p": np.append(p, rest)}))
+    else:
+        seconds = words.select(F.col("key").alias("second"), (
+            F.lit(float(scale)) * _per_count(word_d) * F.col("n") / F.lit(max(1, total))).alias("p"))
+
+    def both(h: np.ndarray) -> list[np.ndarray]:
+        h = _named(h, vocab, classed)
+        return [_pairs(h), h]
+    # A word is second, or first, in as many rows as it has neighbours: AQE splits
+    # the few large ones, and the sums per first word begin before the shuffle.
+    pairs = stored(_counted(df, text, ("first", "second"), both).join(seconds, "second"), "pairs")
+    pair_d = discounts(_count_counts(pairs))
+    kept = F.col("n") * _per_count(pair_d)
+    per = (pairs.groupBy("first")
+           .agg(F.sum("n").alias("n"), F.sum(kept).alias("held"), F.sum("p").alias("p"),
+                F.count(F.lit(1)).alias("types")))
     # No mass left over, as no count was small: one more event makes room for it.
-    n = np.where(n - held < 1e-9 * n, n + 1, n)
-    every = per["types"].to_numpy() == len(low)  # nothing is left to back off to
-    denom, weight = np.ones(len(vocab) + 2), np.zeros(len(vocab) + 2)
-    denom[at] = np.where(every, held, n)
-    rest = np.where(every, 1.0, 1 - per["p"].to_numpy(float))
-    weight[at] = np.log10(np.where(every, 1.0, (1 - held / n) / rest))
-    return Model(words, pairs, total, types, vocab, counts, word_d, pair_d, scale, unseen,
-                 np.log10(low), denom, weight, hot, hot_n)
+    n = F.when(F.col("n") - F.col("held") < 1e-9 * F.col("n"), F.col("n") + 1).otherwise(F.col("n"))
+    # Every class followed: nothing is left to back off to.
+    every = (F.col("types") == len(vocab) + 1) & F.lit(classed)
+    per = stored(per.select(
+        "first", F.when(every, F.col("held")).otherwise(n).alias("denom"),
+        F.when(every, 0.0).otherwise(F.log10(
+            (1 - F.col("held") / n) / F.greatest(1 - F.col("p"), F.lit(1e-300)))).alias("weight")),
+        "weights")
+
+    def gains(rows: DataFrame) -> DataFrame:
+        return rows.join(per, "first").select("first", "second", "n", (
+            F.log10(kept) - F.log10("denom") - F.col("weight") - F.log10("p")).alias("gain"))
+
+    known = np.append(vocab, [RARE, START])
+    at = spark.createDataFrame(pd.DataFrame({"first": _signed(known), "place": np.arange(len(known))}))
+    own = per.join(F.broadcast(at), "first").select("place", "weight").toPandas()
+    weight = np.zeros(len(known))
+    weight[own["place"].to_numpy(np.int64)] = own["weight"].to_numpy(float)
+    top = gains(pairs.filter(F.col("n") >= max(2, VOCABULARY * total))).toPandas()
+    hot = _pair_key(*[top[c].to_numpy(np.int64).view(np.uint64) for c in ("first", "second")])
+    order = np.argsort(hot)
+    words = words.join(per.select(F.col("first").alias("key"), "weight"), "key", "left").select(
+        "key", "n", F.coalesce("weight", F.lit(0.0)).alias("weight"))
+    return Model(words, gains(pairs), total, types, classed, vocab, counts, word_d, pair_d, scale,
+                 unseen, np.append(np.log10(p), 0), weight, hot[order],
+                 top["gain"].to_numpy(float)[order])
 
 
 def _pack(keys: np.ndarray, *columns: np.ndarray) -> bytes:
@@ -259,20 +292,34 @@ def _dealt(keys: np.ndarray, buckets: int, *columns: np.ndarray) -> Iterator[tup
         yield int(b), _pack(keys[at], *[c[at] for c in columns])
 
 
-def _count_blobs(table: DataFrame, role: int, buckets: int, below: float) -> DataFrame:
-    """The counts of what is not frequent, packed by bucket."""
+def _halves(x: np.ndarray) -> list[np.ndarray]:
+    """64-bit numbers as two columns of 32 bits."""
+    x = np.ascontiguousarray(x).view(np.uint64)
+    return [x & np.uint64(0xffffffff), x >> np.uint64(32)]
+
+
+def _whole(low: np.ndarray, high: np.ndarray, kind: type) -> np.ndarray:
+    return (low | high << 32).view(kind)
+
+
+def _count_blobs(table: DataFrame, role: int, buckets: int, below: float, key, *values: str) -> DataFrame:
+    """The values of what is not frequent, packed by bucket; ``key`` makes the key
+    from the other columns."""
+    columns = [c for c in table.columns if c not in values and c != "n"]
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wait: list[tuple[np.ndarray, np.ndarray]] = []
+        wait: list[list[np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
-            keys = np.concatenate([k for k, _ in wait]).view(np.uint64)
-            n = np.concatenate([n for _, n in wait])
-            got = list(_dealt(keys, buckets, n & 0xffffffff, n >> 32))
+            cols = [np.concatenate(c) for c in zip(*wait)]
+            keys = key(*[c.view(np.uint64) for c in cols[:len(columns)]])
+            halves = [x for c in cols[len(columns):] for x in _halves(c)]
+            got = list(_dealt(keys, buckets, *halves))
             return pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in got], pa.int64()),
                                                "blob": pa.array([x for _, x in got], pa.binary())})
         size = 0
         for batch in batches:
-            wait.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            wait.append([c.to_numpy() for c in batch.columns])
             size += batch.num_rows
             if size > TYPES:
                 yield flush()
@@ -280,18 +327,19 @@ def _count_blobs(table: DataFrame, role: int, buckets: int, below: float) -> Dat
         if size:
             yield flush()
 
-    return (table.filter(F.col("n") < below).select("key", "n")
+    return (table.filter(F.col("n") < below).select(*columns, *values)
             .mapInArrow(pack, "bucket long, blob binary")
             .select("bucket", F.lit(role).alias("role"), F.lit(0).cast("long").alias("batch"), "blob"))
 
 
 def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text", *,
-          buckets: int | None = None, vocabulary: float = VOCABULARY) -> DataFrame:
+          buckets: int | None = None, vocabulary: float | None = None) -> DataFrame:
     """key, n_tokens, n_known, base_score (unigrams, one added to every count) and
-    score (this model), both log10: one row per row of ``df``."""
+    score (this model), both log10: one row per row of ``df``; ``vocabulary`` as in
+    training."""
     total, types = model.total, model.types
     buckets = buckets or max(1, -(-total // BUCKET))
-    vocab, counts, hot, hot_n = model.vocab, model.counts, model.hot, model.hot_n
+    vocab, counts, hot, hot_gain = model.vocab, model.counts, model.hot, model.hot_gain
     slim = Model(**{**model.__dict__, "words": None, "pairs": None})  # for the tasks
     kind = df.schema[key].dataType
     meta = ["key", "idx", "n_tokens", "n_known", "base", "score"]
@@ -313,14 +361,17 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
             sizes = np.array([len(t) for t in wait])
             h, doc = np.concatenate(wait), np.repeat(np.arange(len(wait)), sizes)
             ids = _ids(h, vocab)
-            keys = np.concatenate([_pairs(x, vocab) for x in np.split(ids, np.cumsum(sizes)[:-1])])
+            named = _named(h, vocab, slim.classed)
+            keys = _pair_key(np.concatenate(
+                [_pairs(x) for x in np.split(named, np.cumsum(sizes)[:-1])]), named)
             known = ids < len(vocab)
             n = counts[ids[known].astype(np.int64)]
             base = np.bincount(doc[known], base_log(n), len(wait))
             at = np.minimum(np.searchsorted(hot, keys), max(0, len(hot) - 1))
             is_hot = hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
-            logs = slim.pair_log(keys[is_hot], hot_n[at[is_hot]]) if is_hot.any() else []
-            total_log = np.bincount(doc[is_hot], logs, len(wait))
+            place = ids.astype(np.int64)
+            total_log = (slim.weight[-1] + np.bincount(doc, slim.low[place] + slim.weight[place], len(wait))
+                         + np.bincount(doc[is_hot], hot_gain[at[is_hot]], len(wait)))
             rows = [pd.DataFrame({
                 "bucket": -1 - batch,  # a group of their own: nothing to look up
                 "role": META, "batch": batch, "blob": None,
@@ -353,26 +404,32 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
         """Sums per batch and document of the tokens whose counts lie in this bucket."""
         out = [pdf[pdf["role"] == META][["batch", "blob", *meta]]]
         for counts_role, role in ((WORD_COUNTS, WORDS), (PAIR_COUNTS, PAIRS)):
-            tables = [_unpack(b, 2) for b in pdf["blob"][pdf["role"] == counts_role]]
+            tables = [_unpack(b, 4 if role == WORDS else 2)
+                      for b in pdf["blob"][pdf["role"] == counts_role]]
             known = np.concatenate([t[0] for t in tables] or [np.empty(0, np.uint64)])
-            n_of = np.concatenate([t[1] + (t[2] << 32) for t in tables] or [np.empty(0, np.int64)])
             turn = np.argsort(known)
-            known, n_of = known[turn], n_of[turn]
+            known = known[turn]
+
+            def held(i: int, kind: type) -> np.ndarray:
+                return np.concatenate([_whole(t[i], t[i + 1], kind) for t in tables]
+                                      or [np.empty(0, kind)])[turn]
+            values = [held(1, np.int64), held(3, float)] if role == WORDS else [held(1, float)]
             for batch, blob in pdf[pdf["role"] == role][["batch", "blob"]].itertuples(index=False):
                 keys, doc, times = _unpack(blob, 2)
-                n = np.zeros(len(keys), np.int64)
+                found = [np.zeros(len(keys), v.dtype) for v in values]
                 if len(known):
                     at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                    n = np.where(known[at] == keys, n_of[at], 0)
+                    found = [np.where(known[at] == keys, v[at], 0) for v in values]
                 docs, place = np.unique(doc, return_inverse=True)
 
                 def sums(x: np.ndarray) -> np.ndarray:
                     return np.bincount(place, x * times, len(docs))
                 if role == WORDS:
-                    mine = np.log10(slim.word_probability(n)) - slim.low[slim.rare]
+                    n, weight = found
+                    mine = np.log10(slim.word_probability(n)) + (0 if slim.classed else weight)
                     got = sums(base_log(n)), sums(n > 0), sums(mine)
                 else:
-                    got = np.zeros(len(docs)), np.zeros(len(docs)), sums(slim.pair_log(keys, n))
+                    got = np.zeros(len(docs)), np.zeros(len(docs)), sums(found[0])
                 data = docs.astype("<u4").tobytes() + np.stack(got).astype("<f8").tobytes()
                 out.append(pd.DataFrame({"batch": [batch], "blob": [zlib.compress(data, 1)]}))
         return pd.concat([x.reindex(columns=["batch", "blob", *meta]) for x in out])
@@ -392,9 +449,11 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
     rows = df.select(F.col(f"`{key}`").cast("string").alias("key"),
                      F.col(f"`{text}`").alias("text"))
     sent = rows.mapInPandas(send, schema)
-    count_rows = [_count_blobs(model.words.withColumnRenamed("hash", "key"), WORD_COUNTS, buckets,
-                               max(1, vocabulary * total)),
-                  _count_blobs(model.pairs, PAIR_COUNTS, buckets, max(2, vocabulary * total))]
+    least = (vocabulary if model.classed else VOCABULARY) * total
+    count_rows = [_count_blobs(model.words, WORD_COUNTS, buckets, max(1, least),
+                               lambda k: k, "n", "weight"),
+                  _count_blobs(model.pairs, PAIR_COUNTS, buckets, max(2, VOCABULARY * total),
+                               _pair_key, "gain")]
     together = sent
     for c in count_rows:
         together = together.unionByName(c, allowMissingColumns=True)

@@ -100,6 +100,22 @@ def test_scores_equal_plain_version(spark, vocabulary, monkeypatch):
         assert r["score"] == pytest.approx(plain.score(text), abs=1e-9)
 
 
+@pytest.mark.parametrize("frequent", [1e-5, 0.02])
+def test_rare_words_have_pairs_of_their_own(spark, frequent, monkeypatch):
+    monkeypatch.setattr(K, "VOCABULARY", frequent)
+    texts = corpus(1) * 300 + ["zeta omega", "w1 zeta omega w1", "w7 w70 alone"]
+    asks = ["zeta omega", "omega zeta", "w1 omega", "zeta w1 never", "never omega", "w70 alone w3", "", None]
+    plain = Plain(texts, 0)
+    assert plain.n > 200_000
+    model = K.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    df = spark.createDataFrame(list(enumerate(asks)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in K.score(df, model, buckets=5).collect()}
+    for i, text in enumerate(asks):
+        assert got[i]["score"] == pytest.approx(plain.score(text), abs=1e-8), text
+        assert got[i]["base_score"] == pytest.approx(plain.base(text), abs=1e-8)
+    assert got[0]["score"] > got[1]["score"] + 1
+
+
 @pytest.mark.parametrize("vocabulary", [1e-5, 0.01, 0.2])
 @pytest.mark.parametrize("texts", [corpus(1), corpus(5, 400, 9), ["a b a b a b"] * 9, ["a"], [""]])
 def test_probabilities_add_up_to_one(texts, vocabulary):
