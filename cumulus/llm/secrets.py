@@ -3,7 +3,10 @@
 Every text is a worklist of layers.  A layer is scanned for the base patterns;
 then what it encodes becomes further layers: percent escapes and Unicode
 escapes decoded in place, and base64 tokens, whose bytes may be compressed
-(zlib, gzip, bzip2, xz).  Work ends when no new layer appears; a layer whose text
+(zlib, gzip, bzip2, xz; several streams on end).  Base64 that is no text as a
+whole is read from all four alignments, as a prefix shifts it, and what lies
+between bytes that are no text is scanned too; lines of it are also read as one.
+Compressed bytes may stand in escapes as well.  Work ends when no new layer appears; a layer whose text
 came up before from the same place is not entered again, so cycles end too.
 Each layer carries, for every character, the span of the original text it came
 from.
@@ -49,6 +52,13 @@ _LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\u[0-9A-Fa-f]{4})+"
                       r"|(?:\\x[0-9A-Fa-f]{2})+|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+_LITERAL = re.compile(r"(?:\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\[abfnrtv0\\'\"])+")
+_PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
+_PACKED_TEXT = re.compile(_PACKED.pattern.decode("latin-1"))
+_BYTES = re.compile(r"[\x00-\xff]+")
+# No finding, nor an encoding of one, is shorter than token= and eight characters.
+_SOME_TEXT = re.compile(rb"[\t\n\r\x20-\x7e]{14}")
+_NEXT_LINE = re.compile(r"[ \t]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t]*([A-Za-z0-9+/_-]+={0,2})")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 
 
@@ -83,23 +93,69 @@ class Oversized(Exception):
     pass
 
 
-def _unpack(data: bytes) -> bytes | None:
-    """One layer of compression taken off, None if there is none."""
+def _unpack(data: bytes) -> tuple[bytes, int] | None:
+    """One layer of compression taken off, all streams on end, and the bytes they
+    took; None if there is none."""
     kinds = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"BZh", bz2.BZ2Decompressor),
              (b"\xfd7zXZ\x00", lzma.LZMADecompressor))
-    make = next((f for magic, f in kinds if data.startswith(magic)), None)
-    if make is None and len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
-        make = zlib.decompressobj
-    if make is None:
-        return None
-    tool = make()
-    try:
-        out = tool.decompress(data, MAX_LAYER + 1)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
-    if len(out) > MAX_LAYER:
-        raise Oversized
-    return out if tool.eof else None
+    out, used, view = [], 0, memoryview(data)
+    while used < len(data):
+        head = bytes(view[used:used + 6])
+        make = next((f for magic, f in kinds if head.startswith(magic)), None)
+        if make is None and len(head) > 2 and head[0] & 15 == 8 and (head[0] << 8 | head[1]) % 31 == 0:
+            make = zlib.decompressobj
+        if make is None:
+            break
+        tool = make()
+        try:
+            got = tool.decompress(view[used:], MAX_LAYER + 1 - sum(map(len, out)))
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            break
+        out.append(got)
+        if sum(map(len, out)) > MAX_LAYER:
+            raise Oversized
+        if not tool.eof:
+            out.pop()
+            break
+        used = len(data) - len(tool.unused_data)
+    return (b"".join(out), used) if used else None
+
+
+def _unpacked(data: bytes) -> bytes:
+    """The bytes without any layers of compression."""
+    seen = set()
+    while data not in seen:
+        seen.add(data)
+        more = _unpack(data)
+        if more is None:
+            break
+        data = more[0]
+    return data
+
+
+def _texts(data: bytes) -> list[tuple[str, np.ndarray | None]]:
+    """Texts that the bytes hold, with the bytes' places where they are not text as
+    a whole: their ASCII characters are told apart, zero bytes as those of UTF-16
+    read as line ends and left out."""
+    text = _utf8(data)
+    if text is not None:
+        return [(text, None)]
+    out = []
+    if _SOME_TEXT.search(data):
+        out.append((data.replace(b"\0", b"\n").decode("latin-1"), np.arange(len(data))))
+    if b"\0" in data and _SOME_TEXT.search(bare := data.replace(b"\0", b"")):
+        out.append((bare.decode("latin-1"), np.flatnonzero(np.frombuffer(data, np.uint8))))
+    return out
+
+
+def _streams(data: bytes, at: Iterator[re.Match]) -> Iterator[tuple[str, int, int]]:
+    """(text, start, end) of what compressed streams that start there hold."""
+    done = 0
+    for m in at:
+        if m.start() >= done and (got := _unpack(memoryview(data)[m.start():])):
+            done = m.start() + got[1]
+            for text, _ in _texts(_unpacked(got[0])):
+                yield text, m.start(), done
 
 
 def _open(token: str) -> str | None:
@@ -111,14 +167,12 @@ def _open(token: str) -> str | None:
         data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except ValueError:
         return None
-    seen = set()
-    while data not in seen:
-        seen.add(data)
-        more = _unpack(data)
-        if more is None:
-            break
-        data = more
-    return _utf8(data)
+    return _utf8(_unpacked(data))
+
+
+class _Place(int):
+    def start(self) -> int:
+        return int(self)
 
 
 class Layer:
@@ -139,6 +193,31 @@ class Layer:
             return i, j
         return int(self.start[i:j].min()), int(self.end[i:j].max())
 
+    def spread(self, text: str, lo: int, hi: int) -> Layer:
+        """A layer of a text that the characters lo to hi encode as a whole."""
+        i, j = self.span(lo, hi)
+        return Layer(text, np.full(len(text), i), np.full(len(text), j))
+
+    def held(self, token: str, at: np.ndarray) -> Iterator[Layer]:
+        """Layers in the base64 characters at ``at``, from every alignment."""
+        body = token.rstrip("=").replace("-", "+").replace("_", "/")
+        for skip in range(4):
+            part = body[skip:]
+            part = part[:len(part) - (len(part) % 4 == 1)]
+            data = base64.b64decode(part + "=" * (-len(part) % 4))
+
+            def chars(i: np.ndarray) -> np.ndarray:
+                return np.minimum(skip + i // 3 * 4, len(body) - 1)
+            starts = sorted({0} | {m.start() for m in _PACKED.finditer(data)})
+            for text, i, j in _streams(data, map(_Place, starts)):
+                yield self.spread(text, at[chars(i)], at[chars(j - 1 + 3) - 1] + 1)
+            for text, places in _texts(data):
+                if places is None:
+                    text, places = data.decode("latin-1"), np.arange(len(data))
+                lo, hi = at[chars(places)], at[np.minimum(chars(places) + 3, len(body) - 1)]
+                yield Layer(text, lo if self.start is None else self.start[lo],
+                            hi + 1 if self.end is None else self.end[hi])
+
     def replaced(self, pattern: re.Pattern, decode) -> Layer | None:
         """The layer with every match decoded; None if nothing changed."""
         pieces, starts, ends, at = [], [], [], 0
@@ -164,10 +243,21 @@ class Layer:
         return Layer("".join(pieces), np.concatenate(starts), np.concatenate(ends))
 
 
-def _percent(run: str) -> str | None:
+def _percent(run: str) -> str:
     data = bytes.fromhex(run.replace("%", ""))
     text = _utf8(data)
-    return data.decode("latin-1") if text is None and min(data) >= 32 else text
+    return data.decode("latin-1") if text is None else text
+
+
+def _percent_bytes(run: str) -> str:
+    return bytes.fromhex(run.replace("%", "")).decode("latin-1")
+
+
+def _literal(run: str) -> str:
+    """A run of escapes as in a bytes literal: characters below 256."""
+    simple = dict(zip("abfnrtv0", "\a\b\f\n\r\t\v\0"))
+    return re.sub(r"\\(?:x(..)|u00(..)|(.))", lambda m: chr(int(m[1] or m[2], 16))
+                  if m[1] or m[2] else simple.get(m[3], m[3]), run)
 
 
 def _escape(run: str) -> str | None:
@@ -182,6 +272,30 @@ def _escape(run: str) -> str | None:
         return None
 
 
+def _packed(layer: Layer | None) -> Layer | None:
+    """The layer, if compressed bytes may be in it."""
+    return layer if layer and _PACKED_TEXT.search(layer.text) else None
+
+
+def _tokens(text: str) -> Iterator[tuple[str, np.ndarray]]:
+    """Runs of base64 characters and, joined, those that go on over lines, with the
+    places of their characters."""
+    end = 0
+    for m in _BASE64.finditer(text):
+        yield m[0], np.arange(m.start(), m.end())
+        if m.start() < end:
+            continue
+        parts, end = [m.span()], m.end()
+        while text[end - 1] != "=" and (more := _NEXT_LINE.match(text, end)):
+            parts.append(more.span(1))
+            end = more.end()
+            if len(more[1]) < 16:
+                break
+        if len(parts) > 1:
+            yield ("".join(text[i:j] for i, j in parts),
+                   np.concatenate([np.arange(i, j) for i, j in parts]))
+
+
 def findings(text: str | None) -> tuple[list, list, int]:
     """(base spans, all spans, oversized layers) of a text."""
     text = text or ""
@@ -196,17 +310,24 @@ def findings(text: str | None) -> tuple[list, list, int]:
         new = []
         if "%" in layer.text:
             new.append(layer.replaced(_PERCENT, _percent))
+            new.append(_packed(layer.replaced(_PERCENT, _percent_bytes)))
         if "\\" in layer.text or "&#" in layer.text:
             new.append(layer.replaced(_UNICODE, _escape))
-        for m in _BASE64.finditer(layer.text):
+        if "\\x" in layer.text or "\\u00" in layer.text:
+            new.append(_packed(layer.replaced(_LITERAL, _literal)))
+        try:
+            for m in _PACKED_TEXT.finditer(layer.text):
+                data = _BYTES.match(layer.text, m.start())[0].encode("latin-1")
+                for inner, _, size in _streams(data, [_Place(0)]):
+                    new.append(layer.spread(inner, m.start(), m.start() + size))
+        except Oversized:
+            oversized += 1
+        for token, at in _tokens(layer.text):
             try:
-                inner = _open(m[0])
+                inner = _open(token)
+                new += [layer.spread(inner, at[0], at[-1] + 1)] if inner else layer.held(token, at)
             except Oversized:
                 oversized += 1
-                continue
-            if inner:
-                lo, hi = layer.span(*m.span())
-                new.append(Layer(inner, np.full(len(inner), lo), np.full(len(inner), hi)))
         for x in new:
             if x is not None and (key := x.key()) not in seen:
                 seen.add(key)

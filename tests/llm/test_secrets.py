@@ -1,8 +1,10 @@
 """Secret scans: base patterns by hand, nested layers, cycles, odd inputs."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import zlib
 from urllib.parse import quote
@@ -53,6 +55,45 @@ def test_layers_are_unwrapped_and_mapped():
         assert "hunter2" not in S.redact(text)
 
 
+def test_base64_that_is_no_whole_run_of_text():
+    b64 = base64.b64encode
+    body = b64(KEY.encode() + b" and more").decode()
+    packed = b64(gzip.compress(KEY.encode())).decode()
+    noise = hashlib.sha512(b"x").digest() * 3
+
+    def wrapped(data, width):
+        s = b64(data).decode()
+        return "\n".join(s[i:i + width] for i in range(0, len(s), width))
+    for token in (body, packed):
+        for prefix in ("https://ex.org/cb/", "data/", "cfg_", "a/b/c/", "x-y-"):
+            text = f"see {prefix}{token} ok"
+            spans = S.findings(text)[1]
+            assert [k for _, k, _ in spans] == ["assign"], text
+            i, _, j = spans[0]
+            assert text.index(token) - 3 <= i < j <= len(text) - 3
+    for width in (64, 76):
+        for data in (b"x" * 40 + b" " + KEY.encode() + b" tail" * 20,
+                     zlib.compress(noise + KEY.encode() + noise), gzip.compress(noise + KEY.encode())):
+            for text in (wrapped(data, width), wrapped(data, width).replace("\n", "\r\n  ")):
+                assert "assign" in [k for _, k, _ in S.findings(f"key: {text}\n")[1]]
+    for data in (KEY.encode("utf-16"), KEY.encode("utf-16-be"), b"\xe9t\xe9 " + KEY.encode(),
+                 gzip.compress(KEY.encode("utf-16-le")), gzip.compress(b"a") + gzip.compress(KEY.encode()),
+                 bz2.compress(b"a") + bz2.compress(KEY.encode()),
+                 lzma.compress(b"a") + lzma.compress(KEY.encode())):
+        assert [k for _, k, _ in S.findings(b64(data).decode())[1]] == ["assign"], data
+
+
+def test_compressed_bytes_in_escapes():
+    for pack in (zlib.compress, gzip.compress, bz2.compress, lzma.compress):
+        data = pack(KEY.encode())
+        for enc in (quote(data), "".join(f"%{c:02x}" for c in data), repr(data)[2:-1],
+                    "".join(f"\\x{c:02x}" for c in data)):
+            text = f"go {enc} now {'word ' * 30}"
+            spans = S.findings(text)[1]
+            assert {k for _, k, _ in spans} == {"assign"}, (pack, enc)
+            assert (3, "assign") in [s[:2] for s in spans] and max(s[2] for s in spans) <= 3 + len(enc)
+
+
 def test_percent_span_is_exact():
     text = "go password%3Dhunter2hunter2 now"
     assert S.listed(S.findings(text)[1]) == "assign:3:28"
