@@ -260,16 +260,14 @@ def _literal(run: str) -> str:
                   if m[1] or m[2] else simple.get(m[3], m[3]), run)
 
 
-def _escape(run: str) -> str | None:
+def _escape(run: str) -> str:
     codes = [int(x, 16) for x in re.findall(r"(?:\\u\{|\\U|\\u|\\x|&#[xX])([0-9A-Fa-f]+)", run)] \
         or [int(run[2:-1])]
     if run.startswith("\\x"):
-        return _utf8(bytes(codes))
-    try:
-        text = "".join(map(chr, codes)).encode("utf-16", "surrogatepass").decode("utf-16")
-        return text if text.isprintable() or text.isspace() else None
-    except (ValueError, OverflowError):
-        return None
+        text = _utf8(bytes(codes))
+        return bytes(codes).decode("latin-1") if text is None else text
+    text = "".join(chr(c) if c <= 0x10ffff else "\ufffd" for c in codes)
+    return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
 
 def _packed(layer: Layer | None) -> Layer | None:

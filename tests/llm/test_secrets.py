@@ -99,6 +99,15 @@ def test_percent_span_is_exact():
     assert S.listed(S.findings(text)[1]) == "assign:3:28"
 
 
+def test_unicode_run_with_control_characters():
+    for inner in (f"{KEY}\ntoken=abcdefgh12", f"\t{KEY}\u00a0", f"{KEY}\x00\x07", f"\u2028{KEY}\r\n"):
+        run = "".join(f"\\u{ord(c):04x}" for c in inner)
+        assert "assign" in [k for _, k, _ in S.findings(f"a {run} b")[1]]
+        assert S.redact(f"a {run} b") .count("[assign]") >= 1
+    lone = "".join(f"\\u{ord(c):04x}" for c in KEY) + "\\ud800"
+    assert [k for _, k, _ in S.findings(lone)[1]] == ["assign"]
+
+
 def test_cycles_and_repeats_end(monkeypatch):
     assert S.findings("%2525252525" * 50)[1] == []
     token = base64.b64encode(KEY.encode()).decode()
