@@ -149,14 +149,21 @@ def spans(df: DataFrame, key: str, text: str, templates: tuple[Template, ...]) -
     is_phrase = F.col("t").isin(phrases)
     first, last = F.col("hits")[0]["pos"], F.element_at("hits", -1)["pos"]
     from pyspark.sql import Window
-    order = Window.partitionBy("key", "hash", "t").orderBy(first, "d")
-    apart = ((F.abs(F.col("d") - F.lag("d").over(order)) > DRIFT)
-             | (first - F.lag(last).over(order) > GAP))
+    # Diagonals near each other first, so that one far off, of a phrase that the notice
+    # repeats, does not come between them; then by place in the text.
+    by_d = Window.partitionBy("key", "hash", "t").orderBy("d")
+    near = Window.partitionBy("key", "hash", "t", "near").orderBy(first, "d")
+    so_far = F.max(last).over(near.rowsBetween(Window.unboundedPreceding, -1))
+
+    def numbered(apart: Column, order) -> Column:
+        return F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(order)
     merged = (diagonals.filter(~is_phrase)
-              .withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
-              .withColumn("part", F.sum("new").over(order))
-              .groupBy("key", "hash", "t", "part")
-              .agg(F.flatten(F.collect_list("hits")).alias("hits")).drop("part"))
+              .withColumn("apart", F.col("d") - F.lag("d").over(by_d) > DRIFT)
+              .withColumn("near", numbered(F.col("apart"), by_d))
+              .withColumn("apart", first - so_far > GAP)
+              .withColumn("part", numbered(F.col("apart"), near))
+              .groupBy("key", "hash", "t", "near", "part")
+              .agg(F.flatten(F.collect_list("hits")).alias("hits")).drop("near", "part"))
     found = diagonals.filter(is_phrase).drop("d").unionByName(merged)
     return found.groupBy("key", "hash").agg(F.collect_list(F.struct("t", "hits")).alias("spans"))
 

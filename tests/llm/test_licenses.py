@@ -68,6 +68,19 @@ def test_edited_notice_is_one_verified_span(spark):
     assert len(found[2]) == 1 and found[2][0]["first"] == 0
 
 
+def test_numbered_notice_with_a_repeated_clause(spark):
+    notice = L.TEMPLATES[[t.label for t in L.TEMPLATES].index("bsd-text")].text
+    numbered = notice.replace("Redistributions of", "1. Redistributions of").replace(
+        "Redistributions in", "2. Redistributions in")
+    twice = f"{numbered} {'some other words ' * 40} {notice}"
+    df = spark.createDataFrame([(1, f"a b {numbered} c"), (2, twice)], "doc_id long, text string")
+    found = {r["doc_id"]: r["found"] for r in L.licenses(df).collect()}
+    n = len(plain_words(notice))
+    assert [(s["first"], s["last"], s["cover"]) for s in found[1]] == [(2, n + 3, 1.0)]
+    assert sorted((s["first"], s["last"]) for s in found[2]) == [(0, n + 1), (n + 122, 2 * n + 121)]
+    assert [r["labels"] for r in run(spark, [(1, numbered)])] == ["bsd-text"]
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
