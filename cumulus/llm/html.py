@@ -1,7 +1,8 @@
 """Main text of web pages by two passes of block rules.
 
 A page is cut into blocks at block-level tags.  The first pass decides a block
-by where it stands (navigation, forms and the like never hold the article),
+by where it stands (navigation, forms and the like never hold the article; class
+and id names count unless the element holds the articles or most running text),
 its link density, its length and its density of stop words.  Short blocks, and
 middling ones, stay undecided; the second pass gives them the label of the
 nearest decided neighbours.
@@ -67,6 +68,14 @@ navigation breadcrumb breadcrumbs header masthead topbar footer comment comments
 reply replies disqus share sharing social related recommended recommendations pagination pager toolbar
 skip searchform searchbox
 """.split())
+# Words that only shape a box, after one that names it, and words
+# that speak of another box or of its absence.
+SHAPES = frozenset("""
+area bar block box button buttons col column container content group icons inner item items left
+link links list main post posts primary right row section secondary slot text title unit wrap wrapper
+""".split())
+OTHERS = frozenset("has no with without".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 REPLIES = frozenset("comment comments commentlist respond reply replies disqus".split())
 INSIDE = {"article": 2, "main": 1}
 ROOTS = frozenset("html body main".split())
@@ -85,6 +94,7 @@ class Block:
     linked: int     # characters in links
     inside: int     # 2: in an article element, 1: in a main element, else 0
     never: bool     # where no article stands
+    named: tuple[int, ...] = ()  # elements around it whose names say so
     label: str = ""
 
     @property
@@ -97,25 +107,38 @@ class Block:
         return sum(w in STOP_WORDS for w in words) / max(1, len(words))
 
 
-def _outside(tag: str, attrs: str) -> bool:
-    """True if an element with this start tag cannot hold the article."""
+def _named(words: str) -> set[str]:
+    """Words of NAMES that tokens of a class or id are, end in, or start with before
+    words of shape alone."""
+    out = set()
+    for token in words.split():
+        parts = [p for p in re.split(r"[^0-9a-z]+", re.sub(
+            r"([a-z])([A-Z])", r"\1-\2", token).lower()) if p and not p.isdigit()]
+        if parts and not OTHERS & set(parts):
+            shape = set(parts[1:]) <= SHAPES
+            out |= NAMES & {"".join(parts), parts[-1], parts[0] if shape else ""}
+    return out
+
+
+def _outside(tag: str, attrs: str) -> tuple[bool, bool]:
+    """Whether an element with this start tag cannot hold the article, and whether
+    its names say that it does not."""
     if tag in NEVER:
-        return True
+        return True, False
     if not attrs or "=" not in attrs and "hidden" not in attrs.lower():
-        return False
+        return False, False
     got = {}
     for name, a, b, c in _ATTR.findall(attrs):
         got.setdefault(name.lower(), unescape(a or b or c))
     if tag in ROOTS:
-        return False
-    names = {p.lower() for k in ("class", "id") for p in _PARTS.split(
-        re.sub(r"([a-z])([A-Z])", r"\1-\2", got.get(k, "")).lower())}
+        return False, False
+    names = set() if tag in HEADINGS else _named(f"{got.get('class', '')} {got.get('id', '')}")
     if tag == "article":
-        return bool(names & REPLIES)
+        return bool(names & REPLIES), False
     style = got.get("style", "").replace(" ", "").lower()
-    return (bool(names & NAMES) or got.get("role", "").lower() in ROLES or "hidden" in got
+    return (bool(names & REPLIES) or got.get("role", "").lower() in ROLES or "hidden" in got
             or got.get("aria-hidden", "").lower() == "true"
-            or "display:none" in style or "visibility:hidden" in style)
+            or "display:none" in style or "visibility:hidden" in style), bool(names)
 
 
 def blocks(html: str | None) -> list[Block]:
@@ -124,8 +147,11 @@ def blocks(html: str | None) -> list[Block]:
     out: list[Block] = []
     text: list[str] = []
     linked, at = 0, 0
-    open_: list[tuple[str, bool, int, bool]] = []  # tag, never, inside, link
-    never, inside, link = False, 0, False
+    outer = (False, 0, False, ())
+    open_: list[tuple[str, bool, int, bool, tuple]] = []  # tag, never, inside, link, named
+    never, inside, link, named = outer
+    holds: dict[int, int] = {}  # named elements: articles in them
+    articles = 0
 
     def add(raw: str) -> None:
         nonlocal linked
@@ -140,7 +166,7 @@ def blocks(html: str | None) -> list[Block]:
         if text:
             line = " ".join("".join(text).split())
             if line:
-                out.append(Block(line, linked, inside, never))
+                out.append(Block(line, linked, inside, never, named))
             text.clear()
         linked = 0
 
@@ -161,23 +187,56 @@ def blocks(html: str | None) -> list[Block]:
             if any(x[0] == tag for x in open_):
                 while open_.pop()[0] != tag:
                     pass
-                _, never, inside, link = open_[-1] if open_ else ("", False, 0, False)
+                never, inside, link, named = open_[-1][1:] if open_ else outer
         elif tag not in VOID:
             if tag == "p" and open_ and open_[-1][0] == "p":
                 open_.pop()
-                _, never, inside, link = open_[-1] if open_ else ("", False, 0, False)
-            never = never or _outside(tag, m[3])
+                never, inside, link, named = open_[-1][1:] if open_ else outer
+            if not never:
+                never, by_name = _outside(tag, m[3])
+                if by_name and not never:
+                    named += (len(holds),)
+                    holds[len(holds)] = 0
             if not never:
                 inside = max(inside, INSIDE.get(tag, 0))
+                if tag in INSIDE:
+                    articles += 1
+                    for i in named:
+                        holds[i] += 1
             link = link or tag == "a"
-            open_.append((tag, never, inside, link))
+            open_.append((tag, never, inside, link, named))
             if tag in RAW:  # up to its end tag there is no markup
                 end = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at)
                 at = end.start() if end else size
     flush()
+    _overrule(out, {i for i, n in holds.items() if n and n == articles})
     return out
 
 
+def _sure(b: Block) -> bool:
+    """A long block of running text."""
+    return len(b.text) >= LONG and b.link_density <= LINKS and b.stop_density >= STOP_HIGH
+
+
+def _overrule(page: list[Block], held: set[int]) -> None:
+    """Names count, but for an element that holds all articles of the page (``held``)
+    or half of its running text or more."""
+    if not any(b.named for b in page):
+        return
+    sizes: dict[int, int] = {}
+    every = 0
+    for b in page:
+        if not b.never and _sure(b):
+            every += len(b.text)
+            for i in b.named:
+                sizes[i] = sizes.get(i, 0) + len(b.text)
+    held = held | {i for i, n in sizes.items() if 2 * n >= every}
+    for b in page:
+        b.never = b.never or not held.issuperset(b.named)
+        if b.never:
+            b.inside = 0
+
+
 def label(page: list[Block]) -> list[Block]:
     """Both passes: every block gets the label good or bad."""
     level = max((b.inside for b in page if not b.never), default=0)

@@ -41,6 +41,21 @@ def test_article_of_short_blocks_stays():
     assert H.main_text("<nav>x</nav><article><h1>A</h1><p>B c.</p></article><p>d</p>") == "A B c."
 
 
+def test_names_are_no_veto():
+    long = f"<p>{LOREM * 3}</p>"
+    for start in ("<div class='layout has-sidebar'>", "<div class='no-sidebar'>", "<div class=sidebar>",
+                  "<div class='elementor-widget-container'>", "<div id=header class=banner>"):
+        for page in (f"{start}<article><h1>A</h1>{long}</article></div>",
+                     f"{start}<h1>A</h1>{long}{long}</div><div class=ad>{LOREM * 2}</div>"):
+            got = H.main_text(page)
+            assert got.startswith("A The house") and got.count("by the river") % 3 == 0, (start, got)
+    page = (f"<article><h2 id='sharing-data'>S</h2>{long}<section id='social-impact'><p>{LOREM}</p>"
+            f"<h2 class=share id=related>R</h2>{long}</section><div class='share-buttons'>x {LOREM}</div>"
+            f"<div class='cookie-notice'>{LOREM}</div></article>")
+    got = H.main_text(page)
+    assert got.startswith("S The") and " R The" in got and got.count("by the river") == 7
+
+
 def test_odd_pages():
     for page, want in [(None, ""), ("", ""), ("<", ""), ("<!--", ""), ("a < b", "a < b"),
                        ("<article>x", "x"), ("<article>x</article", "x"), ("</p></article>", ""),
