@@ -28,7 +28,8 @@ SHORT = 70          # characters: below this a block is undecided
 LONG = 200          # from here on, stop words alone make a block good
 STOP_LOW, STOP_HIGH = 0.15, 0.30  # stop words among a block's words
 LINKS = 0.33        # share of a block's characters in links
-LINKS_INSIDE = 0.8  # the same, for blocks inside an article or main element
+LINKS_INSIDE = 0.8  # the same, where blocks inside an article or main element are bad at once
+OVERRULE = 3        # running text outside, times that of the best article
 
 # Frequent function words of the languages that pages come in.
 STOP_WORDS = frozenset("""
@@ -92,8 +93,9 @@ _PARTS = re.compile(r"[^0-9a-z]+|(?<=[a-z])(?=[A-Z])")
 class Block:
     text: str
     linked: int     # characters in links
-    inside: int     # 2: in an article element, 1: in a main element, else 0
+    inside: int     # bits: 2 in an article element, 1 in a main element
     never: bool     # where no article stands
+    article: int    # number of the article or main element
     named: tuple[int, ...] = ()  # elements around it whose names say so
     label: str = ""
 
@@ -147,9 +149,9 @@ def blocks(html: str | None) -> list[Block]:
     out: list[Block] = []
     text: list[str] = []
     linked, at = 0, 0
-    outer = (False, 0, False, ())
-    open_: list[tuple[str, bool, int, bool, tuple]] = []  # tag, never, inside, link, named
-    never, inside, link, named = outer
+    outer = (False, 0, False, (), 0)
+    open_: list[tuple[str, bool, int, bool, tuple, int]] = []  # tag, never, inside, link, named, article
+    never, inside, link, named, article = outer
     holds: dict[int, int] = {}  # named elements: articles in them
     articles = 0
 
@@ -166,7 +168,7 @@ def blocks(html: str | None) -> list[Block]:
         if text:
             line = " ".join("".join(text).split())
             if line:
-                out.append(Block(line, linked, inside, never, named))
+                out.append(Block(line, linked, inside, never, article, named))
             text.clear()
         linked = 0
 
@@ -187,24 +189,25 @@ def blocks(html: str | None) -> list[Block]:
             if any(x[0] == tag for x in open_):
                 while open_.pop()[0] != tag:
                     pass
-                never, inside, link, named = open_[-1][1:] if open_ else outer
+                never, inside, link, named, article = open_[-1][1:] if open_ else outer
         elif tag not in VOID:
             if tag == "p" and open_ and open_[-1][0] == "p":
                 open_.pop()
-                never, inside, link, named = open_[-1][1:] if open_ else outer
+                never, inside, link, named, article = open_[-1][1:] if open_ else outer
             if not never:
                 never, by_name = _outside(tag, m[3])
                 if by_name and not never:
                     named += (len(holds),)
                     holds[len(holds)] = 0
             if not never:
-                inside = max(inside, INSIDE.get(tag, 0))
                 if tag in INSIDE:
                     articles += 1
+                    if not inside & INSIDE[tag]:
+                        inside, article = inside | INSIDE[tag], articles
                     for i in named:
                         holds[i] += 1
             link = link or tag == "a"
-            open_.append((tag, never, inside, link, named))
+            open_.append((tag, never, inside, link, named, article))
             if tag in RAW:  # up to its end tag there is no markup
                 end = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at)
                 at = end.start() if end else size
@@ -237,23 +240,51 @@ def _overrule(page: list[Block], held: set[int]) -> None:
             b.inside = 0
 
 
+def _level(page: list[Block]) -> int:
+    """Where the text is: in articles, else in main elements, else anywhere.  An
+    element of that kind is believed unless OVERRULE times as much running text as
+    the best one has lies outside all of them."""
+    for level in [x for x in (2, 1) if any(b.inside & x and not b.never for b in page)]:
+        best: dict[int, int] = {}
+        outside = 0
+        for b in page:
+            if b.never:
+                continue
+            if b.inside & level:
+                plain = b.link_density <= LINKS and (
+                    len(b.text) >= LONG or len(b.text) >= SHORT and b.stop_density >= STOP_LOW)
+                best[b.article] = best.get(b.article, 0) + plain * len(b.text)
+            elif _sure(b):
+                outside += len(b.text)
+        if outside <= OVERRULE * max(best.values()):
+            return level
+    return 0
+
+
 def label(page: list[Block]) -> list[Block]:
     """Both passes: every block gets the label good or bad."""
-    level = max((b.inside for b in page if not b.never), default=0)
+    level = _level(page)
+    held = [b for b in page if level and b.inside & level and not b.never]
+    # In an article of a language without known stop words they say nothing.
+    whole = sum(len(b.text) for b in held)
+    known = sum(b.stop_density * len(b.text) for b in held) >= STOP_LOW * whole
     for b in page:
-        if b.never or b.inside < level:
+        if b.never or level and not b.inside & level:
             b.label = "bad"
         elif b.link_density > (LINKS_INSIDE if level else LINKS):
             b.label = "bad"
         elif len(b.text) < SHORT:
             b.label = ""
-        elif level or b.stop_density >= STOP_HIGH and len(b.text) >= LONG:
+        elif level and not known:
+            b.label = "good" if b.link_density <= LINKS else ""
+        elif b.stop_density >= STOP_HIGH and len(b.text) >= LONG and b.link_density <= LINKS:
             b.label = "good"
+        elif level:  # the article speaks for it, few stop words or many links against it
+            b.label = "good" if b.stop_density >= STOP_LOW and b.link_density <= LINKS else ""
         else:
             b.label = "bad" if b.stop_density < STOP_LOW else ""
     # A short block in an article looks at that article's blocks alone: the menu
     # before a headline says nothing about it.
-    held = [b for b in page if level and b.inside == level and not b.never]
     _inherit(held or page, "good" if held else "bad")
     return page
 

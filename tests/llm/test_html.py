@@ -56,6 +56,31 @@ def test_names_are_no_veto():
     assert got.startswith("S The") and " R The" in got and got.count("by the river") == 7
 
 
+def test_teasers_in_articles_are_not_the_text():
+    cards = "".join(f"<article><h3><a href=/{i}>Card {i}</a></h3><p>Read of the card {i}.</p></article>"
+                    for i in range(6))
+    body = f"<h1>A</h1><p>{LOREM * 3}</p><p>{LOREM * 2}</p>"
+    for page in (f"<main>{body}</main><div>{cards}</div>", f"<main>{body}{cards}</main>",
+                 f"<div>{body}</div><ul><li><a href=/a>{LOREM}</a></ul>{cards}"):
+        got = H.main_text(page)
+        assert got.count("by the river") == 5, got
+    assert "Card" not in H.main_text(f"<main>{body}</main><div>{cards}</div>")
+    page = f"<article>{body}</article><div>{cards}</div><p>{LOREM * 3}</p>"
+    assert H.main_text(page).count("by the river") == 5
+
+
+def test_stop_words_decide_inside_an_article():
+    codes = " ".join(f"SKU{i}-{i * 7} stock {i}" for i in range(40))
+    links = "".join(f"<a href=/{i}>{LOREM[:60]}</a> or " for i in range(9))
+    got = [(b.text[:3], b.label) for b in H.label(H.blocks(
+        f"<article><p>{LOREM * 2}</p><p>{LOREM * 2}</p><div><a>x</a></div><p>{codes}</p>"
+        f"<div><a>{'y ' * 60}</a></div><p>{links}</p><div><a>z</a></div></article>"))]
+    assert got == [("The", "good"), ("The", "good"), ("x", "bad"), ("SKU", "bad"), ("y y", "bad"),
+                   ("The", "bad"), ("z", "bad")]
+    foreign = "ŝipo maro vento nubo " * 12
+    assert H.main_text(f"<article><p>{foreign}</p><p><a>x</a></p><p>{foreign}</p></article>").count("maro") == 24
+
+
 def test_odd_pages():
     for page, want in [(None, ""), ("", ""), ("<", ""), ("<!--", ""), ("a < b", "a < b"),
                        ("<article>x", "x"), ("<article>x</article", "x"), ("</p></article>", ""),
