@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (embeddings, html, katz, langid, licenses, packing, quality, secrets, sentencepiece,
                simhash)
-from .common import table
+from .common import stored, table
 
 
 def _remainder(key: str, divisor: int):
@@ -52,8 +52,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger of every document, with the verdict of the full policy."""
-    rows = quality.ledger(table(spark, sf_dir, "documents", "doc_id", "text"))
+    """Ledger of every document, with the verdict of the full policy, from the stored
+    bits; what each rule rejects is stored beside it as ``quality_ablations``."""
+    rows = stored(quality.ledger(table(spark, sf_dir, "documents", "doc_id", "text")), "quality_ledger")
+    stored(quality.ablations(rows), "quality_ablations")
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                        "n_repeat_words", (~quality.passes(quality.BASE)).alias("base_failed"),
                        quality.passes(quality.FULL).alias("kept"), "fail_bits")

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from cumulus.llm import quality as Q
+from cumulus.llm import common, quality as Q
 from tests.llm.test_pipeline import _split, plain_kept
 
 SF = "/root/testdata/sf0.001"
@@ -71,6 +71,22 @@ def test_no_python_in_the_plan(spark):
     assert "Python" not in text and "Pandas" not in text and "Exchange" not in text
 
 
+def test_query_stores_its_ledger_and_ablations(spark, monkeypatch):
+    from cumulus.llm import queries
+    kept = {}
+
+    def stored(df, name):
+        kept[name] = common.stored(df, name)
+        return kept[name]
+    monkeypatch.setattr(queries, "stored", stored)
+    rows = queries.op8_quality_rules(spark, SF)
+    assert rows.inputFiles() and set(rows.inputFiles()) == set(kept["quality_ledger"].inputFiles())
+    got = {(r["policy"], r["rule"]): r for r in kept["quality_ablations"].collect()}
+    assert len(got) == len(Q.BASE.rules) + len(Q.FULL.rules)
+    n = rows.filter("kept").count()
+    assert n and {r["n_kept"] for (p, _), r in got.items() if p == "full"} == {n}
+
+
 def test_sql_twins(spark):
     from cumulus.llm import queries
     con = duckdb.connect()
