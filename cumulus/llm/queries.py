@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (embeddings, html, katz, langid, licenses, packing, quality, secrets, sentencepiece,
-               simhash)
+from . import (audit, decontaminate, embeddings, html, katz, langid, licenses, oracles, packing,
+               quality, resample, secrets, sentencepiece, simhash)
 from .common import stored, table
 
 
@@ -92,6 +92,29 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.licenses(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in the draw towards the benchmark texts."""
+    return resample.resample(
+        table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "text"),
+    ).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside verbatim copies of benchmark windows, and whose."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                        table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every filter removes at every step of every order, by source."""
+    return audit.audit(audit.masks(
+        table(spark, sf_dir, "documents", "doc_id", "text", "source"),
+        table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")))
+
+
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -106,6 +129,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_license_scan": op10_license_scan,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_decontamination": op12_decontamination,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 _BLANK = r"[\x20\x09-\x0D]+"
@@ -148,4 +174,7 @@ b AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (bits & 3) <> 0 AS base_failed, bits = 0 AS kept, bits::BIGINT AS fail_bits
 FROM b""",
+    "op11_importance_resampling": oracles.RESAMPLING,
+    "op12_decontamination": oracles.DECONTAMINATION,
+    "op13_filter_audit": oracles.FILTER_AUDIT,
 }
