@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .series import numbered
 from .snapshots import latest_or, two_snapshots
 
 
@@ -48,26 +49,31 @@ def snapshot_delta(df: DataFrame, keys, value_cols, date_col: str = "Date",
 
 
 def snapshot_pairs(df: DataFrame, keys, carry, value_cols, date_col: str = "Date",
-                   days: int = 7, suffix: str = "_delta", latest=None) -> DataFrame:
+                   days: int = 7, suffix: str = "_delta", latest=None,
+                   block: int | None = None) -> DataFrame:
     """``snapshot_delta`` in one scan: keys, ``carry`` columns, values and deltas.
 
-    Both snapshots are read together and brought side by side by one grouping
-    on the keys (partial sums before the shuffle, NULL keys a group of their
-    own).  Needs keys that name one row of a snapshot; where one does not, its
-    greatest row counts.
+    Both snapshots are read together and shuffled once by key (NULL keys pair with each
+    other).  Every row of the latest snapshot comes out: where a key has several rows of
+    a date, they are numbered in the order of the carried columns and the values, and
+    rows of equal key and number are paired.  Keys of which one may hold a large share of
+    a snapshot are numbered in blocks of ``block`` rows (see ``series``), so that no task
+    holds all its rows.
     """
     keys = list(keys)
     mx = latest_or(df, date_col, latest)
-    cols = list(dict.fromkeys([*carry, *value_cols]))
-    two = two_snapshots(df.select(*keys, date_col, *[c for c in cols if c not in keys]),
-                        date_col, days, latest)
-    is_new = F.col(date_col) == mx
-    sides = two.groupBy(*keys).agg(
-        F.max(F.when(is_new, F.struct(*cols))).alias("__new"),
-        F.max(F.when(~is_new, F.struct(*value_cols))).alias("__old"))
-    return sides.filter(F.col("__new").isNotNull()).select(
-        *keys, *[F.col(f"__new.{c}").alias(c) for c in cols if c not in keys],
-        *[(F.col(f"__new.{v}") - F.col(f"__old.{v}")).alias(v + suffix) for v in value_cols])
+    cols = [c for c in dict.fromkeys([*carry, *value_cols]) if c not in keys]
+    two = two_snapshots(df.select(*keys, date_col, *cols), date_col, days, latest)
+    if block is None:
+        # Both windows work on the one partitioning by key.
+        of_date = Window.partitionBy(*keys, date_col).orderBy(*[c for c in cols if c != date_col])
+        two = two.repartition(*keys).withColumn("__number", F.row_number().over(of_date))
+    else:
+        two = numbered(two, [*keys, date_col], [c for c in cols if c != date_col], "__number", block)
+    pair = Window.partitionBy(*keys, "__number").orderBy(date_col)
+    return (two.withColumns({v + suffix: F.col(v) - F.lag(v).over(pair) for v in value_cols})
+            .filter(F.col(date_col) == mx)
+            .select(*keys, *cols, *[v + suffix for v in value_cols]))
 
 
 def period_delta(df: DataFrame, keys, value_cols, date_col: str = "Date",

@@ -190,9 +190,7 @@ def _nation(spark, d):
 def _target(spark, d, parts=None):
     hist, snap, dim = parts or _nation(spark, d)
     return R.report_target(hist, snap, dim, _as_of(hist), excluded_names=S.EXCLUDED_NAMES,
-                           national_code=S.PARENT_CODE,
-                           national_population=scalar_value(snap, "Location", S.PARENT_CODE,
-                                                            "Census2019"))
+                           national_code=S.PARENT_CODE, national_population=None)
 
 
 @query("csv_sink_roundtrip", TARGET_SQL)

@@ -19,6 +19,7 @@ from ..operators.rolling import trailing_mean
 from ..operators.shares import share_pivot
 from ..operators.snapshots import newer_than, resolve_latest
 from ..operators.totals import total_row, union_by_name, with_total_row
+from ..session import scratch_path
 from ..sources.history import append_by_date
 
 D1, D2, J = "Administered_Dose1_Recip", "Administered_Dose2_Recip", "Administered_Janssen"
@@ -28,6 +29,13 @@ def _lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back with its schema."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _latest(history: DataFrame, latest):
     """The history's latest date, resolved once per report (one tiny job) so
     every snapshot filter below is a literal partition filter."""
@@ -101,6 +109,11 @@ def week_frame(history: DataFrame, period_days: int = K.PERIOD_DAYS, latest=None
                           latest=_latest(history, latest))
 
 
+def _target_days(share, period_days: int, lag_days: int, people, first, pace) -> Column:
+    """Days until ``share`` of the people have their second dose."""
+    return F.bround(safe_div(people * F.lit(share) - first, pace) * period_days + lag_days)
+
+
 def target_detail(history: DataFrame, dim: DataFrame, as_of,
                   excluded_names=K.EXCLUDED_NAMES, share: float = K.TARGET_SHARE,
                   period_days: int = K.PERIOD_DAYS,
@@ -110,15 +123,18 @@ def target_detail(history: DataFrame, dim: DataFrame, as_of,
     frame = week_frame(history, period_days, latest) if frame is None else frame
     d = frame.filter(not_in_keep_null("LongName", excluded_names)
                      & nonzero("Doses_Administered_delta"))
-    j = join_dim(d, dim, "Location", dim_key)
-    days = F.bround(safe_div(F.lit(share) * F.col("Census2019") - F.col(D1),
-                             F.col(D1 + "_delta")) * period_days + lag_days)
+    return _target_rows(join_dim(d, dim, "Location", dim_key), as_of, share, period_days, lag_days)
+
+
+def _target_rows(j: DataFrame, as_of, share, period_days, lag_days) -> DataFrame:
+    days = _target_days(share, period_days, lag_days, F.col("Census2019"), F.col(D1),
+                        F.col(D1 + "_delta"))
     return j.select(
         "LongName",
         F.bround(per_capita(F.col(D2) + F.col(J), "Census2019", 100)).alias("pct_fully"),
         F.col("Doses_Administered_delta").alias("doses_last_week"),
-        month_label(add_days(_lit(as_of), days)).alias("target_month"),
-        days.alias("sort_days"))
+        days.alias("sort_days")).withColumn("target_month", month_label(add_days(_lit(as_of),
+                                                                                 "sort_days")))
 
 
 def report_target(history: DataFrame, snapshot: DataFrame, dim: DataFrame, as_of,
@@ -133,44 +149,47 @@ def report_target(history: DataFrame, snapshot: DataFrame, dim: DataFrame, as_of
 
     Total row: its first-dose pace sums the weekly deltas of every
     non-excluded entity (no dimension join), its doses figure sums the detail
-    rows, its rates use the national row, which must be there.  ``snapshot`` is
-    not needed any more (the two snapshots of the history hold all).
+    rows, its rates use the national row, which must be there, and
+    ``national_population`` (None: that row's own).  ``snapshot`` is not needed any more
+    (the two snapshots of the history hold all).
 
-    The history is scanned twice: for the detail rows, and for one aggregate
-    with everything that the total row and the padding need.
+    The two snapshots are scanned and paired once: what they give, one row per
+    jurisdiction, is written to the shared folder, and read for the detail rows, the total
+    row and the padding's width.
     """
     frame = week_frame(history, period_days, latest)
-    detail = target_detail(history, dim, as_of, excluded_names, share, period_days,
-                           lag_days, dim_key, frame=frame)
-    codes = dim.select(F.col(dim_key).alias("__code")).distinct()
+    codes = dim.groupBy(F.col(dim_key).alias("__code")).agg(F.count(F.lit(1)).alias("__copies"))
     codes = F.broadcast(codes) if fits_broadcast(codes) else codes
+    rows = _stored(frame.join(codes, F.col("Location") == F.col("__code"), "left").select(
+        "LongName", "Census2019", D1, D2, J, "Doses_Administered_delta", D1 + "_delta", "__copies",
+        (F.col("Location") == F.lit(national_code)).alias("__national")), "report_target")
     counted = not_in_keep_null("LongName", excluded_names)
-    national = F.col("Location") == F.lit(national_code)
-    shown_row = counted & nonzero("Doses_Administered_delta") & F.col("__code").isNotNull()
-    doses = F.when(shown_row, F.col("Doses_Administered_delta"))
-    sums = frame.join(codes, F.col("Location") == F.col("__code"), "left").agg(
+    listed = (counted & nonzero("Doses_Administered_delta") & F.col("__copies").isNotNull())
+    detail = _target_rows(rows.filter(listed).withColumn(
+        "__copy", F.explode(F.expr("sequence(1, __copies)"))), as_of, share, period_days, lag_days)
+    doses, national = F.when(listed, F.col("Doses_Administered_delta")), F.col("__national")
+    sums = rows.agg(
         F.count(F.when(national, 1)).alias("n"),
         F.sum(F.when(counted, F.col(D1 + "_delta"))).alias("pace"),
-        F.sum(doses).alias("doses"), F.max(F.length(thousands(doses))).alias("width"),
+        F.sum(doses * F.col("__copies")).alias("doses"),
         F.max(F.when(national, F.col(D1))).alias("first"),
+        F.max(F.when(national, F.col("Census2019"))).alias("people"),
         F.max(F.when(national, F.col(D2) + F.col(J))).alias("fully"))
     wrong = F.raise_error(F.format_string(f"Location = {national_code}: %d rows, not one",
                                           F.col("n"))).cast("long")
-    # One value, used for the total row and for the padding of the others.
-    one = sums.select(F.struct("pace", "doses", "width", "fully", F.when(
-        F.col("n") == 1, F.col("first")).otherwise(wrong).alias("first"))).scalar()
-    pop = _lit(national_population)
-    total_days = F.bround(safe_div(pop * F.lit(share) - one["first"], one["pace"])
-                          * period_days + lag_days)
-    total = history.sparkSession.range(1).select(
-        F.lit(total_label).alias("LongName"),
-        round_half_even(safe_div(one["fully"], pop) * 100, 1).alias("pct_fully"),
-        thousands(one["doses"]).alias("doses_last_week"),
-        month_label(add_days(_lit(as_of), total_days)).alias("target_month"),
-        F.lit(None).cast("double").alias("sort_days"))
-    shown = detail.withColumn("doses_last_week",
-                              F.lpad(thousands("doses_last_week"), one["width"], " "))
-    out = with_total_row(total, shown, group_col="__grp")
+    pop = F.col("people") if national_population is None else _lit(national_population)
+    total = (sums.withColumn("first", F.when(F.col("n") == 1, F.col("first")).otherwise(wrong))
+             .select(F.lit(total_label).alias("LongName"),
+                     round_half_even(safe_div("fully", pop) * 100, 1).alias("pct_fully"),
+                     thousands("doses").alias("doses_last_week"),
+                     _target_days(share, period_days, lag_days, pop, F.col("first"), F.col("pace"))
+                     .alias("__days"))
+             .select("LongName", "pct_fully", "doses_last_week",
+                     month_label(add_days(_lit(as_of), "__days")).alias("target_month"),
+                     F.lit(None).cast("double").alias("sort_days")))
+    width = rows.select(F.max(F.length(thousands(doses)))).scalar()
+    shown = detail.withColumn("doses_last_week", F.lpad(thousands("doses_last_week"), width, " "))
+    out = with_total_row(total, shown.select(*total.columns), group_col="__grp")
     out = out.orderBy("__grp", F.col("sort_days").asc_nulls_last(), "LongName")
     return rename_columns(out.drop("__grp", "sort_days"), K.TARGET_NAMES)
 

@@ -1,19 +1,17 @@
 """The snapshot history, stored as Parquet partitioned by date.
 
 A daily snapshot is appended whole, once per date (``store_snapshot``); rows
-that land in several files are appended once per date and key
+that land in several files are appended as they come, each once
 (``append_rows``).  Either looks only at the snapshot's own dates in the
 history, so an append costs the same however long the history is.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import fits_broadcast, rows_at_most
+from ..operators.joins import rows_at_most
 from ..operators.snapshots import newer_than
 from ..operators.totals import check_same_types, union_by_name
 from .files import EmptyInput, path_exists
@@ -107,60 +105,29 @@ def _write(rows: DataFrame, path: str, date_col: str, max_records_per_file: int,
 
 def store_snapshot(spark: SparkSession, snapshot: DataFrame, path: str,
                    schema: T.StructType, date_col: str = "Date",
-                   max_records_per_file: int = 5_000_000, backfill: bool = False) -> int:
+                   max_records_per_file: int = 5_000_000, backfill: bool = False,
+                   keys=()) -> int:
     """Append ``snapshot`` to the history at ``path``; returns rows written.
 
-    A date that the history has is not appended again, so a rerun is a no-op.
-    Columns the snapshot lacks become NULL.  Raises, the history unchanged, on
-    an empty snapshot, a type clash, a NULL date, and on several dates unless
-    ``backfill`` says that many are meant.
+    A date that is complete in the history is not appended again, so a rerun is a no-op;
+    one of which only a part has landed is completed, and rows that cannot be stored are
+    put in quarantine (see ``landing``).  Columns the snapshot lacks become NULL.  Raises,
+    the history unchanged, on an empty snapshot, a type clash, a NULL date, and on several
+    dates unless ``backfill`` says that many are meant.
     """
-    snapshot = _as_schema(snapshot, schema).persist()
-    try:
-        lo, hi = _dates_of(snapshot, date_col, "snapshot")
-        if lo != hi and not backfill:
-            raise BadSnapshot(f"snapshot holds more than one date: {lo} to {hi}")
-        fresh = snapshot
-        if path_exists(spark, path):
-            hist = _between(read_history(spark, path, schema), date_col, lo, hi)
-            if lo == hi:
-                if not hist.isEmpty():
-                    return 0
-            else:
-                fresh = _without_known_dates(snapshot, hist, date_col)
-        n = fresh.count()
-        if n:
-            _write(fresh, path, date_col, max_records_per_file, lo != hi, overwrite=True)
-        return n
-    finally:
-        snapshot.unpersist()
+    from .landing import land_snapshot
+    return land_snapshot(spark, snapshot, path, schema, date_col, keys, max_records_per_file,
+                         backfill).written
 
 
 def append_rows(spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType,
                 keys, date_col: str = "Date", max_records_per_file: int = 5_000_000) -> int:
-    """Append the rows whose (date, keys) the history lacks; returns rows written.
+    """Append the rows that the history lacks; returns rows written.
 
     For snapshots that land in several files, at several times: a later file of
-    a known date adds its rows, and the same rows again add none.  Raises on a
-    NULL date or a type clash.
+    a known date adds its rows, and the same rows again add none.  A row of a known
+    date and key with other values is put in quarantine.  Raises on a NULL date or a
+    type clash.
     """
-    rows = _as_schema(rows, schema).persist()
-    try:
-        lo, hi = _dates_of(rows, date_col, "rows to append")
-        fresh = rows
-        if path_exists(spark, path):
-            on = [date_col, *keys]
-            known = _between(read_history(spark, path, schema), date_col, lo, hi).select(
-                *[F.col(c).alias(f"__k_{c}") for c in on]).distinct()
-            known = F.broadcast(known) if fits_broadcast(known) else known
-            same = reduce(lambda a, b: a & b,
-                          [rows[c].eqNullSafe(known[f"__k_{c}"]) for c in on])
-            fresh = rows.join(known, same, "left_anti")
-        fresh = fresh.dropDuplicates([date_col, *keys]).persist()
-        n = fresh.count()
-        if n:
-            _write(fresh, path, date_col, max_records_per_file, lo != hi, overwrite=False)
-        fresh.unpersist()
-        return n
-    finally:
-        rows.unpersist()
+    from .landing import land_rows
+    return land_rows(spark, rows, path, schema, keys, date_col, max_records_per_file).written

@@ -1,0 +1,143 @@
+"""Landing: every row is stored, known or in quarantine; half-landed dates are completed."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cumulus.schemas import SNAPSHOT, SNAPSHOT_RECORD
+from cumulus.sources import landing as L
+from cumulus.sources.history import append_rows, read_history, store_snapshot
+from cumulus.streaming.ingest import start_snapshot_ingest
+
+from .snapshots_fixture import DATES, history
+from .test_history import _landed
+
+SCHEMA = T.StructType([T.StructField("Location", T.StringType()), T.StructField("name", T.StringType()),
+                       T.StructField("v", T.LongType()), T.StructField("Date", T.DateType())])
+DAY = dt.date(2021, 7, 21)
+FOUR = [(None, "P", 1, DAY), (None, "Q", 2, DAY), ("X", "x", 3, DAY), ("X", "x", 4, DAY)]
+
+
+def rows(spark, data):
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def stored(spark, path):
+    return sorted(map(tuple, read_history(spark, path, SCHEMA).collect()), key=str)
+
+
+def held(spark, path):
+    return sorted((r["Location"], r["v"], r["reason"]) for r in
+                  L.read_quarantine(spark, path, SCHEMA).collect())
+
+
+def test_rows_that_share_a_key_are_all_stored(spark, scratch):
+    path = scratch("four")
+    assert append_rows(spark, rows(spark, FOUR), path, SCHEMA, ["Location"]) == 4
+    assert append_rows(spark, rows(spark, FOUR), path, SCHEMA, ["Location"]) == 0
+    assert stored(spark, path) == sorted(FOUR, key=str) and held(spark, path) == []
+
+
+def test_a_revised_row_goes_to_quarantine_once(spark, scratch):
+    path = scratch("revised")
+    append_rows(spark, rows(spark, FOUR), path, SCHEMA, ["Location"])
+    batch = rows(spark, [("X", "x", 99, DAY), ("X", "x", 3, DAY), ("Y", "y", 1, DAY), (None, "P", 7, DAY)])
+    for written, quarantined in ((2, 1), (0, 0)):
+        assert L.land_rows(spark, batch, path, SCHEMA, ["Location"]) == L.Landed(written, quarantined)
+    assert held(spark, path) == [("X", 99, "clash")]
+    assert len(stored(spark, path)) == 6          # readers do not see marks or quarantine
+
+
+def test_a_half_landed_date_is_completed_and_a_full_one_left_alone(spark, scratch):
+    path = scratch("half")
+    full = FOUR + [("Z", "z", 5, DAY), ("Z", "z", 5, DAY)]      # a repeated row counts twice
+    append_rows(spark, rows(spark, FOUR[:1] + full[-1:]), path, SCHEMA, ["Location"])
+    assert store_snapshot(spark, rows(spark, full), path, SCHEMA) == 4
+    assert stored(spark, path) == sorted(full, key=str)
+    [mark] = L.read_marks(spark, path, SCHEMA).collect()
+    assert (mark["Date"], mark["rows"]) == (DAY, 6)
+    assert L.land_snapshot(spark, rows(spark, full[::-1]), path, SCHEMA) == L.Landed(0, 0)
+    changed = [("Z", "z", 6, DAY)] + full[:4] + [("N", "new", 1, DAY)]
+    for quarantined in (2, 0):
+        assert L.land_snapshot(spark, rows(spark, changed), path, SCHEMA, keys=["Location"]) \
+            == L.Landed(0, quarantined)
+    assert held(spark, path) == [("N", 1, "closed"), ("Z", 6, "clash")]
+    assert stored(spark, path) == sorted(full, key=str)
+
+
+def test_a_snapshot_that_clashes_with_landed_rows(spark, scratch):
+    path = scratch("clash")
+    append_rows(spark, rows(spark, [("X", "x", 1, DAY)]), path, SCHEMA, ["Location"])
+    done = L.land_snapshot(spark, rows(spark, [("X", "x", 2, DAY), ("Y", "y", 1, DAY)]), path, SCHEMA,
+                           keys=["Location"])
+    assert done == L.Landed(1, 1) and held(spark, path) == [("X", 2, "clash")]
+    assert stored(spark, path) == [("X", "x", 1, DAY), ("Y", "y", 1, DAY)]
+
+
+def test_a_driver_lost_before_the_mark(spark, scratch, monkeypatch):
+    """The rows are there, the mark is not: the rerun adds none and marks the date."""
+    path, before = scratch("lost"), DAY - dt.timedelta(days=1)
+    both = FOUR + [("A", "a", 1, before)]
+    rows(spark, FOUR[:3]).write.partitionBy("Date").parquet(path)      # no mark, a row short
+    done = L.land_snapshot(spark, rows(spark, both), path, SCHEMA, backfill=True)
+    assert done == L.Landed(2, 0) and stored(spark, path) == sorted(both, key=str)
+    marks = L.read_marks(spark, path, SCHEMA)
+    assert sorted((m["Date"], m["rows"]) for m in marks.collect()) == [(before, 1), (DAY, 4)]
+    assert L.land_snapshot(spark, rows(spark, both), path, SCHEMA, backfill=True) == L.Landed(0, 0)
+    assert L.read_marks(spark, path, SCHEMA, lo=DAY, hi=DAY).count() == 1
+
+
+def test_a_backfill_marks_its_dates_and_adds_the_unknown_ones(spark, scratch):
+    path, h = scratch("backfill"), history(spark)
+    assert store_snapshot(spark, h.filter(F.col("Date") == DATES[1]), path, SNAPSHOT) == 6
+    assert store_snapshot(spark, h, path, SNAPSHOT, backfill=True) == 12
+    assert sorted(m["Date"] for m in L.read_marks(spark, path, SNAPSHOT).collect()) == DATES
+
+
+def test_digest_tells_null_empty_and_shifted_values_apart(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("", "a"), ("a", ""), ("a", "a")],
+                               "x string, y string")
+    assert df.select(L.row_digest(df.columns)).distinct().count() == 5
+
+
+def test_a_stored_date_is_looked_up_in_its_own_folders(spark, scratch):
+    path = scratch("prune")
+    store_snapshot(spark, history(spark), path, SNAPSHOT, backfill=True)
+    marks = L.read_marks(spark, path, SNAPSHOT, lo=DATES[1], hi=DATES[1])
+    assert [f"Date={DATES[1]}" in f for f in marks.inputFiles()] == [True]
+
+
+def test_stream_then_snapshot(spark, scratch):
+    """A stream stored a part of a date; a revised file is held back; the full snapshot of
+    the day completes it."""
+    landing, path, ckpt = scratch("landing"), scratch("hist"), scratch("ckpt")
+    h = history(spark).filter(F.col("Date") == DATES[-1])
+
+    def run():
+        start_snapshot_ingest(spark, landing, SNAPSHOT_RECORD, "vaccination_data", path, SNAPSHOT,
+                              ckpt).awaitTermination(120)
+        return read_history(spark, path, SNAPSHOT).count()
+
+    _landed(spark, h.filter(F.col("Location") == "MA"), landing)
+    assert run() == 1
+    _landed(spark, h.filter(F.col("Location") == "MA").withColumn("Doses_Administered", F.lit(7).cast("long")),
+            landing)
+    assert run() == 1
+    [bad] = L.read_quarantine(spark, path, SNAPSHOT).collect()
+    assert (bad["Location"], bad["Doses_Administered"], bad["reason"]) == ("MA", 7, "clash")
+    assert store_snapshot(spark, h, path, SNAPSHOT) == 5
+    assert read_history(spark, path, SNAPSHOT).count() == 6
+
+
+@pytest.mark.parametrize("keys", [(), ("Location",)])
+def test_hot_rows_are_counted_before_they_meet(spark, scratch, keys):
+    """A third of a snapshot is one row: it is stored as often as it occurs."""
+    path = scratch("hot")
+    data = rows(spark, [("H", "h", 1, DAY)] * 300 + [(str(i), "n", i, DAY) for i in range(600)])
+    rows(spark, [("H", "h", 1, DAY)] * 100).write.partitionBy("Date").parquet(path)
+    done = L.land_snapshot(spark, data, path, SCHEMA, keys=keys)
+    # With keys the further rows of H are of a known key, yet equal to its rows: no clash.
+    assert done == L.Landed(800, 0)
+    assert read_history(spark, path, SCHEMA).filter("Location = 'H'").count() == 300
