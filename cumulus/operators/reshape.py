@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -25,17 +26,40 @@ def regex_rename(df: DataFrame, pattern: str, columns=None, missing: str = "NA")
     return df.select(*[F.col(f"`{c}`").alias(mapping.get(c, c)) for c in df.columns])
 
 
+# Letters that Unicode does not take apart into a letter and its mark.
+LETTERS = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "þ": "th", "ł": "l",
+           "ı": "i", "Æ": "AE", "Œ": "OE", "Ø": "O", "Đ": "D", "Ð": "D", "Þ": "Th", "Ł": "L"}
+
+
 def snake_name(name: str) -> str:
-    """'Total Doses Delivered' → 'total_doses_delivered'; '% of X' → 'percent_of_x'."""
+    """'Total Doses Delivered' → 'total_doses_delivered'; '% of X' → 'percent_of_x';
+    letters with marks lose them, and what has no Latin letter is left out."""
     s = name.replace("%", " percent ").replace("+", " plus ")
+    s = unicodedata.normalize("NFKD", "".join(LETTERS.get(c, c) for c in s))
+    s = "".join(c for c in s if not unicodedata.combining(c))
     s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", s)
     s = re.sub(r"[^0-9A-Za-z]+", "_", s).strip("_").lower()
     return s or "x"
 
 
+def unique_names(names) -> list[str]:
+    """Names made different: a name that is taken gets the first free of ``_2``, ``_3`` …
+
+    A name that none clashes with before it stays as it is, also one that ends in ``_2``."""
+    taken, out = set(), []
+    for name in names:
+        new, n = name, 1
+        while new in taken:
+            n += 1
+            new = f"{name}_{n}"
+        taken.add(new)
+        out.append(new)
+    return out
+
+
 def snake_names(df: DataFrame, names=None) -> DataFrame:
-    """Clean every column name (or set them positionally from ``names``)."""
-    new = list(names) if names is not None else [snake_name(c) for c in df.columns]
+    """Clean every column name, no two alike (or set them positionally from ``names``)."""
+    new = list(names) if names is not None else unique_names(snake_name(c) for c in df.columns)
     return df.toDF(*new)
 
 

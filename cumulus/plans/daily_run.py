@@ -25,7 +25,9 @@ from ..operators.shares import label_from_pattern
 from ..operators.snapshots import resolve_latest
 from ..sources.files import (EmptyInput, csv_header, dated_path, read_csv_typed,
                              read_feed_to_date, read_json_envelope, refuse_overlap, write_csv)
-from ..sources.history import BadSnapshot, read_history, store_snapshot
+from ..sources.history import BadSnapshot, read_history
+from ..sources.json_ranges import read_json_document
+from ..sources.landing import land_snapshot
 from . import reports as R
 
 
@@ -76,8 +78,10 @@ def run_daily(spark: SparkSession, inp: DailyInputs) -> dict:
     try:
         # the history stays as it is on an empty document, a type clash, a
         # missing date, or more dates than one
-        n = store_snapshot(spark, snapshot, inp.history_path, schemas.SNAPSHOT)
-        status["history"] = f"rows appended: {n}"
+        landed_rows = land_snapshot(spark, snapshot, inp.history_path, schemas.SNAPSHOT,
+                                    keys=["Location"])
+        status["history"] = f"rows appended: {landed_rows.written}" + (
+            f", in quarantine: {landed_rows.quarantined}" if landed_rows.quarantined else "")
         landed_ok = True
     except (EmptyInput, BadSnapshot) as e:
         status["history"] = f"{type(e).__name__}: {e}"
@@ -110,9 +114,12 @@ def run_daily(spark: SparkSession, inp: DailyInputs) -> dict:
         for name in ("state_table", "map", "target", "supply", "rolling"):
             status[name] = "skipped: no snapshot landed"
     if inp.county_json:
-        publish("county", lambda: R.report_county(read_json_envelope(
-            spark, inp.county_json, schemas.COUNTY_RECORD, inp.county_field,
-            inp.head_field, inp.multi_line)), bounded=False)
+        # The county document grows with the feed, so one document is read by many tasks.
+        publish("county", lambda: R.report_county(
+            read_json_document(spark, inp.county_json, schemas.COUNTY_RECORD, inp.county_field)
+            if inp.multi_line else read_json_envelope(
+                spark, inp.county_json, schemas.COUNTY_RECORD, inp.county_field,
+                inp.head_field)), bounded=False)
     if inp.age_feed_csv and inp.age_history_csv:
         def age():
             feed = read_feed_to_date(spark, inp.age_feed_csv, schemas.AGE_FEED, "date")

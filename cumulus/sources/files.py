@@ -22,19 +22,61 @@ def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     return df
 
 
+BAD_LINE = "_bad_line"
+
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType, null_value: str) -> DataFrame:
+    """Every row of a header CSV; the text of one that does not fit the schema, else
+    NULL, in ``BAD_LINE``.  A header other than the schema's names fails the read."""
+    return (spark.read.schema(T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())]))
+            .option("header", True).option("nullValue", null_value).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BAD_LINE).option("enforceSchema", False)
+            .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
+            .csv(path))
+
+
+def _whole_row(schema: T.StructType) -> Column:
+    """Text made of all columns: a filter on it makes the scan parse whole rows, which
+    checks them, whatever else is selected."""
+    return F.concat_ws(",", *[F.col(f"`{f.name}`").cast("string") for f in schema.fields],
+                       F.col(BAD_LINE))
+
+
+def _parsed(schema: T.StructType) -> Column:
+    return F.length(_whole_row(schema)) >= 0     # always true, which the optimizer cannot know
+
+
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
-                   null_value: str = "NA", mode: str = "FAILFAST") -> DataFrame:
+                   null_value: str = "NA") -> DataFrame:
     """Header CSV with declared types; empty fields and ``null_value`` → NULL.
 
     The header must name the schema's columns in their order, and every row must
-    hold that many values of their types; anything else fails the read.
+    hold that many values of their types; anything else fails the read, also where
+    only some columns or none (``count()``) are asked for.
     """
-    return (spark.read.schema(schema).option("header", True)
-            .option("nullValue", null_value).option("mode", mode)
-            .option("enforceSchema", False)
-            .option("timestampNTZFormat", TS_FORMAT)
-            .option("timestampFormat", TS_FORMAT)
-            .csv(path))
+    fits = F.when(F.col(BAD_LINE).isNull(), F.lit(True)).otherwise(F.raise_error(
+        F.concat(F.lit("malformed CSV row: "), _whole_row(schema))).cast("boolean"))
+    return _csv(spark, path, schema, null_value).filter(fits).drop(BAD_LINE)
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, rejects: str,
+                     null_value: str = "NA") -> DataFrame:
+    """The rows of a header CSV that fit the schema; the others are added to the Parquet
+    table ``rejects`` (``read_rejects``) with their text and file, once each, so a scan
+    that is repeated reports nothing twice."""
+    rows = _csv(spark, path, schema, null_value)
+    bad = (rows.withColumn("file", F.input_file_name())
+           .filter(F.col(BAD_LINE).isNotNull() & _parsed(schema))
+           .groupBy("file", F.col(BAD_LINE).alias("line")).agg(F.count(F.lit(1)).alias("n")))
+    if path_exists(spark, rejects):
+        bad = bad.join(read_rejects(spark, rejects), ["file", "line"], "left_anti")
+    bad.write.mode("append").parquet(rejects)
+    return rows.filter(F.col(BAD_LINE).isNull() & _parsed(schema)).drop(BAD_LINE)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, n): text of each rejected line and how often its file has it."""
+    return spark.read.schema("file string, line string, n long").parquet(path)
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
@@ -67,6 +109,25 @@ def read_json_envelope(spark: SparkSession, path: str, record: T.StructType,
     return docs.select(F.inline(F.col(field)))
 
 
+def read_json_envelope_at(spark: SparkSession, path: str, record: T.StructType, position: int,
+                          multi_line: bool = False) -> DataFrame:
+    """Rows = the records listed in the member at ``position`` (from 1) of each JSON
+    document, whatever that member is called.
+
+    The members are kept in their order as raw text and only the chosen one is parsed.
+    A document without that member, or with null there, has no rows; any other value
+    than an array of records fails the read.
+    """
+    docs = spark.read.text(path, wholetext=multi_line)
+    strict = {"mode": "FAILFAST", "timestampNTZFormat": TS_FORMAT, "timestampFormat": TS_FORMAT}
+    members = F.map_values(F.from_json("value", T.MapType(T.StringType(), T.StringType()), strict))
+    member = docs.filter(F.trim("value") != "").select(F.trim(F.get(members, F.lit(position - 1))).alias("m"))
+    listed = F.when(F.col("m").startswith("["), F.col("m")).otherwise(F.raise_error(
+        F.concat(F.lit(f"member {position} is no array: "), F.substring("m", 1, 80))))
+    return (member.filter("m IS NOT NULL")
+            .select(F.inline(F.from_json(listed, T.ArrayType(record), strict))))
+
+
 def extract_json(col, schema: T.StructType) -> Column:
     """JSON text column → struct with the declared fields (absent → NULL)."""
     return F.from_json(col if isinstance(col, Column) else F.col(col), schema)
@@ -146,3 +207,52 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False,
         .option("timestampFormat", TS_FORMAT)
         .csv(path))
     return path
+
+
+TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def write_csv_ordered(df: DataFrame, path: str, sort_by, null_value: str = "NA") -> str:
+    """Header CSV in a global order, written by many tasks; returns the folder.
+
+    The rows are sorted by range, each task writes one numbered part, and the header is
+    the first line of the first part: the parts in the order of their names are one CSV
+    file (``cat part-*``).  ``sort_by`` holds column names, or (name, "desc"); NULLs
+    come last.  ``read_csv_ordered`` reads it back.  As with ``write_csv``, NULL and the
+    text ``null_value`` look alike."""
+    spark = df.sparkSession
+    if path_exists(spark, path):
+        refuse_overlap(spark, path, df.inputFiles())
+    order = [(c, "asc") if isinstance(c, str) else c for c in sort_by]
+    stamps = (T.TimestampType, T.TimestampNTZType)
+    cells = [F.date_format(f"`{f.name}`", TS_TEXT) if isinstance(f.dataType, stamps)
+             else F.col(f"`{f.name}`").cast("string") for f in df.schema.fields]
+    # The sort keys keep their types; the header has none, and a group before all rows.
+    rows = df.select(F.lit(1).alias("g"), *[c.alias(f"c{i}") for i, c in enumerate(cells)],
+                     *[F.col(f"`{c}`").alias(f"k{i}") for i, (c, _) in enumerate(order)])
+    header = spark.range(1).select(
+        F.lit(0).alias("g"), *[F.lit(n).alias(f"c{i}") for i, n in enumerate(df.columns)],
+        *[F.lit(None).cast(rows.schema[f"k{i}"].dataType).alias(f"k{i}") for i in range(len(order))])
+    keys = [F.col(f"k{i}").desc_nulls_last() if way == "desc" else F.col(f"k{i}").asc_nulls_last()
+            for i, (_, way) in enumerate(order)]
+    (header.unionByName(rows).orderBy("g", *keys).select(*[f"c{i}" for i in range(len(cells))])
+        .write.mode("overwrite").option("nullValue", null_value)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path))
+    return path
+
+
+def read_csv_ordered(spark: SparkSession, path: str, schema: T.StructType,
+                     null_value: str = "NA") -> DataFrame:
+    """The rows of a folder written by ``write_csv_ordered``, typed; a value that does not
+    fit its type fails the read."""
+    names = schema.fieldNames()
+    shape = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    rows = (spark.read.schema(shape).option("nullValue", null_value).option("mode", "FAILFAST")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .csv(path))
+    is_header = F.lit(True)
+    for i, n in enumerate(names):
+        is_header &= F.col(f"c{i}").eqNullSafe(F.lit(n))
+    return rows.filter(~is_header).select(*[
+        F.col(f"c{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
