@@ -4,10 +4,14 @@ import base64
 import bz2
 import gzip
 import hashlib
+import json
 import lzma
+import os
 import re
+import subprocess
+import sys
 import zlib
-from urllib.parse import quote
+from urllib.parse import quote, quote_plus
 
 from pyspark.sql import functions as F
 
@@ -125,6 +129,58 @@ def test_bomb_is_left_closed_and_counted(monkeypatch):
     assert S.findings(bomb) == ([], [], 1)
 
 
+def test_a_closed_stream_hides_nothing_beside_it(monkeypatch):
+    monkeypatch.setattr(S, "MAX_LAYER", 1 << 16)
+    big, small = (quote(zlib.compress(x)) for x in (b"a " * (1 << 16), KEY.encode()))
+    for text in (f"x {big} y {small} z", f"{small} {big}", f"{big} plain {KEY}"):
+        base, spans, closed = S.findings(text)
+        assert {k for _, k, _ in spans} == {"assign"} and closed >= 1
+        assert "hunter2" not in S.redact(text) and not set(S.findings(small)[0])
+    tokens = [base64.b64encode(zlib.compress(x)).decode() for x in (b"a " * (1 << 16), KEY.encode())]
+    assert [k for _, k, _ in S.findings(" ".join(tokens))[1]] == ["assign"]
+
+
+def test_layers_of_many_chunks_are_read_to_their_end(monkeypatch):
+    monkeypatch.setattr(S, "CHUNK", 10_000)
+    monkeypatch.setattr(S, "OVERLAP", 1000)
+    for place in range(9_900, 10_100, 7):     # also across the end of a chunk
+        data = b"word " * (place // 5) + b" " * (place % 5) + KEY.encode() + b" tail" * 9000
+        for pack in (zlib.compress, gzip.compress, bz2.compress, lzma.compress):
+            found = S.findings(base64.b64encode(pack(data)).decode())
+            assert [k for _, k, _ in found[1]] == ["assign"] and not found[2], (place, pack)
+    members = b"".join(gzip.compress(b"word " * 500) for _ in range(20)) + gzip.compress(KEY.encode())
+    assert {k for _, k, _ in S.findings(base64.b64encode(members).decode())[1]} == {"assign"}
+    nested = gzip.compress(zlib.compress(b"word " * 5000 + KEY.encode() + b" end" * 3000))
+    assert {k for _, k, _ in S.findings(quote(nested))[1]} == {"assign"}
+
+
+def test_form_encoding_and_strings_within_strings():
+    for text in (quote_plus(KEY), f"a=1&q={quote_plus('x ' + KEY)}&z=%20", "password+%3D+hunter2hunter2"):
+        assert [k for _, k, _ in S.findings(text)[1]] == ["assign"] and "hunter2" not in S.redact(text)
+    inner = {"password": "hunter2hunter2"}
+    for _ in range(4):
+        text = json.dumps({"a": inner} if isinstance(inner, dict) else inner)
+        assert "assign" in [k for _, k, _ in S.findings(text)[1]], text
+        assert "hunter2" not in S.redact(text)
+        inner = json.dumps(inner)
+    text = json.dumps({"log": f"line\n{KEY}\nline"})
+    assert "hunter2" not in S.redact(f"say {text}")
+
+
+def test_a_small_token_takes_little_memory():
+    """In a process of its own: 48 KB of base64 that unpack to 32 MB."""
+    code = ("import base64, resource, sys, zlib; sys.path.insert(0, sys.argv[1])\n"
+            "from cumulus.llm import secrets as S\n"
+            "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+            "found = S.findings(base64.b64encode(zlib.compress(b'a' * (32 << 20))).decode())\n"
+            "assert {k for _, k, _ in found[1]} == {'hex'} and not found[2]\n"
+            "print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)")
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code, root], capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout) < 300
+
+
 def test_frame(spark):
     rows = [(1, None), (2, ""), (3, KEY), (3, KEY), (None, KEY), (5, "x" * 300_000 + " " + KEY)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit("a"))
