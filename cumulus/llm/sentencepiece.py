@@ -18,10 +18,12 @@ whole.  Rows are independent: repeated rows and ids repeat their results.
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 SPACE = "▁"
 REMEMBERED = 500_000  # words whose ids a task remembers at once
-WORD = 64             # longer words are not remembered
+SHORT = 64            # characters of what is remembered
 EVERY = 64            # characters between two searches for a common boundary
 UNKNOWN = 10.0        # how far an unknown character scores below the worst piece
 
@@ -55,7 +57,6 @@ class Model:
 
     def set(self, pieces: dict[str, tuple[int, float]]) -> None:
         self.pieces = pieces
-        self.starts = {p[:n] for p in pieces for n in range(1, len(p) + 1)}
         self.longest = max(map(len, pieces), default=1)
         self.unknown = min((s for _, s in pieces.values()), default=0.0) - UNKNOWN
         # Can words be cut apart?  Only if spaces stand at the front of pieces.
@@ -77,88 +78,81 @@ class Model:
         return tuple(self.bytes.get(b, 0) for b in char.encode("utf-8", "surrogatepass"))
 
     def stream(self, chars: Iterable[str]) -> Iterator[list[int]]:
-        """Lists of ids of the characters, as soon as they are certain."""
-        source, ahead, done = iter(chars), "", False
-        at = start = 0                       # place of ahead[0]; place given out up to
-        best: dict[int, float] = {0: 0.0}    # at most ``longest`` places from ``at`` on
-        back: dict[int, tuple[int, tuple[int, ...]]] = {}  # since ``start``
-
-        def path(end: int, begin: int) -> list[int]:
-            steps = []
-            while end != begin:
-                end, ids = back[end]
-                steps.append(ids)
-            return [i for ids in reversed(steps) for i in ids]
-
+        """Lists of ids of the characters, as soon as they are certain.
+
+        Held are the characters and scores of as many places as the longest piece has
+        characters, and the best last piece of each place since the last boundary that
+        was given out."""
+        longest, unknown, pieces, trie = self.longest, self.unknown, self.pieces, self.trie
+        none = -math.inf
+        source, ahead, i, done = iter(chars), "", 0, False
+        size = longest + 1
+        best = [none] * size                 # ring: score of the best path to each place
+        best[0] = 0.0
+        at = start = reach = 0               # ahead[i]'s place; given out up to; last place reached
+        begins: list[int] = []               # of the best last piece to each place after start
+        ids: list = []                       # its id, or the character it has no piece for
         while True:
-            while not done and len(ahead) < self.longest:
+            while not done and len(ahead) - i < longest:
                 more = next(source, None)
                 if more is None:
                     done = True
                 else:
-                    ahead += more
-            if not ahead:
+                    ahead, i = ahead[i:] + more, 0
+            if i == len(ahead):
                 break
-            here = best.pop(at)
-            for n in range(1, min(len(ahead), self.longest) + 1):
-                part = ahead[:n]
-                got = self.pieces.get(part)
-                if got is not None:
-                    ids, score = (got[0],), here + got[1]
-                elif n == 1:
-                    ids, score = self.unknown_ids(part), here + self.unknown
-                if (got is not None or n == 1) and score > best.get(at + n, -np.inf):
-                    best[at + n] = score
-                    back[at + n] = at, ids
-                if part not in self.starts:
+            slot = at % size
+            here, best[slot] = best[slot], none
+            kids, end, char = trie, at, ahead[i]
+            for c in ahead[i:i + longest]:
+                got = kids.get(c)
+                if got is None:
                     break
-            ahead, at = ahead[1:], at + 1
-            if len(best) == 1 or at % EVERY == 0:
-                ends = set(best)  # every surviving path ends at one of these
-                while len(ends) > 1:
-                    last = max(ends)
-                    if last <= start:
-                        break
+                kids, piece, score = got
+                end += 1
+                if piece >= 0:
+                    score += here
+                    slot = end % size
+                    if score > best[slot]:
+                        best[slot] = score
+                        if end > reach:
+                            begins += [0] * (end - reach)
+                            ids += [0] * (end - reach)
+                            reach = end
+                        slot = end - start - 1
+                        begins[slot], ids[slot] = at, piece
+            i, at = i + 1, at + 1
+            if char not in pieces and here + unknown > best[at % size]:
+                best[at % size] = here + unknown
+                if at > reach:
+                    begins.append(0)
+                    ids.append(0)
+                    reach = at
+                begins[at - start - 1], ids[at - start - 1] = at - 1, char
+            if reach == at:                  # one path survives
+                common = at
+            elif at % EVERY:
+                continue
+            else:                            # do all surviving paths go through one place?
+                ends = {e for e in range(at, reach + 1) if best[e % size] > none}
+                while len(ends) > 1 and (last := max(ends)) > start:
                     ends.remove(last)
-                    ends.add(back[last][0])
+                    ends.add(begins[last - start - 1])
                 common = min(ends)
-                if common > start:
-                    yield path(common, start)
-                    back = {k: v for k, v in back.items() if k > common}
-                    start = common
-        if at > start:
-            yield path(at, start)
+            if common > start:
+                out, end = [], common
+                while end > start:
+                    got = ids[end - start - 1]
+                    out += self.unknown_ids(got)[::-1] if isinstance(got, str) else (got,)
+                    end = begins[end - start - 1]
+                out.reverse()
+                yield out
+                del begins[:common - start], ids[:common - start]
+                start = common
 
     def _part(self, part: str) -> bytes:
-        """Ids of a stretch between forced boundaries.  A short one fits in the
-        window as a whole."""
-        n = len(part)
-        if n > WORD:
-            return array("i", [i for ids in self.stream((part,)) for i in ids]).tobytes()
-        best, back = [0.0] + [-np.inf] * n, [0] * (n + 1)
-        ids: list = [None] * (n + 1)
-        for i in range(n):
-            here, kids, j = best[i], self.trie, i
-            for c in part[i:]:
-                got = kids.get(c)
-                if got is None:
-                    break
-                kids, piece, score = got
-                j += 1
-                if piece >= 0 and here + score > best[j]:
-                    best[j], back[j], ids[j] = here + score, i, piece
-            if part[i] not in self.pieces and here + self.unknown > best[i + 1]:
-                best[i + 1], back[i + 1], ids[i + 1] = here + self.unknown, i, None
-        out = []
-        while n:
-            i = back[n]
-            if ids[n] is None:
-                out += self.unknown_ids(part[i])[::-1]
-            else:
-                out.append(ids[n])
-            n = i
-        out.reverse()
-        return array("i", out).tobytes()
+        """Ids of a stretch between forced boundaries."""
+        return array("i", chain.from_iterable(self.stream((part,)))).tobytes()
 
     def _remembered(self, part: str, make) -> bytes:
         """Ids of a part, from memory if it came up lately."""
@@ -167,7 +161,7 @@ class Model:
             ids = self.older.get(part)
             if ids is None:
                 ids = make(part)
-            if len(part) <= WORD:
+            if len(part) <= SHORT:
                 if len(self.known) >= REMEMBERED:  # keep what is in use, forget the rest
                     self.older, self.known = self.known, {}
                 self.known[part] = ids

@@ -69,6 +69,35 @@ def test_ids_are_given_out_early():
     assert first and asked <= S.EVERY + 2 * model.longest
 
 
+def test_every_id_of_a_text_comes_from_the_stream(monkeypatch):
+    model, streamed = S.Model(PATH), []
+    stream = S.Model.stream
+
+    def watched(self, chars):
+        for ids in stream(self, chars):
+            streamed.extend(ids)
+            yield ids
+    monkeypatch.setattr(S.Model, "stream", watched)
+    texts = TEXTS + ["unrepeated", "x" * 2000, "mixedCASE" * 30]
+    for t in texts:
+        streamed.clear()
+        model.known.clear()
+        model.older.clear()
+        # Parts that come again in a text are remembered, so each text's are new here.
+        ids = model.encode(t).tolist()
+        assert set(ids) == set(streamed) and len(streamed) <= len(ids)
+
+
+def test_the_window_stays_as_wide_as_the_longest_piece():
+    """A model whose paths part for good: ids wait, scores do not pile up."""
+    model = S.Model(PATH)
+    model.set({"a": (1, -3.0), "aa": (2, -6.0), "aaa": (3, -9.5)})
+    cost = {1: -3.0, 2: -6.0, 3: -9.5}
+    for n in (1, 2, 3, 4, 1000):
+        got = [i for ids in model.stream(iter("a" * n)) for i in ids]
+        assert sum(got) == n and sum(cost[i] for i in got) == -3.0 * n
+
+
 def test_frame(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(90, None), (0, TEXTS[0]), (None, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ids", F.lit("a"))
