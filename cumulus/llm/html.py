@@ -7,6 +7,11 @@ its link density, its length and its density of stop words.  Short blocks, and
 middling ones, stay undecided; the second pass gives them the label of the
 nearest decided neighbours.
 
+Stop words are those listed, and on a page in another language those it shows itself:
+short words, or characters where words are not spaced, that its running text repeats.
+A form around the page, and a header, menu or the like that is never closed, hold the
+article as any element does where the articles or most running text lie in them.
+
 Defined results: a null or empty page has an empty text; a page without any
 block of text too.  Unclosed and stray tags are taken as browsers take them: an
 end tag closes what is open inside it, one without a start is ignored.  Pages
@@ -17,8 +22,10 @@ repeat their results.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from html import unescape
 
 import pandas as pd
@@ -30,6 +37,9 @@ STOP_LOW, STOP_HIGH = 0.15, 0.30  # stop words among a block's words
 LINKS = 0.33        # share of a block's characters in links
 LINKS_INSIDE = 0.8  # the same, where blocks inside an article or main element are bad at once
 OVERRULE = 3        # running text outside, times that of the best article
+TYPICAL = 0.38      # stop words among the words of running text
+FUNCTION = 4        # letters of a function word at most, on a page that shows its own
+WIDE = 3            # letters that a character counts for where words are not spaced
 
 # Frequent function words of the languages that pages come in.
 STOP_WORDS = frozenset("""
@@ -57,6 +67,8 @@ NEVER = frozenset("""
 head nav header footer aside form menu button select script style title textarea template noscript
 iframe object svg canvas audio video dialog search xmp noembed noframes
 """.split())
+# Of these, a form may go around the page, and the others may lack their end tag.
+AROUND = frozenset("form header nav footer aside".split())
 ROLES = frozenset("""
 navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar
 """.split())
@@ -89,6 +101,10 @@ _ATTR = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _PARTS = re.compile(r"[^0-9a-z]+|(?<=[a-z])(?=[A-Z])")
 
 
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+                       "\U00020000-\U0003ffff]")
+
+
 @dataclass
 class Block:
     text: str
@@ -96,17 +112,52 @@ class Block:
     inside: int     # bits: 2 in an article element, 1 in a main element
     never: bool     # where no article stands
     article: int    # number of the article or main element
-    named: tuple[int, ...] = ()  # elements around it whose names say so
+    named: tuple[int, ...] = ()  # elements around it that speak against it
     label: str = ""
+    stops: frozenset = STOP_WORDS   # the page's function words
+    scale: float = 1.0              # of their density, where the page showed them itself
+    heading: bool = False
 
     @property
     def link_density(self) -> float:
         return self.linked / max(1, len(self.text))
 
+    @cached_property
+    def size(self) -> int:
+        """Characters; those of a script without spaces between words count for more."""
+        if self.text.isascii():
+            return len(self.text)
+        return len(self.text) + (WIDE - 1) * len(_UNSPACED.findall(self.text))
+
     @property
+    def words(self) -> list[str]:
+        """Words, or characters of a script without spaces between words."""
+        if not self.text.isascii() and 3 * len(wide := _UNSPACED.findall(self.text)) >= len(self.text):
+            return wide
+        return [w.strip(".,;:!?\"'()[]«»“”„") for w in self.text.lower().split()]
+
+    @cached_property
     def stop_density(self) -> float:
-        words = [w.strip(".,;:!?\"'()[]«»“”„") for w in self.text.lower().split()]
-        return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+        words = self.words
+        return self.scale * sum(w in self.stops for w in words) / max(1, len(words))
+
+
+def _learn_stops(page: list[Block]) -> None:
+    """On a page whose running text has fewer of the listed stop words than such text has:
+    those that it shows itself too, and their density in proportion to the usual one."""
+    running = [b for b in page if not b.never and b.size >= SHORT and b.link_density <= LINKS]
+    size = sum(b.size for b in running)
+    if not size or sum(b.stop_density * b.size for b in running) >= STOP_HIGH * size:
+        return
+    words = [w for b in running for w in b.words]
+    counts = Counter(w for w in words if len(w) <= FUNCTION and w.isalpha())
+    shown = frozenset(w for w, n in counts.items() if n >= 2 and 200 * n >= len(words))
+    stops = shown | STOP_WORDS
+    share = sum(w in stops for w in words) / len(words)
+    if len(shown) >= 3 and share >= STOP_LOW / 2:
+        for b in page:
+            b.stops, b.scale = stops, max(1.0, TYPICAL / share)
+            b.__dict__.pop("stop_density", None)
 
 
 def _named(words: str) -> set[str]:
@@ -152,8 +203,10 @@ def blocks(html: str | None) -> list[Block]:
     outer = (False, 0, False, (), 0)
     open_: list[tuple[str, bool, int, bool, tuple, int]] = []  # tag, never, inside, link, named, article
     never, inside, link, named, article = outer
-    holds: dict[int, int] = {}  # named elements: articles in them
-    articles = 0
+    kinds: list[str] = []            # of the elements that speak against their text: tag, or "" (names)
+    closed: set[int] = set()         # those of them with an end tag
+    paths: list[tuple[int, ...]] = []  # of each article, those around it
+    heads: set[int] = set()          # those with a headline in them
 
     def add(raw: str) -> None:
         nonlocal linked
@@ -168,7 +221,8 @@ def blocks(html: str | None) -> list[Block]:
         if text:
             line = " ".join("".join(text).split())
             if line:
-                out.append(Block(line, linked, inside, never, article, named))
+                out.append(Block(line, linked, inside, never, article, named,
+                                 heading=bool(open_) and open_[-1][0] in HEADINGS))
             text.clear()
         linked = 0
 
@@ -187,43 +241,56 @@ def blocks(html: str | None) -> list[Block]:
             flush()
         if m[1]:
             if any(x[0] == tag for x in open_):
-                while open_.pop()[0] != tag:
+                while (last := open_.pop())[0] != tag:
                     pass
+                if tag in AROUND and last[4] and kinds[last[4][-1]] == tag:
+                    closed.add(last[4][-1])
                 never, inside, link, named, article = open_[-1][1:] if open_ else outer
         elif tag not in VOID:
             if tag == "p" and open_ and open_[-1][0] == "p":
                 open_.pop()
                 never, inside, link, named, article = open_[-1][1:] if open_ else outer
             if not never:
-                never, by_name = _outside(tag, m[3])
-                if by_name and not never:
-                    named += (len(holds),)
-                    holds[len(holds)] = 0
+                if tag in AROUND:
+                    named += (len(kinds),)
+                    kinds.append(tag)
+                else:
+                    never, by_name = _outside(tag, m[3])
+                    if by_name and not never:
+                        named += (len(kinds),)
+                        kinds.append("")
             if not never:
                 if tag in INSIDE:
-                    articles += 1
+                    paths.append(named)
                     if not inside & INSIDE[tag]:
-                        inside, article = inside | INSIDE[tag], articles
-                    for i in named:
-                        holds[i] += 1
+                        inside, article = inside | INSIDE[tag], len(paths)
+                elif tag in ("h1", "h2"):
+                    heads.update(named)
             link = link or tag == "a"
             open_.append((tag, never, inside, link, named, article))
             if tag in RAW:  # up to its end tag there is no markup
                 end = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at)
                 at = end.start() if end else size
     flush()
-    _overrule(out, {i for i, n in holds.items() if n and n == articles})
+    # A closed header, menu or the like never holds the article; a form with its end tag may.
+    shut = {i for i in closed if kinds[i] != "form"}
+    for b in out:
+        b.never = b.never or not shut.isdisjoint(b.named)
+    paths = [p for p in paths if shut.isdisjoint(p)]
+    _learn_stops(out)
+    _overrule(out, kinds, {i for i in set().union(*paths) if all(i in p for p in paths)}, heads)
     return out
 
 
 def _sure(b: Block) -> bool:
     """A long block of running text."""
-    return len(b.text) >= LONG and b.link_density <= LINKS and b.stop_density >= STOP_HIGH
+    return b.size >= LONG and b.link_density <= LINKS and b.stop_density >= STOP_HIGH
 
 
-def _overrule(page: list[Block], held: set[int]) -> None:
-    """Names count, but for an element that holds all articles of the page (``held``)
-    or half of its running text or more."""
+def _overrule(page: list[Block], kinds: list[str], held: set[int], heads: set[int]) -> None:
+    """What an element is speaks against its text, unless it holds all articles of the
+    page (``held``) or half of its running text or more; a form, three quarters of it
+    and a headline."""
     if not any(b.named for b in page):
         return
     sizes: dict[int, int] = {}
@@ -233,7 +300,8 @@ def _overrule(page: list[Block], held: set[int]) -> None:
             every += len(b.text)
             for i in b.named:
                 sizes[i] = sizes.get(i, 0) + len(b.text)
-    held = held | {i for i, n in sizes.items() if 2 * n >= every}
+    held = held | {i for i, n in sizes.items() if 2 * n >= every and (
+        kinds[i] != "form" or 4 * n >= 3 * every and i in heads)}
     for b in page:
         b.never = b.never or not held.issuperset(b.named)
         if b.never:
@@ -252,7 +320,7 @@ def _level(page: list[Block]) -> int:
                 continue
             if b.inside & level:
                 plain = b.link_density <= LINKS and (
-                    len(b.text) >= LONG or len(b.text) >= SHORT and b.stop_density >= STOP_LOW)
+                    b.size >= LONG or b.size >= SHORT and b.stop_density >= STOP_LOW)
                 best[b.article] = best.get(b.article, 0) + plain * len(b.text)
             elif _sure(b):
                 outside += len(b.text)
@@ -273,11 +341,11 @@ def label(page: list[Block]) -> list[Block]:
             b.label = "bad"
         elif b.link_density > (LINKS_INSIDE if level else LINKS):
             b.label = "bad"
-        elif len(b.text) < SHORT:
+        elif b.size < SHORT:
             b.label = ""
         elif level and not known:
             b.label = "good" if b.link_density <= LINKS else ""
-        elif b.stop_density >= STOP_HIGH and len(b.text) >= LONG and b.link_density <= LINKS:
+        elif b.stop_density >= STOP_HIGH and b.size >= LONG and b.link_density <= LINKS:
             b.label = "good"
         elif level:  # the article speaks for it, few stop words or many links against it
             b.label = "good" if b.stop_density >= STOP_LOW and b.link_density <= LINKS else ""
@@ -291,7 +359,8 @@ def label(page: list[Block]) -> list[Block]:
 
 def _inherit(row: list[Block], otherwise: str) -> None:
     """Undecided blocks take the label of the nearest decided block before and
-    after; where these differ, the nearer one's, and ``otherwise`` on a tie."""
+    after; where these differ, the nearer one's, and ``otherwise`` on a tie, but that a
+    headline goes with what it heads."""
     decided = [i for i, b in enumerate(row) if b.label]
     new, k = {}, 0
     for i, b in enumerate(row):
@@ -305,7 +374,7 @@ def _inherit(row: list[Block], otherwise: str) -> None:
         elif before is None or after is None:
             new[i] = row[after if before is None else before].label
         elif i - before == after - i and row[before].label != row[after].label:
-            new[i] = otherwise
+            new[i] = row[after].label if b.heading and otherwise == "bad" else otherwise
         else:
             new[i] = row[before if i - before <= after - i else after].label
     for i, x in new.items():

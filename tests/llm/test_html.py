@@ -81,6 +81,77 @@ def test_stop_words_decide_inside_an_article():
     assert H.main_text(f"<article><p>{foreign}</p><p><a>x</a></p><p>{foreign}</p></article>").count("maro") == 24
 
 
+MENU = "<div><a href=/1>{0}</a> <a href=/2>{1}</a></div><ul><li><a href=/3>{2}</a></li></ul>"
+FOREIGN = {
+    "ru": (MENU.format("Главная", "Новости", "О нас"), "Старый дом у реки",
+           ["Дом у реки был старый, и в нём давно не жили, но мы не хотели уезжать, потому что в этом доме "
+            "прошло всё наше детство, и каждый из нас помнил, как по вечерам на веранде пили чай и говорили о том, "
+            "что будет с ним, когда мы вырастем и уедем в город.",
+            "По утрам мы шли к реке, и отец брал с собой удочки, а мать давала нам хлеб и молоко, и мы не "
+            "возвращались до обеда, потому что на реке было хорошо и тихо, и никто не звал нас домой, как это было в "
+            "городе."], "© 2021 Все права"),
+    "it": (MENU.format("Inizio", "Notizie", "Contatti"), "La casa sul fiume",
+           ["La casa sul fiume era vecchia e non era in buono stato, ma per noi era il posto di tutta la vita, "
+            "e non ci saremmo mossi per niente al mondo, perché nelle sere di estate si stava di fuori a parlare di "
+            "quello che sarebbe stato di noi e della casa.",
+            "Di mattina si andava al fiume, e il padre portava le canne, e la madre ci dava il pane e il latte, e non "
+            "si tornava che a mezzogiorno, perché al fiume si stava bene e non ci chiamava nessuno, come in città."],
+           "Tutti i diritti riservati"),
+    "zh": (MENU.format("首页", "新闻", "关于我们"), "河边的房子",
+           ["河边的房子已经很旧了，也不是很好看，可是我们在那里住了很久，谁也不想离开，因为那是我们长大的地方，"
+            "每天晚上大家都在院子里喝茶，说着以后的事，说着我们长大以后要去的地方。",
+            "早上我们去河边，父亲带着鱼竿，母亲给我们带了面包和牛奶，我们不到中午是不回家的，因为在河边很安静，"
+            "也没有人叫我们回家，不像在城里的时候那样。"], "版权所有"),
+}
+
+
+def test_pages_in_other_languages_without_an_article():
+    for menu, title, parts, end in FOREIGN.values():
+        body = f"<h1>{title}</h1>" + "".join(f"<p>{p}</p>" for p in parts)
+        want = " ".join([title, *parts])
+        page = f"<body>{menu}<div>{body}</div><div><a href=/4>{end}</a></div></body>"
+        assert H.main_text(page) == want
+        assert H.main_text(f"<nav>{menu}</nav><article>{body}</article><footer>{end}</footer>") == want
+
+
+def test_a_form_around_the_page():
+    long = f"<p>{LOREM * 2}</p>"
+    page = (f"<body><form id=aspnetForm method=post><div class=nav><a href=/>Home</a></div><input name=q>"
+            f"{{}}<footer>{LOREM}</footer></form></body>")
+    for body in (f"<article><h1>A</h1>{long}<p>B c.</p></article>", f"<div><h1>A</h1>{long}<p>B c.</p>{long}</div>"):
+        got = H.main_text(page.format(body))
+        assert got.startswith("A The house") and "B c." in got and got.count("by the river") in (2, 4), got
+    short = page.format("<article><h1>A</h1><p>B c.</p></article>")
+    assert H.main_text(short) == "A B c."
+    contact = f"<h1>A</h1>{long}{long}<form><h2>Write to us</h2>{long}{long}<button>Send</button></form>"
+    assert "Write" not in H.main_text(contact) and H.main_text(contact).count("by the river") == 4
+    assert "Write" not in H.main_text(f"<article><h1>A</h1><p>B</p><form><p>Write {LOREM * 9}</form></article>")
+
+
+def test_regions_that_are_never_closed():
+    long = f"<p>{LOREM * 2}</p>"
+    for start in ("<header>Site", "<nav><a href=/>Home</a>", "<div><nav><a href=/>Home</a><aside>"):
+        for body in (f"<article><h1>A</h1>{long}</article>", f"<h1>A</h1>{long}<p>B c.</p>{long}",
+                     "<main><p>B c.</p></main>"):
+            got = H.main_text(f"<body>{start}{body}</body>")
+            assert "B c." in got if "B c." in body else got.count("by the river") == 2, (start, got)
+            assert "Home" not in got
+    # Closed by what is around it: the menu stays a menu.
+    page = f"<div><nav><a href=/>Home</a><p>{LOREM * 2}</div><article><h1>A</h1>{long}</article>"
+    assert H.main_text(page) == f"A {(LOREM * 2).strip()}"
+    page = f"<article><h1>A</h1>{long}<aside>{LOREM}</article><p>x</p>"
+    assert H.main_text(page) == f"A {(LOREM * 2).strip()}"
+
+
+def test_ties_between_neighbours():
+    """Nearest good and bad block equally far: bad without an article, good in one."""
+    good, bad = f"<p>{LOREM * 2}</p>", f"<p><a href=/>{'link' * 30}</a></p>"
+    got = [b.label for b in H.label(H.blocks(f"{good}<p>tie</p>{bad}<p>tie</p>{good}"))]
+    assert got == ["good", "bad", "bad", "bad", "good"]
+    got = [b.label for b in H.label(H.blocks(f"<article>{good}<p>tie</p>{bad}</article>"))]
+    assert got == ["good", "good", "bad"]
+
+
 def test_odd_pages():
     for page, want in [(None, ""), ("", ""), ("<", ""), ("<!--", ""), ("a < b", "a < b"),
                        ("<article>x", "x"), ("<article>x</article", "x"), ("</p></article>", ""),
