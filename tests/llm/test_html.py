@@ -101,7 +101,7 @@ FOREIGN = {
            ["河边的房子已经很旧了，也不是很好看，可是我们在那里住了很久，谁也不想离开，因为那是我们长大的地方，"
             "每天晚上大家都在院子里喝茶，说着以后的事，说着我们长大以后要去的地方。",
             "早上我们去河边，父亲带着鱼竿，母亲给我们带了面包和牛奶，我们不到中午是不回家的，因为在河边很安静，"
-            "也没有人叫我们回家，不像在城里的时候那样。"], "版权所有"),
+            "也没有人叫我们回家，不像在城里的时候那样，我们都很喜欢那里。"], "版权所有"),
 }
 
 
