@@ -81,6 +81,48 @@ def test_numbered_notice_with_a_repeated_clause(spark):
     assert [r["labels"] for r in run(spark, [(1, numbered)])] == ["bsd-text"]
 
 
+def test_names_and_identifiers_in_use(spark):
+    want = {"SPDX-License-Identifier: MIT": "mit", "BSD 3-Clause License": "bsd-3-clause", "under GPLv3.": "gpl",
+            "GNU GPL v2": "gpl", "CC0 1.0": "cc0", "The Unlicense": "unlicense",
+            "Boost Software License - Version 1.0": "boost", "SPDX-License-Identifier: BSD-2-Clause": "bsd-2-clause",
+            "spdx license identifier apache 2.0": "apache", "SPDX-License-Identifier: Frob-1.0": "",
+            "bsd 4 clause": "", "mit": "", "boost license": ""}
+    got = {r["doc_id"]: r["labels"] for r in run(spark, list(enumerate(want)))}
+    assert [got[i] for i in range(len(want))] == list(want.values())
+
+
+def test_notices_of_every_label_are_found(spark):
+    notices = [t for t in L.TEMPLATES if not t.exact]
+    got = {r["doc_id"]: r for r in run(spark, [(i, f"Copyright me. {t.text}") for i, t in enumerate(notices)])}
+    for i, t in enumerate(notices):
+        assert t.label in got[i]["labels"].split(",") and got[i]["score"] == 1, t.label
+    assert len({t.label for t in L.TEMPLATES}) > 25
+
+
+def test_whole_texts_from_files(spark, tmp_path):
+    text = " ".join(f"clause{i} binds party{i * 7} in case {i * 3}" for i in range(60))
+    (tmp_path / "own").write_text(text)
+    templates = L.read_templates({"own": str(tmp_path / "own")})
+    df = spark.createDataFrame([(1, f"x {text} y"), (2, text[:200])], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in L.summary(L.licenses(df, templates=templates),
+                                                        templates=templates).collect()}
+    assert got == {1: "own", 2: ""}
+
+
+def test_no_text_is_shuffled(spark):
+    """Also where no join may be broadcast from its size."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        df = spark.createDataFrame([(i, f"mit license {i}") for i in range(9)], "doc_id long, body string")
+        out = L.licenses(df, text="body")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, old)
+    assert "body" not in plan and "Exchange" in plan and "runs" not in plan.partition("Exchange")[0]
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
