@@ -8,43 +8,46 @@ the mass left over.  Weights are computed so that the probabilities after every
 word add up to exactly one.  Only where a caller gives ``vocabulary``, the words
 below that frequency share one class in the pairs.
 
-Tables: words, pairs (by the hashes of both words) and backoff weights lie in the
-shared folder.  A text's score is the sum of its words' lowest-order logs and
-weights, and for every seen pair its ``gain`` over that.  At most 1 / VOCABULARY
-words, and pairs, can be that frequent, so those go to every task; all other
-tokens travel, packed, to the bucket that holds their counts, weights and gains
-and come back as sums per document.  No word or pair is a hot key then.
+Words are numbered by frequency, so a word's number tells its count (by one table of
+the different counts), and a pair is one number that packs well.  Texts become numbers
+once: a task knows those of frequent words and asks the bucket of each other word.
+
+Tables in the shared folder, partitioned by bucket: the words' numbers; the pairs and
+their counts; the backoff weights of first words.  All pairs of a first word that is
+not frequent lie in its bucket, those of frequent ones are spread by pair.  At most
+1 / VOCABULARY words, and pairs, can be frequent: their weights and counts go to every
+task.  The other pairs of a text travel, packed, to their bucket and come back as a sum
+per document.  No word or pair is a hot key then.
 
 Defined results: a null or empty text is an end alone.  Repeated rows and ids
 are scored, and counted in training, as often as they occur.  With nothing to
 learn from every token is unseen and has probability 1.  Texts are read whole.
-An empty table gives an empty result.
+An empty table gives an empty result.  Up to four thousand million different words.
 """
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.series import INDEX, indexed
 from .common import stored
 
 LARGEST = 5            # counts up to this are discounted
 VOCABULARY = 1e-5      # frequency from which a word, or a pair, goes to every task
-BUCKET = 1_000_000     # tokens aimed at in a bucket
-BATCH = 500_000        # tokens scored together before they are sent
+BUCKET = 4_000_000     # tokens aimed at in a bucket
+BATCH = 500_000        # tokens numbered, or scored, together before they are sent
 TYPES = 750_000        # different words or pairs a task counts at once
 
 END = np.uint64(xxhash.xxh64_intdigest(b"\n"))  # no word holds a line feed
-START = np.uint64(xxhash.xxh64_intdigest(b"\n\n"))  # before the first word
-RARE = np.uint64(xxhash.xxh64_intdigest(b"\n\n\n"))  # the class, where there is one
-META, WORD_COUNTS, PAIR_COUNTS, WORDS, PAIRS = range(5)
+META, TABLE, WEIGHTS, ASKED = range(4)
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -86,177 +89,59 @@ def _factor(d: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(n > LARGEST, 1.0, d[np.minimum(n, LARGEST)])
 
 
-@dataclass
-class Model:
-    words: DataFrame        # key, n, weight (log10, of backing off after the word)
-    pairs: DataFrame        # first, second, n, gain (log10, over backing off)
-    total: int              # training tokens
-    types: int              # different ones
-    classed: bool           # words outside the vocabulary share one class
-    vocab: np.ndarray       # hashes of frequent words, sorted
-    counts: np.ndarray      # their counts
-    word_d: np.ndarray      # discounts of words
-    pair_d: np.ndarray      # discounts of pairs
-    scale: float            # of word probabilities
-    unseen: float           # mass of words never seen
-    low: np.ndarray         # log10 probability of vocabulary words; 0 for others
-    weight: np.ndarray      # log10 backoff weight: vocabulary, rare class, start
-    hot: np.ndarray         # keys of frequent pairs, sorted
-    hot_gain: np.ndarray
-
-    def word_probability(self, n: np.ndarray) -> np.ndarray:
-        """Lowest-order probability of words seen n times; 0: all unseen ones."""
-        p = self.scale * _factor(self.word_d, n) * n / max(1, self.total)
-        return np.where(n > 0, p, self.unseen)
-
-
-def _ids(h: np.ndarray, vocab: np.ndarray) -> np.ndarray:
-    """Places in the vocabulary; its size for rare words."""
-    if not len(vocab):
-        return np.zeros(len(h), np.uint64)
-    at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
-    return np.where(vocab[at] == h, at, len(vocab)).astype(np.uint64)
-
-
-def _pairs(h: np.ndarray) -> np.ndarray:
-    """The tokens before; the first token follows the start."""
-    return np.concatenate(([START], h[:-1]))
-
-
-def _pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return first * np.uint64(0xD6E8FEB86659FD93) + second
-
-
-def _named(h: np.ndarray, vocab: np.ndarray, classed: bool) -> np.ndarray:
-    """What the tokens are in the pairs: themselves, or the class they belong to."""
-    return np.where(_ids(h, vocab) < len(vocab), h, RARE) if classed else h
-
-
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-def _counted(df: DataFrame, text: str, columns: tuple[str, ...], parts) -> DataFrame:
-    """(columns, n) over all texts, ``parts`` being a text's columns; a task sums
-    its own before they are shuffled."""
-    def add_up(wait: list[list[np.ndarray]]) -> list[np.ndarray]:
-        *cols, n = [np.concatenate(c) for c in zip(*wait)]
-        if not len(n):
-            return [*cols, n]
-        key = cols[0] if len(cols) == 1 else _pair_key(*cols)
-        order = np.argsort(key)
-        key = key[order]
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        return [*[c[order[first]] for c in cols], np.add.reduceat(n[order], first)]
-
-    def frame(got: list[np.ndarray]) -> pd.DataFrame:
-        return pd.DataFrame({**{c: _signed(x) for c, x in zip(columns, got)}, "n": got[-1]})
-
+def _added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, sorted, and the sums of their n."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(n[order], first)
+
+
+def _tallies(parts: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys, counts) of all parts, added up as far as TYPES different keys allow."""
+    wait: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def joined() -> tuple[np.ndarray, np.ndarray]:
+        return _added(*map(np.concatenate, zip(*wait)))
+    for part in parts:
+        wait.append(_added(part, np.ones(len(part), np.int64)))
+        size += len(wait[-1][0])
+        if size > 2 * TYPES:
+            wait = [joined()]
+            if len(wait[0][0]) > TYPES:
+                yield wait.pop()
+            size = sum(len(k) for k, _ in wait)
+    if wait:
+        yield joined()
+
+
+def _counted(df: DataFrame, text: str) -> DataFrame:
+    """(key, n) of all words; a task sums its own before they are shuffled."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wait, size = [], 0
-        for pdf in batches:
-            got = [parts(tokens(t)) for t in pdf["text"]]
-            if got:
-                got = [np.concatenate(c) for c in zip(*got)]
-                wait.append(add_up([[*got, np.ones(len(got[0]), np.int64)]]))
-                size += len(wait[-1][0])
-            if size > 2 * TYPES:
-                wait = [add_up(wait)]
-                if len(wait[0][0]) > TYPES:
-                    yield frame(wait[0])
-                    wait = []
-                size = sum(len(x[0]) for x in wait)
-        if wait:
-            yield frame(add_up(wait))
-
-    schema = ", ".join(f"{c} long" for c in (*columns, "n"))
-    return (df.select(F.col(f"`{text}`").alias("text"))
-            .mapInPandas(count, schema).groupBy(*columns).agg(F.sum("n").alias("n")))
-
-
-def _count_counts(table: DataFrame) -> list[int]:
-    got = dict(table.filter(F.col("n") <= LARGEST + 1).groupBy("n").count().collect())
-    return [got.get(r, 0) for r in range(LARGEST + 2)]
-
-
-def _frequent(table: DataFrame, least: float, also: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Keys, sorted, and counts of what was seen ``least`` times: few, by their share."""
-    rows = table.filter((F.col("n") >= least) | (F.col("key") == F.lit(also))
-                        if also is not None else F.col("n") >= least).toPandas()
-    key = rows["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(key)
-    return key[order], rows["n"].to_numpy(np.int64)[order]
+        parts = (np.concatenate([tokens(t) for t in pdf["text"]]) for pdf in batches if len(pdf))
+        for keys, n in _tallies(parts):
+            yield pd.DataFrame({"key": _signed(keys), "n": n})
 
+    return (df.select(F.col(f"`{text}`").alias("text"))
+            .mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
 
-def _per_count(d: np.ndarray) -> Column:
-    """The discount of the count ``n``."""
-    return F.get(F.array(*map(F.lit, [*d.tolist(), 1.0])),
-                 F.least("n", F.lit(LARGEST + 1)).cast("int"))
 
+def _planes(*columns: np.ndarray) -> bytes:
+    """Numbers below 2 ** 32, byte planes apart."""
+    return zlib.compress(b"".join(c.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+                                  for c in columns), 1)
 
-def train(df: DataFrame, text: str = "text", *, vocabulary: float | None = None) -> Model:
-    """Counts, discounts and backoff weights from all texts of ``df``; words below
-    the frequency ``vocabulary``, where given, share one class in the pairs."""
-    spark, classed = df.sparkSession, vocabulary is not None
-    words = stored(_counted(df, text, ("key",), lambda h: [h]), "words")
-    size = words.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types")).first()
-    total, types = size["total"] or 0, size["types"]
-    word_n = _count_counts(words)
-    word_d = discounts(word_n)
-    vocab, counts = _frequent(words, max(1, (vocabulary if classed else VOCABULARY) * total),
-                              int(_signed(np.array([END]))[0]))
-    unseen = sum(word_n[r] * r * (1 - word_d[r]) for r in range(1, LARGEST + 1)) / max(1, total)
-    scale = 1.0
-    if unseen <= 0:
-        scale, unseen = total / (total + 1), 1 / (total + 1)
 
-    p = scale * _factor(word_d, counts) * counts / max(1, total)
-    rest = max(unseen, 1 - p.sum()) if classed else unseen
-    if classed:
-        seconds = spark.createDataFrame(pd.DataFrame({
-            "second": _signed(np.append(vocab, RARE)), "p": np.append(p, rest)}))
-    else:
-        seconds = words.select(F.col("key").alias("second"), (
-            F.lit(float(scale)) * _per_count(word_d) * F.col("n") / F.lit(max(1, total))).alias("p"))
-
-    def both(h: np.ndarray) -> list[np.ndarray]:
-        h = _named(h, vocab, classed)
-        return [_pairs(h), h]
-    # A word is second, or first, in as many rows as it has neighbours: AQE splits
-    # the few large ones, and the sums per first word begin before the shuffle.
-    pairs = stored(_counted(df, text, ("first", "second"), both).join(seconds, "second"), "pairs")
-    pair_d = discounts(_count_counts(pairs))
-    kept = F.col("n") * _per_count(pair_d)
-    per = (pairs.groupBy("first")
-           .agg(F.sum("n").alias("n"), F.sum(kept).alias("held"), F.sum("p").alias("p"),
-                F.count(F.lit(1)).alias("types")))
-    # No mass left over, as no count was small: one more event makes room for it.
-    n = F.when(F.col("n") - F.col("held") < 1e-9 * F.col("n"), F.col("n") + 1).otherwise(F.col("n"))
-    # Every class followed: nothing is left to back off to.
-    every = (F.col("types") == len(vocab) + 1) & F.lit(classed)
-    per = stored(per.select(
-        "first", F.when(every, F.col("held")).otherwise(n).alias("denom"),
-        F.when(every, 0.0).otherwise(F.log10(
-            (1 - F.col("held") / n) / F.greatest(1 - F.col("p"), F.lit(1e-300)))).alias("weight")),
-        "weights")
-
-    def gains(rows: DataFrame) -> DataFrame:
-        return rows.join(per, "first").select("first", "second", "n", (
-            F.log10(kept) - F.log10("denom") - F.col("weight") - F.log10("p")).alias("gain"))
-
-    known = np.append(vocab, [RARE, START])
-    at = spark.createDataFrame(pd.DataFrame({"first": _signed(known), "place": np.arange(len(known))}))
-    own = per.join(F.broadcast(at), "first").select("place", "weight").toPandas()
-    weight = np.zeros(len(known))
-    weight[own["place"].to_numpy(np.int64)] = own["weight"].to_numpy(float)
-    top = gains(pairs.filter(F.col("n") >= max(2, VOCABULARY * total))).toPandas()
-    hot = _pair_key(*[top[c].to_numpy(np.int64).view(np.uint64) for c in ("first", "second")])
-    order = np.argsort(hot)
-    words = words.join(per.select(F.col("first").alias("key"), "weight"), "key", "left").select(
-        "key", "n", F.coalesce("weight", F.lit(0.0)).alias("weight"))
-    return Model(words, gains(pairs), total, types, classed, vocab, counts, word_d, pair_d, scale,
-                 unseen, np.append(np.log10(p), 0), weight, hot[order],
-                 top["gain"].to_numpy(float)[order])
+def _flat(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T
+    return np.ascontiguousarray(raw).view("<u4")[:, 0].astype(np.int64)
 
 
 def _pack(keys: np.ndarray, *columns: np.ndarray) -> bytes:
@@ -282,14 +167,14 @@ def _deal(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)
 
 
-def _dealt(keys: np.ndarray, buckets: int, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(bucket, packed) for all keys."""
-    bucket = _deal(keys, buckets)
+def _dealt(bucket: np.ndarray, keys: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(bucket, packed) of all keys, sorted within it."""
     order = np.lexsort((keys, bucket))
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-    for b in np.flatnonzero(np.diff(ends)):
-        at = order[ends[b]:ends[b + 1]]
-        yield int(b), _pack(keys[at], *[c[at] for c in columns])
+    bucket = bucket[order].astype(np.int64)
+    begins = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else []
+    for i, j in zip(begins, [*begins[1:], len(bucket)]):
+        at = order[i:j]
+        yield int(bucket[i]), _pack(keys[at], *[c[at] for c in columns])
 
 
 def _halves(x: np.ndarray) -> list[np.ndarray]:
@@ -302,162 +187,430 @@ def _whole(low: np.ndarray, high: np.ndarray, kind: type) -> np.ndarray:
     return (low | high << 32).view(kind)
 
 
-def _count_blobs(table: DataFrame, role: int, buckets: int, below: float, key, *values: str) -> DataFrame:
-    """The values of what is not frequent, packed by bucket; ``key`` makes the key
-    from the other columns."""
-    columns = [c for c in table.columns if c not in values and c != "n"]
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wait: list[list[np.ndarray]] = []
-
-        def flush() -> pa.RecordBatch:
-            cols = [np.concatenate(c) for c in zip(*wait)]
-            keys = key(*[c.view(np.uint64) for c in cols[:len(columns)]])
-            halves = [x for c in cols[len(columns):] for x in _halves(c)]
-            got = list(_dealt(keys, buckets, *halves))
-            return pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in got], pa.int64()),
-                                               "blob": pa.array([x for _, x in got], pa.binary())})
-        size = 0
-        for batch in batches:
-            wait.append([c.to_numpy() for c in batch.columns])
-            size += batch.num_rows
-            if size > TYPES:
-                yield flush()
-                wait, size = [], 0
-        if size:
-            yield flush()
-
-    return (table.filter(F.col("n") < below).select(*columns, *values)
-            .mapInArrow(pack, "bucket long, blob binary")
-            .select("bucket", F.lit(role).alias("role"), F.lit(0).cast("long").alias("batch"), "blob"))
+@dataclass
+class Numbers:
+    """What every task knows of a model."""
+    total: int = 0                  # training tokens
+    types: int = 0                  # different ones; also the number of any word not among them
+    vocab: int = 0                  # words with numbers below this are frequent; 0 is the end
+    classed: bool = False           # the others share one class in the pairs
+    hashes: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))  # of these, sorted
+    ids: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))      # their numbers
+    ends: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))     # of equal counts
+    counts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    word_d: np.ndarray | None = None
+    pair_d: np.ndarray | None = None
+    scale: float = 1.0              # of word probabilities
+    unseen: float = 1.0             # mass of words never seen
+    rest: float = 1.0               # probability of the class
+    held: np.ndarray | None = None    # by frequent first word: what counts are divided by,
+    weight: np.ndarray | None = None  # and log10 of its backoff weight
+    hot: np.ndarray | None = None     # frequent pairs, sorted,
+    hot_n: np.ndarray | None = None   # and their counts
+
+    @property
+    def firsts(self) -> int:
+        """First words, by number and one, that are known everywhere; 0 is the start."""
+        return self.vocab + 1 + self.classed
+
+    def count(self, ids: np.ndarray) -> np.ndarray:
+        return self.counts[np.searchsorted(self.ends, ids, side="right")]
+
+    def probability(self, ids: np.ndarray) -> np.ndarray:
+        """Lowest-order probability of words."""
+        n = self.count(ids)
+        return np.where(n > 0, self.scale * _factor(self.word_d, n) * n / max(1, self.total), self.unseen)
+
+    def named(self, ids: np.ndarray) -> np.ndarray:
+        """What words are in the pairs: themselves, or the class they belong to."""
+        return np.minimum(ids, self.vocab) if self.classed else ids
+
+    def pairs(self, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """The pair that each token makes with the one before, one number each; the
+        tokens at ``begins`` follow the start."""
+        ids = self.named(ids)
+        first = np.concatenate(([0], ids[:-1] + 1))
+        first[begins] = 0
+        return first.astype(np.uint64) * np.uint64(self.types + 2) + ids.astype(np.uint64)
+
+    def split(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first, second = np.divmod(pairs, np.uint64(self.types + 2))
+        return first.astype(np.int64), second.astype(np.int64)
+
+    def bucket(self, pairs: np.ndarray, buckets: int) -> np.ndarray:
+        first = pairs // np.uint64(self.types + 2)
+        return _deal(np.where(first < self.firsts, pairs, first), buckets)
+
+    def second(self, ids: np.ndarray) -> np.ndarray:
+        """Probability of the second of a pair: of the class, where it is that."""
+        p = self.probability(ids)
+        return np.where(ids == self.vocab, self.rest, p) if self.classed else p
+
+    def gain(self, second: np.ndarray, n: np.ndarray, held: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """log10 of what a seen pair has over backing off."""
+        return (np.log10(_factor(self.pair_d, n) * n) - np.log10(held) - weight
+                - np.log10(self.second(second)))
+
+
+@dataclass
+class Model:
+    words: DataFrame      # bucket, blob: hashes and numbers of words that are not frequent
+    pairs: DataFrame      # bucket, blob: pairs and counts
+    weights: DataFrame    # bucket, blob: first words, what counts are divided by, log10 of weights
+    buckets: int
+    numbers: Numbers
+
+    @property
+    def total(self) -> int:
+        return self.numbers.total
+
+
+def _free(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes tables that no later step reads.  Spark drops the shuffle files of finished
+    jobs once the driver's JVM has collected their plans, so it is asked to."""
+    jvm = spark.sparkContext._jvm
+    for table in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    jvm.System.gc()
+
+
+def _batches(batches: Iterator[pd.DataFrame], column: str, read) -> Iterator[tuple[list, list]]:
+    """(keys, arrays) of texts, BATCH tokens or a little more together."""
+    keys, wait, size = [], [], 0
+    for pdf in batches:
+        for k, x in zip(pdf["key"], pdf[column]):
+            keys.append(k)
+            wait.append(read(x))
+            size += len(wait[-1])
+            if size >= BATCH:
+                yield keys, wait
+                keys, wait, size = [], [], 0
+    if wait:
+        yield keys, wait
+
+
+def _first_batch() -> int:
+    from pyspark import TaskContext
+    return TaskContext.get().partitionId() << 32
+
+
+SENT = "bucket long, role int, batch long, part long, blob binary"
+
+
+def _numbered(df: DataFrame, key: str, text: str, words: DataFrame, numbers: Numbers,
+              buckets: int) -> DataFrame:
+    """(key as text, n_tokens, ids): the numbers of every text's tokens, packed."""
+    small = Numbers(types=numbers.types, vocab=numbers.vocab, hashes=numbers.hashes, ids=numbers.ids)
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        batch = _first_batch()
+        for keys, wait in _batches(batches, "text", tokens):
+            h = np.concatenate(wait)
+            at = np.minimum(np.searchsorted(small.hashes, h), max(0, len(small.hashes) - 1))
+            known = small.hashes[at] == h if len(small.hashes) else np.zeros(len(h), bool)
+            rare, which = np.unique(h[~known], return_inverse=True)
+            bucket = _deal(rare, buckets)
+            order = np.lexsort((rare, bucket))
+            place = np.empty(len(rare), np.int64)
+            place[order] = np.arange(len(rare))
+            codes = np.empty(len(h), np.int64)       # a number, or vocab + place among the asked
+            codes[known] = small.ids[at[known]]
+            codes[~known] = small.vocab + place[which]
+            rows = [(-1 - batch, META, batch, -1, pickle.dumps((
+                zlib.compress(pickle.dumps(keys)), np.array([len(x) for x in wait], "<u4"),
+                _planes(codes))))]
+            rows += [(b, ASKED, batch, b, x) for b, x in _dealt(bucket, rare)]
+            yield pd.DataFrame(rows, columns=["bucket", "role", "batch", "part", "blob"])
+            batch += 1
+
+    def look_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        meta, role = pdf[pdf["role"] == META], pdf["role"]
+        known, ids = _table(pdf["blob"][role == TABLE])
+        out = []
+        for batch, part, blob in pdf[role == ASKED][["batch", "part", "blob"]].itertuples(index=False):
+            asked = _unpack(blob, 0)[0]
+            found = np.full(len(asked), small.types)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+                found = np.where(known[at] == asked, ids[at], small.types)
+            out.append((batch, part, _planes(found)))
+        return pd.concat([meta[["batch", "part", "blob"]],
+                          pd.DataFrame(out, columns=["batch", "part", "blob"])])
+
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("part")
+        keys, sizes, codes = pickle.loads(pdf["blob"].iloc[0])
+        asked = [_flat(x) for x in pdf["blob"].iloc[1:]]
+        ids = np.concatenate([np.arange(small.vocab), *asked])[_flat(codes)]
+        parts = np.split(ids, np.cumsum(sizes.astype(np.int64))[:-1])
+        return pd.DataFrame({"key": pd.Series(pickle.loads(zlib.decompress(keys)), dtype=object),
+                             "n_tokens": sizes.astype(np.int64), "ids": [_planes(x) for x in parts]})
+
+    # The key travels as text: pandas would make numbers with nulls inexact.
+    sent = df.select(F.col(f"`{key}`").cast("string").alias("key"),
+                     F.col(f"`{text}`").alias("text")).mapInPandas(send, SENT)
+    held = words.select("bucket", F.lit(TABLE).alias("role"), F.lit(0).cast("long").alias("batch"),
+                        F.lit(0).cast("long").alias("part"), "blob")
+    return (sent.unionByName(held).groupBy("bucket")
+            .applyInPandas(look_up, "batch long, part long, blob binary").groupBy("batch")
+            .applyInPandas(finish, "key string, n_tokens long, ids binary"))
+
+
+def _table(blobs, columns: int = 1) -> list[np.ndarray]:
+    """Keys, sorted, and columns of packed tables."""
+    got = [_unpack(b, columns) for b in blobs]
+    out = [np.concatenate([g[i] for g in got]) if got else np.empty(0, np.int64 if i else np.uint64)
+           for i in range(columns + 1)]
+    order = np.argsort(out[0])
+    return [x[order] for x in out]
+
+
+def _word_blobs(words: DataFrame, numbers: Numbers, buckets: int) -> DataFrame:
+    """(bucket, blob): hashes and numbers of the words that are not frequent."""
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            keys = pdf["key"].to_numpy(np.int64).view(np.uint64)
+            got = _dealt(_deal(keys, buckets), keys, pdf["id"].to_numpy(np.int64))
+            yield pd.DataFrame(list(got), columns=["bucket", "blob"])
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "blob": [_pack(*_table(pdf["blob"]))]})
+    return (words.filter(F.col("id") >= numbers.vocab).select("key", "id")
+            .mapInPandas(deal, "bucket long, blob binary")
+            .groupBy("bucket").applyInPandas(merge, "bucket long, blob binary"))
+
+
+def _pair_blobs(ids: DataFrame, numbers: Numbers, buckets: int) -> DataFrame:
+    """(bucket, blob, seen): pairs and counts, and how many were seen 1, 2, ... times."""
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def parts() -> Iterator[np.ndarray]:
+            for pdf in batches:
+                got = [_flat(x) for x in pdf["ids"]]
+                if got:
+                    yield numbers.pairs(np.concatenate(got), np.cumsum([0] + [len(x) for x in got[:-1]]))
+        for keys, n in _tallies(parts()):
+            yield pd.DataFrame(list(_dealt(numbers.bucket(keys, buckets), keys, n)),
+                               columns=["bucket", "blob"])
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys, n = _added(*_table(pdf["blob"]))
+        seen = np.bincount(n[n <= LARGEST + 1], minlength=LARGEST + 2)
+        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "blob": [_pack(keys, n)],
+                             "seen": [seen.tolist()]})
+    return (ids.select("ids").mapInPandas(deal, "bucket long, blob binary")
+            .groupBy("bucket").applyInPandas(merge, "bucket long, blob binary, seen array<long>"))
+
+
+def _weighed(n, held, p, types, numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
+    """What a first word's counts are divided by, and log10 of its backoff weight."""
+    # No mass left over, as no count was small: one more event makes room for it.
+    n = np.where(n - held < 1e-9 * n, n + 1, n)
+    weight = np.log10((1 - held / n) / np.maximum(1 - p, 1e-300))
+    if numbers.classed:    # every class followed: nothing is left to back off to
+        every = types == numbers.vocab + 1
+        n, weight = np.where(every, held, n), np.where(every, 0.0, weight)
+    return n, weight
+
+
+def _weight_rows(pairs: DataFrame, numbers: Numbers) -> DataFrame:
+    """For each bucket a blob with the weights of its own first words, and a row of sums
+    for each frequent first word."""
+    columns = ["bucket", "blob", "first", "n", "held", "p", "types"]
+
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for bucket, blob in zip(pdf["bucket"], pdf["blob"]):
+                keys, n = _unpack(blob, 1)
+                first, second = numbers.split(keys)
+                new = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1])))
+                of = [np.add.reduceat(x, new) for x in (
+                    n, _factor(numbers.pair_d, n) * n, numbers.second(second), np.ones(len(n), np.int64))]
+                first = first[new]
+                own = first >= numbers.firsts
+                held, weight = _weighed(*[x[own] for x in of], numbers)
+                if own.any():
+                    blob = _pack(first[own].astype(np.uint64), *_halves(held.astype(float)), *_halves(weight))
+                    yield pd.DataFrame([(bucket, blob)], columns=columns[:2]).reindex(columns=columns)
+                yield pd.DataFrame(dict(zip(columns, (
+                    bucket, None, first[~own], *[x[~own] for x in of]))))[columns]
+
+    return pairs.select("bucket", "blob").mapInPandas(
+        weigh, "bucket long, blob binary, first long, n long, held double, p double, types long")
+
+
+def train(df: DataFrame, text: str = "text", *, vocabulary: float | None = None) -> Model:
+    """Counts, discounts and backoff weights from all texts of ``df``; words below
+    the frequency ``vocabulary``, where given, share one class in the pairs."""
+    spark, classed = df.sparkSession, vocabulary is not None
+    end = F.lit(int(_signed(np.array([END]))[0]))
+    counted = stored(_counted(df, text), "words")
+    size = counted.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types")).first()
+    total, types = size["total"] or 0, size["types"]
+    counts = [(r["n"], r["types"], r["end"]) for r in counted.groupBy(
+        "n", (F.col("key") == end).alias("end")).agg(F.count(F.lit(1)).alias("types")).collect()]
+    counts.sort(key=lambda r: (not r[2], -r[0]))     # the end's number is 0, then by frequency
+    word_n = [sum(t for n, t, _ in counts if n == r) for r in range(LARGEST + 2)]
+    word_d = discounts(word_n)
+    unseen = sum(word_n[r] * r * (1 - word_d[r]) for r in range(1, LARGEST + 1)) / max(1, total)
+    scale = 1.0
+    if unseen <= 0:
+        scale, unseen = total / (total + 1), 1 / (total + 1)
+    least = max(1, (vocabulary if classed else VOCABULARY) * total)
+    numbers = Numbers(
+        total, types, sum(t for n, t, is_end in counts if is_end or n >= least), classed,
+        ends=np.cumsum([t for _, t, _ in counts]).astype(np.int64),
+        counts=np.array([n for n, _, _ in counts] + [0], np.int64), word_d=word_d, scale=scale,
+        unseen=unseen)
+    ranked = indexed(counted, [(F.col("key") != end), F.col("n").desc(), "key"], "word_numbers") \
+        .withColumnRenamed(INDEX, "id")
+    frequent = ranked.filter(F.col("id") < numbers.vocab).select("key", "id").toPandas()
+    hashes = frequent["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    numbers.hashes, numbers.ids = hashes[order], frequent["id"].to_numpy(np.int64)[order]
+    numbers.rest = max(unseen, 1 - numbers.probability(np.arange(numbers.vocab)).sum()) if classed else unseen
+
+    buckets = max(1, -(-total // BUCKET))
+    words = stored(_word_blobs(ranked, numbers, buckets), "word_blobs")
+    _free(spark, counted, ranked)
+    keyed = df.select(F.lit(None).cast("string").alias("key"), F.col(f"`{text}`").alias("text"))
+    ids = stored(_numbered(keyed, "key", "text", words, numbers, buckets), "training_numbers")
+    _free(spark)
+    pairs = stored(_pair_blobs(ids, numbers, buckets), "pairs")
+    _free(spark, ids)
+    seen = [r["seen"] for r in pairs.select("seen").collect()]
+    numbers.pair_d = discounts(np.sum(seen, axis=0).tolist() if seen else [0] * (LARGEST + 2))
+
+    rows = stored(_weight_rows(pairs, numbers), "weights")
+    sums = rows.filter("blob IS NULL").groupBy("first").agg(
+        *[F.sum(c).alias(c) for c in ("n", "held", "p", "types")]).toPandas()
+    numbers.held, numbers.weight = np.ones(numbers.firsts), np.zeros(numbers.firsts)
+    at = sums["first"].to_numpy(np.int64)
+    numbers.held[at], numbers.weight[at] = _weighed(
+        *[sums[c].to_numpy(float) for c in ("n", "held", "p", "types")], numbers)
+    numbers.hot, numbers.hot_n = _hot(pairs, max(2, VOCABULARY * total), numbers)
+    return Model(words, pairs.select("bucket", "blob"),
+                 rows.filter("blob IS NOT NULL").select("bucket", "blob"), buckets, numbers)
+
+
+def _hot(pairs: DataFrame, least: float, numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of frequent first words seen ``least`` times: few, by their share."""
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for blob in pdf["blob"]:
+                keys, n = _unpack(blob, 1)
+                keep = (n >= least) & (numbers.split(keys)[0] < numbers.firsts)
+                yield pd.DataFrame({"key": _signed(keys[keep]), "n": n[keep]})
+    got = pairs.select("blob").mapInPandas(pick, "key long, n long").toPandas()
+    keys = got["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], got["n"].to_numpy(np.int64)[order]
 
 
 def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text", *,
           buckets: int | None = None, vocabulary: float | None = None) -> DataFrame:
     """key, n_tokens, n_known, base_score (unigrams, one added to every count) and
-    score (this model), both log10: one row per row of ``df``; ``vocabulary`` as in
-    training."""
-    total, types = model.total, model.types
-    buckets = buckets or max(1, -(-total // BUCKET))
-    vocab, counts, hot, hot_gain = model.vocab, model.counts, model.hot, model.hot_gain
-    slim = Model(**{**model.__dict__, "words": None, "pairs": None})  # for the tasks
-    kind = df.schema[key].dataType
+    score (this model), both log10: one row per row of ``df``.  ``vocabulary`` is as in
+    training, where it was fixed."""
+    numbers, kind = model.numbers, df.schema[key].dataType
+    total, types = numbers.total, numbers.types
+    ids = stored(_numbered(df, key, text, model.words, numbers, model.buckets), "numbers")
+    size = ids.agg(F.sum("n_tokens")).first()[0] or 0
+    buckets = buckets or max(model.buckets, -(-size // BUCKET))
+    _free(df.sparkSession)
     meta = ["key", "idx", "n_tokens", "n_known", "base", "score"]
-    schema = ("bucket long, role int, batch long, blob binary, key string, idx int, "
-              "n_tokens long, n_known long, base double, score double")
+    tail = "key string, idx int, n_tokens long, n_known long, base double, score double"
     order = ["bucket", "role", "batch", "blob", *meta]
 
-    def base_log(n: np.ndarray) -> np.ndarray:
-        return np.log10((n + 1) / (total + types + 1))
-
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """What is frequent is scored here; the rest is dealt to the buckets."""
-        from pyspark import TaskContext
-        first, number = TaskContext.get().partitionId() << 32, 0
-        wait, keys_, size = [], [], 0
-
-        def flush() -> pd.DataFrame:
-            batch = first + number
-            sizes = np.array([len(t) for t in wait])
-            h, doc = np.concatenate(wait), np.repeat(np.arange(len(wait)), sizes)
-            ids = _ids(h, vocab)
-            named = _named(h, vocab, slim.classed)
-            keys = _pair_key(np.concatenate(
-                [_pairs(x) for x in np.split(named, np.cumsum(sizes)[:-1])]), named)
-            known = ids < len(vocab)
-            n = counts[ids[known].astype(np.int64)]
-            base = np.bincount(doc[known], base_log(n), len(wait))
-            at = np.minimum(np.searchsorted(hot, keys), max(0, len(hot) - 1))
-            is_hot = hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
-            place = ids.astype(np.int64)
-            total_log = (slim.weight[-1] + np.bincount(doc, slim.low[place] + slim.weight[place], len(wait))
-                         + np.bincount(doc[is_hot], hot_gain[at[is_hot]], len(wait)))
+        """What is frequent is scored here; the other pairs are dealt to the buckets."""
+        batch = _first_batch()
+        for keys, wait in _batches(batches, "ids", _flat):
+            sizes = np.array([len(x) for x in wait])
+            all_ids, doc = np.concatenate(wait), np.repeat(np.arange(len(wait)), sizes)
+            pairs = numbers.pairs(all_ids, np.cumsum(sizes) - sizes)
+            first, second = numbers.split(pairs)
+            n = numbers.count(all_ids)
+            logs = np.log10(numbers.probability(all_ids))
+            common = first < numbers.firsts
+            logs[common] += numbers.weight[first[common]]
+            at = np.minimum(np.searchsorted(numbers.hot, pairs), max(0, len(numbers.hot) - 1))
+            hot = numbers.hot[at] == pairs if len(numbers.hot) else np.zeros(len(pairs), bool)
+            f = first[hot]
+            logs[hot] += numbers.gain(second[hot], numbers.hot_n[at[hot]], numbers.held[f], numbers.weight[f])
             rows = [pd.DataFrame({
-                "bucket": -1 - batch,  # a group of their own: nothing to look up
-                "role": META, "batch": batch, "blob": None,
-                "key": pd.Series(keys_, dtype=object), "idx": np.arange(len(wait)), "n_tokens": sizes,
-                "n_known": np.bincount(doc[known], minlength=len(wait)), "base": base,
-                "score": total_log})]
-            for role, k, d in ((WORDS, h[~known], doc[~known]), (PAIRS, keys[~is_hot], doc[~is_hot])):
-                if len(k):
-                    turn = np.lexsort((d, k))
-                    k, d = k[turn], d[turn]
-                    new = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1]))))
-                    times = np.diff(np.append(new, len(k)))
-                    got = list(_dealt(k[new], buckets, d[new], times))
-                    rows.append(pd.DataFrame({"bucket": [b for b, _ in got], "role": role,
-                                              "batch": batch, "blob": [x for _, x in got]}))
-            return pd.concat([r.reindex(columns=order) for r in rows])
-
-        for pdf in batches:
-            for k, t in zip(pdf["key"], pdf["text"]):
-                wait.append(tokens(t))
-                keys_.append(k)
-                size += len(wait[-1])
-                if size >= BATCH:
-                    yield flush()
-                    wait, keys_, size, number = [], [], 0, number + 1
-        if wait:
-            yield flush()
+                "bucket": -1 - batch, "role": META, "batch": batch, "blob": None,
+                "key": pd.Series(keys, dtype=object), "idx": np.arange(len(wait)), "n_tokens": sizes,
+                "n_known": np.bincount(doc, n > 0, len(wait)).astype(np.int64),
+                "base": np.bincount(doc, np.log10((n + 1) / (total + types + 1)), len(wait)),
+                "score": np.bincount(doc, logs, len(wait))})]
+            # A word never seen is first in no pair, and second in none of a frequent word.
+            ask = ~hot & (first <= types) & ((n > 0) | ~common | numbers.classed)
+            k, d = pairs[ask], doc[ask]
+            turn = np.lexsort((d, k))
+            k, d = k[turn], d[turn]
+            if len(k):
+                new = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1]))))
+                times, k, d = np.diff(np.append(new, len(k))), k[new], d[new]
+                rows.append(pd.DataFrame([(b, ASKED, batch, x) for b, x in _dealt(
+                    numbers.bucket(k, buckets), k, d, times)], columns=order[:4]))
+            yield pd.concat([r.reindex(columns=order) for r in rows])
+            batch += 1
 
     def look_up(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Sums per batch and document of the tokens whose counts lie in this bucket."""
-        out = [pdf[pdf["role"] == META][["batch", "blob", *meta]]]
-        for counts_role, role in ((WORD_COUNTS, WORDS), (PAIR_COUNTS, PAIRS)):
-            tables = [_unpack(b, 4 if role == WORDS else 2)
-                      for b in pdf["blob"][pdf["role"] == counts_role]]
-            known = np.concatenate([t[0] for t in tables] or [np.empty(0, np.uint64)])
-            turn = np.argsort(known)
-            known = known[turn]
-
-            def held(i: int, kind: type) -> np.ndarray:
-                return np.concatenate([_whole(t[i], t[i + 1], kind) for t in tables]
-                                      or [np.empty(0, kind)])[turn]
-            values = [held(1, np.int64), held(3, float)] if role == WORDS else [held(1, float)]
-            for batch, blob in pdf[pdf["role"] == role][["batch", "blob"]].itertuples(index=False):
-                keys, doc, times = _unpack(blob, 2)
-                found = [np.zeros(len(keys), v.dtype) for v in values]
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                    found = [np.where(known[at] == keys, v[at], 0) for v in values]
-                docs, place = np.unique(doc, return_inverse=True)
-
-                def sums(x: np.ndarray) -> np.ndarray:
-                    return np.bincount(place, x * times, len(docs))
-                if role == WORDS:
-                    n, weight = found
-                    mine = np.log10(slim.word_probability(n)) + (0 if slim.classed else weight)
-                    got = sums(base_log(n)), sums(n > 0), sums(mine)
-                else:
-                    got = np.zeros(len(docs)), np.zeros(len(docs)), sums(found[0])
-                data = docs.astype("<u4").tobytes() + np.stack(got).astype("<f8").tobytes()
-                out.append(pd.DataFrame({"batch": [batch], "blob": [zlib.compress(data, 1)]}))
+        """Sums per batch and document of the pairs whose counts lie in this bucket."""
+        role = pdf["role"]
+        out = [pdf[role == META][["batch", "blob", *meta]]]
+        known, counts = _table(pdf["blob"][role == TABLE])
+        owners, *halves = _table(pdf["blob"][role == WEIGHTS], 4)
+        own_held, own_weight = _whole(*halves[:2], float), _whole(*halves[2:], float)
+        for batch, blob in pdf[role == ASKED][["batch", "blob"]].itertuples(index=False):
+            keys, doc, times = _unpack(blob, 2)
+            first, second = numbers.split(keys)
+            common = first < numbers.firsts
+            held, weight = np.ones(len(keys)), np.zeros(len(keys))
+            held[common], weight[common] = numbers.held[first[common]], numbers.weight[first[common]]
+            if len(owners):
+                at = np.minimum(np.searchsorted(owners, first.astype(np.uint64)), len(owners) - 1)
+                mine = ~common & (owners[at] == first.astype(np.uint64))
+                held[mine], weight[mine] = own_held[at[mine]], own_weight[at[mine]]
+            logs = np.where(common, 0, weight)      # of frequent words it is in already
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                seen = known[at] == keys
+                logs[seen] += numbers.gain(second[seen], counts[at[seen]], held[seen], weight[seen])
+            docs, place = np.unique(doc, return_inverse=True)
+            data = docs.astype("<u4").tobytes() + np.bincount(place, logs * times, len(docs)).tobytes()
+            out.append(pd.DataFrame({"batch": [batch], "blob": [zlib.compress(data, 1)]}))
         return pd.concat([x.reindex(columns=["batch", "blob", *meta]) for x in out])
 
     def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = pdf[pdf["blob"].isna()].sort_values("idx").reset_index(drop=True)
-        sums = rows[["base", "n_known", "score"]].to_numpy(float).T.copy()
+        logs = rows["score"].to_numpy(float).copy()
         for blob in pdf["blob"].dropna():
             raw = zlib.decompress(blob)
-            n = len(raw) // 28
-            sums[:, np.frombuffer(raw, "<u4", n)] += np.frombuffer(raw, "<f8", offset=4 * n).reshape(3, n)
-        return pd.DataFrame({"key": rows["key"], "n_tokens": rows["n_tokens"],
-                             "n_known": sums[1].round().astype(np.int64), "base": sums[0],
-                             "score": sums[2]})
-
-    # The key travels as text: pandas would make numbers with nulls inexact.
-    rows = df.select(F.col(f"`{key}`").cast("string").alias("key"),
-                     F.col(f"`{text}`").alias("text"))
-    sent = rows.mapInPandas(send, schema)
-    least = (vocabulary if model.classed else VOCABULARY) * total
-    count_rows = [_count_blobs(model.words, WORD_COUNTS, buckets, max(1, least),
-                               lambda k: k, "n", "weight"),
-                  _count_blobs(model.pairs, PAIR_COUNTS, buckets, max(2, VOCABULARY * total),
-                               _pair_key, "gain")]
-    together = sent
-    for c in count_rows:
-        together = together.unionByName(c, allowMissingColumns=True)
-    tail = schema.partition("blob binary, ")[2]
+            n = len(raw) // 12
+            logs[np.frombuffer(raw, "<u4", n)] += np.frombuffer(raw, "<f8", n, 4 * n)
+        return rows[["key", "n_tokens", "n_known", "base"]].assign(score=logs)
+
+    def redeal(table: DataFrame, columns: int, by) -> DataFrame:
+        """The blobs of a table for another number of buckets."""
+        def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for blob in pdf["blob"]:
+                    keys, *cols = _unpack(blob, columns)
+                    yield pd.DataFrame(list(_dealt(by(keys), keys, *cols)), columns=["bucket", "blob"])
+        return table if buckets == model.buckets else table.mapInPandas(deal, "bucket long, blob binary")
+
+    tables = [(TABLE, redeal(model.pairs, 1, lambda k: numbers.bucket(k, buckets))),
+              (WEIGHTS, redeal(model.weights, 4, lambda k: _deal(k, buckets)))]
+    together = ids.select("key", "ids").mapInPandas(
+        send, "bucket long, role int, batch long, blob binary, " + tail)
+    for role, table in tables:
+        together = together.unionByName(table.select(
+            "bucket", F.lit(role).alias("role"), F.lit(0).cast("long").alias("batch"), "blob"),
+            allowMissingColumns=True)
     found = together.groupBy("bucket").applyInPandas(look_up, f"batch long, blob binary, {tail}")
     return found.groupBy("batch").applyInPandas(
         add_up, "key string, n_tokens long, n_known long, base double, score double").select(
