@@ -28,13 +28,13 @@ An empty table gives an empty result.  Up to four thousand million different wor
 from __future__ import annotations
 
 import pickle
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.series import INDEX, indexed
@@ -133,14 +133,21 @@ def _counted(df: DataFrame, text: str) -> DataFrame:
             .mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
 
 
-def _planes(*columns: np.ndarray) -> bytes:
+def _small(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _large(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _planes(x: np.ndarray) -> bytes:
     """Numbers below 2 ** 32, byte planes apart."""
-    return zlib.compress(b"".join(c.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-                                  for c in columns), 1)
+    return _small(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _flat(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T
+    raw = np.frombuffer(_large(data), np.uint8).reshape(4, -1).T
     return np.ascontiguousarray(raw).view("<u4")[:, 0].astype(np.int64)
 
 
@@ -149,11 +156,11 @@ def _pack(keys: np.ndarray, *columns: np.ndarray) -> bytes:
     steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
     planes = [x.view(np.uint8).reshape(len(keys), -1).T.tobytes()
               for x in (steps, *(c.astype("<u4") for c in columns))]
-    return zlib.compress(b"".join(planes), 1)
+    return _small(b"".join(planes))
 
 
 def _unpack(data: bytes, columns: int) -> list[np.ndarray]:
-    raw = zlib.decompress(data)
+    raw = _large(data)
     n = len(raw) // (8 + 4 * columns)
     out = []
     for i, (kind, width) in enumerate([("<u8", 8)] + [("<u4", 4)] * columns):
@@ -168,10 +175,12 @@ def _deal(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _dealt(bucket: np.ndarray, keys: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(bucket, packed) of all keys, sorted within it."""
-    order = np.lexsort((keys, bucket))
+    """(bucket, packed) of keys that are sorted."""
+    if not len(keys):
+        return
+    order = np.argsort(bucket.astype(np.uint16 if bucket.max() < 1 << 16 else np.int64), kind="stable")
     bucket = bucket[order].astype(np.int64)
-    begins = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else []
+    begins = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
     for i, j in zip(begins, [*begins[1:], len(bucket)]):
         at = order[i:j]
         yield int(bucket[i]), _pack(keys[at], *[c[at] for c in columns])
@@ -206,40 +215,47 @@ class Numbers:
     held: np.ndarray | None = None    # by frequent first word: what counts are divided by,
     weight: np.ndarray | None = None  # and log10 of its backoff weight
     hot: np.ndarray | None = None     # frequent pairs, sorted,
-    hot_n: np.ndarray | None = None   # and their counts
+    hot_gain: np.ndarray | None = None  # and what they have over backing off
 
     @property
     def firsts(self) -> int:
         """First words, by number and one, that are known everywhere; 0 is the start."""
         return self.vocab + 1 + self.classed
 
-    def count(self, ids: np.ndarray) -> np.ndarray:
-        return self.counts[np.searchsorted(self.ends, ids, side="right")]
+    def group(self, ids: np.ndarray) -> np.ndarray:
+        """Which of ``counts`` words have."""
+        return np.searchsorted(self.ends, ids, side="right")
 
-    def probability(self, ids: np.ndarray) -> np.ndarray:
-        """Lowest-order probability of words."""
-        n = self.count(ids)
+    def probabilities(self) -> np.ndarray:
+        """Lowest-order probability of a word with each of ``counts``."""
+        n = self.counts
         return np.where(n > 0, self.scale * _factor(self.word_d, n) * n / max(1, self.total), self.unseen)
 
+    def probability(self, ids: np.ndarray) -> np.ndarray:
+        return self.probabilities()[self.group(ids)]
+
     def named(self, ids: np.ndarray) -> np.ndarray:
         """What words are in the pairs: themselves, or the class they belong to."""
         return np.minimum(ids, self.vocab) if self.classed else ids
 
-    def pairs(self, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """The pair that each token makes with the one before, one number each; the
-        tokens at ``begins`` follow the start."""
-        ids = self.named(ids)
+    def firsts_of(self, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """The first of the pair that each (named) token makes with the one before: its
+        number and one; the tokens at ``begins`` follow the start."""
         first = np.concatenate(([0], ids[:-1] + 1))
         first[begins] = 0
-        return first.astype(np.uint64) * np.uint64(self.types + 2) + ids.astype(np.uint64)
+        return first
 
-    def split(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first, second = np.divmod(pairs, np.uint64(self.types + 2))
-        return first.astype(np.int64), second.astype(np.int64)
+    def pair(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Pairs as one number each."""
+        return first.astype(np.uint64) * np.uint64(self.types + 2) + second.astype(np.uint64)
 
-    def bucket(self, pairs: np.ndarray, buckets: int) -> np.ndarray:
+    def split(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         first = pairs // np.uint64(self.types + 2)
-        return _deal(np.where(first < self.firsts, pairs, first), buckets)
+        return first.astype(np.int64), (pairs - first * np.uint64(self.types + 2)).astype(np.int64)
+
+    def bucket(self, pairs: np.ndarray, buckets: int, first: np.ndarray | None = None) -> np.ndarray:
+        first = self.split(pairs)[0] if first is None else first
+        return _deal(np.where(first < self.firsts, pairs, first.astype(np.uint64)), buckets)
 
     def second(self, ids: np.ndarray) -> np.ndarray:
         """Probability of the second of a pair: of the class, where it is that."""
@@ -319,7 +335,7 @@ def _numbered(df: DataFrame, key: str, text: str, words: DataFrame, numbers: Num
             codes[known] = small.ids[at[known]]
             codes[~known] = small.vocab + place[which]
             rows = [(-1 - batch, META, batch, -1, pickle.dumps((
-                zlib.compress(pickle.dumps(keys)), np.array([len(x) for x in wait], "<u4"),
+                _small(pickle.dumps(keys)), np.array([len(x) for x in wait], "<u4"),
                 _planes(codes))))]
             rows += [(b, ASKED, batch, b, x) for b, x in _dealt(bucket, rare)]
             yield pd.DataFrame(rows, columns=["bucket", "role", "batch", "part", "blob"])
@@ -345,7 +361,7 @@ def _numbered(df: DataFrame, key: str, text: str, words: DataFrame, numbers: Num
         asked = [_flat(x) for x in pdf["blob"].iloc[1:]]
         ids = np.concatenate([np.arange(small.vocab), *asked])[_flat(codes)]
         parts = np.split(ids, np.cumsum(sizes.astype(np.int64))[:-1])
-        return pd.DataFrame({"key": pd.Series(pickle.loads(zlib.decompress(keys)), dtype=object),
+        return pd.DataFrame({"key": pd.Series(pickle.loads(_large(keys)), dtype=object),
                              "n_tokens": sizes.astype(np.int64), "ids": [_planes(x) for x in parts]})
 
     # The key travels as text: pandas would make numbers with nulls inexact.
@@ -372,7 +388,9 @@ def _word_blobs(words: DataFrame, numbers: Numbers, buckets: int) -> DataFrame:
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             keys = pdf["key"].to_numpy(np.int64).view(np.uint64)
-            got = _dealt(_deal(keys, buckets), keys, pdf["id"].to_numpy(np.int64))
+            order = np.argsort(keys)
+            keys, ids = keys[order], pdf["id"].to_numpy(np.int64)[order]
+            got = _dealt(_deal(keys, buckets), keys, ids)
             yield pd.DataFrame(list(got), columns=["bucket", "blob"])
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -389,13 +407,15 @@ def _pair_blobs(ids: DataFrame, numbers: Numbers, buckets: int) -> DataFrame:
             for pdf in batches:
                 got = [_flat(x) for x in pdf["ids"]]
                 if got:
-                    yield numbers.pairs(np.concatenate(got), np.cumsum([0] + [len(x) for x in got[:-1]]))
+                    ids = numbers.named(np.concatenate(got))
+                    begins = np.cumsum([0] + [len(x) for x in got[:-1]])
+                    yield numbers.pair(numbers.firsts_of(ids, begins), ids)
         for keys, n in _tallies(parts()):
             yield pd.DataFrame(list(_dealt(numbers.bucket(keys, buckets), keys, n)),
                                columns=["bucket", "blob"])
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, n = _added(*_table(pdf["blob"]))
+        keys, n = _added(*map(np.concatenate, zip(*[_unpack(b, 1) for b in pdf["blob"]])))
         seen = np.bincount(n[n <= LARGEST + 1], minlength=LARGEST + 2)
         return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "blob": [_pack(keys, n)],
                              "seen": [seen.tolist()]})
@@ -489,7 +509,9 @@ def train(df: DataFrame, text: str = "text", *, vocabulary: float | None = None)
     at = sums["first"].to_numpy(np.int64)
     numbers.held[at], numbers.weight[at] = _weighed(
         *[sums[c].to_numpy(float) for c in ("n", "held", "p", "types")], numbers)
-    numbers.hot, numbers.hot_n = _hot(pairs, max(2, VOCABULARY * total), numbers)
+    numbers.hot, n = _hot(pairs, max(2, VOCABULARY * total), numbers)
+    first, second = numbers.split(numbers.hot)
+    numbers.hot_gain = numbers.gain(second, n, numbers.held[first], numbers.weight[first])
     return Model(words, pairs.select("bucket", "blob"),
                  rows.filter("blob IS NOT NULL").select("bucket", "blob"), buckets, numbers)
 
@@ -526,35 +548,35 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """What is frequent is scored here; the other pairs are dealt to the buckets."""
         batch = _first_batch()
+        low, base = np.log10(numbers.probabilities()), np.log10((numbers.counts + 1) / (total + types + 1))
         for keys, wait in _batches(batches, "ids", _flat):
             sizes = np.array([len(x) for x in wait])
             all_ids, doc = np.concatenate(wait), np.repeat(np.arange(len(wait)), sizes)
-            pairs = numbers.pairs(all_ids, np.cumsum(sizes) - sizes)
-            first, second = numbers.split(pairs)
-            n = numbers.count(all_ids)
-            logs = np.log10(numbers.probability(all_ids))
-            common = first < numbers.firsts
+            second = numbers.named(all_ids)
+            first = numbers.firsts_of(second, np.cumsum(sizes) - sizes)
+            pairs = numbers.pair(first, second)
+            group = numbers.group(all_ids)
+            known, common = all_ids < types, first < numbers.firsts
+            logs = low[group]
             logs[common] += numbers.weight[first[common]]
             at = np.minimum(np.searchsorted(numbers.hot, pairs), max(0, len(numbers.hot) - 1))
             hot = numbers.hot[at] == pairs if len(numbers.hot) else np.zeros(len(pairs), bool)
-            f = first[hot]
-            logs[hot] += numbers.gain(second[hot], numbers.hot_n[at[hot]], numbers.held[f], numbers.weight[f])
+            logs[hot] += numbers.hot_gain[at[hot]]
             rows = [pd.DataFrame({
                 "bucket": -1 - batch, "role": META, "batch": batch, "blob": None,
                 "key": pd.Series(keys, dtype=object), "idx": np.arange(len(wait)), "n_tokens": sizes,
-                "n_known": np.bincount(doc, n > 0, len(wait)).astype(np.int64),
-                "base": np.bincount(doc, np.log10((n + 1) / (total + types + 1)), len(wait)),
+                "n_known": np.bincount(doc, known, len(wait)).astype(np.int64),
+                "base": np.bincount(doc, base[group], len(wait)),
                 "score": np.bincount(doc, logs, len(wait))})]
             # A word never seen is first in no pair, and second in none of a frequent word.
-            ask = ~hot & (first <= types) & ((n > 0) | ~common | numbers.classed)
-            k, d = pairs[ask], doc[ask]
-            turn = np.lexsort((d, k))
-            k, d = k[turn], d[turn]
-            if len(k):
+            ask = np.flatnonzero(~hot & (first <= types) & (known | ~common | numbers.classed))
+            if len(ask):
+                ask = ask[np.argsort(pairs[ask], kind="stable")]    # documents stay in order
+                k, d = pairs[ask], doc[ask]
                 new = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1]))))
-                times, k, d = np.diff(np.append(new, len(k))), k[new], d[new]
+                times, k = np.diff(np.append(new, len(k))), k[new]
                 rows.append(pd.DataFrame([(b, ASKED, batch, x) for b, x in _dealt(
-                    numbers.bucket(k, buckets), k, d, times)], columns=order[:4]))
+                    numbers.bucket(k, buckets, first[ask[new]]), k, d[new], times)], columns=order[:4]))
             yield pd.concat([r.reindex(columns=order) for r in rows])
             batch += 1
 
@@ -582,14 +604,14 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
                 logs[seen] += numbers.gain(second[seen], counts[at[seen]], held[seen], weight[seen])
             docs, place = np.unique(doc, return_inverse=True)
             data = docs.astype("<u4").tobytes() + np.bincount(place, logs * times, len(docs)).tobytes()
-            out.append(pd.DataFrame({"batch": [batch], "blob": [zlib.compress(data, 1)]}))
+            out.append(pd.DataFrame({"batch": [batch], "blob": [_small(data)]}))
         return pd.concat([x.reindex(columns=["batch", "blob", *meta]) for x in out])
 
     def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = pdf[pdf["blob"].isna()].sort_values("idx").reset_index(drop=True)
         logs = rows["score"].to_numpy(float).copy()
         for blob in pdf["blob"].dropna():
-            raw = zlib.decompress(blob)
+            raw = _large(blob)
             n = len(raw) // 12
             logs[np.frombuffer(raw, "<u4", n)] += np.frombuffer(raw, "<f8", n, 4 * n)
         return rows[["key", "n_tokens", "n_known", "base"]].assign(score=logs)
