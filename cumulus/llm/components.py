@@ -3,7 +3,7 @@
 Every round gives each node, and the node that is its present label, the least
 label among its neighbours, then follows labels one step further; rounds
 needed grow with the logarithm of a component's length in practice.  Each
-round is written to the shared folder.  All groupings are sums of the min kind,
+round is written to the shared folder, and the one before deleted.  All groupings are sums of the min kind,
 made before the shuffle, and joins are between written tables, which Spark can
 split where a hub or a label has very many rows.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
+from .common import drop, stored
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -39,6 +39,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                .select("node", F.col("next").alias("label"),
                        (F.col("next") < F.col("label")).alias("moved")))
         new = stored(new, "labels")
+        drop(edges.sparkSession, lower, labels)
         labels = new.select("node", "label")
         if new.filter("moved").isEmpty():
+            drop(edges.sparkSession, both)
             return labels

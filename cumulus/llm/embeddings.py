@@ -2,9 +2,9 @@
 
 Unit vectors belong to the cell of the nearest centroid.  Two vectors within
 the threshold's angle may lie in different cells, so a vector is also listed in
-every cell whose border is no farther than that angle; every link is then
-found in the home cell of each of its two ends, and none is lost.  Centroids
-come from a bounded sample (SAMPLE vectors) and steer the work only.
+every later cell whose border is no farther than that angle; every link is then
+found once, in the later one of its ends' home cells, for both ends, and none is lost.
+Centroids come from a bounded sample (SAMPLE vectors) and steer the work only.
 
 Equal vectors of a label are one vector with a count from the start.  A cell is
 compared in blocks of at most BLOCK homes and members a side, spread over
@@ -14,7 +14,8 @@ Defined results: vectors without a label, null, empty, zero, or with a null or
 non-finite element link with nothing and are their own component; vectors of
 different lengths do not link.  Rows without an id link with nothing, have no
 component and are not kept.  Repeated rows are vectors of their own that link
-with each other.  An empty table gives an empty result.
+with each other.  Ids are whole numbers; others raise.  An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import grid
 from .common import stored
@@ -32,7 +33,7 @@ from .components import components
 THRESHOLD = 0.98
 SAMPLE = 8192     # vectors the centroids are fitted on, at most
 ROUNDS = 10       # rounds of k-means
-CELL = 1024       # vectors of a label aimed at in a cell
+CELL = 512        # vectors of a label aimed at in a cell
 MAX_CELLS = 2048  # centroids go to every task; beyond that the cells grow instead
 BLOCK = 1024      # vectors a side of a block
 SLACK = 1e-6      # on the border distance, for rounding
@@ -102,6 +103,8 @@ def _listed(groups: DataFrame, threshold: float, cell: int) -> DataFrame:
                     yield part.assign(cell=0, home=True)[COLUMNS]
                     continue
                 home, listed = cells(units(part["v"]), c, threshold, between[int(dim)])
+                # Cells before the home list nothing: those homes are listed here.
+                listed &= np.arange(listed.shape[1]) >= home[:, None]
                 i, j = np.nonzero(listed)
                 yield part.iloc[i].assign(cell=j, home=home[i] == j)[COLUMNS]
 
@@ -116,7 +119,8 @@ COLUMNS = ["rep", "n", "label", "dim", "v", "cell", "home"]
 
 def _compare(threshold: float):
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        """a, b, links: links of each home with others, and a forest of them."""
+        """a, b, links: links of each home with others, and of others with homes, and a
+        forest of them.  Two homes meet in a pair of blocks, or twice in one."""
         role = pdf["role"].to_numpy()
         rows, cols = role != grid.COLUMN, role != grid.ROW
         if not rows.any() or not cols.any():
@@ -126,6 +130,9 @@ def _compare(threshold: float):
         close = (x[rows] @ x[cols].T >= threshold) & (r[:, None] != c[None, :])
         a, b = grid.forest(close, r, c)
         links = np.concatenate([close @ n[cols], np.zeros(len(a) - len(r), np.int64)])
+        guest = ~pdf["home"].to_numpy(bool)[cols]
+        a, b = np.concatenate([a, c[guest]]), np.concatenate([b, c[guest]])
+        links = np.concatenate([links, n[rows] @ close[:, guest]])
         keep = (a != b) | (links > 0)
         return pd.DataFrame({"a": a[keep], "b": b[keep], "links": links[keep]})
     return block
@@ -136,6 +143,8 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
                     block: int = BLOCK) -> DataFrame:
     """key, n_links, component_id, kept: one row per row of ``df``; kept marks the
     representative of each component, its smallest key."""
+    if not isinstance(df.schema[key].dataType, T.IntegralType):
+        raise TypeError(f"{key} must be a whole number, not {df.schema[key].dataType.simpleString()}")
     rows = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").alias("label"),
                      F.col(f"`{vector}`").alias("v"))
     comparable = F.col("id").isNotNull() & F.col("label").isNotNull() & _valid("v")

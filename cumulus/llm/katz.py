@@ -35,10 +35,10 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.series import INDEX, indexed
-from .common import stored
+from .common import drop, stored
 
 LARGEST = 5            # counts up to this are discounted
 VOCABULARY = 1e-5      # frequency from which a word, or a pair, goes to every task
@@ -281,17 +281,6 @@ class Model:
         return self.numbers.total
 
 
-def _free(spark: SparkSession, *tables: DataFrame) -> None:
-    """Deletes tables that no later step reads.  Spark drops the shuffle files of finished
-    jobs once the driver's JVM has collected their plans, so it is asked to."""
-    jvm = spark.sparkContext._jvm
-    for table in tables:
-        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    jvm.System.gc()
-
-
 def _batches(batches: Iterator[pd.DataFrame], column: str, read) -> Iterator[tuple[list, list]]:
     """(keys, arrays) of texts, BATCH tokens or a little more together."""
     keys, wait, size = [], [], 0
@@ -493,12 +482,12 @@ def train(df: DataFrame, text: str = "text", *, vocabulary: float | None = None)
 
     buckets = max(1, -(-total // BUCKET))
     words = stored(_word_blobs(ranked, numbers, buckets), "word_blobs")
-    _free(spark, counted, ranked)
+    drop(spark, counted, ranked)
     keyed = df.select(F.lit(None).cast("string").alias("key"), F.col(f"`{text}`").alias("text"))
     ids = stored(_numbered(keyed, "key", "text", words, numbers, buckets), "training_numbers")
-    _free(spark)
+    drop(spark)
     pairs = stored(_pair_blobs(ids, numbers, buckets), "pairs")
-    _free(spark, ids)
+    drop(spark, ids)
     seen = [r["seen"] for r in pairs.select("seen").collect()]
     numbers.pair_d = discounts(np.sum(seen, axis=0).tolist() if seen else [0] * (LARGEST + 2))
 
@@ -540,7 +529,7 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
     ids = stored(_numbered(df, key, text, model.words, numbers, model.buckets), "numbers")
     size = ids.agg(F.sum("n_tokens")).first()[0] or 0
     buckets = buckets or max(model.buckets, -(-size // BUCKET))
-    _free(df.sparkSession)
+    drop(df.sparkSession)
     meta = ["key", "idx", "n_tokens", "n_known", "base", "score"]
     tail = "key string, idx int, n_tokens long, n_known long, base double, score double"
     order = ["bucket", "role", "batch", "blob", *meta]

@@ -62,6 +62,19 @@ class Policy:
 BASE = Policy("base", 1, ("few_words", "repeated_windows"))
 FULL = Policy("full", 1, tuple(r.name for r in RULES))
 
+# Every version stays: bits stored long ago are judged by the policy of their time.
+POLICIES = {(p.name, p.version): p for p in (
+    BASE, FULL, Policy("web", 1, ("few_words", "repeated_windows", "repeated_lines", "symbols")),
+    Policy("web", 2, ("few_words", "repeated_windows", "repeated_lines", "symbols", "long_words")))}
+
+
+def policy(name: str, version: int | None = None) -> Policy:
+    """The named policy of a version, or the newest."""
+    found = {v: p for (n, v), p in POLICIES.items() if n == name}
+    if not found or version is not None and version not in found:
+        raise KeyError(f"no policy {name} {'' if version is None else version}; known are {sorted(POLICIES)}")
+    return found[max(found) if version is None else version]
+
 
 def annotate(df: DataFrame, text: str = "text", into: str = "ledger",
              rules: tuple[Rule, ...] = RULES) -> DataFrame:

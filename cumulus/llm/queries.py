@@ -51,16 +51,27 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p.score").alias("score")))
 
 
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality ledger of all documents, written once."""
+    return stored(quality.ledger(table(spark, sf_dir, "documents", "doc_id", "text")), "quality_ledger")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger of every document, with the verdict of the full policy, from the stored
     bits; what each rule rejects is stored beside it as ``quality_ablations``."""
-    rows = stored(quality.ledger(table(spark, sf_dir, "documents", "doc_id", "text")), "quality_ledger")
+    rows = _ledger(spark, sf_dir)
     stored(quality.ablations(rows), "quality_ablations")
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                        "n_repeat_words", (~quality.passes(quality.BASE)).alias("base_failed"),
                        quality.passes(quality.FULL).alias("kept"), "fail_bits")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every policy, version and rule: documents kept, kept without the rule, and
+    rejected by it alone, from the stored bits."""
+    return quality.ablations(_ledger(spark, sf_dir), tuple(quality.POLICIES.values()))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, those in nested encodings included."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -127,6 +138,7 @@ QUERIES = {
     "op6_secret_scan": op6_secret_scan,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
+    "quality_ablations": quality_ablations,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_license_scan": op10_license_scan,
     "op11_importance_resampling": op11_importance_resampling,
@@ -136,8 +148,7 @@ QUERIES = {
 
 _BLANK = r"[\x20\x09-\x0D]+"
 
-ORACLE = {
-    "op8_quality_rules": rf"""
+_LEDGER = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (
@@ -171,9 +182,26 @@ b AS (
     + (CASE WHEN word_chars > 40 * n_words THEN 32 ELSE 0 END)
     + (CASE WHEN 2 * n_upper > word_chars THEN 64 ELSE 0 END) AS bits
   FROM m)
+"""
+
+_CASES = ", ".join(
+    f"('{p.name}', {p.version}, '{r.name}', {p.mask()}, {1 << i})" for p in quality.POLICIES.values()
+    for i, r in enumerate(quality.RULES) if r.name in p.rules)
+
+ORACLE = {
+    "op8_quality_rules": _LEDGER + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (bits & 3) <> 0 AS base_failed, bits = 0 AS kept, bits::BIGINT AS fail_bits
 FROM b""",
+    "quality_ablations": _LEDGER + f"""
+SELECT policy, version, rule, count(*) FILTER (bits & mask = 0) AS n_kept,
+       count(*) FILTER (bits & mask & ~bit = 0) AS n_kept_without,
+       count(*) FILTER (bits & mask = bit) AS n_only_this
+FROM b, (VALUES {_CASES}) AS c(policy, version, rule, mask, bit) GROUP BY policy, version, rule""",
+}
+
+# SQL that reads other tables than documents.
+TABLES_ORACLE = {
     "op11_importance_resampling": oracles.RESAMPLING,
     "op12_decontamination": oracles.DECONTAMINATION,
     "op13_filter_audit": oracles.FILTER_AUDIT,

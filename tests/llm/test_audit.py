@@ -99,7 +99,7 @@ def test_query_equals_its_sql(spark):
     con = duckdb.connect()
     for t in ("documents", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    cur = con.execute(queries.ORACLE["op13_filter_audit"])
+    cur = con.execute(queries.TABLES_ORACLE["op13_filter_audit"])
     got = queries.op13_filter_audit(spark, SF)
     assert got.columns == [c[0] for c in cur.description]
     assert sorted(map(tuple, got.collect())) == sorted(cur.fetchall())

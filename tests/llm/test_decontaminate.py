@@ -125,7 +125,7 @@ def test_query_equals_its_sql(spark):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    cur = con.execute(queries.ORACLE["op12_decontamination"])
+    cur = con.execute(queries.TABLES_ORACLE["op12_decontamination"])
     got = queries.op12_decontamination(spark, SF)
     assert got.columns == [c[0] for c in cur.description]
     assert sorted(map(tuple, got.collect())) == sorted(cur.fetchall())

@@ -100,3 +100,24 @@ def test_given_vectors(spark):
     close = (x @ x.T >= 0.98) & (y[:, None] == y[None, :])
     for i, links in zip(t["vec_id"], close.sum(axis=1) - 1):
         assert got[i]["n_links"] == links
+
+
+def test_ids_are_whole_numbers(spark):
+    df = spark.createDataFrame([("a", [1.0], 0)], "vec_id string, embedding array<float>, label int")
+    with pytest.raises(TypeError, match="vec_id must be a whole number"):
+        E.near_duplicates(df)
+    small = df.withColumn("vec_id", F.lit(7).cast("int"))
+    assert [tuple(r) for r in E.near_duplicates(small).collect()] == [(7, 0, 7, True)]
+
+
+def test_cells_are_listed_on_one_side_only(spark):
+    """A vector is its home's and later cells' alone, and most cells not at all."""
+    rows = vectors(400, 16)
+    df = spark.createDataFrame(rows, SCHEMA)
+    groups = df.groupBy("label", F.col("embedding").alias("v")).agg(
+        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")).withColumn("dim", F.size("v"))
+    listed = E._listed(groups, 0.98, 30).toPandas()
+    home = listed[listed["home"]].set_index("rep")["cell"]
+    assert len(home) == groups.count()
+    assert (listed["cell"] >= listed["rep"].map(home)).all()
+    assert sorted(map(tuple, E.near_duplicates(df, cell=30).collect())) == plain(rows)

@@ -87,6 +87,27 @@ def test_language_stage_rejects_noise(spark):
     assert ids == {r[0] for r in docs.select("doc_id").collect()}
 
 
+def test_language_threshold_grows_smoothly():
+    """No jump at any length: neighbouring lengths differ by little."""
+    least = [P.LEAST_LANGUAGE * (n / (n + P.LANGUAGE_HALF)) ** 0.5 for n in range(1, 5000)]
+    assert all(0 < b - a < 0.01 for a, b in zip(least, least[1:])) and least[-1] < P.LEAST_LANGUAGE
+
+
+def test_redacted_texts_hold_no_plain_secret(spark):
+    """Against the contract's patterns written out, not against the scan itself."""
+    from tests.llm.test_secrets import plain_base
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before = {r["doc_id"]: r["text"] for r in docs.collect()}
+    after = {r["doc_id"]: r["text"] for r in P.secret_scans(spark, docs, SF).collect()}
+    dirty = {k for k, t in before.items() if plain_base(t or "")}
+    assert dirty and not [k for k, t in after.items() if plain_base(t or "")]
+    for k, t in before.items():
+        if k in dirty:      # the text outside its spans is as it was
+            assert after[k] != t and after[k].split("[")[0] == t[:len(after[k].split("[")[0])]
+        else:
+            assert after[k] == t or len(after[k]) < len(t)
+
+
 def test_run_is_registered(spark):
     import __spark_entry__ as E
     assert E.queries()["pipeline"] is P.run

@@ -103,3 +103,28 @@ def test_sql_twins(spark):
 def test_every_operator_has_one_query(n):
     from cumulus.llm import queries
     assert sum(name.startswith(f"op{n}_") for name in queries.QUERIES) == 1
+
+
+def test_an_older_version_judges_stored_bits(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    rows = common.stored(Q.ledger(df), "ledger")
+    kept = {v: {r["doc_id"] for r in rows.filter(Q.passes(Q.policy("web", v))).collect()} for v in (1, 2)}
+    assert kept[2] <= kept[1] and Q.policy("web") is Q.policy("web", 2)
+    long = [" ".join(chr(97 + i) * 50 for i in range(25))]
+    new = Q.ledger(spark.createDataFrame([(1, long[0])], "doc_id long, text string"))
+    assert new.filter(Q.passes(Q.policy("web", 1))).count() == 1
+    assert new.filter(Q.passes(Q.policy("web"))).count() == 0
+    for name, version in (("web", 9), ("none", None)):
+        with pytest.raises(KeyError, match="known are"):
+            Q.policy(name, version)
+
+
+def test_ablation_query_equals_its_sql(spark):
+    from cumulus.llm import queries
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    cur = con.execute(queries.ORACLE["quality_ablations"])
+    got = queries.QUERIES["quality_ablations"](spark, SF)
+    assert got.columns == [c[0] for c in cur.description]
+    assert sorted(map(tuple, got.collect())) == sorted(cur.fetchall())
+    assert got.select("policy", "version").distinct().count() == len(Q.POLICIES)

@@ -105,7 +105,7 @@ def test_query_equals_its_sql(spark):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    cur = con.execute(queries.ORACLE["op11_importance_resampling"])
+    cur = con.execute(queries.TABLES_ORACLE["op11_importance_resampling"])
     got = queries.op11_importance_resampling(spark, SF)
     assert got.columns == [c[0] for c in cur.description]
     assert by_text(map(tuple, got.collect())) == by_text(cur.fetchall())

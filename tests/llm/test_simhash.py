@@ -117,3 +117,17 @@ def test_fingerprint_of_long_text_in_chunks(monkeypatch):
     whole = S.fingerprint(text)
     monkeypatch.setattr(S, "CHUNK", 100)
     assert S.fingerprint(text) == whole == signed(plain_fingerprint(text))
+
+
+def test_query_equals_brute_force(spark):
+    from cumulus.llm.queries import op4_simhash
+    sf = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    want = plain_components(docs)
+    got = op4_simhash(spark, sf)
+    assert got.columns[:3] == ["doc_id", "fingerprint", "component_id"]
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert len(rows) == len(docs)
+    for key, text in docs:
+        fp = plain_fingerprint(text)
+        assert (rows[key]["fingerprint"], rows[key]["component_id"]) == (f"{fp:016x}", want[fp])
