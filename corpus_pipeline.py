@@ -14,10 +14,12 @@ from cumulus.llm import langid, packing, quality, secrets, simhash
 from cumulus.llm.common import small_batches, stored
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-# Cosines below these are no learned language.  Unrelated vectors have a cosine
-# of 0.03 by the spread; texts of a learned language 0.4 and more, but those of
-# a few words, from LANGUAGE_CHARS down, sometimes little over 0.05.
-LEAST_LANGUAGE, LEAST_SHORT, LANGUAGE_CHARS = 0.15, 0.05, 100
+# A text is in no learned language if its cosine is below LEAST_LANGUAGE times
+# sqrt(n / (n + LANGUAGE_HALF)) for n characters.  The sum of n random n-gram vectors
+# grows with sqrt(n), and what a text shares with its language's prototype with n, so
+# its cosine rises like that and levels off; unrelated vectors have 0.03 by the spread,
+# however long the text is.
+LEAST_LANGUAGE, LANGUAGE_HALF = 0.15, 200
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not prototypes:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = docs.withColumn("__language", langid.predict("text", prototypes))
-    least = F.when(F.length("text") <= LANGUAGE_CHARS, LEAST_SHORT).otherwise(LEAST_LANGUAGE)
+    n = F.length("text")
+    least = LEAST_LANGUAGE * F.sqrt(n / (n + LANGUAGE_HALF))
     good = (F.col("__language.lang") != "und") & (F.col("__language.score") >= least)
     return found.filter(good).select(*[f"`{c}`" for c in docs.columns])
 
