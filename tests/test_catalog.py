@@ -71,3 +71,15 @@ def test_events_last_day_equals_panel_max(spark):
         panel_max = S.events_panel(spark, sf).agg(F.max("Date")).first()[0]
         raw = spark.range(1).select(S.events_last_day(spark, sf).alias("d")).first()[0]
         assert raw == panel_max
+
+
+@pytest.mark.parametrize("package", ["xxhash", "numpy", "public_tokenizers", "tokenizers"])
+def test_core_queries_work_without_a_package_of_the_text_operators(package):
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {root!r}); sys.modules[{package!r}] = None\n"
+            "import __spark_entry__ as E; print(len(E.queries()), len(E.oracle_sql()))")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout.split()[0]) >= len(catalog.QUERIES)
