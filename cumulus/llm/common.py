@@ -40,15 +40,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop(spark: SparkSession, *tables: DataFrame) -> None:
-    """Deletes stored tables that no later step reads.  Spark drops the shuffle files of
-    finished jobs once the driver's JVM has collected their plans, so it is asked to."""
+def drop(spark: SparkSession, *tables: DataFrame, shuffles: bool = False) -> None:
+    """Deletes stored tables that no later step reads.  ``shuffles``: also the shuffle files
+    of finished jobs, which Spark drops once the driver's JVM has collected their plans."""
     jvm = spark.sparkContext._jvm
     for table in tables:
         for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
             path = jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    jvm.System.gc()
+    if shuffles:
+        jvm.System.gc()
 
 
 def words(text: Column | str) -> Column:

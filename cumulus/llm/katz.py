@@ -482,12 +482,12 @@ def train(df: DataFrame, text: str = "text", *, vocabulary: float | None = None)
 
     buckets = max(1, -(-total // BUCKET))
     words = stored(_word_blobs(ranked, numbers, buckets), "word_blobs")
-    drop(spark, counted, ranked)
+    drop(spark, counted, ranked, shuffles=True)
     keyed = df.select(F.lit(None).cast("string").alias("key"), F.col(f"`{text}`").alias("text"))
     ids = stored(_numbered(keyed, "key", "text", words, numbers, buckets), "training_numbers")
-    drop(spark)
+    drop(spark, shuffles=True)
     pairs = stored(_pair_blobs(ids, numbers, buckets), "pairs")
-    drop(spark, ids)
+    drop(spark, ids, shuffles=True)
     seen = [r["seen"] for r in pairs.select("seen").collect()]
     numbers.pair_d = discounts(np.sum(seen, axis=0).tolist() if seen else [0] * (LARGEST + 2))
 
@@ -529,7 +529,7 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
     ids = stored(_numbered(df, key, text, model.words, numbers, model.buckets), "numbers")
     size = ids.agg(F.sum("n_tokens")).first()[0] or 0
     buckets = buckets or max(model.buckets, -(-size // BUCKET))
-    drop(df.sparkSession)
+    drop(df.sparkSession, shuffles=True)
     meta = ["key", "idx", "n_tokens", "n_known", "base", "score"]
     tail = "key string, idx int, n_tokens long, n_known long, base double, score double"
     order = ["bucket", "role", "batch", "blob", *meta]
