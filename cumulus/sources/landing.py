@@ -17,6 +17,7 @@ One writer at a time is assumed, as the marks are no lock.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -88,6 +89,14 @@ def read_quarantine(spark: SparkSession, path: str, schema: T.StructType,
     return found.select(*schema.fieldNames(), REASON, DIGEST)
 
 
+def _untouched(spark: SparkSession, path: str, date_col: str, lo, hi) -> bool:
+    """True where the history cannot hold rows of these dates, told by its folders alone."""
+    if not path_exists(spark, path):
+        return True
+    one_day = lo == hi and type(lo) is dt.date
+    return one_day and not path_exists(spark, f"{path}/{date_col}={lo}")
+
+
 def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df) else df
 
@@ -161,7 +170,7 @@ def land_snapshot(spark: SparkSession, snapshot: DataFrame, path: str, schema: T
         if lo != hi and not backfill:
             raise BadSnapshot(f"snapshot holds more than one date: {lo} to {hi}")
         sums, todo, old, bad = _sums(rows, date_col), rows, None, []
-        if path_exists(spark, path):
+        if not _untouched(spark, path, date_col, lo, hi):
             marks = read_marks(spark, path, schema, date_col, lo, hi)
             hist = _between(read_history(spark, path, schema), date_col, lo, hi)
             if not marks.isEmpty():
@@ -190,8 +199,9 @@ def land_snapshot(spark: SparkSession, snapshot: DataFrame, path: str, schema: T
         if n:
             # A date that has rows already keeps them: only an untouched one is overwritten.
             _write(fresh, path, date_col, max_records_per_file, lo != hi, overwrite=old is None)
-        done = sums.join(todo.select(date_col).distinct(), date_col, "left_semi")
-        (done.select("rows", "digest", date_col).repartition(1).write.mode("append")
+        done = sums if todo is rows else sums.join(todo.select(date_col).distinct(), date_col,
+                                                   "left_semi")
+        (done.select("rows", "digest", date_col).coalesce(1).write.mode("append")
          .partitionBy(date_col).parquet(f"{path}/{MARKS}"))
         return Landed(n, held)
     finally:
@@ -213,7 +223,7 @@ def land_rows(spark: SparkSession, rows: DataFrame, path: str, schema: T.StructT
     try:
         lo, hi = _dates_of(rows, date_col, "rows to append")
         new, clash = rows.dropDuplicates([date_col, DIGEST]), None
-        if path_exists(spark, path):
+        if not _untouched(spark, path, date_col, lo, hi):
             old = _digested(_between(read_history(spark, path, schema), date_col, lo, hi)
                             .select(*schema.fieldNames()), schema)
             new, clash = _split(missing_rows(rows, old, date_col, once=True), old, date_col, keys)
