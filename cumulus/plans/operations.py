@@ -65,6 +65,7 @@ def landing_quarantine(spark: SparkSession, d: str) -> DataFrame:
     last = panel.filter(F.col("Date") == F.lit(resolve_latest(panel)))
     more = last.withColumn("Location", F.concat(F.lit("late "), "Location")).unionByName(
         revised.filter(F.col("Date") == F.lit(resolve_latest(panel))))
+    revised, more = S.stored(revised, "revised"), S.stored(more, "more")
     for _ in range(2):
         land_rows(spark, revised, path, PANEL, ["Location"])
         land_snapshot(spark, more, path, PANEL, keys=["Location"])

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..operators.joins import fits_broadcast
+from ..session import scratch_path
 from .files import TS_FORMAT, path_exists
 from .history import (BadSnapshot, _as_schema, _between, _dates_of, _write, read_history)
 
@@ -121,10 +122,19 @@ def missing_rows(rows: DataFrame, old: DataFrame, date_col: str, once: bool) ->
         .select(*rows.columns, "__equal")
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """``rows`` written once to the shared folder: what follows reads them several times and
+    does not carry their plan along."""
+    path = scratch_path(rows.sparkSession, "landing")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _split(rows: DataFrame, old: DataFrame, date_col: str, keys):
     """(rows to store, clashing rows) of the missing ones: rows clash whose date and key
     ``old`` has, but no row like them."""
-    if not keys:
+    rows = _stored(rows)
+    if not keys or rows.isEmpty():
         return rows, None
     known = _small(old.select(date_col, *keys).distinct())
     on, equal = [date_col, *keys], F.col("__equal")
@@ -136,7 +146,7 @@ def _quarantine(spark: SparkSession, path: str, schema: T.StructType, date_col:
     """Adds (rows, reason) parts that the quarantine lacks; returns how many rows."""
     listed = None
     for rows, reason in parts:
-        if rows is not None:
+        if rows is not None and not rows.isEmpty():
             rows = rows.select(*schema.fieldNames(), F.lit(reason).alias(REASON), DIGEST)
             listed = rows if listed is None else listed.unionByName(rows)
     if listed is None:
