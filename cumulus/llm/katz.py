@@ -275,6 +275,7 @@ class Model:
     weights: DataFrame    # bucket, blob: first words, what counts are divided by, log10 of weights
     buckets: int
     numbers: Numbers
+    training: DataFrame | None = None   # ids: the texts' numbers, where they are kept
 
     @property
     def total(self) -> int:
@@ -449,9 +450,11 @@ def _weight_rows(pairs: DataFrame, numbers: Numbers) -> DataFrame:
         weigh, "bucket long, blob binary, first long, n long, held double, p double, types long")
 
 
-def train(df: DataFrame, text: str = "text", *, vocabulary: float | None = None) -> Model:
+def train(df: DataFrame, text: str = "text", *, vocabulary: float | None = None,
+          keep_numbers: bool = False) -> Model:
     """Counts, discounts and backoff weights from all texts of ``df``; words below
-    the frequency ``vocabulary``, where given, share one class in the pairs."""
+    the frequency ``vocabulary``, where given, share one class in the pairs.
+    ``keep_numbers``: the model keeps the texts' numbers, for orders above pairs."""
     spark, classed = df.sparkSession, vocabulary is not None
     end = F.lit(int(_signed(np.array([END]))[0]))
     counted = stored(_counted(df, text), "words")
@@ -487,7 +490,8 @@ def train(df: DataFrame, text: str = "text", *, vocabulary: float | None = None)
     ids = stored(_numbered(keyed, "key", "text", words, numbers, buckets), "training_numbers")
     drop(spark, shuffles=True)
     pairs = stored(_pair_blobs(ids, numbers, buckets), "pairs")
-    drop(spark, ids, shuffles=True)
+    if not keep_numbers:
+        drop(spark, ids, shuffles=True)
     seen = [r["seen"] for r in pairs.select("seen").collect()]
     numbers.pair_d = discounts(np.sum(seen, axis=0).tolist() if seen else [0] * (LARGEST + 2))
 
@@ -502,7 +506,8 @@ def train(df: DataFrame, text: str = "text", *, vocabulary: float | None = None)
     first, second = numbers.split(numbers.hot)
     numbers.hot_gain = numbers.gain(second, n, numbers.held[first], numbers.weight[first])
     return Model(words, pairs.select("bucket", "blob"),
-                 rows.filter("blob IS NOT NULL").select("bucket", "blob"), buckets, numbers)
+                 rows.filter("blob IS NOT NULL").select("bucket", "blob"), buckets, numbers,
+                 ids if keep_numbers else None)
 
 
 def _hot(pairs: DataFrame, least: float, numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
@@ -524,12 +529,23 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
     """key, n_tokens, n_known, base_score (unigrams, one added to every count) and
     score (this model), both log10: one row per row of ``df``.  ``vocabulary`` is as in
     training, where it was fixed."""
-    numbers, kind = model.numbers, df.schema[key].dataType
+    found = score_numbers(numbered(df, model, key, text), model, buckets)
+    return found.select(F.col("key").cast(df.schema[key].dataType).alias(key),
+                        "n_tokens", "n_known", "base_score", "score")
+
+
+def numbered(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key as text, n_tokens, ids): the numbers of every text's tokens, packed, in a table."""
+    return stored(_numbered(df, key, text, model.words, model.numbers, model.buckets), "numbers")
+
+
+def score_numbers(ids: DataFrame, model: Model, buckets: int | None = None) -> DataFrame:
+    """(key, n_tokens, n_known, base_score, score) of ``numbered`` texts."""
+    numbers = model.numbers
     total, types = numbers.total, numbers.types
-    ids = stored(_numbered(df, key, text, model.words, numbers, model.buckets), "numbers")
     size = ids.agg(F.sum("n_tokens")).first()[0] or 0
     buckets = buckets or max(model.buckets, -(-size // BUCKET))
-    drop(df.sparkSession, shuffles=True)
+    drop(ids.sparkSession, shuffles=True)
     meta = ["key", "idx", "n_tokens", "n_known", "base", "score"]
     tail = "key string, idx int, n_tokens long, n_known long, base double, score double"
     order = ["bucket", "role", "batch", "blob", *meta]
@@ -625,4 +641,4 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
     found = together.groupBy("bucket").applyInPandas(look_up, f"batch long, blob binary, {tail}")
     return found.groupBy("batch").applyInPandas(
         add_up, "key string, n_tokens long, n_known long, base double, score double").select(
-        F.col("key").cast(kind).alias(key), "n_tokens", "n_known", F.col("base").alias("base_score"), "score")
+        "key", "n_tokens", "n_known", F.col("base").alias("base_score"), "score")
