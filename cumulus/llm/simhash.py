@@ -1,11 +1,12 @@
 """SimHash near-duplicates by the generalised pigeonhole principle.
 
-The 64 bits are put into PARTS partitions, correlated bits together, and each
+The 64 bits are put into a few partitions, correlated bits together, and each
 partition i gets a threshold t_i with sum(t_i + 1) = distance + 1.  Two
 fingerprints within the distance then agree in at least one partition up to
 that partition's threshold.  The thresholds are the cheapest found by dynamic
-programming on candidate counts estimated from a bounded sample; the sample
-steers the cost only, every fingerprint is indexed and probed.  Probes meet
+programming on candidate counts estimated from a bounded sample, for each number of
+partitions in PARTS: the more fingerprints, the wider the partitions that pay.  The
+sample steers the cost only, every fingerprint is indexed and probed.  Probes meet
 in buckets (partition, value) and are verified on all 64 bits.
 
 Exact copies are one fingerprint from the start.  A bucket is compared in
@@ -35,7 +36,8 @@ from .common import stored
 from .components import components
 
 SHINGLE, DISTANCE, SEED, BITS = 4, 4, 42, 64
-PARTS = 3       # partitions: 21 bits or more each tell apart millions of fingerprints
+PARTS = (2, 3, 4)  # partitions to choose from: 32, 21 or 16 bits each
+PROBE = 32      # comparisons that cost as much as a probe, which is shuffled and sorted
 SAMPLE = 2048   # fingerprints, at most, that the thresholds are planned on
 BLOCK = 2048    # rows of a bucket compared with as many others at once
 SMALL = 16      # buckets up to this size are compared many at a time
@@ -76,7 +78,7 @@ def _bits(values: np.ndarray) -> np.ndarray:
                          bitorder="little")
 
 
-def partition_bits(values: np.ndarray, parts: int = PARTS) -> list[list[int]]:
+def partition_bits(values: np.ndarray, parts: int = 3) -> list[list[int]]:
     """Bits into parts of nearly equal size, correlated bits together: each
     part starts with a free bit and takes in the one most correlated with it."""
     x = _bits(values).astype(float) if len(values) > 1 else np.zeros((2, BITS))
@@ -98,8 +100,25 @@ def partition_bits(values: np.ndarray, parts: int = PARTS) -> list[list[int]]:
 def thresholds(values: np.ndarray, rows: int, parts: list[list[int]],
                distance: int = DISTANCE) -> list[int]:
     """Per-part thresholds t (-1: part unused) with sum(t + 1) = distance + 1 and
-    the least cost: values probed plus candidates expected, from the sample's
-    pairs, among ``rows`` fingerprints."""
+    the least cost."""
+    return _cheapest(values, rows, parts, distance)[1]
+
+
+def plan(values: np.ndarray, rows: int, distance: int = DISTANCE,
+         choice: tuple[int, ...] = PARTS) -> tuple[list[list[int]], list[int]]:
+    """Parts and their thresholds: the cheapest of ``choice`` numbers of parts."""
+    tried = []
+    for n in choice:
+        parts = partition_bits(values, n)
+        cost, limits = _cheapest(values, rows, parts, distance)
+        tried.append((cost, parts, limits))
+    return min(tried)[1:]
+
+
+def _cheapest(values: np.ndarray, rows: int, parts: list[list[int]],
+              distance: int) -> tuple[float, list[int]]:
+    """Least cost and its thresholds, among ``rows`` fingerprints: values probed, and
+    candidates expected from the sample's pairs."""
     bits = _bits(values).astype(np.int16)
     pairs = max(1, len(values) * (len(values) - 1) // 2)
     scale = rows * (rows - 1) / 2 / pairs
@@ -115,7 +134,7 @@ def thresholds(values: np.ndarray, rows: int, parts: list[list[int]],
             if t:
                 balls[t] = balls[t - 1] * (len(part) - t + 1) // t
             # + 1: a part no sampled pair shares is rare, not free.
-            row.append(rows * sum(balls[:t + 1]) + scale * (near[:t + 1].sum() + 1))
+            row.append(PROBE * rows * sum(balls[:t + 1]) + scale * (near[:t + 1].sum() + 1))
         cost.append(row)
     best = {0: (0.0, [])}  # budget used -> cheapest choice so far
     for row in cost:
@@ -127,7 +146,7 @@ def thresholds(values: np.ndarray, rows: int, parts: list[list[int]],
                     if used + units not in step or new < step[used + units]:
                         step[used + units] = new
         best = step
-    return best[distance + 1][1]
+    return best[distance + 1]
 
 
 def _balls(part: list[int], t: int) -> list[int]:
@@ -210,14 +229,14 @@ def _compare(distance: int):
     return stream
 
 
-def links(fps: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
+def links(fps: DataFrame, distance: int = DISTANCE, block: int = BLOCK,
+          choice: tuple[int, ...] = PARTS) -> DataFrame:
     """(a, b) links between the distinct fingerprints of ``fps`` (one column, fp)
     with the same components as all pairs at most ``distance`` bits apart."""
     n = fps.count()
     sample = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()],
                       dtype=np.int64)
-    parts = partition_bits(sample)
-    probes = _probes(fps, parts, thresholds(sample, n, parts, distance))
+    probes = _probes(fps, *plan(sample, n, distance, choice))
     keys = ["part", "value", "rb", "cb"]
     rows = (grid.in_blocks(probes, ["part", "value"], "fp", "home", block)
             .repartition(*keys).sortWithinPartitions(*keys))

@@ -112,6 +112,43 @@ def test_thresholds_keep_the_pigeonhole_sum():
         assert sum(x + 1 for x in t) == S.DISTANCE + 1 and min(t) >= -1
 
 
+def test_more_fingerprints_ask_for_wider_partitions():
+    rng = random.Random(1)
+    values = S.np.array([signed(rng.getrandbits(64)) for _ in range(1000)])
+    sizes = []
+    for rows in (10**4, 10**7, 10**10):
+        parts, t = S.plan(values, rows)
+        assert sorted(b for p in parts for b in p) == list(range(64))
+        assert len(t) == len(parts) and sum(x + 1 for x in t) == S.DISTANCE + 1
+        sizes.append(len(parts))
+    assert sizes == [4, 3, 2]
+
+
+@pytest.mark.parametrize("parts", S.PARTS)
+def test_links_do_not_depend_on_the_partitions(spark, parts):
+    fps = sorted({plain_fingerprint(t) for _, t in corpus(40)})
+    # Up to six bits changed: some links lie at the distance itself, some beyond it.
+    rng = random.Random(parts)
+    fps = sorted({f ^ sum(1 << b for b in rng.sample(range(64), n)) for f in fps for n in range(7)})
+    root = {f: f for f in fps}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    near = [(f, g) for f in fps for g in fps if f < g and (f ^ g).bit_count() <= S.DISTANCE]
+    for f, g in near:
+        root[find(f)] = find(g)
+    want = {frozenset(signed(g) for g in fps if find(g) == r) for r in map(find, fps)}
+    df = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
+    got = S.links(df, choice=(parts,)).collect()
+    root = {signed(f): signed(f) for f in fps}
+    for r in got:
+        root[find(r["a"])] = find(r["b"])
+    assert {frozenset(g for g in root if find(g) == r) for r in map(find, root)} == want
+
+
 def test_fingerprint_of_long_text_in_chunks(monkeypatch):
     text = " ".join(f"v{i % 97}" for i in range(5000))
     whole = S.fingerprint(text)
